@@ -89,3 +89,276 @@ for _name, _src, _scale in [
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["score_events_compressed"](spark, sf_dir)
+
+
+# ---------------------------------------------------------------------------
+# Store-based queries: alerts, workflow fold, labels, read models
+# ---------------------------------------------------------------------------
+from riskline.operators import readmodels as RM  # noqa: E402
+from riskline.operators.features import offline_features, skew_report  # noqa: E402
+from riskline.plans.scoring import first_write_wins, merchant_dimension, user_dimension  # noqa: E402
+from riskline.plans.store import build_store  # noqa: E402
+
+ST = S.store_ctes()
+
+FEED = RM.FeedFilter(hours=1, limit=100, offset=20, min_risk=5, max_risk=100, country="us", min_amount=5.0)
+
+
+def _impact_sql() -> str:
+    parts = []
+    for pos, (name, w, cap) in enumerate(C.REASON_WEIGHTS):
+        v = name if cap is None else f"least({name}, {cap})"
+        label = C.FACTOR_LABELS[name].replace("'", "''")
+        parts.append(f"{{'pos': {pos}, 'feature': '{label}', 'impact': {v} * {w}}}")
+    return "[" + ", ".join(parts) + "]"
+
+
+@register("explain_reason_codes", ST + f""",
+fac AS (SELECT s.transaction_id, unnest({_impact_sql()}) AS f
+        FROM scored s SEMI JOIN alerts a USING (transaction_id)),
+rk AS (SELECT transaction_id, (f).pos AS pos, (f).feature AS feature, (f).impact AS impact,
+              row_number() OVER (PARTITION BY transaction_id ORDER BY abs((f).impact) DESC, (f).pos) AS position
+       FROM fac)
+SELECT transaction_id, position, feature, round(round_even(impact, 4), 6) AS impact, 'increases_risk' AS direction
+FROM rk WHERE position <= {C.REASON_LIMIT} AND impact <> 0""")
+def q_explain(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    return st.explanations().withColumn("impact", r6("impact"))
+
+
+@register("alerts", ST + " SELECT alert_id, transaction_id, severity, status, created_us FROM alerts")
+def q_alerts(spark, sf_dir):
+    return build_store(spark, sf_dir).alerts.select("alert_id", "transaction_id", "severity", "status", "created_us")
+
+
+@register("alert_update_fold", ST + " SELECT alert_id, seq, status, code FROM folded")
+def q_fold(spark, sf_dir):
+    return build_store(spark, sf_dir).folded.select("alert_id", "seq", "status", "code")
+
+
+@register("alert_state", ST + """ SELECT alert_id, transaction_id, severity, status, analyst_note, resolution,
+ resolved_us, created_us FROM state""")
+def q_state(spark, sf_dir):
+    return build_store(spark, sf_dir).alert_state
+
+
+@register("analyst_labels", ST + """ SELECT transaction_id, resolution = 'FRAUD' AS is_fraud, 'analyst' AS source,
+ resolved_us AS confirmed_us FROM state WHERE resolution IS NOT NULL""")
+def q_analyst_labels(spark, sf_dir):
+    from riskline.operators.cases import analyst_labels
+    return analyst_labels(build_store(spark, sf_dir).alert_state).drop("label_seq")
+
+
+@register("labels_latest", ST + " SELECT transaction_id, is_fraud, source, confirmed_us, versions FROM labels_all")
+def q_labels_latest(spark, sf_dir):
+    return build_store(spark, sf_dir).labels(as_of=False)
+
+
+@register("labels_rejected", ST + """ SELECT transaction_id, label_seq FROM label_log l
+ ANTI JOIN tx USING (transaction_id)""")
+def q_labels_rejected(spark, sf_dir):
+    return build_store(spark, sf_dir).rejected_labels().select("transaction_id", "label_seq")
+
+
+@register("dim_users", S.with_ctes(S.tx_cte("events", 1)) + " SELECT user_id, min(us) AS created_us FROM tx GROUP BY 1")
+def q_dim_users(spark, sf_dir):
+    return user_dimension(transactions(spark, sf_dir))
+
+
+@register("dim_merchants", S.with_ctes(S.tx_cte("events", 1)) + """
+ SELECT merchant_id, arg_max(merchant_category, (us, transaction_id)) AS category,
+        arg_max(country, (us, transaction_id)) AS country, min(us) AS created_us FROM tx GROUP BY 1""")
+def q_dim_merchants(spark, sf_dir):
+    return merchant_dimension(transactions(spark, sf_dir))
+
+
+_FEED_WHERE = f"""t.us >= (SELECT as_of_us FROM as_of) - {FEED.hours * C.HOUR_US}
+   AND s.risk_score >= {FEED.min_risk} AND s.risk_score <= {FEED.max_risk}
+   AND t.country = '{FEED.country.upper()}' AND t.amount >= {FEED.min_amount}"""
+
+
+@register("feed_page", ST + f"""
+ SELECT t.transaction_id, t.us AS timestamp_us, t.user_id, t.merchant_id, t.merchant_category, t.amount,
+        'USD' AS currency, t.country, s.risk_score, round(s.fraud_probability, 6) AS fraud_probability, s.decision,
+        s.model_version, st.status AS case_status, st.resolution,
+        CASE WHEN l.is_fraud THEN 'FRAUD' WHEN l.is_fraud IS NOT NULL THEN 'LEGITIMATE' END AS confirmed_label
+ FROM tx t JOIN scored s USING (transaction_id)
+ LEFT JOIN state st ON st.transaction_id = t.transaction_id
+ LEFT JOIN labels l ON l.transaction_id = t.transaction_id
+ WHERE {_FEED_WHERE}
+ ORDER BY t.us DESC, t.transaction_id LIMIT {FEED.limit} OFFSET {FEED.offset}""")
+def q_feed_page(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    joined = RM.scored_with_cases(st.txns, st.predictions.drop("created_at"), st.alert_state, st.labels())
+    return RM.feed_page(joined, FEED, st.as_of_us).withColumn("fraud_probability", r6("fraud_probability"))
+
+
+@register("feed_total", ST + f"""
+ SELECT count(*) AS total FROM tx t JOIN scored s USING (transaction_id) WHERE {_FEED_WHERE}""")
+def q_feed_total(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    joined = RM.scored_with_cases(st.txns, st.predictions.drop("created_at"), st.alert_state, st.labels())
+    return RM.feed_total(joined, FEED, st.as_of_us)
+
+
+@register("overview_kpis", ST + f"""
+ SELECT count(*) AS transactions_24h,
+        count(*) FILTER (WHERE s.decision = 'APPROVE') AS approved,
+        count(*) FILTER (WHERE s.decision = 'MANUAL_REVIEW') AS manual_review,
+        count(*) FILTER (WHERE s.decision = 'BLOCK') AS blocked
+ FROM tx t LEFT JOIN scored s USING (transaction_id)
+ WHERE t.us >= (SELECT as_of_us FROM as_of) - {24 * C.HOUR_US}""")
+def q_overview(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    return RM.overview(st.txns, st.predictions, st.as_of_us, 24)
+
+
+@register("decisions_last_hour", ST + f"""
+ SELECT s.decision, count(*) AS transactions FROM tx t JOIN scored s USING (transaction_id)
+ WHERE t.us >= (SELECT as_of_us FROM as_of) - {C.HOUR_US} GROUP BY 1""")
+def q_decisions_hour(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    return RM.decisions_since(st.txns, st.predictions, st.as_of_us, 1)
+
+
+@register("risk_distribution", ST + " SELECT risk_score, count(*) AS count FROM scored GROUP BY 1")
+def q_risk_distribution(spark, sf_dir):
+    return RM.risk_distribution(build_store(spark, sf_dir).predictions)
+
+
+@register("model_performance", ST + """,
+j AS (SELECT l.is_fraud, s.decision = 'BLOCK' AS pos FROM labels l JOIN scored s USING (transaction_id)),
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE is_fraud AND pos) AS tp,
+             count(*) FILTER (WHERE NOT is_fraud AND pos) AS fp, count(*) FILTER (WHERE is_fraud AND NOT pos) AS fn
+      FROM j),
+pr AS (SELECT n, tp / greatest(tp + fp, 1) AS p, tp / greatest(tp + fn, 1) AS r FROM c)
+SELECT CASE WHEN n > 0 THEN 'available' ELSE 'awaiting_labels' END AS status, n AS labeled_transactions,
+       round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / greatest(p + r, 1e-12), 6) AS f1 FROM pr""")
+def q_model_performance(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    return RM.model_performance(st.labels(), st.predictions)
+
+
+@register("investigation_recent", ST + f""",
+c AS (SELECT a.transaction_id, h.transaction_id AS recent_transaction_id, h.us AS recent_us, h.amount, h.country,
+             h.merchant_id, h.risk_score, h.decision,
+             row_number() OVER (PARTITION BY a.transaction_id ORDER BY h.us DESC, h.transaction_id DESC) AS recent_rank
+      FROM alerts a JOIN scored t USING (transaction_id)
+      JOIN scored h ON h.user_id = t.user_id AND h.us <= t.us AND h.transaction_id <> t.transaction_id)
+SELECT transaction_id, recent_rank, recent_transaction_id, recent_us, amount, country, merchant_id, risk_score, decision
+FROM c WHERE recent_rank <= {RM.RECENT_ROWS}""")
+def q_investigation_recent(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    return RM.recent_user_rows(st.scored, st.alerts)
+
+
+@register("investigation_header", ST + """
+ SELECT st.transaction_id, st.alert_id, st.status, st.resolution, s.risk_score, s.decision,
+        'available' AS feature_snapshot_status, 'complete' AS explanation_status,
+        CASE WHEN l.is_fraud THEN 'FRAUD' WHEN l.is_fraud IS NOT NULL THEN 'LEGITIMATE' END AS confirmed_label
+ FROM state st JOIN scored s USING (transaction_id) LEFT JOIN labels l USING (transaction_id)""")
+def q_investigation_header(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    return RM.investigation(st.scored, st.alert_state, st.explanations(), st.labels())
+
+
+@register("alerts_newest", ST + """
+ SELECT alert_id, transaction_id, severity, status, created_us, 'complete' AS explanation_status
+ FROM state ORDER BY created_us DESC, alert_id DESC LIMIT 100""")
+def q_alerts_newest(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    return RM.alerts_list(st.alert_state, st.explanations(), 100)
+
+
+@register("decisions_per_minute", ST + """
+ SELECT epoch_us(time_bucket(INTERVAL 1 MINUTE, t.ts)) AS minute_us, s.decision, count(*) AS n
+ FROM tx t JOIN scored s USING (transaction_id) GROUP BY ALL""")
+def q_decisions_per_minute(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    return RM.decisions_per_minute(st.txns, st.predictions)
+
+
+_SIGNAL_SQL = " UNION ALL ".join(
+    f"SELECT transaction_id, '{s}' AS signal, round({s}, {1 if s == 'travel_speed_kmh' else 6}) AS value "
+    f"FROM scored SEMI JOIN alerts USING (transaction_id)"
+    for s in RM.BEHAVIOUR_SIGNALS
+)
+
+
+@register("behaviour_signals", ST + " " + _SIGNAL_SQL)
+def q_behaviour(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    return RM.behaviour_signals(st.scored, st.alerts)
+
+
+@register("first_write_wins", S.with_ctes(S.tx_cte("events", 1)) + """,
+incoming AS (
+  SELECT transaction_id, amount, source_seq FROM tx
+  UNION ALL SELECT transaction_id, amount * 2, source_seq + 1000000000000 FROM tx WHERE source_seq % 13 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY source_seq) AS rn,
+             count(*) OVER (PARTITION BY transaction_id) AS arrivals FROM incoming)
+SELECT transaction_id, amount, arrivals FROM r WHERE rn = 1""")
+def q_first_write_wins(spark, sf_dir):
+    tx = transactions(spark, sf_dir)
+    replay = tx.where(F.pmod("source_seq", F.lit(13)) == 0).select(
+        "transaction_id", (F.col("amount") * 2).alias("amount"), (F.col("source_seq") + 10**12).alias("source_seq"))
+    incoming = tx.select("transaction_id", "amount", "source_seq").unionByName(replay)
+    arrivals = incoming.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("arrivals"))
+    return first_write_wins(incoming, None).join(arrivals, "transaction_id").select(
+        "transaction_id", "amount", "arrivals")
+
+
+OFFLINE_COLS = ["user_average_amount", "user_median_amount", "amount_vs_user_average", "hour", "weekday",
+                "new_merchant", "new_country", "new_device", "transactions_last_5m", "transactions_last_1h",
+                "transactions_last_24h"]
+
+
+def offline_cte(source: str = "orders") -> str:
+    return S.with_ctes(S.tx_cte(source, 1)) + f""",
+o1 AS (
+  SELECT *,
+    coalesce(avg(amount) OVER (PARTITION BY user_id ORDER BY us, transaction_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), amount) AS user_average_amount,
+    coalesce(median(amount) OVER (PARTITION BY user_id ORDER BY us, transaction_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), amount) AS user_median_amount,
+    CAST(hour(ts) AS DOUBLE) AS hour, CAST(isodow(ts) - 1 AS DOUBLE) AS weekday,
+    row_number() OVER (PARTITION BY user_id ORDER BY us, transaction_id) AS urn,
+    row_number() OVER (PARTITION BY user_id, merchant_id ORDER BY us, transaction_id) AS mrn,
+    row_number() OVER (PARTITION BY user_id, country ORDER BY us, transaction_id) AS crn,
+    row_number() OVER (PARTITION BY user_id, device_id ORDER BY us, transaction_id) AS drn,
+    CAST(count(*) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN {5 * C.MINUTE_US} PRECEDING AND 1 PRECEDING)
+         AS DOUBLE) AS transactions_last_5m,
+    CAST(count(*) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN {C.HOUR_US} PRECEDING AND 1 PRECEDING)
+         AS DOUBLE) AS transactions_last_1h,
+    CAST(count(*) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN {C.DAY_US} PRECEDING AND 1 PRECEDING)
+         AS DOUBLE) AS transactions_last_24h
+  FROM tx),
+offline AS (
+  SELECT *, amount / greatest(user_average_amount, 0.01) AS amount_vs_user_average,
+    CASE WHEN urn > 1 AND mrn = 1 THEN 1.0 ELSE 0.0 END AS new_merchant,
+    CASE WHEN urn > 1 AND crn = 1 THEN 1.0 ELSE 0.0 END AS new_country,
+    CASE WHEN urn > 1 AND drn = 1 THEN 1.0 ELSE 0.0 END AS new_device
+  FROM o1)"""
+
+
+@register("features_offline", offline_cte() + " SELECT transaction_id, "
+          + ", ".join(f"round({c}, 6) AS {c}" for c in OFFLINE_COLS) + " FROM offline")
+def q_features_offline(spark, sf_dir):
+    off = offline_features(transactions(spark, sf_dir, "orders"))
+    return off.select("transaction_id", *[r6(c).alias(c) for c in OFFLINE_COLS])
+
+
+_SKEW = ["amount", "hour", "weekday", "user_average_amount", "user_median_amount", "amount_vs_user_average",
+         "transactions_last_5m", "transactions_last_1h", "transactions_last_24h", "new_merchant", "new_country",
+         "new_device"]
+
+
+@register("feature_skew", offline_cte().replace("WITH ", "WITH ", 1) + ", " + S.features_cte()[1:] + ",\n"
+          + "sk AS (SELECT count(*) AS rows, "
+          + ", ".join(f"count(*) FILTER (WHERE abs(f.{c} - o.{c}) > 1e-9) AS {c}" for c in _SKEW)
+          + " FROM feat f JOIN offline o USING (transaction_id))\n"
+          + " UNION ALL ".join(f"SELECT '{c}' AS feature, rows, {c} AS differing, "
+                               f"round({c} / greatest(rows, 1), 6) AS share FROM sk" for c in _SKEW))
+def q_feature_skew(spark, sf_dir):
+    tx = transactions(spark, sf_dir, "orders")
+    return skew_report(online_features(tx), offline_features(tx), names=_SKEW)

@@ -155,3 +155,98 @@ scored AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
+
+
+def _scripts_values() -> str:
+    from riskline.operators.cases import UPDATE_SCRIPTS
+
+    def lit(v):
+        return "NULL" if v is None else (f"'{v}'" if isinstance(v, str) else str(v))
+    return ", ".join("(" + ", ".join(lit(x) for x in row) + ")" for row in UPDATE_SCRIPTS)
+
+
+def store_ctes(scale: int = COMPRESSED_SCALE) -> str:
+    """tx, feat, scored, alerts, updates, folded, state, label_log, as_of."""
+    from riskline.operators.cases import NOTE_LIMIT, UPDATE_GAP_US
+
+    unit = DAY // scale
+    return with_ctes(tx_cte("events", scale), features_cte(), scored_cte()) + f""",
+as_of AS (SELECT max(us) AS as_of_us FROM tx),
+alerts AS (
+  SELECT source_seq AS alert_id, transaction_id,
+         CASE WHEN decision = 'BLOCK' THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+         'OPEN' AS status, us AS created_us
+  FROM scored WHERE decision <> 'APPROVE'),
+scripts(variant, seq, status, resolution, note) AS (VALUES {_scripts_values()}),
+updates AS (
+  SELECT a.alert_id, CAST(s.seq AS BIGINT) AS seq, a.created_us + s.seq * {UPDATE_GAP_US} AS at_us,
+         s.status, s.resolution,
+         CASE WHEN s.note = 'LONG' THEN repeat('n', {NOTE_LIMIT + 1}) ELSE s.note END AS analyst_note
+  FROM alerts a JOIN scripts s ON a.alert_id % 6 = s.variant
+  UNION ALL
+  SELECT -alert_id - 1, 1, created_us + {UPDATE_GAP_US}, 'IN_REVIEW', NULL, NULL
+  FROM alerts WHERE alert_id % 6 = 0),
+u1 AS (
+  SELECT u.*, (a.alert_id IS NOT NULL) AS known,
+         coalesce(u.status IN ('OPEN', 'IN_REVIEW', 'RESOLVED')
+           AND (u.resolution IS NULL OR u.resolution IN ('FRAUD', 'LEGITIMATE'))
+           AND ((u.status = 'RESOLVED') = (u.resolution IS NOT NULL))
+           AND (u.analyst_note IS NULL OR length(u.analyst_note) <= {NOTE_LIMIT}), false) AS shape
+  FROM updates u LEFT JOIN alerts a USING (alert_id)),
+firstres AS (
+  SELECT alert_id, arg_min(seq, seq) AS fr_seq, arg_min(resolution, seq) AS fr_resolution,
+         arg_min(at_us, seq) AS fr_at
+  FROM u1 WHERE shape AND status = 'RESOLVED' GROUP BY alert_id),
+u2 AS (
+  SELECT u1.*, f.fr_seq, f.fr_resolution, f.fr_at,
+         EXISTS (SELECT 1 FROM u1 p WHERE p.alert_id = u1.alert_id AND p.seq < u1.seq
+                 AND p.shape AND p.status = 'IN_REVIEW') AS review_before
+  FROM u1 LEFT JOIN firstres f USING (alert_id)),
+folded AS (
+  SELECT alert_id, seq, at_us, status, resolution, analyst_note,
+         CASE WHEN NOT known THEN '404' WHEN NOT shape THEN '422'
+              WHEN (fr_seq IS NULL OR seq < fr_seq) AND (status <> 'OPEN' OR NOT review_before) THEN 'ok'
+              WHEN seq = fr_seq THEN 'ok'
+              WHEN seq > fr_seq AND status = 'RESOLVED' AND resolution = fr_resolution THEN 'ok'
+              ELSE '409' END AS code,
+         fr_resolution AS final_resolution, fr_at AS resolved_us
+  FROM u2),
+state AS (
+  SELECT a.alert_id, a.transaction_id, a.severity,
+         coalesce((SELECT arg_max(f.status, f.seq) FROM folded f WHERE f.alert_id = a.alert_id AND f.code = 'ok'),
+                  a.status) AS status,
+         (SELECT arg_max(f.analyst_note, f.seq) FROM folded f
+           WHERE f.alert_id = a.alert_id AND f.code = 'ok' AND f.analyst_note IS NOT NULL) AS analyst_note,
+         (SELECT max(f.final_resolution) FROM folded f WHERE f.alert_id = a.alert_id AND f.code = 'ok') AS resolution,
+         (SELECT max(f.resolved_us) FROM folded f WHERE f.alert_id = a.alert_id AND f.code = 'ok') AS resolved_us,
+         a.created_us
+  FROM alerts a),
+label_log AS (
+  SELECT transaction_id, is_fraud, 'chargeback' AS source,
+         us + (source_seq % {LABEL_DELAY_DAYS} + 1) * {unit} AS confirmed_us, source_seq * 4 AS label_seq
+  FROM tx
+  UNION ALL
+  SELECT transaction_id, CASE WHEN source_seq % 20 = 0 THEN NOT is_fraud ELSE is_fraud END, 'analyst',
+         us + (source_seq % {LABEL_DELAY_DAYS} + 2) * {unit}, source_seq * 4 + 1
+  FROM tx WHERE source_seq % 10 = 0
+  UNION ALL
+  SELECT transaction_id || '-unknown', is_fraud, 'chargeback', us + {unit}, source_seq * 4 + 2
+  FROM tx WHERE source_seq % 250 = 0
+  UNION ALL
+  SELECT transaction_id, resolution = 'FRAUD', 'analyst', resolved_us, alert_id * 4 + 3
+  FROM state WHERE resolution IS NOT NULL),
+labels_all AS (
+  SELECT l.transaction_id,
+         arg_max(l.is_fraud, (l.confirmed_us, l.label_seq)) AS is_fraud,
+         arg_max(l.source, (l.confirmed_us, l.label_seq)) AS source,
+         max(l.confirmed_us) AS confirmed_us, count(*) AS versions
+  FROM label_log l SEMI JOIN tx USING (transaction_id)
+  GROUP BY l.transaction_id),
+labels AS (
+  SELECT l.transaction_id,
+         arg_max(l.is_fraud, (l.confirmed_us, l.label_seq)) AS is_fraud,
+         arg_max(l.source, (l.confirmed_us, l.label_seq)) AS source,
+         max(l.confirmed_us) AS confirmed_us, count(*) AS versions
+  FROM label_log l SEMI JOIN tx USING (transaction_id)
+  WHERE l.confirmed_us <= (SELECT as_of_us FROM as_of)
+  GROUP BY l.transaction_id)"""

@@ -91,33 +91,34 @@ def transactions_from_orders(orders: DataFrame, time_scale: int = 1) -> DataFram
                   F.col("o_orderdate"), "ord-", time_scale)
 
 
-def label_log(transactions: DataFrame) -> DataFrame:
+def label_log(transactions: DataFrame, delay_unit_us: int = C.DAY_US) -> DataFrame:
     """Delayed confirmed-label log derived from the ground truth.
 
     Every transaction gets a chargeback-style label (k mod 14 + 1) days after the
     event; k mod 10 = 0 gets a later analyst correction (flipped when k mod 20 = 0);
     k mod 250 = 0 also produces a label for an id that does not exist (rejected by S08).
+    ``delay_unit_us`` is one "day" of delay; compressed time passes DAY / time_scale.
     """
     k = F.col("source_seq")
     first = transactions.select(
         F.col("transaction_id"),
         F.col("is_fraud"),
         F.lit("chargeback").alias("source"),
-        (F.col("us") + (F.pmod(k, F.lit(LABEL_DELAY_DAYS)) + 1) * F.lit(C.DAY_US)).alias("confirmed_us"),
+        (F.col("us") + (F.pmod(k, F.lit(LABEL_DELAY_DAYS)) + 1) * F.lit(delay_unit_us)).alias("confirmed_us"),
         (k * 4).alias("label_seq"),
     )
     correction = transactions.where(F.pmod(k, F.lit(10)) == 0).select(
         F.col("transaction_id"),
         F.when(F.pmod(k, F.lit(20)) == 0, ~F.col("is_fraud")).otherwise(F.col("is_fraud")).alias("is_fraud"),
         F.lit("analyst").alias("source"),
-        (F.col("us") + (F.pmod(k, F.lit(LABEL_DELAY_DAYS)) + 2) * F.lit(C.DAY_US)).alias("confirmed_us"),
+        (F.col("us") + (F.pmod(k, F.lit(LABEL_DELAY_DAYS)) + 2) * F.lit(delay_unit_us)).alias("confirmed_us"),
         (k * 4 + 1).alias("label_seq"),
     )
     unknown = transactions.where(F.pmod(k, F.lit(250)) == 0).select(
         F.concat(F.col("transaction_id"), F.lit("-unknown")).alias("transaction_id"),
         F.col("is_fraud"),
         F.lit("chargeback").alias("source"),
-        (F.col("us") + F.lit(C.DAY_US)).alias("confirmed_us"),
+        (F.col("us") + F.lit(delay_unit_us)).alias("confirmed_us"),
         (k * 4 + 2).alias("label_seq"),
     )
     return first.unionByName(correction).unionByName(unknown)
