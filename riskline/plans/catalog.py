@@ -362,3 +362,265 @@ _SKEW = ["amount", "hour", "weekday", "user_average_amount", "user_median_amount
 def q_feature_skew(spark, sf_dir):
     tx = transactions(spark, sf_dir, "orders")
     return skew_report(online_features(tx), offline_features(tx), names=_SKEW)
+
+
+# ---------------------------------------------------------------------------
+# Ordering (H1), evaluation (M01, M06-M09, M13), drift (R01-R04), S02
+# ---------------------------------------------------------------------------
+from riskline.operators import drift as D  # noqa: E402
+from riskline.operators import evaluate as EV  # noqa: E402
+from riskline.operators.ordering import chronological_split, evenly_spaced  # noqa: E402
+
+DOWNSAMPLE_ROWS = 2500
+
+
+def scored_events(spark, sf_dir, scale=COMPRESSED_SCALE) -> DataFrame:
+    return score_batch(transactions(spark, sf_dir, "events", scale))
+
+
+def eval_frame(scored: DataFrame) -> DataFrame:
+    return scored.select("transaction_id", "us", F.col("is_fraud").cast("int").alias("label"), "amount",
+                         F.col("fraud_probability").alias("probability"))
+
+
+SCORED_C = S.with_ctes(S.tx_cte("events", COMPRESSED_SCALE), S.features_cte(), S.scored_cte())
+SCORED_R = S.with_ctes(S.tx_cte("events", 1), S.features_cte(), S.scored_cte())
+EV_SQL = """,
+ev AS (SELECT transaction_id, us, CAST(is_fraud AS INTEGER) AS label, amount, fraud_probability AS probability
+       FROM scored),
+split AS (SELECT *, row_number() OVER (ORDER BY us, transaction_id) - 1 AS row_index, count(*) OVER () AS n FROM ev),
+sliced AS (SELECT *, CASE WHEN row_index < CAST(floor(n * 0.5) AS BIGINT) THEN 'train'
+                          WHEN row_index < CAST(floor(n * 0.65) AS BIGINT) THEN 'selection'
+                          WHEN row_index < CAST(floor(n * 0.75) AS BIGINT) THEN 'calibration'
+                          WHEN row_index < CAST(floor(n * 0.85) AS BIGINT) THEN 'threshold'
+                          ELSE 'test' END AS split FROM split)"""
+
+
+def threshold_sql(src: str, tag: str, cfg: EV.CostConfig = EV.CostConfig()) -> str:
+    pairs = EV.threshold_grid()
+    ths = sorted({r for _, r, _ in pairs} | {b for _, _, b in pairs})
+    idx = {t: i + 1 for i, t in enumerate(ths)}
+    th_list = "[" + ", ".join(f"CAST('{t!r}' AS DOUBLE)" for t in ths) + "]"
+    grid = ", ".join(f"({o}, CAST('{r!r}' AS DOUBLE), CAST('{b!r}' AS DOUBLE), {idx[r]}, {idx[b]})"
+                     for o, r, b in pairs)
+    keep = repr(1 - cfg.review_catch_rate)
+    return f""",
+{tag}_b AS (SELECT len(list_filter({th_list}, lambda t: t <= probability)) AS j, label, amount FROM {src}),
+{tag}_per AS (SELECT j, count(*) AS n, sum(CASE WHEN label = 1 THEN amount ELSE 0.0 END) AS fa,
+                     count(*) FILTER (WHERE label = 0) AS legit FROM {tag}_b GROUP BY j),
+{tag}_all AS (SELECT a.range AS j, coalesce(p.n, 0) AS n, coalesce(p.fa, 0.0) AS fa, coalesce(p.legit, 0) AS legit
+              FROM range(0, {len(ths) + 1}) a LEFT JOIN {tag}_per p ON p.j = a.range),
+{tag}_below AS (SELECT j,
+      coalesce(sum(n) OVER (ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_below,
+      coalesce(sum(fa) OVER (ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS fa_below,
+      coalesce(sum(legit) OVER (ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS legit_below,
+      sum(n) OVER () AS n_total, sum(legit) OVER () AS legit_total FROM {tag}_all),
+{tag}_grid(ord, review, block, jr, jb) AS (VALUES {grid}),
+{tag}_priced AS (
+  SELECT g.ord, g.review, g.block,
+         r.fa_below + (b.fa_below - r.fa_below) * {keep} + (b.legit_total - b.legit_below) * {cfg.false_positive_cost}
+           + (b.n_below - r.n_below) * {cfg.review_cost} AS cost,
+         (b.n_below - r.n_below) / greatest(b.n_total, 1) AS rate
+  FROM {tag}_grid g JOIN {tag}_below r ON r.j = g.jr JOIN {tag}_below b ON b.j = g.jb),
+{tag}_top AS (SELECT * FROM {tag}_priced WHERE rate <= {cfg.max_review_rate} ORDER BY cost, ord LIMIT 1),
+{tag} AS (SELECT coalesce(round(t.review, 2), {C.REVIEW_THRESHOLD}) AS review_threshold,
+                 coalesce(round(t.block, 2), {C.BLOCK_THRESHOLD}) AS block_threshold,
+                 coalesce(t.cost, CAST('inf' AS DOUBLE)) AS expected_cost
+          FROM (SELECT 1 AS one) d LEFT JOIN {tag}_top t ON true)"""
+
+
+def cost_sql(src: str, review: str, block: str, cfg: EV.CostConfig = EV.CostConfig()) -> str:
+    keep = repr(1 - cfg.review_catch_rate)
+    return f"""coalesce(sum(
+      CASE WHEN probability < {review} AND label = 1 THEN amount ELSE 0.0 END
+    + CASE WHEN probability >= {review} AND probability < {block} AND label = 1 THEN amount * {keep} ELSE 0.0 END
+    + CASE WHEN probability >= {block} AND label = 0 THEN {cfg.false_positive_cost} ELSE 0.0 END
+    + CASE WHEN probability >= {review} AND probability < {block} THEN {cfg.review_cost} ELSE 0.0 END), 0.0)"""
+
+
+@register("chronological_split", SCORED_C + EV_SQL + " SELECT transaction_id, row_index, split FROM sliced")
+def q_split(spark, sf_dir):
+    ev = eval_frame(scored_events(spark, sf_dir))
+    return chronological_split(ev).select("transaction_id", "row_index", "split")
+
+
+@register("even_downsample", S.with_ctes(S.tx_cte("events", 1)) + f""",
+o AS (SELECT transaction_id, row_number() OVER (ORDER BY us, transaction_id) - 1 AS idx, count(*) OVER () AS n
+      FROM tx)
+SELECT transaction_id FROM o
+WHERE n <= {DOWNSAMPLE_ROWS}
+   OR ((((idx * {DOWNSAMPLE_ROWS - 1}) + (n - 2)) // (n - 1)) * (n - 1)) // {DOWNSAMPLE_ROWS - 1} = idx""")
+def q_downsample(spark, sf_dir):
+    tx = transactions(spark, sf_dir)
+    return evenly_spaced(tx, "us", ["transaction_id"], DOWNSAMPLE_ROWS).select("transaction_id")
+
+
+@register("expected_cost_default", SCORED_C + EV_SQL
+          + f" SELECT round({cost_sql('ev', C.REVIEW_THRESHOLD, C.BLOCK_THRESHOLD)}, 6) AS expected_cost FROM ev")
+def q_cost_default(spark, sf_dir):
+    ev = eval_frame(scored_events(spark, sf_dir))
+    return EV.expected_cost(ev, C.REVIEW_THRESHOLD, C.BLOCK_THRESHOLD).select(r6("expected_cost").alias("expected_cost"))
+
+
+@register("threshold_search", SCORED_C + EV_SQL + threshold_sql("ev", "best")
+          + " SELECT review_threshold, block_threshold, round(expected_cost, 6) AS expected_cost FROM best")
+def q_threshold_search(spark, sf_dir):
+    ev = eval_frame(scored_events(spark, sf_dir))
+    return EV.optimize_thresholds(ev).withColumn("expected_cost", r6("expected_cost"))
+
+
+def _metrics_sql(src: str, thr) -> str:
+    return f"""
+ SELECT round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END, 6) AS precision,
+        round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END, 6) AS recall,
+        round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 6) AS f1,
+        round(fp / greatest(fp + tn, 1), 6) AS false_positive_rate,
+        round(fn / greatest(fn + tp, 1), 6) AS false_negative_rate
+ FROM (SELECT count(*) FILTER (WHERE probability >= {thr} AND label = 1) AS tp,
+              count(*) FILTER (WHERE probability >= {thr} AND label = 0) AS fp,
+              count(*) FILTER (WHERE probability < {thr} AND label = 1) AS fn,
+              count(*) FILTER (WHERE probability < {thr} AND label = 0) AS tn FROM {src})"""
+
+
+_M8 = ["precision", "recall", "f1", "false_positive_rate", "false_negative_rate"]
+
+
+@register("threshold_metrics", SCORED_C + EV_SQL + _metrics_sql("ev", C.BLOCK_THRESHOLD))
+def q_threshold_metrics(spark, sf_dir):
+    ev = eval_frame(scored_events(spark, sf_dir))
+    return EV.threshold_metrics(ev, C.BLOCK_THRESHOLD).select(*[r6(c).alias(c) for c in _M8])
+
+
+def _ranking_sql(src: str) -> str:
+    return f""",
+rg AS (SELECT probability AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+       FROM {src} GROUP BY 1),
+rc AS (SELECT *, sum(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
+              sum(neg) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cum_neg,
+              sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM rg),
+rank_metrics AS (SELECT sum(pos / P * (cum_pos / (cum_pos + cum_neg))) AS pr_auc,
+                        sum(pos * ((N - cum_neg) + neg / 2.0)) / (max(P) * max(N)) AS roc_auc FROM rc)"""
+
+
+@register("ranking_metrics", SCORED_C + EV_SQL + _ranking_sql("ev")
+          + " SELECT round(pr_auc, 6) AS pr_auc, round(roc_auc, 6) AS roc_auc FROM rank_metrics")
+def q_ranking(spark, sf_dir):
+    ev = eval_frame(scored_events(spark, sf_dir))
+    return EV.ranking_metrics(ev).select(r6("pr_auc").alias("pr_auc"), r6("roc_auc").alias("roc_auc"))
+
+
+def _report_frame(ev_test: DataFrame, version: str, review, block) -> DataFrame:
+    cost = EV.expected_cost(ev_test, review, block)
+    rec = EV.threshold_metrics(ev_test, block).select("recall")
+    rank = EV.ranking_metrics(ev_test).select(F.col("pr_auc"))
+    parts = [cost.select(F.lit("test_expected_cost").alias("k"), F.col("expected_cost").alias("v")),
+             rec.select(F.lit("test_recall").alias("k"), F.col("recall").alias("v")),
+             rank.select(F.lit("test_pr_auc").alias("k"), F.col("pr_auc").alias("v"))]
+    long = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return long.agg(*[F.max(F.when(F.col("k") == k, F.col("v"))).alias(k)
+                      for k in ("test_expected_cost", "test_recall", "test_pr_auc")]
+                    ).withColumn("model_version", F.lit(version))
+
+
+@register("promotion_gates", SCORED_C + EV_SQL + """,
+thr_src AS (SELECT * FROM sliced WHERE split = 'threshold'),
+test AS (SELECT * FROM sliced WHERE split = 'test')""" + threshold_sql("thr_src", "tuned") + _ranking_sql("test") + f""",
+champ AS (SELECT {cost_sql('test', C.REVIEW_THRESHOLD, C.BLOCK_THRESHOLD)} AS cost,
+                 count(*) FILTER (WHERE probability >= {C.BLOCK_THRESHOLD} AND label = 1)
+                   / greatest(count(*) FILTER (WHERE label = 1), 1) AS recall FROM test),
+chall AS (SELECT {cost_sql('test', '(SELECT review_threshold FROM tuned)', '(SELECT block_threshold FROM tuned)')} AS cost,
+                 count(*) FILTER (WHERE probability >= (SELECT block_threshold FROM tuned) AND label = 1)
+                   / greatest(count(*) FILTER (WHERE label = 1), 1) AS recall FROM test)
+SELECT 'bootstrap-default' AS champion_version, 'bootstrap-tuned' AS challenger_version,
+       true AS gate_pr_auc,
+       chall.recall >= champ.recall - {C.GATE_RECALL_TOLERANCE} AS gate_recall,
+       chall.cost <= champ.cost AS gate_business_cost,
+       (chall.recall >= champ.recall - {C.GATE_RECALL_TOLERANCE}) AND (chall.cost <= champ.cost)
+         AS promotion_recommended,
+       false AS automatic_promotion
+FROM champ, chall""")
+def q_promotion(spark, sf_dir):
+    ev = chronological_split(eval_frame(scored_events(spark, sf_dir)))
+    tuned = EV.optimize_thresholds(ev.where(F.col("split") == "threshold")).first()
+    test = ev.where(F.col("split") == "test")
+    champion = _report_frame(test, "bootstrap-default", C.REVIEW_THRESHOLD, C.BLOCK_THRESHOLD)
+    challenger = _report_frame(test, "bootstrap-tuned", tuned["review_threshold"], tuned["block_threshold"])
+    return EV.compare_reports(champion, challenger)
+
+
+DRIFT_COLS = ["amount_psi", "amount_ks", "amount_ks_p_value", "probability_psi", "probability_ks",
+              "probability_ks_p_value", "country_js"]
+
+
+def _drift_inputs(spark, sf_dir):
+    scored = eval_frame(scored_events(spark, sf_dir, 1)).join(
+        transactions(spark, sf_dir).select("transaction_id", "country"), "transaction_id")
+    scored = scored.withColumnRenamed("probability", "fraud_probability")
+    split = chronological_split(scored)
+    reference = split.where(F.col("split") == "calibration")
+    as_of = scored.agg(F.max("us")).first()[0]
+    current = scored.where(F.col("us") >= F.lit(as_of - C.DAY_US))
+    return reference, current, as_of
+
+
+def _psi_sql(col: str, tag: str) -> str:
+    qs = ", ".join(repr(i / C.PSI_BINS) for i in range(C.PSI_BINS + 1))
+    return f""",
+{tag}_e AS (SELECT list_sort(list_distinct(quantile_cont({col}, [{qs}]))) AS e FROM ref),
+{tag}_rb AS (SELECT CASE WHEN r.{col} = e[len(e)] THEN len(e) - 2
+                         ELSE len(list_filter(e, lambda x: x <= r.{col})) - 1 END AS bin
+             FROM ref r, {tag}_e WHERE r.{col} >= e[1] AND r.{col} <= e[len(e)]),
+{tag}_cb AS (SELECT CASE WHEN c.{col} = e[len(e)] THEN len(e) - 2
+                         ELSE len(list_filter(e, lambda x: x <= c.{col})) - 1 END AS bin
+             FROM cur c, {tag}_e WHERE c.{col} >= e[1] AND c.{col} <= e[len(e)]),
+{tag}_bins AS (SELECT range AS bin FROM range(0, (SELECT len(e) - 1 FROM {tag}_e))),
+{tag}_t AS (SELECT b.bin,
+               (SELECT count(*) FROM {tag}_rb x WHERE x.bin = b.bin) AS rc,
+               (SELECT count(*) FROM {tag}_cb x WHERE x.bin = b.bin) AS cc FROM {tag}_bins b),
+{tag}_r AS (SELECT greatest(rc / greatest(sum(rc) OVER (), 1), {C.PSI_FLOOR}) AS rr,
+                   greatest(cc / greatest(sum(cc) OVER (), 1), {C.PSI_FLOOR}) AS cr FROM {tag}_t),
+{tag} AS (SELECT CASE WHEN (SELECT len(e) FROM {tag}_e) < 3 THEN 0.0
+                      ELSE coalesce((SELECT sum((cr - rr) * ln(cr / rr)) FROM {tag}_r), 0.0) END AS v)"""
+
+
+def _ks_sql(col: str, tag: str) -> str:
+    series = " + ".join(f"power(-1, {k - 1}) * exp(-2.0 * {k * k} * lam * lam)" for k in range(1, 101))
+    return f""",
+{tag}_u AS (SELECT {col} AS v, 1 AS a, 0 AS b FROM ref UNION ALL SELECT {col}, 0, 1 FROM cur),
+{tag}_g AS (SELECT v, sum(a) AS a, sum(b) AS b FROM {tag}_u GROUP BY v),
+{tag}_c AS (SELECT *, sum(a) OVER (ORDER BY v ROWS UNBOUNDED PRECEDING) AS ca,
+                   sum(b) OVER (ORDER BY v ROWS UNBOUNDED PRECEDING) AS cb,
+                   sum(a) OVER () AS n, sum(b) OVER () AS m FROM {tag}_g),
+{tag} AS (SELECT max(abs(ca / n - cb / m)) AS d, max(n) AS n, max(m) AS m FROM {tag}_c),
+{tag}_l AS (SELECT d, (sqrt(n * m / (n + m)) + 0.12 + 0.11 / sqrt(n * m / (n + m))) * d AS lam FROM {tag}),
+{tag}_p AS (SELECT CASE WHEN d <= 0 THEN 1.0 ELSE least(greatest(2 * ({series}), 0.0), 1.0) END AS p FROM {tag}_l)"""
+
+
+@register("drift_report", SCORED_R + EV_SQL + f""",
+tx_c AS (SELECT transaction_id, country FROM tx),
+base AS (SELECT s.transaction_id, s.us, s.amount, s.probability AS fraud_probability, t.country, s.split
+         FROM sliced s JOIN tx_c t USING (transaction_id)),
+ref AS (SELECT * FROM base WHERE split = 'calibration'),
+cur AS (SELECT * FROM base WHERE us >= (SELECT max(us) FROM base) - {C.DAY_US})"""
+          + _psi_sql("amount", "apsi") + _psi_sql("fraud_probability", "ppsi")
+          + _ks_sql("amount", "aks") + _ks_sql("fraud_probability", "pks") + f""",
+jr AS (SELECT country, count(*) AS r FROM ref GROUP BY 1),
+jq AS (SELECT country, count(*) AS q FROM cur GROUP BY 1),
+jj AS (SELECT coalesce(r, 0) / (SELECT count(*) FROM ref) AS p, coalesce(q, 0) / (SELECT count(*) FROM cur) AS q
+       FROM jr FULL OUTER JOIN jq USING (country)),
+js AS (SELECT coalesce(sum((CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0.0 END
+                          + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0.0 END) / 2), 0.0) AS v FROM jj),
+rep AS (SELECT (SELECT v FROM apsi) AS amount_psi, (SELECT d FROM aks) AS amount_ks,
+               (SELECT p FROM aks_p) AS amount_ks_p_value, (SELECT v FROM ppsi) AS probability_psi,
+               (SELECT d FROM pks) AS probability_ks, (SELECT p FROM pks_p) AS probability_ks_p_value,
+               (SELECT v FROM js) AS country_js, (SELECT count(*) FROM cur) AS rows,
+               (SELECT max(us) FROM base) AS as_of)
+SELECT '{C.BOOTSTRAP_VERSION}' AS model_version, as_of - {C.DAY_US} AS window_start_us, as_of AS window_end_us,
+       rows, """ + ", ".join(f"round({c}, 6) AS {c}" for c in DRIFT_COLS) + f""",
+       amount_psi >= {C.PSI_ALERT} OR probability_psi >= {C.PSI_ALERT} OR country_js >= {C.JS_ALERT} AS drift_detected
+FROM rep WHERE rows >= {C.DRIFT_MIN_ROWS}""")
+def q_drift(spark, sf_dir):
+    reference, current, as_of = _drift_inputs(spark, sf_dir)
+    rep = D.drift_report(reference, current, C.BOOTSTRAP_VERSION, as_of - C.DAY_US, as_of)
+    return rep.select("model_version", "window_start_us", "window_end_us", "rows",
+                      *[r6(c).alias(c) for c in DRIFT_COLS], "drift_detected")
