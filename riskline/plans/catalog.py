@@ -624,3 +624,173 @@ def q_drift(spark, sf_dir):
     rep = D.drift_report(reference, current, C.BOOTSTRAP_VERSION, as_of - C.DAY_US, as_of)
     return rep.select("model_version", "window_start_us", "window_end_us", "rows",
                       *[r6(c).alias(c) for c in DRIFT_COLS], "drift_detected")
+
+
+# ---------------------------------------------------------------------------
+# Validation
+# ---------------------------------------------------------------------------
+from riskline.functions import contract as K  # noqa: E402
+from riskline.operators import validate as V  # noqa: E402
+from riskline.sources.adapter import payloads_from_transactions  # noqa: E402
+
+_ALLOWED = "[" + ", ".join(f"'{k}'" for k in C.TRANSACTION_KEYS) + "]"
+_NUM = "('BIGINT', 'UBIGINT', 'DOUBLE', 'INTEGER', 'HUGEINT')"
+
+
+def _payload_sql() -> str:
+    iso = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
+    return S.with_ctes(S.tx_cte("events", 1)) + f""",
+pl AS (
+  SELECT source_seq, source_seq % 50 AS r, * EXCLUDE (source_seq) FROM tx),
+payloads AS (
+  SELECT source_seq, CASE WHEN r = 9 THEN 'not-json-' || CAST(source_seq AS VARCHAR) ELSE
+    '{{"schema_version":"1.0"'
+    || ',"transaction_id":"' || CASE WHEN r = 12 THEN repeat('x', 65) ELSE transaction_id END || '"'
+    || ',"user_id":' || CASE WHEN r = 16 THEN CAST(CAST(regexp_extract(user_id, '([0-9]+)$', 1) AS BIGINT) AS VARCHAR)
+                             ELSE '"' || user_id || '"' END
+    || CASE WHEN r = 13 THEN '' ELSE ',"merchant_id":"' || merchant_id || '"' END
+    || ',"timestamp":' || CASE WHEN r = 1 THEN '"' || {iso} || '"'
+                               WHEN r = 14 THEN '"' || strftime(make_timestamp(us + {2 * C.HOUR_US}),
+                                                               '%Y-%m-%dT%H:%M:%S.%f') || '+02:00"'
+                               WHEN r = 15 THEN CAST(us // 1000000 AS VARCHAR)
+                               ELSE '"' || {iso} || 'Z"' END
+    || ',"amount":' || CASE WHEN r = 3 THEN '0' WHEN r = 10 THEN '"' || CAST(amount AS VARCHAR) || '"'
+                            WHEN r = 11 THEN '10000000.01' ELSE CAST(amount AS VARCHAR) END
+    || CASE WHEN r = 17 THEN '' ELSE ',"currency":"' || CASE WHEN r = 4 THEN 'US' ELSE 'USD' END || '"' END
+    || ',"merchant_category":"' || merchant_category || '"'
+    || ',"country":"' || CASE WHEN r = 5 THEN lower(country) ELSE country END || '"'
+    || ',"device_id":"' || device_id || '"'
+    || ',"ip_address":"' || CASE WHEN r = 7 THEN '192.0.2.010' ELSE ip_address END || '"'
+    || CASE WHEN r = 17 THEN '' ELSE ',"channel":"' || CASE WHEN r = 6 THEN 'WEB' ELSE channel END || '"' END
+    || CASE WHEN r = 8 THEN ',"latitude":91.0' WHEN r = 18 THEN ',"latitude":null'
+            WHEN latitude IS NOT NULL THEN ',"latitude":' || CAST(latitude AS VARCHAR) ELSE '' END
+    || CASE WHEN r <> 18 AND longitude IS NOT NULL THEN ',"longitude":' || CAST(longitude AS VARCHAR) ELSE '' END
+    || CASE WHEN r = 19 THEN ',"request_id":"00000000-0000-4000-8000-' || lpad(CAST(source_seq AS VARCHAR), 12, '0') || '"'
+            WHEN r = 20 THEN ',"request_id":"req-' || CAST(source_seq AS VARCHAR) || '"' ELSE '' END
+    || CASE WHEN r = 2 THEN ',"extra":1' ELSE '' END
+    || '}}' END AS payload
+  FROM pl),
+pt AS (
+  SELECT source_seq, payload,
+         CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT' ELSE false END AS is_obj
+  FROM payloads),
+pv AS (
+  SELECT source_seq, is_obj,
+    CASE WHEN is_obj THEN json_keys(payload) END AS keys,
+    """ + ",\n    ".join(
+        f"CASE WHEN is_obj THEN json_type(payload, '$.{f}') END AS t_{f}, "
+        f"CASE WHEN is_obj THEN json_extract_string(payload, '$.{f}') END AS s_{f}"
+        for f in C.TRANSACTION_KEYS) + f"""
+  FROM pt),
+pc AS (
+  SELECT *,
+    CASE WHEN t_amount IN {_NUM} THEN CAST(s_amount AS DOUBLE)
+         WHEN t_amount = 'VARCHAR' THEN TRY_CAST(s_amount AS DOUBLE) END AS amount,
+    CASE WHEN t_latitude IN {_NUM} THEN CAST(s_latitude AS DOUBLE) END AS latitude,
+    CASE WHEN t_longitude IN {_NUM} THEN CAST(s_longitude AS DOUBLE) END AS longitude,
+    coalesce(
+      CASE WHEN t_timestamp IN ('BIGINT', 'UBIGINT') THEN CAST(s_timestamp AS BIGINT) * 1000000
+           WHEN t_timestamp = 'VARCHAR' AND regexp_full_match(s_timestamp, '{K.EPOCH[1:-1]}')
+             THEN TRY_CAST(s_timestamp AS BIGINT) * 1000000 END,
+      CASE WHEN t_timestamp = 'VARCHAR' AND regexp_matches(s_timestamp, '{K.ZONE}')
+           THEN epoch_us(TRY_CAST(s_timestamp AS TIMESTAMPTZ)) END) AS us
+  FROM pv),
+checked AS (
+  SELECT *, CASE WHEN NOT is_obj THEN ['malformed_json'] ELSE list_filter([
+    CASE WHEN len(list_filter(keys, lambda k: NOT list_contains({_ALLOWED}, k))) > 0 THEN 'unknown_field' END,
+    """ + ",\n    ".join(
+        f"CASE WHEN NOT coalesce(t_{f} = 'VARCHAR' AND length(s_{f}) BETWEEN 1 AND 64, false) "
+        f"THEN 'invalid_{f}' END" for f in K.ID_FIELDS) + f""",
+    CASE WHEN NOT coalesce(amount > 0 AND amount <= {K.MAX_AMOUNT}, false) THEN 'invalid_amount' END,
+    CASE WHEN NOT coalesce(t_currency IS NULL OR (t_currency = 'VARCHAR' AND length(s_currency) = 3), false)
+         THEN 'invalid_currency' END,
+    CASE WHEN NOT coalesce(t_country = 'VARCHAR' AND length(s_country) = 2, false) THEN 'invalid_country' END,
+    CASE WHEN NOT coalesce(t_ip_address = 'VARCHAR' AND regexp_full_match(s_ip_address, '{K.IPV4[1:-1]}'), false)
+         THEN 'invalid_ip_address' END,
+    CASE WHEN NOT coalesce(t_channel IS NULL OR (t_channel = 'VARCHAR' AND s_channel IN ('web', 'mobile', 'pos')), false)
+         THEN 'invalid_channel' END,
+    CASE WHEN NOT (t_latitude IS NULL OR t_latitude = 'NULL'
+                   OR coalesce(t_latitude IN {_NUM} AND latitude BETWEEN -90 AND 90, false)) THEN 'invalid_latitude' END,
+    CASE WHEN NOT (t_longitude IS NULL OR t_longitude = 'NULL'
+                   OR coalesce(t_longitude IN {_NUM} AND longitude BETWEEN -180 AND 180, false))
+         THEN 'invalid_longitude' END,
+    CASE WHEN NOT (t_request_id IS NULL OR t_request_id = 'NULL'
+                   OR coalesce(t_request_id = 'VARCHAR' AND regexp_full_match(s_request_id, '{K.UUID[1:-1]}'), false))
+         THEN 'invalid_request_id' END,
+    CASE WHEN NOT (t_schema_version IS NULL OR coalesce(t_schema_version = 'VARCHAR', false))
+         THEN 'invalid_schema_version' END,
+    CASE WHEN us IS NULL THEN 'invalid_timestamp' END], lambda x: x IS NOT NULL) END AS errors
+  FROM pc)"""
+
+
+@register("contract_validation", _payload_sql() + """
+ SELECT source_seq, len(errors) = 0 AS valid, array_to_string(errors, '|') AS errors,
+        CASE WHEN len(errors) = 0 THEN s_transaction_id END AS transaction_id,
+        CASE WHEN len(errors) = 0 THEN us END AS us,
+        CASE WHEN len(errors) = 0 THEN round(amount, 6) END AS amount,
+        CASE WHEN len(errors) = 0 THEN upper(coalesce(s_currency, 'USD')) END AS currency,
+        CASE WHEN len(errors) = 0 THEN upper(s_country) END AS country,
+        CASE WHEN len(errors) = 0 THEN coalesce(s_channel, 'web') END AS channel
+ FROM checked""")
+def q_contract(spark, sf_dir):
+    checked = V.validate_payloads(payloads_from_transactions(transactions(spark, sf_dir)))
+    ok = F.col("valid")
+    return checked.select(
+        "source_seq", "valid", F.array_join("errors", "|").alias("errors"),
+        F.when(ok, F.col("transaction_id")).alias("transaction_id"),
+        F.when(ok, F.unix_micros("timestamp")).alias("us"),
+        F.when(ok, r6("amount")).alias("amount"),
+        F.when(ok, F.col("currency")).alias("currency"),
+        F.when(ok, F.col("country")).alias("country"),
+        F.when(ok, F.col("channel")).alias("channel"),
+    )
+
+
+@register("dead_letter_errors", _payload_sql() + """
+ SELECT 'validator' AS component, e AS error_type, count(*) AS errors
+ FROM checked, unnest(errors) AS u(e) GROUP BY ALL""")
+def q_dlq_errors(spark, sf_dir):
+    from riskline.operators.readmodels import errors_by_type
+    checked = V.validate_payloads(payloads_from_transactions(transactions(spark, sf_dir)))
+    _, bad = V.split_valid(checked)
+    return errors_by_type(bad)
+
+
+_RAW_SQL = """
+raw AS (SELECT event_id AS TRANSACTION_ID, ts AS TX_DATETIME, user_id AS CUSTOMER_ID,
+               (event_id * 7919 + user_id * 31) % 500 AS TERMINAL_ID, value AS TX_AMOUNT,
+               CAST((event_id % 97 = 0) OR (event_id % 37 = 0) AS INTEGER) AS TX_FRAUD FROM events)"""
+
+
+@register("source_checks", "WITH" + _RAW_SQL + """
+ SELECT 'negative_amount' AS "check", count(*) FILTER (WHERE TX_AMOUNT < 0) AS failures FROM raw
+ UNION ALL SELECT 'non_binary_target', count(*) FILTER (WHERE TX_FRAUD NOT IN (0, 1)) FROM raw
+ UNION ALL SELECT 'duplicate_id', coalesce(sum(c - 1), 0) FROM
+   (SELECT TRANSACTION_ID, count(*) AS c FROM raw GROUP BY 1 HAVING count(*) > 1)""")
+def q_source_checks(spark, sf_dir):
+    return V.check_source(V.raw_source_from_events(read_table(prepare(spark), sf_dir, "events")))
+
+
+@register("enriched_source", "WITH" + _RAW_SQL + f"""
+ SELECT CAST(TRANSACTION_ID AS VARCHAR) AS transaction_id, epoch_us(TX_DATETIME) AS us,
+        printf('user-%05d', CUSTOMER_ID) AS user_id, printf('merchant-%05d', TERMINAL_ID) AS merchant_id,
+        TX_AMOUNT AS amount, TX_FRAUD AS is_fraud,
+        {S._list(C.CATEGORIES)}[TERMINAL_ID % 6 + 1] AS merchant_category,
+        {S._list(C.COUNTRIES)}[CASE WHEN TX_FRAUD = 1 THEN (CUSTOMER_ID + 2) % 5 ELSE CUSTOMER_ID % 5 END + 1] AS country,
+        CASE WHEN TX_FRAUD = 1 THEN 'takeover-' || CAST(TRANSACTION_ID AS VARCHAR)
+             ELSE printf('device-%05d', CUSTOMER_ID) END AS device_id,
+        '192.0.2.' || CAST(CUSTOMER_ID % 253 + 1 AS VARCHAR) AS ip_address,
+        {S._list(C.CHANNELS)}[TERMINAL_ID % 3 + 1] AS channel
+ FROM raw WHERE TX_AMOUNT > 0""")
+def q_enriched(spark, sf_dir):
+    raw = V.raw_source_from_events(read_table(prepare(spark), sf_dir, "events"))
+    return V.enrich(V.clean_source(raw)).drop("timestamp")
+
+
+@register("training_frame_checks", offline_cte("events") + " SELECT " + " UNION ALL SELECT ".join(
+    f"'nan_{f}' AS \"check\", count(*) FILTER (WHERE {f} IS NULL OR isnan({f})) AS failures FROM offline"
+    for f in C.MODEL_FEATURES).replace("SELECT 'nan_amount' AS \"check\"", "'nan_amount' AS \"check\"", 1)
+    .replace(" SELECT 'nan_amount'", " SELECT 'nan_amount'", 1))
+def q_training_checks(spark, sf_dir):
+    return V.check_training_frame(offline_features(transactions(spark, sf_dir, "events")).withColumn(
+        "is_fraud", F.col("is_fraud").cast("int")))

@@ -122,3 +122,61 @@ def label_log(transactions: DataFrame, delay_unit_us: int = C.DAY_US) -> DataFra
         (k * 4 + 2).alias("label_seq"),
     )
     return first.unionByName(correction).unionByName(unknown)
+
+
+# Mutations applied to the JSON feed, by source id mod 50 (0 and others: unchanged).
+PAYLOAD_CASES = {
+    1: "naive timestamp", 2: "unknown key", 3: "amount 0", 4: "currency of 2 letters", 5: "lower-case country",
+    6: "channel WEB", 7: "ip with leading zero", 8: "latitude 91", 9: "not JSON", 10: "amount as text",
+    11: "amount over the limit", 12: "id of 65 characters", 13: "merchant missing", 14: "offset +02:00",
+    15: "epoch seconds", 16: "user id as number", 17: "currency and channel omitted", 18: "latitude null",
+    19: "valid request id", 20: "invalid request id",
+}
+
+
+def payloads_from_transactions(tx: DataFrame) -> DataFrame:
+    """Raw JSON feed (source_seq, payload) with deterministic contract violations (see PAYLOAD_CASES)."""
+    r = F.pmod(F.col("source_seq"), F.lit(50))
+    k = F.col("source_seq").cast("string")
+
+    def q(s):
+        return F.concat(F.lit('"'), s, F.lit('"'))
+
+    def field(name, value):
+        return F.concat(F.lit(f',"{name}":'), value)
+
+    iso = F.date_format(F.col("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    ts_val = (F.when(r == 1, q(iso))
+              .when(r == 14, q(F.concat(F.date_format(F.timestamp_micros(F.col("us") + C.HOUR_US * 2),
+                                                       "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:00"))))
+              .when(r == 15, F.expr("CAST(us div 1000000 AS STRING)"))
+              .otherwise(q(F.concat(iso, F.lit("Z")))))
+    amount = (F.when(r == 3, F.lit("0")).when(r == 10, q(F.col("amount").cast("string")))
+              .when(r == 11, F.lit("10000000.01")).otherwise(F.col("amount").cast("string")))
+    lat = (F.when(r == 8, F.lit(',"latitude":91.0'))
+           .when(r == 18, F.lit(',"latitude":null'))
+           .when(F.col("latitude").isNotNull(), field("latitude", F.col("latitude").cast("string")))
+           .otherwise(F.lit("")))
+    lon = F.when((r != 18) & F.col("longitude").isNotNull(),
+                 field("longitude", F.col("longitude").cast("string"))).otherwise(F.lit(""))
+    body = F.concat(
+        F.lit('{"schema_version":"1.0"'),
+        field("transaction_id", q(F.when(r == 12, F.repeat(F.lit("x"), 65)).otherwise(F.col("transaction_id")))),
+        field("user_id", F.when(r == 16, F.regexp_extract("user_id", "([0-9]+)$", 1).cast("long").cast("string"))
+              .otherwise(q(F.col("user_id")))),
+        F.when(r == 13, F.lit("")).otherwise(field("merchant_id", q(F.col("merchant_id")))),
+        field("timestamp", ts_val),
+        field("amount", amount),
+        F.when(r == 17, F.lit("")).otherwise(field("currency", q(F.when(r == 4, F.lit("US")).otherwise(F.lit("USD"))))),
+        field("merchant_category", q(F.col("merchant_category"))),
+        field("country", q(F.when(r == 5, F.lower("country")).otherwise(F.col("country")))),
+        field("device_id", q(F.col("device_id"))),
+        field("ip_address", q(F.when(r == 7, F.lit("192.0.2.010")).otherwise(F.col("ip_address")))),
+        F.when(r == 17, F.lit("")).otherwise(field("channel", q(F.when(r == 6, F.lit("WEB")).otherwise(F.col("channel"))))),
+        lat, lon,
+        F.when(r == 19, field("request_id", q(F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(k, 12, "0")))))
+        .when(r == 20, field("request_id", q(F.concat(F.lit("req-"), k)))).otherwise(F.lit("")),
+        F.when(r == 2, F.lit(',"extra":1')).otherwise(F.lit("")),
+        F.lit("}"),
+    )
+    return tx.select("source_seq", F.when(r == 9, F.concat(F.lit("not-json-"), k)).otherwise(body).alias("payload"))
