@@ -17,7 +17,7 @@ from riskline import constants as C
 from riskline.plans import sql_twins as S
 from riskline.plans.scoring import score_batch
 from riskline.operators.features import online_features
-from riskline.session import prepare
+from riskline.session import materialize, prepare
 from riskline.sources.adapter import COMPRESSED_SCALE, transactions_from_events, transactions_from_orders
 from riskline.sources.tables import read_table
 
@@ -379,8 +379,8 @@ def scored_events(spark, sf_dir, scale=COMPRESSED_SCALE) -> DataFrame:
 
 
 def eval_frame(scored: DataFrame) -> DataFrame:
-    return scored.select("transaction_id", "us", F.col("is_fraud").cast("int").alias("label"), "amount",
-                         F.col("fraud_probability").alias("probability"))
+    return materialize(scored.select("transaction_id", "us", F.col("is_fraud").cast("int").alias("label"), "amount",
+                         F.col("fraud_probability").alias("probability")))
 
 
 SCORED_C = S.with_ctes(S.tx_cte("events", COMPRESSED_SCALE), S.features_cte(), S.scored_cte())
@@ -540,7 +540,7 @@ SELECT 'bootstrap-default' AS champion_version, 'bootstrap-tuned' AS challenger_
        false AS automatic_promotion
 FROM champ, chall""")
 def q_promotion(spark, sf_dir):
-    ev = chronological_split(eval_frame(scored_events(spark, sf_dir)))
+    ev = materialize(chronological_split(eval_frame(scored_events(spark, sf_dir))))
     tuned = EV.optimize_thresholds(ev.where(F.col("split") == "threshold")).first()
     test = ev.where(F.col("split") == "test")
     champion = _report_frame(test, "bootstrap-default", C.REVIEW_THRESHOLD, C.BLOCK_THRESHOLD)
@@ -553,13 +553,12 @@ DRIFT_COLS = ["amount_psi", "amount_ks", "amount_ks_p_value", "probability_psi",
 
 
 def _drift_inputs(spark, sf_dir):
-    scored = eval_frame(scored_events(spark, sf_dir, 1)).join(
-        transactions(spark, sf_dir).select("transaction_id", "country"), "transaction_id")
-    scored = scored.withColumnRenamed("probability", "fraud_probability")
-    split = chronological_split(scored)
+    scored = scored_events(spark, sf_dir, 1).select(
+        "transaction_id", "us", "amount", "country", "fraud_probability")
+    split = materialize(chronological_split(materialize(scored)))
     reference = split.where(F.col("split") == "calibration")
-    as_of = scored.agg(F.max("us")).first()[0]
-    current = scored.where(F.col("us") >= F.lit(as_of - C.DAY_US))
+    as_of = split.agg(F.max("us")).first()[0]
+    current = split.where(F.col("us") >= F.lit(as_of - C.DAY_US))
     return reference, current, as_of
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from riskline import constants as C
 from riskline.operators import cases
 from riskline.plans.scoring import alerts_from, explanations_for, prediction_rows, score_batch
-from riskline.session import prepare
+from riskline.session import materialize, prepare
 from riskline.sources.adapter import COMPRESSED_SCALE, label_log, transactions_from_events
 from riskline.sources.tables import read_table
 
@@ -50,7 +50,7 @@ class Store:
 def build_store(spark: SparkSession, sf_dir: str, scale: int = COMPRESSED_SCALE) -> Store:
     prepare(spark)
     txns = transactions_from_events(read_table(spark, sf_dir, "events"), scale)
-    scored = score_batch(txns)
+    scored = materialize(score_batch(txns))
     predictions = prediction_rows(scored)
     alerts = alerts_from(scored)
     updates = cases.update_log(spark, alerts)

@@ -57,3 +57,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return prepare(spark)
+
+
+def materialize(df):
+    """Cut lineage once a frame feeds several jobs (driver scalars, several sinks).
+
+    Reliable ``checkpoint`` into the shared folder named by ``spark.checkpoint.dir``
+    (survives executor loss; never a local checkpoint).  The scored table is the
+    system of record in production, so this matches how it would be stored.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
