@@ -42,10 +42,10 @@ def parse_fields(df: DataFrame, payload: str = "payload") -> DataFrame:
     for k in C.TRANSACTION_KEYS:
         cols.append(F.schema_of_variant(F.try_variant_get(F.col("_v"), f"$.{k}", "variant")).alias(f"_t_{k}"))
         cols.append(F.try_variant_get(F.col("_v"), f"$.{k}", "string").alias(f"_s_{k}"))
-    cols += [F.try_variant_get(F.col("_v"), f"$.{k}", "double").alias(f"_d_{k}")
-             for k in ("amount", "latitude", "longitude")]
-    cols.append(F.try_variant_get(F.col("_v"), "$.timestamp", "long").alias("_l_timestamp"))
-    return staged.select("*", *cols).drop("_v")
+    out = staged.select("*", *cols).drop("_v")
+    extra = [F.col(f"_s_{k}").try_cast("double").alias(f"_d_{k}") for k in ("amount", "latitude", "longitude")]
+    extra.append(F.col("_s_timestamp").try_cast("long").alias("_l_timestamp"))
+    return out.select("*", *extra)
 
 
 def contract_rules() -> tuple[Column, dict[str, Column]]:
