@@ -793,3 +793,101 @@ def q_enriched(spark, sf_dir):
 def q_training_checks(spark, sf_dir):
     return V.check_training_frame(offline_features(transactions(spark, sf_dir, "events")).withColumn(
         "is_fraud", F.col("is_fraud").cast("int")))
+
+
+# ---------------------------------------------------------------------------
+# Attribution (E02, E03), training pieces (M02, M04, R05), event projection (S05), F01
+# ---------------------------------------------------------------------------
+from riskline.operators import attribution as AT  # noqa: E402
+from riskline.operators.ordering import exact_sample_by_rank  # noqa: E402
+from riskline.operators.features import history_for  # noqa: E402
+
+ATTRIBUTION_PERMUTATIONS = 10
+
+
+def _background(scored: DataFrame, features: list[str]) -> DataFrame:
+    calib = chronological_split(scored.select("transaction_id", "us", *features)).where(
+        F.col("split") == "calibration")
+    return exact_sample_by_rank(calib, AT.MAX_BACKGROUND, 42).select(*features)
+
+
+@register("alert_attributions")
+def q_attributions(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    alerted = st.scored.join(st.alerts.select("transaction_id"), "transaction_id", "left_semi")
+    bg = _background(st.scored, AT.HEURISTIC_INPUTS)
+    return AT.permutation_attribution(alerted, bg, AT.HEURISTIC_INPUTS, permutations=ATTRIBUTION_PERMUTATIONS
+                                      ).drop("raw_phi")
+
+
+@register("explain_pending_alerts", ST + f""",
+fac AS (SELECT s.transaction_id, unnest({_impact_sql()}) AS f
+        FROM scored s SEMI JOIN alerts a USING (transaction_id)),
+rk AS (SELECT transaction_id, (f).pos AS pos, (f).feature AS feature, (f).impact AS impact,
+              row_number() OVER (PARTITION BY transaction_id ORDER BY abs((f).impact) DESC, (f).pos) AS position
+       FROM fac)
+SELECT transaction_id, 'reason_codes:snapshot' AS method, position, feature,
+       round(round_even(impact, 4), 6) AS impact, 'increases_risk' AS direction
+FROM rk WHERE position <= {C.REASON_LIMIT} AND impact <> 0""")
+def q_explain_pending(spark, sf_dir):
+    st = build_store(spark, sf_dir)
+    return AT.explain_pending(st.alerts, st.predictions).withColumn("impact", r6("impact"))
+
+
+@register("class_balance", SCORED_R.replace(S.scored_cte(), S.scored_cte()) + EV_SQL + """
+ SELECT count(*) FILTER (WHERE label = 0) AS negatives, count(*) FILTER (WHERE label = 1) AS positives,
+        round(greatest(count(*) FILTER (WHERE label = 0) / greatest(count(*) FILTER (WHERE label = 1), 1), 1.0), 6)
+          AS imbalance
+ FROM sliced WHERE split = 'train'""")
+def q_class_balance(spark, sf_dir):
+    from riskline.plans.training import class_balance
+    ev = chronological_split(eval_frame(scored_events(spark, sf_dir, 1)))
+    train = ev.where(F.col("split") == "train")
+    return train.agg(F.count(F.when(F.col("label") == 0, 1)).alias("negatives"),
+                     F.count(F.when(F.col("label") == 1, 1)).alias("positives")).select(
+        "negatives", "positives",
+        F.round(F.greatest(F.col("negatives") / F.greatest(F.col("positives"), F.lit(1)), F.lit(1.0)), 6)
+        .alias("imbalance"))
+
+
+@register("undersample_counts", SCORED_R + EV_SQL + """
+ SELECT label, CASE WHEN label = 1 THEN count(*) ELSE (SELECT count(*) FROM sliced WHERE split = 'train' AND label = 1)
+        END AS rows
+ FROM sliced WHERE split = 'train' GROUP BY label""")
+def q_undersample(spark, sf_dir):
+    from riskline.plans.training import class_balance, undersample
+    ev = chronological_split(eval_frame(scored_events(spark, sf_dir, 1)))
+    train = materialize(ev.where(F.col("split") == "train"))
+    _, pos, _ = class_balance(train)
+    return undersample(train, pos).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("reference_sample")
+def q_reference_sample(spark, sf_dir):
+    reference, _, _ = _drift_inputs(spark, sf_dir)
+    return D.reference_sample(reference)
+
+
+@register("event_projection", ST + """
+ SELECT 'transactions.v1' AS topic, transaction_id AS event_key FROM scored
+ UNION ALL SELECT 'fraud_predictions.v1', transaction_id FROM scored
+ UNION ALL SELECT 'fraud_alerts.v1', transaction_id FROM scored WHERE decision <> 'APPROVE'
+ UNION ALL SELECT 'confirmed_labels.v1', transaction_id FROM label_log SEMI JOIN tx USING (transaction_id)""")
+def q_event_projection(spark, sf_dir):
+    from riskline.streaming.pipeline import event_projection
+    st = build_store(spark, sf_dir)
+    accepted = st.label_log.join(st.txns.select("transaction_id"), "transaction_id", "left_semi")
+    return event_projection(st.scored, accepted).select("topic", "event_key")
+
+
+@register("history_pairs_alerts", S.with_ctes(S.tx_cte("events", COMPRESSED_SCALE), S.features_cte(),
+                                              S.scored_cte()) + f"""
+ SELECT t.transaction_id AS target_id, h.transaction_id, h.us
+ FROM scored t JOIN tx h ON h.user_id = t.user_id AND h.us >= t.us - {C.HISTORY_DAYS * C.DAY_US} AND h.us < t.us
+  AND h.transaction_id <> t.transaction_id
+ WHERE t.decision <> 'APPROVE'""")
+def q_history_pairs(spark, sf_dir):
+    scored = scored_events(spark, sf_dir)
+    targets = scored.where(F.col("decision") != "APPROVE").select("transaction_id", "user_id", "us")
+    hist = transactions(spark, sf_dir, "events", COMPRESSED_SCALE).select("transaction_id", "user_id", "us")
+    return history_for(targets, hist).select("target_id", "transaction_id", "us")

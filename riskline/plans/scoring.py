@@ -39,7 +39,7 @@ def apply_policy(scored: DataFrame, policy: P.Policy = P.Policy()) -> DataFrame:
     )
 
 
-def score_batch(txns: DataFrame, policy: P.Policy = P.Policy(), model=None,
+def score_batch(txns: DataFrame, policy: P.Policy | None = None, model=None,
                 horizon_days: int = C.HISTORY_DAYS) -> DataFrame:
     """Transactions (with ``us``) -> one prediction row per transaction.
 
@@ -47,6 +47,9 @@ def score_batch(txns: DataFrame, policy: P.Policy = P.Policy(), model=None,
     Keeps the transaction columns, adds the 19 features, fraud_probability,
     risk_score, decision, rule_reasons, model_version and feature_snapshot.
     """
+    if policy is None:  # D07: the model's thresholds unless the caller passes a policy
+        policy = (P.Policy() if model is None
+                  else P.Policy.resolve(model.review_threshold, model.block_threshold))
     feats = online_features(txns, horizon_days=horizon_days)
     scored = with_heuristic_probability(feats) if model is None else model.score(feats)
     out = apply_policy(scored, policy)
