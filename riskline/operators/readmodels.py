@@ -142,31 +142,48 @@ def model_performance(labels: DataFrame, predictions: DataFrame) -> DataFrame:
     )
 
 
-def recent_user_rows(scored: DataFrame, targets: DataFrame, n: int = RECENT_ROWS) -> DataFrame:
+def recent_user_rows(scored: DataFrame, targets: DataFrame, n: int = RECENT_ROWS,
+                     bucket_us: int = C.DAY_US) -> DataFrame:
     """Q05 earlier activity: the n latest other rows of the user at or before t (inclusive).
 
-    Bounded frames instead of a range join: ordered by (us, id), the answer lies
-    within the n rows before and the n rows after the target (the rows after
-    only count when they share the timestamp).  Linear, no per-user pairs.
+    Exact and skew-safe without a per-user partition:
+      * in-bucket candidates: rows of the same (user, time bucket) within n rows
+        before / after the target in (us, id) order (rows after only count on
+        an equal timestamp) -- a bounded frame per (user, bucket);
+      * earlier buckets: each bucket's last n rows ("tail"); the n latest rows
+        before bucket b lie in the tails of the n most recent non-empty earlier
+        buckets, gathered by a frame over one aggregated row per (user, bucket).
     """
-    w = Window.partitionBy("user_id").orderBy("us", "transaction_id")
     row = F.struct(
         F.col("us").alias("us"), F.col("transaction_id").alias("id"), F.col("amount").alias("amount"),
         F.col("currency").alias("currency"), F.col("country").alias("country"),
         F.col("merchant_id").alias("merchant_id"), F.col("risk_score").alias("risk_score"),
         F.col("decision").alias("decision"),
     )
-    near = scored.select(
-        "transaction_id", "us",
-        F.collect_list(row).over(w.rowsBetween(-n, n)).alias("near"),
-    ).join(targets.select("transaction_id"), "transaction_id", "left_semi")
-    cand = F.filter("near", lambda r: (r["us"] <= F.col("us")) & (r["id"] != F.col("transaction_id")))
+    rows = scored.select("user_id", "us", "transaction_id", row.alias("r"),
+                         F.floor(F.col("us") / F.lit(bucket_us)).cast("long").alias("_b"))
+    w = Window.partitionBy("user_id", "_b").orderBy("us", "transaction_id")
+    near = rows.select("user_id", "_b", "transaction_id", "us",
+                       F.collect_list("r").over(w.rowsBetween(-n, n)).alias("near")
+                       ).join(targets.select("transaction_id"), "transaction_id", "left_semi")
+    newest = Window.partitionBy("user_id", "_b").orderBy(F.col("us").desc(), F.col("transaction_id").desc())
+    tails = (rows.withColumn("_k", F.row_number().over(newest)).where(F.col("_k") <= n)
+             .groupBy("user_id", "_b").agg(F.collect_list("r").alias("tail")))
+    before = Window.partitionBy("user_id").orderBy("_b").rowsBetween(-n, -1)
+    prior = tails.select("user_id", "_b", F.flatten(F.collect_list("tail").over(before)).alias("prior"))
+    j = near.join(prior, ["user_id", "_b"], "left")
+    cand = F.concat(
+        F.filter("near", lambda r: (r["us"] <= F.col("us")) & (r["id"] != F.col("transaction_id"))),
+        F.coalesce(F.col("prior"), F.array().cast("array<struct<us:bigint,"
+                   "id:string,amount:double,currency:string,country:string,merchant_id:string,risk_score:int,"
+                   "decision:string>>")),
+    )
     ordered = F.array_sort(
         cand,
         lambda a, b: F.when(a["us"] > b["us"], -1).when(a["us"] < b["us"], 1)
         .when(a["id"] > b["id"], -1).when(a["id"] < b["id"], 1).otherwise(0),
     )
-    out = near.select("transaction_id", F.posexplode(F.slice(ordered, 1, n)).alias("pos", "r"))
+    out = j.select("transaction_id", F.posexplode(F.slice(ordered, 1, n)).alias("pos", "r"))
     return out.select(
         "transaction_id", (F.col("pos") + 1).alias("recent_rank"),
         F.col("r.id").alias("recent_transaction_id"), F.col("r.us").alias("recent_us"),
