@@ -6,7 +6,7 @@ prediction rows.  The same column functions run inside the streaming query.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskline import constants as C
@@ -92,9 +92,14 @@ def explanations_for(scored: DataFrame, limit: int = C.REASON_LIMIT) -> DataFram
 
 def first_write_wins(incoming: DataFrame, stored: DataFrame | None, key: str = "transaction_id",
                      order_cols: tuple[str, ...] = ("source_seq",)) -> DataFrame:
-    """Keep the first arrival per key inside the batch and drop keys already stored."""
-    w = Window.partitionBy(key).orderBy(*order_cols)
-    first = incoming.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """Keep the first arrival per key inside the batch and drop keys already stored.
+
+    An aggregate (``min_by`` with map-side partial aggregation), so a key
+    replayed millions of times is combined before the shuffle, not in one task.
+    """
+    others = [c for c in incoming.columns if c != key]
+    first = incoming.groupBy(key).agg(
+        F.min_by(F.struct(*others), F.struct(*order_cols)).alias("_first")).select(key, "_first.*")
     if stored is None:
         return first
     return first.join(stored.select(key), key, "left_anti")
