@@ -1,19 +1,20 @@
 """Transaction contract rules (V01) and normalisation (V02) on raw JSON text.
 
-The payload is parsed once into a VARIANT (``try_parse_json``) so that the JSON
+The payload is parsed once (``from_json`` into VARIANT fields) so that the JSON
 type of every field is known (a number where a string is required is an error,
 a numeric string for ``amount`` is accepted).  Each rule yields an error code or
 null; ``errors`` is the compacted array in fixed rule order.
 
 Decisions where the source's lax parser and Spark differ (documented choices):
-boolean ``amount`` and integer ``ip_address`` are rejected; a payload with a
-duplicate key is treated as malformed.
+boolean ``amount`` and integer ``ip_address`` are rejected; a duplicate key keeps
+its last value.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskline import constants as C
 
@@ -32,17 +33,22 @@ def _is_numeric(t: Column) -> Column:
 
 
 def parse_fields(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Stage 1+2: parse once into a VARIANT, then one (type, text) column pair per contract key.
+    """Stage 1+2: one ``from_json`` parse into a struct of VARIANT fields, then (type, text) per key.
 
-    Staged projections keep Catalyst from inlining the parse into every rule.
+    Each field arrives as its own small variant, so its JSON type
+    (``schema_of_variant``) and text need no path lookup in a large document.
+    ``json_object_keys`` is null unless the payload is a JSON object.  A
+    duplicate key keeps its last value.  Staged projections keep Catalyst from
+    inlining the parse into every rule.
     """
-    staged = df.withColumn("_v", F.try_parse_json(F.col(payload))).withColumn(
-        "_keys", F.json_object_keys(F.col(payload)))
-    cols = [F.schema_of_variant(F.col("_v")).alias("_t_root")]
+    fields = T.StructType([T.StructField(k, T.VariantType(), True) for k in C.TRANSACTION_KEYS])
+    staged = df.select("*", F.json_object_keys(F.col(payload)).alias("_keys"),
+                       F.from_json(F.col(payload), fields).alias("_j"))
+    cols = [F.when(F.col("_keys").isNotNull(), F.lit("OBJECT")).alias("_t_root")]
     for k in C.TRANSACTION_KEYS:
-        cols.append(F.schema_of_variant(F.try_variant_get(F.col("_v"), f"$.{k}", "variant")).alias(f"_t_{k}"))
-        cols.append(F.try_variant_get(F.col("_v"), f"$.{k}", "string").alias(f"_s_{k}"))
-    out = staged.select("*", *cols).drop("_v")
+        cols.append(F.schema_of_variant(F.col(f"_j.{k}")).alias(f"_t_{k}"))
+        cols.append(F.try_variant_get(F.col(f"_j.{k}"), "$", "string").alias(f"_s_{k}"))
+    out = staged.select("*", *cols).drop("_j")
     extra = [F.col(f"_s_{k}").try_cast("double").alias(f"_d_{k}") for k in ("amount", "latitude", "longitude")]
     extra.append(F.col("_s_timestamp").try_cast("long").alias("_l_timestamp"))
     return out.select("*", *extra)

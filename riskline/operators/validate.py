@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from riskline import constants as C
 from riskline.functions.contract import contract_rules, parse_fields
 from riskline.functions.fences import fence
+from riskline.sources.tables import spread_partitions
 
 RAW_REQUIRED = ["TRANSACTION_ID", "TX_DATETIME", "CUSTOMER_ID", "TERMINAL_ID", "TX_AMOUNT", "TX_FRAUD"]
 
 
 def validate_payloads(raw: DataFrame, payload: str = "payload") -> DataFrame:
     """V01 + V02: parse and check every payload; normalised fields plus ``errors`` / ``valid``."""
-    parsed = parse_fields(raw, payload)
+    parsed = parse_fields(spread_partitions(raw), payload)
     errors, fields = contract_rules()
     out = parsed.select(*raw.columns, errors.alias("errors"), *[c.alias(n) for n, c in fields.items()])
     return fence(out.withColumn("valid", F.size("errors") == 0))

@@ -10,9 +10,26 @@ TABLES = [
 ]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``spark.read.parquet`` of one table; pruning and pushdown stay with Catalyst."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """``spark.read.parquet`` of one table; pruning and pushdown stay with Catalyst.
+
+    ``spread``: see ``spread_partitions``.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_partitions(df) if spread else df
+
+
+def spread_partitions(df: DataFrame) -> DataFrame:
+    """Spread a frame with fewer partitions than the session's parallelism round-robin.
+
+    For CPU-bound narrow stages (JSON validation) over a small input with one
+    row group.  On a cluster reading many files the condition is false and the
+    plan is unchanged; Spark sorts before round-robin, so retries are stable.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
