@@ -26,6 +26,8 @@ def spread_partitions(df: DataFrame) -> DataFrame:
     row group.  On a cluster reading many files the condition is false and the
     plan is unchanged; Spark sorts before round-robin, so retries are stable.
     """
+    if df.isStreaming:  # micro-batches are partitioned by the source
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
