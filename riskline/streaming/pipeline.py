@@ -114,6 +114,7 @@ class BatchSink:
 
     root: str
     global_dedup: bool = True
+    broadcast_ids_limit: int = 2_000_000
     explain_alerts: bool = True
     tables: list[str] = field(default_factory=lambda: ["transactions", "predictions", "alerts", "outbox",
                                                        "explanations"])
@@ -139,7 +140,12 @@ class BatchSink:
             if self.global_dedup:
                 stored = self._stored_ids(spark, batch_id)
                 if stored is not None:
-                    batch = batch.join(stored, "transaction_id", "left_anti")
+                    ids = batch.select("transaction_id")
+                    # Find the batch ids already stored without shuffling the stored table:
+                    # broadcast the micro-batch ids when their (counted) size allows it.
+                    small = batch.count() <= self.broadcast_ids_limit
+                    seen = stored.join(F.broadcast(ids) if small else ids, "transaction_id", "left_semi")
+                    batch = batch.join(seen, "transaction_id", "left_anti")
             txn_cols = [c for c in C.TRANSACTION_KEYS if c in batch.columns] + ["us", "source_seq"]
             self._write(batch.select(*txn_cols), "transactions", batch_id)
             self._write(prediction_rows(batch), "predictions", batch_id)
@@ -152,6 +158,24 @@ class BatchSink:
             batch.unpersist()
 
 
+def drift_job(spark: SparkSession, sink_root: str, reference: DataFrame, model_version: str = C.BOOTSTRAP_VERSION,
+              as_of_us: int | None = None, report_path: str | None = None) -> DataFrame:
+    """R04 over the sink's tables (last day before ``as_of_us``), appended to a report table."""
+    from riskline.operators.drift import drift_report
+
+    tx = spark.read.parquet(os.path.join(sink_root, "transactions")).select("transaction_id", "us", "amount",
+                                                                           "country")
+    pr = spark.read.parquet(os.path.join(sink_root, "predictions")).select("transaction_id", "fraud_probability")
+    joined = tx.join(pr, "transaction_id")
+    if as_of_us is None:
+        as_of_us = joined.agg(F.max("us")).first()[0]
+    current = joined.where(F.col("us") >= F.lit(as_of_us - C.DAY_US))
+    report = drift_report(reference, current, model_version, as_of_us - C.DAY_US, as_of_us)
+    if report_path is not None:
+        report.write.mode("append").parquet(report_path)
+    return report
+
+
 def start_scoring(payloads: DataFrame, sink_root: str, checkpoint: str, policy: Policy = Policy(),
                   lateness: str = "1 hour", available_now: bool = False, processing_time: str | None = None):
     """Start the scoring query (and a dead-letter query on the same source); returns both handles."""

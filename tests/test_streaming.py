@@ -89,3 +89,16 @@ def test_replay_is_idempotent(spark, stream_run):
     after = spark.read.parquet(os.path.join(out, "predictions")).count()
     assert before == after
     assert batch0 == spark.read.parquet(os.path.join(out, "predictions")).where("batch_id = 0").count() > 0
+
+
+def test_drift_job_on_sink(spark, stream_run):
+    from riskline.streaming.pipeline import drift_job
+
+    root, _ = stream_run
+    out = os.path.join(root, "out")
+    reference = spark.read.parquet(os.path.join(out, "transactions")).join(
+        spark.read.parquet(os.path.join(out, "predictions")).select("transaction_id", "fraud_probability"),
+        "transaction_id").select("amount", "country", "fraud_probability")
+    rep = drift_job(spark, out, reference, report_path=os.path.join(out, "drift_reports")).first()
+    assert rep["rows"] >= 100 and rep["amount_psi"] == pytest.approx(0.0, abs=1e-9)
+    assert spark.read.parquet(os.path.join(out, "drift_reports")).count() == 1
