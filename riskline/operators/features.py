@@ -16,7 +16,8 @@ Plan shape
   superset of (user_id, bucket) and reuses that partitioning: sorts only.
 * Counts are differences of two incremental prefix counts (linear, exact).
 * Sums are differences of prefix sums in DECIMAL(38,10) (exact, linear).
-* Only the median and the two 24 h distinct counts use sliding frames.
+* 24 h distinct counts are exact prefix counts over "close" events (linear).
+* Only the 30-day median uses a sliding frame.
 """
 
 from __future__ import annotations
@@ -59,9 +60,13 @@ def online_features(
     horizon_days: int = C.HISTORY_DAYS,
     bucket_days: int | None = None,
     impossible_travel_kmh: float = C.IMPOSSIBLE_TRAVEL_KMH,
+    distinct_counts: bool = True,
 ) -> DataFrame:
     """The 19 online features for every row of ``txns``.
 
+    ``distinct_counts=False`` leaves the two 24 h distinct counts null and skips
+    the close-event rows they need (decision-only plans never read them).
+
     ``txns`` needs transaction_id, user_id, us, timestamp, amount, merchant_id,
     country, device_id, ip_address, latitude, longitude.  Output keeps the input
     columns and adds the feature columns (all double).
@@ -70,24 +75,46 @@ def online_features(
     bucket = (bucket_days or 2 * horizon_days) * C.DAY_US
     df = halo_partition(txns, horizon, bucket)
 
+    # Exact linear 24 h distinct counts: row j is the latest occurrence of its value for
+    # query times t in (s_j, b_j], b_j = min(next occurrence, s_j + 24 h).  Hence
+    # distinct(t) = #{s_j < t} - #{b_j < t}; the second term is a prefix count over
+    # "close" events, emitted next to each row (explode keeps the partitioning).
+    def close_at(value: str) -> Column:
+        wv = Window.partitionBy("user_id", "_pb", value).orderBy("us")
+        end = F.col("us") + F.lit(C.DAY_US)
+        return F.least(F.coalesce(F.lead("us").over(wv), end), end)
+
+    if distinct_counts:
+        df = df.withColumn("_close_m", close_at("merchant_id")).withColumn("_close_c", close_at("country"))
+        # one extra "close" row per row, carrying both close times
+        df = df.select("*", F.explode(F.array(
+            F.struct(F.lit(True).alias("data"), F.col("us").alias("km"), F.col("us").alias("kc")),
+            F.struct(F.lit(False).alias("data"), F.col("_close_m").alias("km"), F.col("_close_c").alias("kc")),
+        )).alias("_e")).drop("_close_m", "_close_c")
+    else:
+        df = df.withColumn("_e", F.struct(F.lit(True).alias("data")))
+    data = F.col("_e.data")
+
     w = Window.partitionBy("user_id", "_pb").orderBy("us")
 
     def frame(lo, hi):
         return w.rangeBetween(lo, hi)
 
-    one = F.lit(1)
-    prior_n = F.count(one).over(frame(UNB, -1))
+    def only_data(c: Column) -> Column:
+        return F.when(data, c)
+
+    prior_n = F.count(only_data(F.lit(1))).over(frame(UNB, -1))
 
     def count_last(width_us: int) -> Column:
-        return prior_n - F.count(one).over(frame(UNB, -width_us - 1))
+        return prior_n - F.count(only_data(F.lit(1))).over(frame(UNB, -width_us - 1))
 
-    exact = F.col("amount").cast(_EXACT)
+    exact = only_data(F.col("amount").cast(_EXACT))
     prior_sum = F.sum(exact).over(frame(UNB, -1))
 
     def sum_last(width_us: int) -> Column:
         return F.coalesce(prior_sum - F.sum(exact).over(frame(UNB, -width_us - 1)), prior_sum)
 
-    latest = F.max(
+    latest = F.max(only_data(
         F.struct(
             F.col("us").alias("us"),
             F.col("transaction_id").alias("id"),
@@ -95,29 +122,35 @@ def online_features(
             F.col("latitude").alias("lat"),
             F.col("longitude").alias("lon"),
         )
-    ).over(frame(UNB, -1))
+    )).over(frame(UNB, -1))
 
     def last_seen(value: str) -> Column:
         wv = Window.partitionBy("user_id", "_pb", value).orderBy("us").rangeBetween(UNB, -1)
-        return F.max("us").over(wv)
+        return F.max(only_data(F.col("us"))).over(wv)
+
+    def distinct_last_day(key: str) -> Column:
+        if not distinct_counts:
+            return F.lit(None).cast("long")
+        by_key = Window.partitionBy("user_id", "_pb").orderBy(F.col(f"_e.{key}")).rangeBetween(UNB, -1)
+        return prior_n - F.count(F.when(~data, 1)).over(by_key)
 
     df = df.select(
         "*",
         count_last(horizon).alias("_n_h"),
         sum_last(horizon).alias("_s_h"),
-        F.percentile(F.col("amount"), F.lit(0.5)).over(frame(-horizon, -1)).alias("_med"),
+        F.percentile(only_data(F.col("amount")), F.lit(0.5)).over(frame(-horizon, -1)).alias("_med"),
         count_last(C.MINUTE_US).alias("_n1m"),
         count_last(5 * C.MINUTE_US).alias("_n5m"),
         count_last(C.HOUR_US).alias("_n1h"),
         count_last(C.DAY_US).alias("_n24h"),
         sum_last(C.HOUR_US).alias("_s1h"),
-        F.size(F.collect_set("merchant_id").over(frame(-C.DAY_US, -1))).alias("_um24"),
-        F.size(F.collect_set("country").over(frame(-C.DAY_US, -1))).alias("_uc24"),
+        distinct_last_day("km").alias("_um24"),
+        distinct_last_day("kc").alias("_uc24"),
         last_seen("merchant_id").alias("_seen_m"),
         last_seen("country").alias("_seen_c"),
         last_seen("device_id").alias("_seen_d"),
         latest.alias("_prev"),
-    ).where(F.col("_target"))
+    ).where(F.col("_target") & data)
 
     has_history = F.col("_n_h") > 0
     avg_amount = F.when(has_history, F.col("_s_h").cast("double") / F.col("_n_h")).otherwise(F.col("amount"))

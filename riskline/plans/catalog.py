@@ -67,7 +67,7 @@ for _name, _src, _scale in [
 
 def _score_query(source: str, scale: int):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        scored = score_batch(transactions(spark, sf_dir, source, scale))
+        scored = score_batch(transactions(spark, sf_dir, source, scale), with_snapshot=False)
         return scored.select(
             "transaction_id", r6("fraud_probability").alias("fraud_probability"), "risk_score", "decision",
             F.array_join("rule_reasons", "|").alias("rule_reasons"), "model_version",
@@ -375,7 +375,7 @@ DOWNSAMPLE_ROWS = 2500
 
 
 def scored_events(spark, sf_dir, scale=COMPRESSED_SCALE) -> DataFrame:
-    return score_batch(transactions(spark, sf_dir, "events", scale))
+    return score_batch(transactions(spark, sf_dir, "events", scale), with_snapshot=False)
 
 
 def eval_frame(scored: DataFrame) -> DataFrame:

@@ -40,20 +40,23 @@ def apply_policy(scored: DataFrame, policy: P.Policy = P.Policy()) -> DataFrame:
 
 
 def score_batch(txns: DataFrame, policy: P.Policy | None = None, model=None,
-                horizon_days: int = C.HISTORY_DAYS) -> DataFrame:
+                horizon_days: int = C.HISTORY_DAYS, with_snapshot: bool = True) -> DataFrame:
     """Transactions (with ``us``) -> one prediction row per transaction.
 
     ``model`` is a ``riskline.plans.training.TrainedModel`` or None (bootstrap heuristic).
     Keeps the transaction columns, adds the 19 features, fraud_probability,
     risk_score, decision, rule_reasons, model_version and feature_snapshot.
+    ``with_snapshot=False`` is for decision-only outputs: the two 24 h distinct
+    counts (read by neither the bootstrap model nor the policy) are skipped.
     """
     if policy is None:  # D07: the model's thresholds unless the caller passes a policy
         policy = (P.Policy() if model is None
                   else P.Policy.resolve(model.review_threshold, model.block_threshold))
-    feats = online_features(txns, horizon_days=horizon_days)
+    needs_all = with_snapshot or model is not None
+    feats = online_features(txns, horizon_days=horizon_days, distinct_counts=needs_all)
     scored = with_heuristic_probability(feats) if model is None else model.score(feats)
     out = apply_policy(scored, policy)
-    return out.withColumn("feature_snapshot", snapshot())
+    return out.withColumn("feature_snapshot", snapshot()) if with_snapshot else out
 
 
 def prediction_rows(scored: DataFrame) -> DataFrame:
