@@ -353,7 +353,7 @@ _SKEW = ["amount", "hour", "weekday", "user_average_amount", "user_median_amount
          "new_device"]
 
 
-@register("feature_skew", offline_cte().replace("WITH ", "WITH ", 1) + ", " + S.features_cte()[1:] + ",\n"
+@register("feature_skew", offline_cte() + ", " + S.features_cte()[1:] + ",\n"
           + "sk AS (SELECT count(*) AS rows, "
           + ", ".join(f"count(*) FILTER (WHERE abs(f.{c} - o.{c}) > 1e-9) AS {c}" for c in _SKEW)
           + " FROM feat f JOIN offline o USING (transaction_id))\n"
@@ -788,8 +788,7 @@ def q_enriched(spark, sf_dir):
 
 @register("training_frame_checks", offline_cte("events") + " SELECT " + " UNION ALL SELECT ".join(
     f"'nan_{f}' AS \"check\", count(*) FILTER (WHERE {f} IS NULL OR isnan({f})) AS failures FROM offline"
-    for f in C.MODEL_FEATURES).replace("SELECT 'nan_amount' AS \"check\"", "'nan_amount' AS \"check\"", 1)
-    .replace(" SELECT 'nan_amount'", " SELECT 'nan_amount'", 1))
+    for f in C.MODEL_FEATURES))
 def q_training_checks(spark, sf_dir):
     return V.check_training_frame(offline_features(transactions(spark, sf_dir, "events")).withColumn(
         "is_fraud", F.col("is_fraud").cast("int")))
@@ -834,13 +833,12 @@ def q_explain_pending(spark, sf_dir):
     return AT.explain_pending(st.alerts, st.predictions).withColumn("impact", r6("impact"))
 
 
-@register("class_balance", SCORED_R.replace(S.scored_cte(), S.scored_cte()) + EV_SQL + """
+@register("class_balance", SCORED_R + EV_SQL + """
  SELECT count(*) FILTER (WHERE label = 0) AS negatives, count(*) FILTER (WHERE label = 1) AS positives,
         round(greatest(count(*) FILTER (WHERE label = 0) / greatest(count(*) FILTER (WHERE label = 1), 1), 1.0), 6)
           AS imbalance
  FROM sliced WHERE split = 'train'""")
 def q_class_balance(spark, sf_dir):
-    from riskline.plans.training import class_balance
     ev = chronological_split(eval_frame(scored_events(spark, sf_dir, 1)))
     train = ev.where(F.col("split") == "train")
     return train.agg(F.count(F.when(F.col("label") == 0, 1)).alias("negatives"),
