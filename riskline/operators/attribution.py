@@ -120,5 +120,5 @@ def explain_pending(alerts: DataFrame, predictions: DataFrame, recomputed: DataF
     out = j.select("transaction_id", method.alias("method"),
                    reason_factors({f: feats[f] for f in C.ONLINE_FEATURES}, limit).alias("factors"))
     return out.select("transaction_id", "method", F.posexplode_outer("factors").alias("pos", "fac")).select(
-        "transaction_id", "method", (F.col("pos") + 1).alias("position"), F.col("fac.feature").alias("feature"),
+        "transaction_id", "method", (F.col("pos") + 1).cast("long").alias("position"), F.col("fac.feature").alias("feature"),
         F.col("fac.impact").alias("impact"), F.col("fac.direction").alias("direction"))

@@ -185,7 +185,7 @@ def recent_user_rows(scored: DataFrame, targets: DataFrame, n: int = RECENT_ROWS
     )
     out = j.select("transaction_id", F.posexplode(F.slice(ordered, 1, n)).alias("pos", "r"))
     return out.select(
-        "transaction_id", (F.col("pos") + 1).alias("recent_rank"),
+        "transaction_id", (F.col("pos") + 1).cast("long").alias("recent_rank"),
         F.col("r.id").alias("recent_transaction_id"), F.col("r.us").alias("recent_us"),
         F.col("r.amount").alias("amount"), F.col("r.country").alias("country"),
         F.col("r.merchant_id").alias("merchant_id"), F.col("r.risk_score").alias("risk_score"),

@@ -335,9 +335,9 @@ o1 AS (
   FROM tx),
 offline AS (
   SELECT *, amount / greatest(user_average_amount, 0.01) AS amount_vs_user_average,
-    CASE WHEN urn > 1 AND mrn = 1 THEN 1.0 ELSE 0.0 END AS new_merchant,
-    CASE WHEN urn > 1 AND crn = 1 THEN 1.0 ELSE 0.0 END AS new_country,
-    CASE WHEN urn > 1 AND drn = 1 THEN 1.0 ELSE 0.0 END AS new_device
+    CASE WHEN urn > 1 AND mrn = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS new_merchant,
+    CASE WHEN urn > 1 AND crn = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS new_country,
+    CASE WHEN urn > 1 AND drn = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS new_device
   FROM o1)"""
 
 
@@ -764,7 +764,7 @@ raw AS (SELECT event_id AS TRANSACTION_ID, ts AS TX_DATETIME, user_id AS CUSTOME
 @register("source_checks", "WITH" + _RAW_SQL + """
  SELECT 'negative_amount' AS "check", count(*) FILTER (WHERE TX_AMOUNT < 0) AS failures FROM raw
  UNION ALL SELECT 'non_binary_target', count(*) FILTER (WHERE TX_FRAUD NOT IN (0, 1)) FROM raw
- UNION ALL SELECT 'duplicate_id', coalesce(sum(c - 1), 0) FROM
+ UNION ALL SELECT 'duplicate_id', CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM
    (SELECT TRANSACTION_ID, count(*) AS c FROM raw GROUP BY 1 HAVING count(*) > 1)""")
 def q_source_checks(spark, sf_dir):
     return V.check_source(V.raw_source_from_events(read_table(prepare(spark), sf_dir, "events")))

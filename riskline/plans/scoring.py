@@ -86,7 +86,7 @@ def explanations_for(scored: DataFrame, limit: int = C.REASON_LIMIT) -> DataFram
         "transaction_id", F.posexplode(reason_factors(feats, limit)).alias("pos", "factor")
     ).select(
         "transaction_id",
-        (F.col("pos") + 1).alias("position"),
+        (F.col("pos") + 1).cast("long").alias("position"),
         F.col("factor.feature").alias("feature"),
         F.col("factor.impact").alias("impact"),
         F.col("factor.direction").alias("direction"),

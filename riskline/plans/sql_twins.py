@@ -115,12 +115,12 @@ feat AS (
          coalesce(s1h, 0.0) AS amount_last_1h,
          CAST(um24 AS DOUBLE) AS unique_merchants_last_24h,
          CAST(uc24 AS DOUBLE) AS unique_countries_last_24h,
-         CASE WHEN n_h > 0 AND NOT seen_m THEN 1.0 ELSE 0.0 END AS new_merchant,
-         CASE WHEN n_h > 0 AND NOT seen_c THEN 1.0 ELSE 0.0 END AS new_country,
-         CASE WHEN n_h > 0 AND NOT seen_d THEN 1.0 ELSE 0.0 END AS new_device,
-         CASE WHEN n_h > 0 AND ip_address <> (prev).ip THEN 1.0 ELSE 0.0 END AS ip_changed,
+         CASE WHEN n_h > 0 AND NOT seen_m THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS new_merchant,
+         CASE WHEN n_h > 0 AND NOT seen_c THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS new_country,
+         CASE WHEN n_h > 0 AND NOT seen_d THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS new_device,
+         CASE WHEN n_h > 0 AND ip_address <> (prev).ip THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS ip_changed,
          speed AS travel_speed_kmh,
-         CASE WHEN speed > {C.IMPOSSIBLE_TRAVEL_KMH} THEN 1.0 ELSE 0.0 END AS impossible_travel
+         CASE WHEN speed > {C.IMPOSSIBLE_TRAVEL_KMH} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS impossible_travel
   FROM geo2)"""
 
 

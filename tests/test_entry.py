@@ -31,3 +31,14 @@ def con():
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_twin(spark, con, name):
     assert compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
+
+
+def test_twin_column_types_match(spark, con):
+    from tools.check_types import SPARK_TO_DUCK
+
+    for name, sql in E.oracle_sql().items():
+        sdf = E.queries()[name](spark, SF)
+        s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+        d_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+        assert s_types == d_types, name
