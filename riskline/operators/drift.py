@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskline import constants as C
-from riskline.operators.ordering import prefix_sums
+from riskline.operators.ordering import prefix_sums_with_totals
 
 
 def quantile_edges(reference: DataFrame, col: str, bins: int = C.PSI_BINS) -> list[float]:
@@ -68,12 +68,11 @@ def ks_statistic(reference: DataFrame, current: DataFrame, col: str, n_buckets:
         .unionByName(current.select(F.col(col).cast("double").alias("v"), F.lit(0).alias("a"), F.lit(1).alias("b")))
     grouped = tagged.where(F.col("v").isNotNull()).groupBy("v").agg(
         F.sum("a").cast("long").alias("a"), F.sum("b").cast("long").alias("b"))
-    tot = grouped.agg(F.sum("a").alias("n"), F.sum("b").alias("m")).first()
-    n, m = int(tot["n"] or 0), int(tot["m"] or 0)
     spark = reference.sparkSession
+    cum, (n, m) = prefix_sums_with_totals(grouped, "v", ["a", "b"], n_buckets)
+    n, m = int(n or 0), int(m or 0)
     if n == 0 or m == 0:
         return spark.createDataFrame([(0.0, n, m)], "ks double, n long, m long")
-    cum = prefix_sums(grouped, "v", ["a", "b"], n_buckets)
     return cum.agg(
         F.max(F.abs(F.col("cum_a") / F.lit(float(n)) - F.col("cum_b") / F.lit(float(m)))).alias("ks"),
     ).select("ks", F.lit(n).alias("n"), F.lit(m).alias("m"))
@@ -90,12 +89,13 @@ def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(d <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(2 * s, F.lit(0.0)), F.lit(1.0)))
 
 
-def js_divergence(reference: DataFrame, current: DataFrame, col: str) -> DataFrame:
+def js_divergence(reference: DataFrame, current: DataFrame, col: str, reference_rows: int | None = None,
+                  current_rows: int | None = None) -> DataFrame:
     """Jensen-Shannon divergence (natural log; the squared JS distance), one row ``js``."""
     rc = reference.groupBy(F.col(col).alias("c")).agg(F.count(F.lit(1)).alias("r"))
     cc = current.groupBy(F.col(col).alias("c")).agg(F.count(F.lit(1)).alias("q"))
-    r_tot = reference.count()
-    q_tot = current.count()
+    r_tot = reference.count() if reference_rows is None else reference_rows
+    q_tot = current.count() if current_rows is None else current_rows
     j = rc.join(cc, "c", "full_outer").fillna(0, ["r", "q"])
     p = F.col("r") / F.lit(float(max(r_tot, 1)))
     q = F.col("q") / F.lit(float(max(q_tot, 1)))
@@ -131,7 +131,7 @@ def drift_report(reference: DataFrame, current: DataFrame, model_version: str, w
         metric(p_ks, "ks", "probability_ks"),
         metric(p_ks.select(ks_p_value(F.col("ks"), F.col("n"), F.col("m")).alias("p")), "p",
                "probability_ks_p_value"),
-        metric(js_divergence(reference, current, "country"), "js", "country_js"),
+        metric(js_divergence(reference, current, "country", current_rows=n_cur), "js", "country_js"),
     ]
     long = parts[0]
     for part in parts[1:]:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskline import constants as C
-from riskline.operators.ordering import prefix_sums
+from riskline.operators.ordering import prefix_sums_with_totals
 
 
 @dataclass(frozen=True)
@@ -135,9 +135,9 @@ def ranking_metrics(df: DataFrame, n_buckets: int | None = None) -> DataFrame:
         F.count(F.when(F.col("label") == 1, 1)).alias("pos"),
         F.count(F.when(F.col("label") == 0, 1)).alias("neg"),
     ).withColumn("k", -F.col("s"))
-    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    P, N = int(tot["P"] or 0), int(tot["N"] or 0)
-    cum = prefix_sums(g, "k", ["pos", "neg"], n_buckets)  # descending score: cum = rows with score >= s
+    # descending score: cum = rows with score >= s; totals come with the bucket totals
+    cum, (P, N) = prefix_sums_with_totals(g, "k", ["pos", "neg"], n_buckets)
+    P, N = int(P or 0), int(N or 0)
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     precision = tp / (tp + fp)
     ap_term = F.col("pos") / F.lit(float(max(P, 1))) * precision

@@ -58,6 +58,12 @@ def _offsets(totals: dict[int, tuple], n: int, width: int) -> list[list]:
 def global_index(df: DataFrame, key: str, tiebreak: list[str] | None = None, n_buckets: int | None = None,
                  name: str = "_idx") -> DataFrame:
     """0-based position of each row in the global order (key, *tiebreak)."""
+    return global_index_with_count(df, key, tiebreak, n_buckets, name)[0]
+
+
+def global_index_with_count(df: DataFrame, key: str, tiebreak: list[str] | None = None,
+                            n_buckets: int | None = None, name: str = "_idx") -> tuple[DataFrame, int]:
+    """``global_index`` plus the row count (the sum of the collected bucket counts: no extra job)."""
     n = n_buckets or _default_buckets(df)
     bounds = range_bounds(df, key, n)
     d = df.withColumn("_bkt", bucket_of(F.col(key), bounds))
@@ -66,12 +72,19 @@ def global_index(df: DataFrame, key: str, tiebreak: list[str] | None = None, n_b
     offs = [o[0] for o in _offsets(counts, nb, 1)]
     off = F.element_at(F.array(*[F.lit(int(o)) for o in offs]).cast("array<long>"), F.col("_bkt") + 1)
     w = Window.partitionBy("_bkt").orderBy(key, *(tiebreak or []))
-    return d.withColumn(name, off + F.row_number().over(w) - 1).drop("_bkt")
+    total = int(sum(c[0] for c in counts.values()))
+    return d.withColumn(name, off + F.row_number().over(w) - 1).drop("_bkt"), total
 
 
 def prefix_sums(df: DataFrame, key: str, cols: list[str], n_buckets: int | None = None,
                 prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``cols`` in ``key`` order; ``key`` must be unique in ``df``."""
+    return prefix_sums_with_totals(df, key, cols, n_buckets, prefix)[0]
+
+
+def prefix_sums_with_totals(df: DataFrame, key: str, cols: list[str], n_buckets: int | None = None,
+                            prefix: str = "cum_") -> tuple[DataFrame, list]:
+    """``prefix_sums`` plus the grand totals of ``cols`` (from the collected bucket totals)."""
     n = n_buckets or _default_buckets(df)
     bounds = range_bounds(df, key, n)
     d = df.withColumn("_bkt", bucket_of(F.col(key), bounds))
@@ -84,7 +97,8 @@ def prefix_sums(df: DataFrame, key: str, cols: list[str], n_buckets: int | None
     for i, c in enumerate(cols):
         arr = F.array(*[F.lit(o[i]) for o in offs])
         out = out.withColumn(prefix + c, F.element_at(arr, F.col("_bkt") + 1) + F.sum(c).over(w))
-    return out.drop("_bkt")
+    totals_all = [sum((t[i] or 0) for t in totals.values()) for i in range(len(cols))]
+    return out.drop("_bkt"), totals_all
 
 
 def evenly_spaced(df: DataFrame, key: str, tiebreak: list[str], k: int, n_buckets: int | None = None) -> DataFrame:
@@ -113,9 +127,8 @@ def chronological_split(df: DataFrame, key: str = "us", tiebreak: list[str] | No
     from riskline.constants import SPLIT_FRACTIONS
 
     fr = fractions or SPLIT_FRACTIONS
-    n = df.count()
+    idx, n = global_index_with_count(df, key, tiebreak or ["transaction_id"], n_buckets)
     bounds = [int(n * f) for _, f in fr]
-    idx = global_index(df, key, tiebreak or ["transaction_id"], n_buckets)
     expr = None
     for (name, _), hi in zip(fr, bounds):
         cond = F.col("_idx") < hi
