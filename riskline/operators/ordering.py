@@ -19,8 +19,6 @@ undersample), M09 (AP / ROC AUC), R02 (KS statistic).
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

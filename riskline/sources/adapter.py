@@ -42,8 +42,6 @@ def _adapt(df: DataFrame, key: Column, user: Column, amount: Column, ts: Column,
     k = key.cast("long")
     u = user.cast("long")
     raw_us = event_micros(ts)
-    us = raw_us if time_scale == 1 else F.lit(ORIGIN_US) + F.expr(
-        f"(raw_us - {ORIGIN_US}) div {int(time_scale)}")
     m = F.pmod(F.col("k") * 7919 + F.col("u") * 31, F.lit(500))
     takeover = F.pmod(F.col("k"), F.lit(97)) == 0
     home = F.pmod(F.col("u"), F.lit(5))
@@ -53,10 +51,10 @@ def _adapt(df: DataFrame, key: Column, user: Column, amount: Column, ts: Column,
     lons = [C.COUNTRY_COORDINATES[c][1] for c in C.COUNTRIES]
     no_geo = F.pmod(F.col("k"), F.lit(11)) == 0
     base = df.select(k.alias("k"), u.alias("u"), amount.cast("double").alias("amount"), raw_us.alias("raw_us"))
-    if time_scale != 1:
-        base = base.withColumn("us", us)
-    else:
+    if time_scale == 1:
         base = base.withColumn("us", F.col("raw_us"))
+    else:  # integer compression towards the origin (same arithmetic in the SQL twin)
+        base = base.withColumn("us", F.lit(ORIGIN_US) + F.expr(f"(raw_us - {ORIGIN_US}) div {int(time_scale)}"))
     return base.select(
         F.lit("1.0").alias("schema_version"),
         F.concat(F.lit(prefix), F.col("k").cast("string")).alias("transaction_id"),
