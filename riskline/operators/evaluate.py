@@ -164,9 +164,16 @@ def compare_reports(champion: DataFrame, challenger: DataFrame) -> DataFrame:
             if typ not in ("double", "float", "int", "bigint", "smallint", "tinyint") and not str(typ).startswith(
                     "decimal"):
                 raise TypeError(f"{c} must be numeric")
-    a = champion.select(*[F.col(c).alias(f"champion_{c}") for c in champion.columns]).withColumn("_k", F.lit(1))
-    b = challenger.select(*[F.col(c).alias(f"challenger_{c}") for c in challenger.columns]).withColumn("_k", F.lit(1))
-    j = a.join(b, "_k")  # one row each side, equi-join on a constant key
+    cols = ["model_version", "test_expected_cost", "test_pr_auc", "test_recall"]
+
+    def tagged(df: DataFrame, role: str) -> DataFrame:
+        return df.select(F.lit(role).alias("_role"), F.col("model_version").cast("string").alias("model_version"),
+                         *[F.col(c).cast("double").alias(c) for c in cols[1:]])
+
+    both = tagged(champion, "champion").unionByName(tagged(challenger, "challenger"))
+    # one row per side: pivot by a conditional aggregate instead of a join
+    j = both.agg(*[F.max(F.when(F.col("_role") == role, F.col(c))).alias(f"{role}_{c}")
+                   for role in ("champion", "challenger") for c in cols])
     gates = F.struct(
         (F.col("challenger_test_pr_auc") >= F.col("champion_test_pr_auc") - C.GATE_PR_AUC_TOLERANCE).alias("pr_auc"),
         (F.col("challenger_test_recall") >= F.col("champion_test_recall") - C.GATE_RECALL_TOLERANCE).alias("recall"),

@@ -30,3 +30,11 @@ def test_scan_prunes_columns(spark, small_dir):
 def test_point_lookup_pushed_down(spark, small_dir):
     p = plan(lookup(read_table(spark, small_dir, "orders"), "o_orderkey", 7))
     assert "PushedFilters: [IsNotNull(o_orderkey), EqualTo(o_orderkey,7)]" in p
+
+
+def test_no_cartesian_products_in_registered_queries(spark, small_dir):
+    import __spark_entry__ as E
+
+    for name, fn in E.queries().items():
+        p = plan(fn(spark, small_dir))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
