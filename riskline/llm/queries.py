@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskline.llm import bpe as BP
 from riskline.llm import exact_dedup as ED
+from riskline.llm import language as LA
+from riskline.llm import quality as QU
 from riskline.llm import url_filter as UF
 from riskline.llm.common import read_table
 
@@ -29,6 +34,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return UF.url_filter(read_table(spark, sf_dir, "pages"), UF.labelled_urls(spark))
 
 
+@register("op2_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = BP.bpe_round_trip(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@register("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LA.identify(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@register("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QU.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @register(
     "op10_exact_dedup",
     r"""
