@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from riskline.llm import bpe as BP
 from riskline.llm import exact_dedup as ED
 from riskline.llm import language as LA
+from riskline.llm import packing as PK
 from riskline.llm import quality as QU
+from riskline.llm import topk as TK
 from riskline.llm import url_filter as UF
 from riskline.llm.common import read_table
 
@@ -50,11 +52,31 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LA.identify(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@register(
+    "op7_topk",
+    """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.e, x.e) AS BIGINT) AS score
+           FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TK.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @register("op8_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QU.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@register("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return PK.pack(PK.token_pieces(docs, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken")))
+
+
 @register(
     "op10_exact_dedup",
     r"""
