@@ -25,8 +25,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that a slice holds at most SLICE_ROWS rows and about SLICE_BYTES of ``column``.
+def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that a slice holds at most ``rows`` rows and about ``size`` bytes of ``column``.
 
     A single longer text is a slice of its own; texts are never cut.
     """
@@ -34,7 +34,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(sizes):
-            if i > start and (held + n > SLICE_BYTES or i - start >= SLICE_ROWS):
+            if i > start and (held + n > size or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += n

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskline.llm import bpe as BP
 from riskline.llm import exact_dedup as ED
 from riskline.llm import language as LA
+from riskline.llm import near_dedup as ND
 from riskline.llm import packing as PK
 from riskline.llm import quality as QU
 from riskline.llm import topk as TK
@@ -47,6 +48,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op4_minhash_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ND.near_dedup(read_table(spark, sf_dir, "documents"))
+
+
 @register("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LA.identify(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
