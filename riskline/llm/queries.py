@@ -14,6 +14,7 @@ from riskline.llm import language as LA
 from riskline.llm import near_dedup as ND
 from riskline.llm import packing as PK
 from riskline.llm import quality as QU
+from riskline.llm import suffix_dedup as SD
 from riskline.llm import topk as TK
 from riskline.llm import url_filter as UF
 from riskline.llm.common import read_table
@@ -53,6 +54,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ND.near_dedup(read_table(spark, sf_dir, "documents"))
 
 
+@register("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = SD.suffix_dedup(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @register("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LA.identify(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
