@@ -1,12 +1,79 @@
-"""Corpus pipeline over ``documents``; stages are added as their operators are."""
+"""Corpus pipeline over ``documents``: language ID, exact dedup, near dedup, repeated passages, packing.
 
-STAGES: list = []
-#: Packing has no SQL form.
+Every stage is a function (spark, docs, sf_dir) -> DataFrame; ``docs`` is what its predecessor returned.  All but the
+last return the columns they were given.  Rows without an id cannot be told apart by the two dedup stages and stay;
+rows repeated under one id with the same text are one row after exact dedup.
+"""
+
+from __future__ import annotations
+
+from public_tokenizers import path as vocabulary
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskline.llm import exact_dedup, language, near_dedup, packing, suffix_dedup
+
+
+def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter in them (null texts too) go; nothing is moved."""
+    model = language.train(docs.select("doc_id", "lang", "text"), vocabulary("piece_bpe_32k.model"))
+    predict = language.predictor(model, spark)
+    return docs.where(predict("text")["lang_pred"] != "und")
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is in ``kept``, and those without an id."""
+    ids = kept.select("doc_id").where("doc_id is not null").distinct()
+    return docs.join(ids, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the smallest id stays."""
+    kept = exact_dedup.exact_dedup(docs).where("kept")
+    return _only(docs, kept).dropDuplicates(["doc_id", "text"])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the one with the smallest id stays."""
+    return _only(docs, near_dedup.near_dedup(docs).where("kept"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose the passages that begin in a document with a smaller id; bytes of a cut character go with it."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    done = suffix_dedup.suffix_dedup(docs, carry=others or None)
+    decode = F.arrow_udf(suffix_dedup.decode_texts, "string")
+    made = done.select("doc_id", decode("kept").alias("text"), *(F.col(f"carried.`{c}`").alias(c) for c in others))
+    if "n_chars" in others:
+        made = made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return made.select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their place in sequences of 2048 tokens."""
+    return packing.pack(packing.token_pieces(docs, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken")))
+
+
+STAGES = [
+    ("language", detect_language),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("repeated_passages", cut_repeats),
+    ("packing", pack_sequences),
+]
+
+#: Language model, near-duplicate components and packing have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what a stage returns is written to the shared folder and read again as the next one's input."""
+    from riskline.llm.common import Scratch, read_table
+
+    scratch = Scratch(spark, "pipeline")
+    docs = read_table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = scratch.write(docs, name)
     return docs

@@ -228,6 +228,19 @@ def train(rows: DataFrame, path: str, train_rows: int = TRAIN_ROWS) -> Model:
     return Model(path, languages, np.log(n / n.sum()), table)
 
 
+def predictor(model: Model, spark):
+    """A column function: text -> struct(lang_pred, score); leaves the other columns of its frame alone."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def predict(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], ["text"])
+        found = [r for part in slices(iter([batch]), "text") for r in shared.value.scorer().predict([t or "" for t in part.column(0).to_pylist()])]
+        return pa.array([{"lang_pred": a, "score": b} for a, b in found], pa.struct([("lang_pred", pa.string()), ("score", pa.float64())]))
+
+    return predict
+
+
 def identify(docs: DataFrame, path: str, folds: int = 4, fold: int = 2, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; learns only from rows outside the held-out fold."""
     out = held_out(F.col("doc_id"), folds, fold)

@@ -342,15 +342,24 @@ def cut(text: bytes, start: np.ndarray, n: np.ndarray) -> tuple[list[tuple[int,
     return [(a, b) for a, b in spans], b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
+def decode_texts(kept: pa.Array) -> pa.Array:
+    """Remaining bytes as text; the bytes of a character that was cut apart go."""
+    return pa.array([None if x is None else x.decode("utf-8", errors="ignore") for x in kept.to_pylist()], pa.string())
+
+
 # -- the job ------------------------------------------------------------------------------------------------
 
 
-def suffix_dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, spans (begin and end of removed bytes), kept (remaining bytes) of every row of ``docs``."""
+def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, n_bytes, spans (begin and end of removed bytes), kept (remaining bytes) of every row of ``docs``.
+
+    ``carry`` names further columns, which come back as the fields of a struct ``carried``.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix-dedup")
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), carried.alias("carried"))
     named = texts.where("doc_id is not null")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,7 +383,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     def deal(packed: DataFrame, name: str) -> DataFrame:
         return scratch.write(packed.repartition("kind", "part").mapInArrow(solve, PACKED), name)
 
-    first = deal(named.mapInArrow(spread, PACKED), "runs")
+    first = deal(named.select("doc_id", "text").mapInArrow(spread, PACKED), "runs")
     asked = first.where(F.col("kind").isin(ASK, ASK_WINDOWS)).withColumn("db", F.col("part"))
 
     def collect(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -388,7 +397,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     placed = named.withColumn("part", doc_part_column(F.col("doc_id"), parts))
     removed = first.where(F.col("kind") == SPANS)
     if not asked.isEmpty():
-        fetched = placed.groupBy("part").cogroup(asked.groupBy("db")).applyInArrow(collect, PACKED)
+        fetched = placed.drop("carried").groupBy("part").cogroup(asked.groupBy("db")).applyInArrow(collect, PACKED)
         removed = removed.union(deal(fetched, "texts").where(F.col("kind") == SPANS))
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -403,12 +412,13 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
         raw = [x.encode("utf-8") for x in left.column("text").to_pylist()]
         made = [cut(x, *found.get((d, zlib.crc32(x)), nothing)) for d, x in zip(left.column("doc_id").to_pylist(), raw, strict=True)]
         spans = pa.array([[{"begin": a, "end": b} for a, b in m[0]] for m in made], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
-        return pa.table({"doc_id": left.column("doc_id"), "n_bytes": pa.array([len(x) for x in raw], pa.int64()), "spans": spans, "kept": pa.array([m[1] for m in made], pa.binary())})
+        return pa.table({"doc_id": left.column("doc_id"), "n_bytes": pa.array([len(x) for x in raw], pa.int64()), "spans": spans, "kept": pa.array([m[1] for m in made], pa.binary()), "carried": left.column("carried")})
 
-    schema = "doc_id long, n_bytes long, spans array<struct<begin: bigint, end: bigint>>, kept binary"
+    schema = "doc_id long, n_bytes long, spans array<struct<begin: bigint, end: bigint>>, kept binary, carried " + texts.schema["carried"].dataType.simpleString()
     done = placed.groupBy("part").cogroup(removed.withColumn("db", F.col("part")).groupBy("db")).applyInArrow(finish, schema)
     whole = texts.where("doc_id is null").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
-        F.array().cast("array<struct<begin: bigint, end: bigint>>").alias("spans"), F.col("text").cast("binary").alias("kept"),
+        F.array().cast("array<struct<begin: bigint, end: bigint>>").alias("spans"), F.col("text").cast("binary").alias("kept"), "carried",
     )
-    return done.unionByName(whole)
+    both = done.unionByName(whole)
+    return both if carry else both.drop("carried")
