@@ -12,6 +12,7 @@ from riskline.llm import bpe as BP
 from riskline.llm import exact_dedup as ED
 from riskline.llm import language as LA
 from riskline.llm import near_dedup as ND
+from riskline.llm import ngram_lm as LM
 from riskline.llm import packing as PK
 from riskline.llm import quality as QU
 from riskline.llm import suffix_dedup as SD
@@ -49,6 +50,33 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "op3_lm_score",
+    r"""
+WITH w AS (SELECT doc_id, unnest(list_transform(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'),
+             lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS w3,
+             generate_subscripts(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), 1) AS i FROM documents),
+t AS (SELECT doc_id, i, w3, lag(w3, 1) OVER p AS w2, lag(w3, 2) OVER p AS w1 FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+u1 AS (SELECT *, sum(n) OVER (PARTITION BY w3) AS c FROM (SELECT doc_id, w3, count(*) AS n FROM t GROUP BY ALL)),
+u2 AS (SELECT *, sum(n) OVER (PARTITION BY w2, w3) AS c FROM (SELECT doc_id, w2, w3, count(*) AS n FROM t WHERE w2 IS NOT NULL GROUP BY ALL)),
+u3 AS (SELECT *, sum(n) OVER (PARTITION BY w1, w2, w3) AS c FROM (SELECT doc_id, w1, w2, w3, count(*) AS n FROM t WHERE w1 IS NOT NULL GROUP BY ALL)),
+s AS (SELECT doc_id, count(*) OVER () - count(*) OVER (PARTITION BY doc_id) AS rest, w1, w2,
+             a.c - a.n AS c3, v.c - v.n AS c2, b.c - b.n AS c23, x.c - x.n AS c12, y.c - y.n AS c123
+      FROM t LEFT JOIN u1 a USING (doc_id, w3)
+      LEFT JOIN (SELECT doc_id, w3 AS w2, n, c FROM u1) v USING (doc_id, w2)
+      LEFT JOIN u2 b USING (doc_id, w2, w3)
+      LEFT JOIN (SELECT doc_id, w2 AS w1, w3 AS w2, n, c FROM u2) x USING (doc_id, w1, w2)
+      LEFT JOIN u3 y USING (doc_id, w1, w2, w3)),
+l AS (SELECT doc_id, CASE WHEN c123 > 0 THEN ln(c123) - ln(c12)
+             ELSE CASE WHEN w1 IS NOT NULL THEN ln(0.4) ELSE 0 END
+                  + CASE WHEN c23 > 0 THEN ln(c23) - ln(c2)
+                         ELSE CASE WHEN w2 IS NOT NULL THEN ln(0.4) ELSE 0 END + ln(greatest(c3, 0.5) / greatest(rest, 1)) END END AS g FROM s)
+SELECT d.doc_id, count(g) AS n_words, round(avg(g), 6) AS score FROM documents d LEFT JOIN l USING (doc_id) GROUP BY d.doc_id""",
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LM.lm_scores(read_table(spark, sf_dir, "documents")).withColumn("score", F.round("score", 6))
+
+
 @register("op4_minhash_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ND.near_dedup(read_table(spark, sf_dir, "documents"))

@@ -51,12 +51,8 @@ def prefix_sums(values: np.ndarray, up: np.ndarray) -> np.ndarray:
     return s
 
 
-def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, sizes): the distinct shingles of every text, sorted within it, one text after the other.
-
-    Words are runs without white space (U+0020, U+0009..D), A-Z lower-cased; a shingle is five consecutive words, or
-    the whole sequence of a text with fewer; a text without words, or null, has none.
-    """
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of every word: runs without white space (U+0020, U+0009..D), A-Z lower-cased."""
     raw = [(t or "").encode("utf-8") for t in texts]
     data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
     ends = np.cumsum([len(r) + 1 for r in raw])
@@ -65,11 +61,20 @@ def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     start = np.flatnonzero(~space & before)
     stop = np.flatnonzero(space & ~before)
     if not len(start):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     up, down = tables(len(data))
     s = prefix_sums(_BYTE[data], up)
-    word = mix((s[stop] - s[start]) * down[start] + (stop - start).astype(np.uint64))
-    doc = np.searchsorted(ends, start, side="right")
+    return mix((s[stop] - s[start]) * down[start] + (stop - start).astype(np.uint64)), np.searchsorted(ends, start, side="right")
+
+
+def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, sizes): the distinct shingles of every text, sorted within it, one text after the other.
+
+    A shingle is five consecutive words, or the whole sequence of a text with fewer; a text without words has none.
+    """
+    word, doc = word_hashes(texts)
+    if not len(word):
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
     n_words = np.bincount(doc, minlength=len(texts))
     last = len(word) - WORDS + 1
     if last > 0:
