@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -28,9 +29,9 @@ from pyspark.sql import DataFrame
 
 from riskline.llm.common import stream
 
-#: Bits of a symbol id inside a pair key; chunks kept by a worker; longest chunk kept (characters).
+#: Bits of a symbol id inside a pair key; chunks kept by a worker; longest chunk kept (characters); words count as chunks.
 ID_BITS = 20
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 500_000
 CACHE_CHARS = 64
 #: Text inside these ranges is split and lower-cased alike by every Unicode version in use (without the separators
 #: U+001C..1F, which Python alone takes for white space); other text goes through the library's own splitter.
@@ -111,18 +112,25 @@ class Bpe:
         return [x for x in ids if x >= 0]
 
     # -- whole texts ----------------------------------------------------------------------------------------
-    def _made(self, words: list[str]) -> tuple[bytes, str]:
-        ids = [i for w in words for i in self.encode_word(w)]
-        return np.array(ids, "<i4").tobytes(), " ".join([self.strings[i] for i in ids])
-
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        made = self._made(self.words.findall(chunk))
+    def _keep(self, chunk: str, made: tuple[bytes, str]) -> tuple[bytes, str]:
         if len(chunk) <= CACHE_CHARS:
             if len(self.cache) >= CACHE_CHUNKS:
                 self.cache.clear()
             self.cache[chunk] = made
         return made
 
+    def _word(self, word: str) -> tuple[bytes, str]:
+        ids = self.encode_word(word)
+        return self._keep(word, (array("i", ids).tobytes(), " ".join([self.strings[i] for i in ids])))
+
+    def _made(self, words: list[str]) -> tuple[bytes, str]:
+        parts = [self.cache.get(w) or self._word(w) for w in words]
+        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+
+    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+        words = self.words.findall(chunk)
+        return self._word(chunk) if words == [chunk] else self._keep(chunk, self._made(words))
+
     def _library_words(self, text: str) -> list[str]:
         """The words of unusual text, split by the library."""
         if self.library is None:
