@@ -34,6 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskline.llm.common import Scratch, slices
 from riskline.llm.shingles import U, mix, prefix_sums, tables
@@ -414,7 +415,8 @@ def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         spans = pa.array([[{"begin": a, "end": b} for a, b in m[0]] for m in made], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
         return pa.table({"doc_id": left.column("doc_id"), "n_bytes": pa.array([len(x) for x in raw], pa.int64()), "spans": spans, "kept": pa.array([m[1] for m in made], pa.binary()), "carried": left.column("carried")})
 
-    schema = "doc_id long, n_bytes long, spans array<struct<begin: bigint, end: bigint>>, kept binary, carried " + texts.schema["carried"].dataType.simpleString()
+    schema = T.StructType.fromDDL("doc_id long, n_bytes long, spans array<struct<begin: bigint, end: bigint>>, kept binary")
+    schema = schema.add("carried", texts.schema["carried"].dataType)
     done = placed.groupBy("part").cogroup(removed.withColumn("db", F.col("part")).groupBy("db")).applyInArrow(finish, schema)
     whole = texts.where("doc_id is null").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
