@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from riskline.constants import EARTH_RADIUS_KM
 
 
-def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    phi1, phi2 = F.radians(lat1), F.radians(lat2)
-    d_phi = F.radians(lat2 - lat1)
-    d_lambda = F.radians(lon2 - lon1)
-    a = F.pow(F.sin(d_phi / 2), 2) + F.cos(phi1) * F.cos(phi2) * F.pow(F.sin(d_lambda / 2), 2)
-    # asin of a value rounded just above 1 would be NaN; clamp.
-    return 2 * F.lit(EARTH_RADIUS_KM) * F.asin(F.least(F.sqrt(a), F.lit(1.0)))
+def haversine_km(from_lat: Column, from_lon: Column, to_lat: Column, to_lon: Column) -> Column:
+    """Distance along the sphere between two points in degrees."""
+
+    def half_chord_squared(degrees: Column) -> Column:
+        half = F.sin(F.radians(degrees) / 2)
+        return half * half
+
+    along_parallel = F.cos(F.radians(from_lat)) * F.cos(F.radians(to_lat)) * half_chord_squared(to_lon - from_lon)
+    half_chord = F.sqrt(half_chord_squared(to_lat - from_lat) + along_parallel)
+    # rounding may lift antipodes just above 1, where asin is NaN
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(half_chord, F.lit(1.0)))

@@ -54,7 +54,7 @@ def heuristic_probability(ratio: Column, n5m: Column, new_device: Column, new_co
 def checked_probability(p: Column) -> Column:
     """D01 guard: a probability outside [0, 1] (or NaN) fails the task."""
     return F.when((p >= 0) & (p <= 1), p).otherwise(
-        F.raise_error(F.concat(F.lit("probability must be between zero and one: "), p.cast("string")))
+        F.raise_error(F.concat(F.lit("not a probability in [0, 1]: "), p.cast("string")))
     ).cast("double")
 
 

@@ -8,13 +8,14 @@ the contributions telescope to f(x) - f(b), so sum(phi) = f(x) - mean_b f(b)
 exactly (tested).
 
 Plan: each alert row is expanded by two constant-size literal arrays (the
-P x (M + 1) permutation steps and the <= 200 background rows), the model is
+P x (M + 1) permutation steps and at most ``max_background`` background rows), the model is
 applied as columns (or a fitted pipeline), then two aggregations.  The volume
 is alerts x P x (M + 1) x B and is partitioned by alert; no join, no driver loop.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 
 from riskline import constants as C
 
-MAX_BACKGROUND = 200
+#: Default bound of the background rows, which are inlined into the plan.
+BACKGROUND_ROWS = 200
 
 
 def permutation_steps(n_features: int, permutations: int, seed: int = 42) -> list[tuple[int, int, int, list[int]]]:
@@ -51,23 +53,73 @@ HEURISTIC_INPUTS = ["amount_vs_user_average", "transactions_last_5m", "new_devic
                     "impossible_travel"]
 
 
+def _background_array(background: DataFrame, features: list[str], max_background: int) -> Column:
+    """The background rows as one literal array; more rows than allowed are an error, never cut."""
+    rows = background.select(*features).limit(max_background + 1).collect()
+    if len(rows) > max_background:
+        raise ValueError(f"the background has more than max_background = {max_background} rows")
+    return F.array(*[F.struct(F.lit(i).alias("bid"), *[F.lit(float(r[f] or 0.0)).alias(f) for f in features])
+                     for i, r in enumerate(rows)])
+
+
+def coalition_weights(m: int) -> list[list[float]]:
+    """Per feature and coalition (bit mask): the factor of the coalition's value in the feature's Shapley value."""
+    size_weight = [math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m) for k in range(m)]
+    out = []
+    for i in range(m):
+        row = []
+        for mask in range(1 << m):
+            members = mask.bit_count()
+            row.append(size_weight[members - 1] if mask >> i & 1 else -size_weight[members])
+        out.append(row)
+    return out
+
+
+def exact_attribution(targets: DataFrame, background: DataFrame, features: list[str],
+                      model: Callable[[dict[str, Column]], Column] | None = None, limit: int = C.REASON_LIMIT,
+                      max_background: int = BACKGROUND_ROWS) -> DataFrame:
+    """E02 without an estimate: the Shapley values over all 2 ** features coalitions.
+
+    The value of a coalition is the mean of the model over the background rows, with the coalition's features taken
+    from the target.  One aggregation per (target, coalition), one per target; nothing is joined.
+    """
+    m, fn = len(features), model or heuristic_model
+    x = targets.select("transaction_id", *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
+    wide = x.select("*", F.explode(F.sequence(F.lit(0), F.lit((1 << m) - 1))).alias("coalition")).select(
+        "*", F.explode(_background_array(background, features, max_background)).alias("b"))
+    mixed = {f: F.when(F.col("coalition").bitwiseAND(1 << j) != 0, F.col(f)).otherwise(F.col(f"b.{f}"))
+             for j, f in enumerate(features)}
+    value = wide.select("transaction_id", "coalition", fn(mixed).alias("f")).groupBy("transaction_id", "coalition").agg(
+        F.avg("f").alias("value"))
+    factor = [F.element_at(F.array(*[F.lit(w) for w in row]), F.col("coalition") + 1) for row in coalition_weights(m)]
+    phi = value.groupBy("transaction_id").agg(*[F.sum(F.col("value") * c).alias(f) for f, c in zip(features, factor)])
+    long = phi.select("transaction_id", F.explode(F.array(
+        *[F.struct(F.lit(f).alias("feature"), F.col(f).alias("phi")) for f in features])).alias("e")).select(
+        "transaction_id", "e.feature", "e.phi")
+    rank = Window.partitionBy("transaction_id").orderBy(F.round(F.abs("phi"), 9).desc(), "feature")
+    return long.withColumn("position", F.row_number().over(rank)).where(F.col("position") <= limit).select(
+        "transaction_id", "position", "feature", F.round("phi", 6).alias("impact"),
+        F.when(F.round("phi", 9) >= 0, F.lit("increases_risk")).otherwise(F.lit("decreases_risk")).alias("direction"),
+        F.col("phi").alias("raw_phi"))
+
+
 def permutation_attribution(targets: DataFrame, background: DataFrame, features: list[str],
                             model: Callable[[dict[str, Column]], Column] | None = None, pipeline=None,
-                            permutations: int = 10, seed: int = 42, limit: int = C.REASON_LIMIT) -> DataFrame:
+                            permutations: int = 10, seed: int = 42, limit: int = C.REASON_LIMIT,
+                            max_background: int = BACKGROUND_ROWS) -> DataFrame:
     """phi per (transaction_id, feature); top ``limit`` by |phi| kept, rounded to 6 places.
 
+    For models of many features; ``exact_attribution`` needs no estimate where 2 ** features is small.
+    ``max_background`` bounds the background, which travels inside the plan.
+
     ``model`` is a column function (features -> probability); ``pipeline`` a
     fitted Spark ML model whose P(label = 1) is used instead.
     """
-    bg_rows = background.select(*features).limit(MAX_BACKGROUND + 1).collect()
-    if len(bg_rows) > MAX_BACKGROUND:
-        raise ValueError(f"background must hold at most {MAX_BACKGROUND} rows")
+    bg_arr = _background_array(background, features, max_background)
     m = len(features)
     steps = permutation_steps(m, permutations, seed)
     step_arr = F.array(*[F.struct(F.lit(p).alias("perm"), F.lit(k).alias("step"), F.lit(sw).alias("switched"),
                                   F.array(*[F.lit(v) for v in mask]).alias("mask")) for p, k, sw, mask in steps])
-    bg_arr = F.array(*[F.struct(F.lit(i).alias("bid"), *[F.lit(float(r[f] or 0.0)).alias(f) for f in features])
-                       for i, r in enumerate(bg_rows)])
     x = targets.select("transaction_id", *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
     expanded = x.select("*", F.explode(step_arr).alias("s")).select("*", F.explode(bg_arr).alias("b"))
     mixed = {f: F.when(F.col("s.mask")[j] == 1, F.col(f)).otherwise(F.col(f"b.{f}"))

@@ -193,8 +193,15 @@ def online_features(
     return out
 
 
-def feature_columns(df: DataFrame, names: list[str] = C.ONLINE_FEATURES) -> dict[str, Column]:
-    return {n: F.col(n) for n in names}
+def arrival_features(arrived: DataFrame, stored: DataFrame | None = None, **options) -> DataFrame:
+    """Features of the rows that arrived, against each other and the ``stored`` rows that arrived before.
+
+    Late rows see what has arrived by then; stored rows are history only and are never scored again.
+    """
+    rows = arrived.withColumn("_arrived", F.lit(True))
+    if stored is not None:
+        rows = rows.unionByName(stored.select(*arrived.columns).withColumn("_arrived", F.lit(False)))
+    return online_features(rows, **options).where("_arrived").drop("_arrived")
 
 
 def snapshot(names: list[str] = C.ONLINE_FEATURES) -> Column:

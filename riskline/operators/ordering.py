@@ -2,9 +2,10 @@
 
 A window without ``partitionBy`` pulls every row into one task.  Instead:
 
-1. range boundaries of the primary key are taken once with ``percentile_approx``
-   (a handful of literals on the driver),
-2. each row gets an explicit bucket (ties on the key never straddle buckets),
+1. range boundaries of (key, tiebreak) are taken once from a hash sample of fixed size
+   per bucket (a handful of literals on the driver),
+2. each row gets an explicit bucket by a search tree of comparisons (ties on the key
+   are split by the tiebreak),
 3. per-bucket totals are aggregated (one row per bucket, collected),
 4. running offsets are inlined as a literal array,
 5. the window runs inside each bucket only.
@@ -23,6 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows per bucket of the sample that places the boundaries.
+SAMPLE_PER_BUCKET = 32
+
+
 def _default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
 
@@ -37,10 +42,38 @@ def range_bounds(df: DataFrame, key: str, n_buckets: int, accuracy: int = 10_000
 
 
 def bucket_of(key: Column, bounds: list) -> Column:
-    """Number of boundaries strictly below the key (monotone in the key)."""
-    if not bounds:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < key))
+    """Number of boundaries strictly below the key (monotone in the key), by halving: a search tree of comparisons."""
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        bound = bounds[mid] if isinstance(bounds[mid], Column) else F.lit(bounds[mid])
+        return F.when(bound < key, search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, len(bounds)) if bounds else F.lit(0)
+
+
+def order_bounds(df: DataFrame, cols: list[str], n_buckets: int) -> list[tuple]:
+    """At most ``n_buckets - 1`` boundaries of the order by ``cols``, from the rows with the smallest hash.
+
+    The sample has ``SAMPLE_PER_BUCKET`` rows per bucket and is the same on every run; it only decides how evenly the
+    buckets fill.
+    """
+    if n_buckets <= 1:
+        return []
+    rows = df.select(*cols).orderBy(F.xxhash64(*cols), *cols).limit(SAMPLE_PER_BUCKET * n_buckets).collect()
+    ranked = sorted({tuple(r) for r in rows}, key=lambda r: [(v is not None, v) for v in r])
+    return [ranked[i * len(ranked) // n_buckets] for i in range(1, n_buckets)] if len(ranked) >= n_buckets else ranked[1:]
+
+
+def bucketed(df: DataFrame, cols: list[str], n_buckets: int) -> DataFrame:
+    """Adds ``_bkt``, monotone in the order by all of ``cols``: equal first keys do not share a bucket by force."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    whole = F.struct(*[F.col(c) for c in cols])
+    bounds = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)])
+              for b in order_bounds(df, cols, n_buckets)]
+    return df.withColumn("_bkt", bucket_of(whole, bounds))
 
 
 def _offsets(totals: dict[int, tuple], n: int, width: int) -> list[list]:
@@ -62,12 +95,9 @@ def global_index(df: DataFrame, key: str, tiebreak: list[str] | None = None, n_b
 def global_index_with_count(df: DataFrame, key: str, tiebreak: list[str] | None = None,
                             n_buckets: int | None = None, name: str = "_idx") -> tuple[DataFrame, int]:
     """``global_index`` plus the row count (the sum of the collected bucket counts: no extra job)."""
-    n = n_buckets or _default_buckets(df)
-    bounds = range_bounds(df, key, n)
-    d = df.withColumn("_bkt", bucket_of(F.col(key), bounds))
+    d = bucketed(df, [key, *(tiebreak or [])], n_buckets or _default_buckets(df))
     counts = {r["_bkt"]: (r["c"],) for r in d.groupBy("_bkt").agg(F.count(F.lit(1)).alias("c")).collect()}
-    nb = len(bounds) + 1
-    offs = [o[0] for o in _offsets(counts, nb, 1)]
+    offs = [o[0] for o in _offsets(counts, max(counts, default=0) + 1, 1)]
     off = F.element_at(F.array(*[F.lit(int(o)) for o in offs]).cast("array<long>"), F.col("_bkt") + 1)
     w = Window.partitionBy("_bkt").orderBy(key, *(tiebreak or []))
     total = int(sum(c[0] for c in counts.values()))
@@ -106,13 +136,11 @@ def evenly_spaced(df: DataFrame, key: str, tiebreak: list[str], k: int, n_bucket
     p == floor(ceil(p (k - 1) / (n - 1)) (n - 1) / (k - 1)).  No join, no driver loop.
     Returns all rows when n <= k.
     """
-    n = df.count()
+    idx, n = global_index_with_count(df, key, tiebreak, n_buckets)
     if n <= k:
         return df
     if k <= 1:
-        idx = global_index(df, key, tiebreak, n_buckets)
         return idx.where(F.col("_idx") == 0).drop("_idx")
-    idx = global_index(df, key, tiebreak, n_buckets)
     # exact integer arithmetic (valid while n * k < 9.2e18)
     keep = F.expr(f"((((_idx * {k - 1}) + {n - 2}) div {n - 1}) * {n - 1}) div {k - 1} = _idx")
     return idx.where(keep).drop("_idx")
@@ -134,9 +162,14 @@ def chronological_split(df: DataFrame, key: str = "us", tiebreak: list[str] | No
     return idx.withColumn("split", expr).withColumnRenamed("_idx", "row_index")
 
 
+def hash_rank(id_col: Column, seed: int) -> Column:
+    """60 bits of the MD5 of ``id:seed``: a fixed pseudo-random rank that any SQL engine can compute."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", id_col, F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
+
+
 def exact_sample_by_rank(df: DataFrame, count: int, seed: int = 42, id_col: str = "transaction_id",
                          n_buckets: int | None = None) -> DataFrame:
     """Keep exactly ``count`` rows chosen by a seeded hash rank (reproducible, unlike ``sample``)."""
-    ranked = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    ranked = df.withColumn("_h", hash_rank(F.col(id_col), seed))
     idx = global_index(ranked, "_h", [id_col], n_buckets)
     return idx.where(F.col("_idx") < count).drop("_idx", "_h")

@@ -41,7 +41,7 @@ class FeedFilter:
         if not (0 <= self.min_risk <= 100 and 0 <= self.max_risk <= 100):
             raise ValueError("risk bounds must be within 0..100")
         if self.min_risk > self.max_risk:
-            raise ValueError("min_risk cannot be greater than max_risk")
+            raise ValueError("the risk range is empty")
         if self.decision is not None and self.decision not in C.DECISIONS:
             raise ValueError("unknown decision")
         if self.country is not None and len(self.country) != 2:

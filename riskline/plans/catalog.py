@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from riskline import constants as C
 from riskline.plans import sql_twins as S
 from riskline.plans.scoring import score_batch
-from riskline.operators.features import online_features
+from riskline.operators.features import arrival_features, online_features
 from riskline.session import materialize, prepare
 from riskline.sources.adapter import COMPRESSED_SCALE, transactions_from_events, transactions_from_orders
 from riskline.sources.tables import read_table
@@ -65,6 +65,25 @@ for _name, _src, _scale in [
     register(_name, _t)(_b)
 
 
+#: Arrival slices of the stream-order query: shuffled against event time.
+ARRIVALS = 4
+
+
+@register("features_by_arrival", S.with_ctes(
+    S.tx_cte("events", COMPRESSED_SCALE),
+    S.features_cte(history=f"(h.source_seq * 7919) % {ARRIVALS} <= (t.source_seq * 7919) % {ARRIVALS}"))
+    + f" SELECT transaction_id, {FEATURE_SQL} FROM feat")
+def q_features_by_arrival(spark, sf_dir):
+    """Four micro-batches in shuffled order, each scored against what had arrived."""
+    tx = transactions(spark, sf_dir, "events", COMPRESSED_SCALE)
+    arrival = F.pmod(F.col("source_seq") * 7919, F.lit(ARRIVALS))
+    out = None
+    for k in range(ARRIVALS):
+        feats = arrival_features(tx.where(arrival == k), tx.where(arrival < k))
+        out = feats if out is None else out.unionByName(feats)
+    return out.select("transaction_id", *[r6(n).alias(n) for n in C.ONLINE_FEATURES])
+
+
 def _score_query(source: str, scale: int):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         scored = score_batch(transactions(spark, sf_dir, source, scale), with_snapshot=False)
@@ -636,6 +655,11 @@ _ALLOWED = "[" + ", ".join(f"'{k}'" for k in C.TRANSACTION_KEYS) + "]"
 _NUM = "('BIGINT', 'UBIGINT', 'DOUBLE', 'INTEGER', 'HUGEINT')"
 
 
+def _dealt_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions over all cores: JSON validation is CPU-bound and the table has one row group."""
+    return transactions(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+
+
 def _payload_sql() -> str:
     iso = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
     return S.with_ctes(S.tx_cte("events", 1)) + f""",
@@ -732,7 +756,7 @@ checked AS (
         CASE WHEN len(errors) = 0 THEN coalesce(s_channel, 'web') END AS channel
  FROM checked""")
 def q_contract(spark, sf_dir):
-    checked = V.validate_payloads(payloads_from_transactions(transactions(spark, sf_dir)))
+    checked = V.validate_payloads(payloads_from_transactions(_dealt_out(spark, sf_dir)))
     ok = F.col("valid")
     return checked.select(
         "source_seq", "valid", F.array_join("errors", "|").alias("errors"),
@@ -750,7 +774,7 @@ def q_contract(spark, sf_dir):
  FROM checked, unnest(errors) AS u(e) GROUP BY ALL""")
 def q_dlq_errors(spark, sf_dir):
     from riskline.operators.readmodels import errors_by_type
-    checked = V.validate_payloads(payloads_from_transactions(transactions(spark, sf_dir)))
+    checked = V.validate_payloads(payloads_from_transactions(_dealt_out(spark, sf_dir)))
     _, bad = V.split_valid(checked)
     return errors_by_type(bad)
 
@@ -801,22 +825,46 @@ from riskline.operators import attribution as AT  # noqa: E402
 from riskline.operators.ordering import exact_sample_by_rank  # noqa: E402
 from riskline.operators.features import history_for  # noqa: E402
 
-ATTRIBUTION_PERMUTATIONS = 10
-
-
 def _background(scored: DataFrame, features: list[str]) -> DataFrame:
     calib = chronological_split(scored.select("transaction_id", "us", *features)).where(
         F.col("split") == "calibration")
-    return exact_sample_by_rank(calib, AT.MAX_BACKGROUND, 42).select(*features)
+    return exact_sample_by_rank(calib, AT.BACKGROUND_ROWS, 42).select(*features)
+
+
+def _rank_sql(column: str = "transaction_id", seed: int = 42) -> str:
+    return f"CAST('0x' || substr(md5({column} || ':{seed}'), 1, 15) AS BIGINT)"
 
 
-@register("alert_attributions")
+def _shapley_sql() -> str:
+    """phi per alert and feature over all coalitions, plainly: coalition x background x alert."""
+    f = AT.HEURISTIC_INPUTS
+    mix = {n: f"CASE WHEN (c.k >> {j}) & 1 = 1 THEN x.{n} ELSE b.{n} END" for j, n in enumerate(f)}
+    logit = (f"{C.HEURISTIC_INTERCEPT} + least({mix[f[0]]}, 15.0) * 0.12 + least({mix[f[1]]}, 10.0) * 0.22"
+             f" + ({mix[f[2]]}) * 0.8 + ({mix[f[3]]}) * 0.7 + ({mix[f[4]]}) * 2.0")
+    weights = AT.coalition_weights(len(f))
+    phi = " UNION ALL ".join(
+        f"SELECT transaction_id, '{n}' AS feature, sum(v * [{', '.join(repr(w) for w in weights[j])}][k + 1]) AS phi"
+        f" FROM val GROUP BY transaction_id" for j, n in enumerate(f))
+    return f""",
+bgr AS (SELECT s.* FROM scored s JOIN sliced l USING (transaction_id) WHERE l.split = 'calibration'
+        ORDER BY {_rank_sql("s.transaction_id")}, s.transaction_id LIMIT {AT.BACKGROUND_ROWS}),
+val AS (SELECT x.transaction_id, c.k, avg(1.0 / (1.0 + exp(-({logit})))) AS v
+        FROM scored x SEMI JOIN alerts USING (transaction_id) CROSS JOIN range(0, {1 << len(f)}) c(k) CROSS JOIN bgr b
+        GROUP BY ALL),
+phi AS ({phi}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY round(abs(phi), 9) DESC, feature) AS position
+           FROM phi)
+SELECT transaction_id, CAST(position AS INTEGER) AS position, feature, round(phi, 6) AS impact,
+       CASE WHEN round(phi, 9) >= 0 THEN 'increases_risk' ELSE 'decreases_risk' END AS direction
+FROM ranked WHERE position <= {C.REASON_LIMIT}"""
+
+
+@register("alert_attributions", ST + EV_SQL + _shapley_sql())
 def q_attributions(spark, sf_dir):
-    st = build_store(spark, sf_dir)
-    alerted = st.scored.join(st.alerts.select("transaction_id"), "transaction_id", "left_semi")
-    bg = _background(st.scored, AT.HEURISTIC_INPUTS)
-    return AT.permutation_attribution(alerted, bg, AT.HEURISTIC_INPUTS, permutations=ATTRIBUTION_PERMUTATIONS
-                                      ).drop("raw_phi")
+    scored = scored_events(spark, sf_dir)
+    alerted = scored.where(F.col("decision") != "APPROVE")
+    bg = _background(scored, AT.HEURISTIC_INPUTS)
+    return AT.exact_attribution(alerted, bg, AT.HEURISTIC_INPUTS).drop("raw_phi")
 
 
 @register("explain_pending_alerts", ST + f""",
@@ -860,10 +908,13 @@ def q_undersample(spark, sf_dir):
     return undersample(train, pos).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("reference_sample")
+@register("reference_sample", SCORED_R + EV_SQL + f"""
+ SELECT s.transaction_id, s.amount, t.country, round(s.probability, 6) AS fraud_probability
+ FROM sliced s JOIN tx t USING (transaction_id) WHERE s.split = 'calibration'
+ ORDER BY {_rank_sql("s.transaction_id")}, s.transaction_id LIMIT 2000""")
 def q_reference_sample(spark, sf_dir):
     reference, _, _ = _drift_inputs(spark, sf_dir)
-    return D.reference_sample(reference)
+    return D.reference_sample(reference).withColumn("fraud_probability", r6("fraud_probability"))
 
 
 @register("event_projection", ST + """

@@ -6,7 +6,7 @@ prediction rows.  The same column functions run inside the streaming query.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskline import constants as C
@@ -54,6 +54,12 @@ def score_batch(txns: DataFrame, policy: P.Policy | None = None, model=None,
                   else P.Policy.resolve(model.review_threshold, model.block_threshold))
     needs_all = with_snapshot or model is not None
     feats = online_features(txns, horizon_days=horizon_days, distinct_counts=needs_all)
+    return score_features(feats, policy, model, with_snapshot)
+
+
+def score_features(feats: DataFrame, policy: P.Policy = P.Policy(), model=None, with_snapshot: bool = True
+                   ) -> DataFrame:
+    """Probability, policy and snapshot on rows that already hold the features (batch and stream)."""
     scored = with_heuristic_probability(feats) if model is None else model.score(feats)
     out = apply_policy(scored, policy)
     return out.withColumn("feature_snapshot", snapshot()) if with_snapshot else out
@@ -67,10 +73,15 @@ def prediction_rows(scored: DataFrame) -> DataFrame:
     )
 
 
+def alert_id(transaction_id: Column) -> Column:
+    """60 bits of the transaction id's MD5: the same id in batch and stream, whatever the source."""
+    return F.conv(F.substring(F.md5(transaction_id), 1, 15), 16, 10).cast("long")
+
+
 def alerts_from(scored: DataFrame) -> DataFrame:
-    """Non-APPROVE predictions become OPEN alerts; alert_id from the source sequence."""
+    """Non-APPROVE predictions become OPEN alerts."""
     return scored.where(F.col("decision") != "APPROVE").select(
-        F.col("source_seq").alias("alert_id"),
+        alert_id(F.col("transaction_id")).alias("alert_id"),
         "transaction_id",
         P.alert_severity(F.col("decision")).alias("severity"),
         F.lit("OPEN").alias("status"),

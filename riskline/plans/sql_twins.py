@@ -60,8 +60,8 @@ tx AS (
   FROM src2)"""
 
 
-def features_cte(horizon_days: int = C.HISTORY_DAYS) -> str:
-    """CTE ``feat``: the 19 online features by brute-force self-join over ``tx``."""
+def features_cte(horizon_days: int = C.HISTORY_DAYS, history: str = "true") -> str:
+    """CTE ``feat``: the 19 online features by brute-force self-join over ``tx`` (h must also meet ``history``)."""
     H = horizon_days * DAY
     return f"""
 hist AS (
@@ -83,7 +83,7 @@ hist AS (
                'lat': h.latitude, 'lon': h.longitude}}) AS prev
   FROM tx t LEFT JOIN tx h
     ON h.user_id = t.user_id AND h.us >= t.us - {H} AND h.us < t.us
-   AND h.transaction_id <> t.transaction_id
+   AND h.transaction_id <> t.transaction_id AND {history}
   GROUP BY t.transaction_id),
 geo AS (
   SELECT t.*, hist.*,
@@ -173,7 +173,7 @@ def store_ctes(scale: int = COMPRESSED_SCALE) -> str:
     return with_ctes(tx_cte("events", scale), features_cte(), scored_cte()) + f""",
 as_of AS (SELECT max(us) AS as_of_us FROM tx),
 alerts AS (
-  SELECT source_seq AS alert_id, transaction_id,
+  SELECT CAST('0x' || substr(md5(transaction_id), 1, 15) AS BIGINT) AS alert_id, transaction_id,
          CASE WHEN decision = 'BLOCK' THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
          'OPEN' AS status, us AS created_us
   FROM scored WHERE decision <> 'APPROVE'),

@@ -8,6 +8,7 @@ not name one, a checkpoint directory for tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -23,14 +24,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (unit tests, local runs) a local folder is
-    created and registered.
+    Only a local session without the setting (unit tests) gets a folder of its own; anywhere else a folder of one
+    machine would be lost with it, so the missing setting is an error.
     """
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
+    if not re.match(r"local(\[.*\])?$", spark.sparkContext.master):
+        raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="riskline-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set(_CHECKPOINT_KEY, local)

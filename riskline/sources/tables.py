@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -10,30 +11,36 @@ TABLES = [
 ]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
     """``spark.read.parquet`` of one table; pruning and pushdown stay with Catalyst.
 
-    ``spread``: see ``spread_partitions``.
+    ``partitions`` deals the rows out anew, for CPU-bound work on a table of few row groups.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_partitions(df) if spread else df
+    return df.repartition(partitions) if partitions else df
 
 
-def spread_partitions(df: DataFrame) -> DataFrame:
-    """Spread a frame with fewer partitions than the session's parallelism round-robin.
+def read_daily(spark: SparkSession, folder: str, first_day: str | None = None, last_day: str | None = None,
+               pattern: str = r"(\d{4}-\d{2}-\d{2})[^/]*$") -> DataFrame:
+    """A folder of one Parquet file per day, named by its date; ``day`` comes from the file name.
 
-    For CPU-bound narrow stages (JSON validation) over a small input with one
-    row group.  On a cluster reading many files the condition is false and the
-    plan is unchanged; Spark sorts before round-robin, so retries are stable.
+    Files outside [first_day, last_day] are filtered by name before their rows are decoded further.
     """
-    if df.isStreaming:  # micro-batches are partitioned by the source
-        return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    df = spark.read.option("recursiveFileLookup", "true").parquet(folder)
+    df = df.withColumn("day", F.to_date(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)))
+    if first_day is not None:
+        df = df.where(F.col("day") >= F.lit(first_day).cast("date"))
+    if last_day is not None:
+        df = df.where(F.col("day") <= F.lit(last_day).cast("date"))
     return df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
     """Columnar write; partition columns prune later scans."""
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")

@@ -1,15 +1,20 @@
 """Structured Streaming scorer.
 
-    readStream (text / Kafka)                       S04
+    readStream (text / Kafka)                        S04
       -> contract validation                         X01  (dead letters: second query)
-      -> watermark + dropDuplicatesWithinWatermark   X02
-      -> groupBy(user).applyInPandasWithState        X03
+      -> foreachBatch: first write wins              X02  (inside the batch and against the stored ids)
+      -> features against what has arrived           X03  (``operators.features.arrival_features``)
       -> probability + policy (same columns as batch) X04
-      -> foreachBatch sink                           S06  (+ S05 event projection, X05 explanations)
+      -> tables                                      S06  (+ S05 event projection, X05 explanations)
 
-The sink writes every table under ``batch_id=<id>`` with dynamic partition
-overwrite, so a replayed micro-batch (after a failure) rewrites the same
-partitions instead of appending twice.
+The stored tables are the state: there is no watermark and no state store, so an event of any age is scored, against
+the rows of its user that arrived before it (earlier micro-batches, or the same one with a smaller event time).
+Duplicates are removed before features are computed and never enter a history.  Stored ids are partitioned by a
+bucket of the transaction id, stored transactions by a bucket of the user id; a micro-batch reads only the buckets it
+touches, of the transactions only the horizon before its oldest event.
+
+Every table is written under ``batch_id=<id>`` with dynamic partition overwrite, and a micro-batch reads only smaller
+batch ids, so a replayed micro-batch (after a failure) rewrites the same partitions with the same rows.
 """
 
 from __future__ import annotations
@@ -17,17 +22,16 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from riskline import constants as C
 from riskline.functions.policy import Policy
+from riskline.operators.attribution import explain_pending
+from riskline.operators.features import arrival_features
 from riskline.operators.validate import validate_payloads
-from riskline.plans.scoring import alerts_from, apply_policy, explanations_for, with_heuristic_probability
-from riskline.plans.scoring import prediction_rows
-from riskline.operators.features import snapshot
-from riskline.streaming.state import OUTPUT_SCHEMA, STATE_SCHEMA, make_state_fn
+from riskline.plans.scoring import alerts_from, explanations_for, first_write_wins, prediction_rows, score_features
+from riskline.sources.tables import path_exists
 
 TOPIC_TRANSACTIONS = "transactions.v1"
 TOPIC_PREDICTIONS = "fraud_predictions.v1"
@@ -63,26 +67,19 @@ def dead_letters(checked: DataFrame) -> DataFrame:
         F.array_join("errors", "|").alias("error"))
 
 
-def scored_stream(checked: DataFrame, policy: Policy = Policy(), lateness: str = "1 hour",
-                  horizon_days: int = C.HISTORY_DAYS) -> DataFrame:
-    """X02-X04 on a validated stream."""
-    valid = checked.where(F.col("valid")).select(
-        "transaction_id", "user_id", "merchant_id", "timestamp", F.unix_micros("timestamp").alias("us"),
-        "amount", "currency", "merchant_category", "country", "device_id", "ip_address", "channel",
-        "latitude", "longitude", "source_seq")
-    deduped = valid.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(["transaction_id"])
-    lateness_us = _interval_us(lateness)
-    feats = deduped.groupBy("user_id").applyInPandasWithState(
-        make_state_fn(horizon_days, lateness_us), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
-    scored = apply_policy(with_heuristic_probability(feats), policy)
-    return scored.withColumn("feature_snapshot", snapshot())
+EVENT_COLUMNS = ["transaction_id", "user_id", "merchant_id", "timestamp", "us", "amount", "currency",
+                 "merchant_category", "country", "device_id", "ip_address", "channel", "latitude", "longitude",
+                 "source_seq"]
+BUCKETS = 64
+
 
+def valid_events(checked: DataFrame) -> DataFrame:
+    """The valid events in the contract schema, with ``us``."""
+    return checked.where(F.col("valid")).withColumn("us", F.unix_micros("timestamp")).select(*EVENT_COLUMNS)
 
-def _interval_us(text: str) -> int:
-    n, unit = text.split()
-    mult = {"second": 1_000_000, "minute": C.MINUTE_US, "hour": C.HOUR_US, "day": C.DAY_US}
-    return int(n) * mult[unit.rstrip("s")]
+
+def bucket_of_text(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
 def event_projection(scored: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -109,53 +106,79 @@ def event_projection(scored: DataFrame, labels: DataFrame | None = None) -> Data
 
 
 @dataclass
-class BatchSink:
-    """Idempotent per-batch writer used with ``foreachBatch``."""
+class BatchScorer:
+    """``foreachBatch`` function: dedup, score and store one micro-batch of valid events."""
 
     root: str
-    global_dedup: bool = True
-    broadcast_ids_limit: int = 2_000_000
+    policy: Policy = field(default_factory=Policy)
+    horizon_days: int = C.HISTORY_DAYS
     explain_alerts: bool = True
-    tables: list[str] = field(default_factory=lambda: ["transactions", "predictions", "alerts", "outbox",
-                                                       "explanations"])
 
     def path(self, table: str) -> str:
         return os.path.join(self.root, table)
 
-    def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
+    def _write(self, df: DataFrame, table: str, batch_id: int, *partitions: str) -> None:
         (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path(table)))
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions, "batch_id").parquet(self.path(table)))
 
-    def _stored_ids(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        try:
-            stored = spark.read.parquet(self.path("predictions"))
-        except Exception:  # the table does not exist before the first batch
+    def _stored(self, spark: SparkSession, table: str, bucket: str, buckets: list[int], batch_id: int
+                ) -> DataFrame | None:
+        """Rows of earlier micro-batches in the given buckets; None before the first one."""
+        if not path_exists(spark, self.path(table)):
             return None
-        return stored.where(F.col("batch_id") != batch_id).select("transaction_id")
+        stored = spark.read.parquet(self.path(table))
+        return stored.where(F.col(bucket).isin(buckets) & (F.col("batch_id") < batch_id))
+
+    def fresh(self, batch: DataFrame, batch_id: int, buckets: list[int]) -> DataFrame:
+        """First write wins: one row per id, none that is stored."""
+        ids = self._stored(batch.sparkSession, "transaction_ids", "id_bucket", buckets, batch_id)
+        return first_write_wins(batch, ids, order_cols=("source_seq", "us", "amount", "user_id"))
+
+    def history(self, batch: DataFrame, batch_id: int, buckets: list[int], since_us: int) -> DataFrame | None:
+        """Stored rows of the batch's users within the horizon before its oldest event."""
+        stored = self._stored(batch.sparkSession, "transactions", "user_bucket", buckets, batch_id)
+        if stored is None:
+            return None
+        near = stored.where(F.col("us") >= F.lit(since_us - self.horizon_days * C.DAY_US))
+        return near.join(batch.select("user_id").distinct(), "user_id", "left_semi").select(*EVENT_COLUMNS)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
+        batch = batch.withColumn("id_bucket", bucket_of_text(F.col("transaction_id"))).withColumn(
+            "user_bucket", bucket_of_text(F.col("user_id"))).persist()
+        scored = None
         try:
-            if self.global_dedup:
-                stored = self._stored_ids(spark, batch_id)
-                if stored is not None:
-                    ids = batch.select("transaction_id")
-                    # Find the batch ids already stored without shuffling the stored table:
-                    # broadcast the micro-batch ids when their (counted) size allows it.
-                    small = batch.count() <= self.broadcast_ids_limit
-                    seen = stored.join(F.broadcast(ids) if small else ids, "transaction_id", "left_semi")
-                    batch = batch.join(seen, "transaction_id", "left_anti")
-            txn_cols = [c for c in C.TRANSACTION_KEYS if c in batch.columns] + ["us", "source_seq"]
-            self._write(batch.select(*txn_cols), "transactions", batch_id)
-            self._write(prediction_rows(batch), "predictions", batch_id)
-            self._write(alerts_from(batch), "alerts", batch_id)
-            self._write(event_projection(batch), "outbox", batch_id)
+            # at most BUCKETS small integers each
+            touched = batch.agg(F.collect_set("id_bucket").alias("ids"), F.collect_set("user_bucket").alias("users"),
+                                F.min("us").alias("since")).first()
+            if touched["since"] is None:
+                return
+            fresh = self.fresh(batch, batch_id, touched["ids"])
+            history = self.history(batch, batch_id, touched["users"], touched["since"])
+            feats = arrival_features(fresh.select(*EVENT_COLUMNS), history, horizon_days=self.horizon_days)
+            scored = score_features(feats, self.policy).persist()
+            rows = scored.withColumn("user_bucket", bucket_of_text(F.col("user_id")))
+            self._write(rows.select(*EVENT_COLUMNS, "user_bucket"), "transactions", batch_id, "user_bucket")
+            self._write(prediction_rows(scored), "predictions", batch_id)
+            self._write(alerts_from(scored), "alerts", batch_id)
+            self._write(event_projection(scored), "outbox", batch_id)
             if self.explain_alerts:
-                alerted = batch.where(F.col("decision") != "APPROVE")
-                self._write(explanations_for(alerted), "explanations", batch_id)
+                self._write(explanations_for(scored.where(F.col("decision") != "APPROVE")), "explanations", batch_id)
+            # last: an id counts as stored once its rows are
+            self._write(scored.select("transaction_id", bucket_of_text(F.col("transaction_id")).alias("id_bucket")),
+                        "transaction_ids", batch_id, "id_bucket")
         finally:
             batch.unpersist()
+            if scored is not None:
+                scored.unpersist()
+
+
+def explain_job(spark: SparkSession, root: str, recomputed: DataFrame | None = None) -> DataFrame:
+    """Explanations of the stored alerts that have none yet, from their snapshot or from recomputed features."""
+    alerts = spark.read.parquet(os.path.join(root, "alerts"))
+    if path_exists(spark, os.path.join(root, "explanations")):
+        done = spark.read.parquet(os.path.join(root, "explanations")).select("transaction_id").distinct()
+        alerts = alerts.join(done, "transaction_id", "left_anti")
+    return explain_pending(alerts, spark.read.parquet(os.path.join(root, "predictions")), recomputed)
 
 
 def drift_job(spark: SparkSession, sink_root: str, reference: DataFrame, model_version: str = C.BOOTSTRAP_VERSION,
@@ -177,12 +200,11 @@ def drift_job(spark: SparkSession, sink_root: str, reference: DataFrame, model_v
 
 
 def start_scoring(payloads: DataFrame, sink_root: str, checkpoint: str, policy: Policy = Policy(),
-                  lateness: str = "1 hour", available_now: bool = False, processing_time: str | None = None):
+                  available_now: bool = False, processing_time: str | None = None):
     """Start the scoring query (and a dead-letter query on the same source); returns both handles."""
     checked = checked_stream(payloads)
-    scored = scored_stream(checked, policy, lateness)
-    w = scored.writeStream.foreachBatch(BatchSink(sink_root)).option("checkpointLocation",
-                                                                    os.path.join(checkpoint, "scoring"))
+    w = valid_events(checked).writeStream.foreachBatch(BatchScorer(sink_root, policy)).option(
+        "checkpointLocation", os.path.join(checkpoint, "scoring"))
     d = (dead_letters(checked).writeStream.format("parquet").option("path", os.path.join(sink_root, "dead_letters"))
          .option("checkpointLocation", os.path.join(checkpoint, "dead_letters")))
     if available_now:

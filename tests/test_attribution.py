@@ -32,9 +32,33 @@ def test_additivity_and_ranking(spark):
 
 
 def test_background_is_bounded(spark):
-    big = df(spark, [(f"g{i}", 1.0, 0.0, 0.0, 0.0, 0.0) for i in range(AT.MAX_BACKGROUND + 1)])
-    with pytest.raises(ValueError):
-        AT.permutation_attribution(df(spark, [("a", 1.0, 0.0, 0.0, 0.0, 0.0)]), big.drop("transaction_id"), FEATS)
+    big = df(spark, [(f"g{i}", 1.0, 0.0, 0.0, 0.0, 0.0) for i in range(7)]).drop("transaction_id")
+    x = df(spark, [("a", 1.0, 0.0, 0.0, 0.0, 0.0)])
+    for attribute in (AT.permutation_attribution, AT.exact_attribution):
+        with pytest.raises(ValueError):
+            attribute(x, big, FEATS, max_background=6)
+        assert attribute(x, big, FEATS, max_background=7).count() > 0
+
+
+def test_exact_attribution_against_all_orders(spark):
+    """The Shapley value is the mean step over all orders of the features."""
+    from itertools import permutations
+
+    x = [("a", 9.0, 6.0, 1.0, 0.0, 1.0), ("b", 1.0, 0.0, 0.0, 1.0, 0.0)]
+    bg = [(f"g{i}", 1.0 + i % 3, float(i % 4), 0.0, float(i % 2), 0.0) for i in range(5)]
+    got = {(r["transaction_id"], r["feature"]): r["raw_phi"]
+           for r in AT.exact_attribution(df(spark, x), df(spark, bg).drop("transaction_id"), FEATS, limit=5).collect()}
+    for tid, *vals in x:
+        want = dict.fromkeys(FEATS, 0.0)
+        for order in permutations(range(5)):
+            for b in bg:
+                mixed = list(b[1:])
+                for j in order:
+                    before = f_heuristic(mixed)
+                    mixed[j] = vals[j]
+                    want[FEATS[j]] += (f_heuristic(mixed) - before) / 120 / len(bg)
+        for f in FEATS:
+            assert got[tid, f] == pytest.approx(want[f], abs=1e-12)
 
 
 def test_explain_pending_snapshot_then_recompute(spark):
