@@ -23,6 +23,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,27 +33,70 @@ from pyspark.sql import functions as F
 
 from riskline.llm.common import slices, stream
 from riskline.llm.quality import held_out
+from riskline.llm.shingles import U, mix
 
 #: Training rows of each language (about), additive smoothing per piece, weight of an unknown character.
 TRAIN_ROWS, SMOOTHING, UNKNOWN = 3_000, 0.05, 1e-7
 #: Longest stretch for one forward pass, and chunks kept by a worker.
-WINDOW, CACHE_CHUNKS = 30, 250_000
+WINDOW, CACHE_CHUNKS = 30, 500_000
 START = "▁"
 NOT_LETTERS = regex.compile(r"\P{L}+")
 
 
-@lru_cache(maxsize=2)
-def pieces(path: str) -> tuple[dict[str, int], frozenset[str]]:
-    """Pieces of the vocabulary file with their numbers, and all their proper prefixes."""
-    import sentencepiece
+class Pieces:
+    """The vocabulary as a hash table over all pieces and their prefixes, looked up many strings at once."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        listed: dict[str, int] = {}
+        for i in range(model.get_piece_size()):
+            p = model.id_to_piece(i)
+            if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)) and p != START:
+                listed.setdefault(p.lower(), len(listed))
+        self.size = len(listed)
+        self.longest = max(map(len, listed))
+        entries = dict.fromkeys((p[:k] for p in listed for k in range(1, len(p))), -1) | listed
+        keys = np.zeros(len(entries), np.uint64)
+        by_length: dict[int, list[int]] = defaultdict(list)
+        names = list(entries)
+        for i, e in enumerate(names):
+            by_length[len(e)].append(i)
+        for n, at in by_length.items():
+            codes = np.array([names[i] for i in at]).view(np.uint32).reshape(len(at), n)
+            h = np.zeros(len(at), np.uint64)
+            for k in range(n):
+                h = extend(h, codes[:, k])
+            keys[at] = h
+        values = np.array(list(entries.values()), np.int32)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.first = np.full(1 << 20, -1, np.int32)
+        self.first[(self.keys >> U(44)).astype(np.int64)] = np.arange(len(keys), dtype=np.int32)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether it is a piece or a prefix, number of the piece or -1) of every hash."""
+        at = self.first[(h >> U(44)).astype(np.int64)]
+        hit = self.keys[at] == h
+        hit &= at >= 0
+        # entries that share a table cell stand side by side in the sorted list
+        lost = np.flatnonzero(~hit & (at >= 0))
+        if len(lost):
+            again = np.minimum(np.searchsorted(self.keys, h[lost]), len(self.keys) - 1)
+            at[lost], hit[lost] = again, self.keys[again] == h[lost]
+        return hit, np.where(hit, self.values[at], -1)
+
+
+def extend(h: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Hash of a string with one more character."""
+    return mix(h * U(0x9E3779B97F4A7C15) + code.astype(np.uint64) + U(1))
+
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    found = {}
-    for i in range(model.get_piece_size()):
-        p = model.id_to_piece(i)
-        if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)) and p != START:
-            found.setdefault(p.lower(), len(found))
-    return found, frozenset(p[:k] for p in found for k in range(1, len(p)))
+@lru_cache(maxsize=2)
+def pieces(path: str) -> Pieces:
+    """Once per worker."""
+    return Pieces(path)
 
 
 def windows(chunk: str) -> list[str]:
@@ -60,66 +104,67 @@ def windows(chunk: str) -> list[str]:
     return [START + w[i : i + WINDOW] for w in NOT_LETTERS.split(chunk.lower()) for i in range(0, len(w), WINDOW)]
 
 
-@dataclass
 class Lattice:
-    """All segmentations of many words: edges (word, from, to, piece; piece -1: an unknown character)."""
-
-    word: np.ndarray
-    begin: np.ndarray
-    end: np.ndarray
-    piece: np.ndarray
-    length: np.ndarray
-
-    @classmethod
-    def of(cls, words: list[str], path: str) -> Lattice:
-        known, prefixes = pieces(path)
-        rows = []
-        for k, w in enumerate(words):
-            n = len(w)
-            for i in range(n):
-                single = False
-                for j in range(i + 1, n + 1):
-                    part = w[i:j]
-                    p = known.get(part)
-                    if p is not None:
-                        rows.append((k, i, j, p))
-                        single = single or j == i + 1
-                    if part not in prefixes:
-                        break
-                if not single:
-                    rows.append((k, i, i + 1, -1))
-        e = np.array(rows, np.int64).reshape(-1, 4)
-        return cls(e[:, 0], e[:, 1], e[:, 2], e[:, 3], np.array([len(w) for w in words], np.int64))
-
-    def _sweep(self, at: np.ndarray, into: np.ndarray, weight: np.ndarray, table: np.ndarray, order: np.ndarray, key: np.ndarray) -> None:
-        """Add table[word, at] * weight to table[word, into], in the given order of positions."""
-        cuts = np.flatnonzero(np.diff(key[order])) + 1
-        for part in np.split(order, cuts):
-            np.add.at(table, (self.word[part], into[part]), table[self.word[part], at[part]] * weight[part])
-
-    def forward(self, weight: np.ndarray) -> np.ndarray:
-        """alpha[word, position, language]; weight: per edge and language."""
-        alpha = np.zeros((len(self.length), int(self.length.max(initial=0)) + 1, weight.shape[1]))
-        alpha[:, 0] = 1.0
-        if len(self.word):
-            self._sweep(self.begin, self.end, weight, alpha, np.argsort(self.end, kind="stable"), self.end)
+    """All segmentations of many words: ``piece[word, begin, length - 1]``, numbers from the vocabulary.
+
+    Two further numbers: ``unknown`` for a character that is no piece, ``unknown + 1`` (weight 0) for no piece.
+    """
+
+    def __init__(self, words: list[str], path: str):
+        known = pieces(path)
+        self.length = np.array([len(w) for w in words], np.int64)
+        n = int(self.length.max(initial=1))
+        codes = np.array(words, f"<U{n}").view(np.uint32).reshape(len(words), n)
+        self.unknown = known.size
+        self.piece = np.full((len(words), n, min(n, known.longest)), self.unknown + 1, np.int32)
+        word, begin = np.nonzero(codes)
+        h = np.zeros(len(word), np.uint64)
+        for k in range(self.piece.shape[2]):
+            inside = begin + k < self.length[word]
+            word, begin, h = word[inside], begin[inside], h[inside]
+            h = extend(h, codes[word, begin + k])
+            hit, number = known.find(h)
+            found = number >= 0
+            self.piece[word[found], begin[found], k] = number[found]
+            if k == 0:
+                self.piece[word[~found], begin[~found], 0] = self.unknown
+            word, begin, h = word[hit], begin[hit], h[hit]
+            if not len(word):
+                break
+
+    def forward(self, table: np.ndarray) -> np.ndarray:
+        """alpha[position, word, language]; ``table``: weight per piece number and language."""
+        _, n, longest = self.piece.shape
+        alpha = np.zeros((n + 1, len(self.length), table.shape[1]))
+        alpha[0] = 1.0
+        for end in range(1, n + 1):
+            for k in range(1, min(end, longest) + 1):
+                number = self.piece[:, end - k, k - 1]
+                some = np.flatnonzero(number <= self.unknown)
+                alpha[end, some] += alpha[end - k, some] * table[number[some]]
         return alpha
 
-    def totals(self, weight: np.ndarray) -> np.ndarray:
+    def totals(self, table: np.ndarray) -> np.ndarray:
         """Probability of each word, summed over all segmentations."""
-        return self.forward(weight)[np.arange(len(self.length)), self.length]
+        return self.forward(table)[self.length, np.arange(len(self.length))]
 
-    def expected(self, weight: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
-        """Expected piece counts of words seen ``counts`` times, weights equal for all languages (one column)."""
-        alpha = self.forward(weight)
+    def expected(self, table: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Expected piece counts of words seen ``counts`` times, all languages alike (``table`` has one column)."""
+        _, n, longest = self.piece.shape
+        alpha = self.forward(table)[:, :, 0]
         beta = np.zeros_like(alpha)
         here = np.arange(len(self.length))
-        beta[here, self.length] = 1.0
-        order = np.argsort(-self.begin, kind="stable")
-        self._sweep(self.end, self.begin, weight, beta, order, self.begin)
-        share = alpha[self.word, self.begin, 0] * weight[:, 0] * beta[self.word, self.end, 0] / alpha[here, self.length, 0][self.word]
-        kept = self.piece >= 0
-        return np.bincount(self.piece[kept], weights=share[kept] * counts[self.word[kept]], minlength=size)
+        beta[self.length, here] = 1.0
+        out = np.zeros(len(table))
+        scale = counts / alpha[self.length, here]
+        for begin in range(n - 1, -1, -1):
+            for k in range(1, min(n - begin, longest) + 1):
+                number = self.piece[:, begin, k - 1]
+                some = np.flatnonzero(number <= self.unknown)
+                step = table[number[some], 0] * beta[begin + k, some]
+                beta[begin, some] += step
+                out += np.bincount(number[some], weights=alpha[begin, some] * step * scale[some], minlength=len(table))
+        return out[: self.unknown]
 
 
 @dataclass
@@ -141,43 +186,51 @@ class Model:
 
 
 class Scorer:
-    """Keeps the word scores of chunks seen so far, a fixed number at most."""
+    """Keeps the scores of chunks and words seen so far, a fixed number at most; row 0 is a chunk without letters."""
 
     def __init__(self, model: Model):
         self.model = model
+        self.weights = np.vstack([model.table, np.zeros(len(model.languages))])
+        self.clear()
+
+    def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.scores = np.zeros((0, len(model.languages)))
+        self.words: dict[str, int] = {}
+        self.scores = np.zeros((1, len(self.model.languages)))
 
     def learn(self, chunks: list[str]) -> None:
-        words = [(k, w) for k, c in enumerate(chunks) for w in windows(c)]
-        out = np.zeros((len(chunks), len(self.model.languages)))
-        distinct = sorted({w for _, w in words}, key=len)
-        at = {w: i for i, w in enumerate(distinct)}
-        logs = np.zeros((len(distinct), len(self.model.languages)))
-        for i in range(0, len(distinct), 4096):
-            lattice = Lattice.of(distinct[i : i + 4096], self.model.path)
-            logs[i : i + 4096] = np.log(np.maximum(lattice.totals(self.model.table[lattice.piece]), 1e-300))
-        if words:
-            np.add.at(out, [k for k, _ in words], logs[[at[w] for _, w in words]])
+        split = [windows(c) for c in chunks]
+        fresh = sorted({w for s in split for w in s if w not in self.words}, key=len)
+        logs = [np.log(np.maximum(Lattice(fresh[i : i + 4096], self.model.path).totals(self.weights), 1e-300)) for i in range(0, len(fresh), 4096)]
         base = len(self.scores)
-        self.scores = np.concatenate([self.scores, out])
-        self.known.update({c: base + i for i, c in enumerate(chunks)})
+        self.words.update(zip(fresh, range(base, base + len(fresh)), strict=True))
+        several = [(c, [self.words[w] for w in s]) for c, s in zip(chunks, split, strict=True) if len(s) > 1]
+        self.known.update((c, self.words[s[0]] if s else 0) for c, s in zip(chunks, split, strict=True))
+        self.scores = np.concatenate([self.scores, *logs])
+        if several:
+            base = len(self.scores)
+            self.scores = np.concatenate([self.scores, np.array([self.scores[rows].sum(axis=0) for _, rows in several])])
+            self.known.update((c, base + i) for i, (c, _) in enumerate(several))
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         if not self.model.languages:
             return [("und", 0.0)] * len(texts)
-        split = [t.split() for t in texts]
         if len(self.known) > CACHE_CHUNKS:
-            self.known, self.scores = {}, self.scores[:0]
-        fresh = {c for s in split for c in s if c not in self.known}
-        if fresh:
-            self.learn(sorted(fresh))
-        out = []
+            self.clear()
+        split = [t.split() for t in texts]
+        chunks = [c for s in split for c in s]
+        row = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            self.learn(sorted({chunks[i] for i in new.tolist()}))
+            row[new] = [self.known[chunks[i]] for i in new.tolist()]
+        out, end = [], 0
         for t, s in zip(texts, split, strict=True):
+            begin, end = end, end + len(s)
             if not regex.search(r"\p{L}", t):
                 out.append(("und", 0.0))
                 continue
-            total = self.model.prior + self.scores[np.fromiter(map(self.known.__getitem__, s), np.int64, len(s))].sum(axis=0)
+            total = self.model.prior + self.scores[row[begin:end]].sum(axis=0)
             p = np.exp(total - total.max())
             best = int(p.argmax())
             out.append((self.model.languages[best], float(p[best] / p.sum())))
@@ -186,7 +239,8 @@ class Scorer:
 
 def train(rows: DataFrame, path: str, train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on ``text`` and non-null ``lang`` of ``rows`` (which also have ``doc_id``)."""
-    size = len(pieces(path)[0])
+    size = pieces(path).size
+    start = np.append(np.full(size, 1.0 / size), [UNKNOWN, 0.0])[:, None]
     labelled = rows.where("lang is not null and doc_id is not null")
     totals = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(totals)
@@ -210,9 +264,7 @@ def train(rows: DataFrame, path: str, train_rows: int = TRAIN_ROWS) -> Model:
                 listed = sorted(words, key=len)
                 for i in range(0, len(listed), 4096):
                     group = listed[i : i + 4096]
-                    lattice = Lattice.of(group, path)
-                    weight = np.where(lattice.piece >= 0, 1.0 / size, UNKNOWN)[:, None]
-                    sums[lang] += lattice.expected(weight, np.array([words[w] for w in group], float), size)
+                    sums[lang] += Lattice(group, path).expected(start, np.array([words[w] for w in group], float))
         for lang, s in sums.items():
             at = np.flatnonzero(s)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(s[at])], ["lang", "piece", "weight"])
