@@ -50,13 +50,16 @@ class FeedFilter:
             raise ValueError("min_amount must be >= 0")
 
 
-def scored_with_cases(txns: DataFrame, predictions: DataFrame, alert_state: DataFrame,
-                      labels: DataFrame) -> DataFrame:
-    """J01 (inner to predictions) + J02 (left to alert state and latest labels)."""
-    base = txns.join(predictions, "transaction_id", "inner")
+def scored_rows(txns: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Transactions with their prediction (inner)."""
+    return txns.join(predictions, "transaction_id", "inner")
+
+
+def with_cases(rows: DataFrame, alert_state: DataFrame, labels: DataFrame) -> DataFrame:
+    """Left to alert state and latest labels; meant for a page, so neither side is wide."""
     alerts = alert_state.select("transaction_id", F.col("status").alias("case_status"), "resolution")
     lab = labels.select("transaction_id", F.col("is_fraud").alias("label_is_fraud"))
-    return base.join(alerts, "transaction_id", "left").join(lab, "transaction_id", "left")
+    return rows.join(alerts, "transaction_id", "left").join(lab, "transaction_id", "left")
 
 
 def _feed_filtered(joined: DataFrame, f: FeedFilter, as_of_us: int) -> DataFrame:
@@ -76,11 +79,15 @@ def _feed_filtered(joined: DataFrame, f: FeedFilter, as_of_us: int) -> DataFrame
     return joined.where(cond)
 
 
-def feed_page(joined: DataFrame, f: FeedFilter, as_of_us: int) -> DataFrame:
-    """Q01 page: newest first (ties by id), offset / limit -> top-k, no global sort."""
-    rows = _feed_filtered(joined, f, as_of_us)
-    page = rows.orderBy(F.col("us").desc(), F.col("transaction_id")).offset(f.offset).limit(f.limit)
-    return page.select(
+def feed_rows(scored: DataFrame, f: FeedFilter, as_of_us: int) -> DataFrame:
+    """Q01 page of scored rows: newest first (ties by id), offset / limit -> top-k, no global sort."""
+    rows = _feed_filtered(scored, f, as_of_us)
+    return rows.orderBy(F.col("us").desc(), F.col("transaction_id")).offset(f.offset).limit(f.limit)
+
+
+def feed_page(page: DataFrame, alert_state: DataFrame, labels: DataFrame) -> DataFrame:
+    """Q01 page with its case data: the page is taken first, state and labels have one row per transaction."""
+    return with_cases(page, alert_state, labels).select(
         "transaction_id", F.col("us").alias("timestamp_us"), "user_id", "merchant_id", "merchant_category",
         "amount", "currency", "country", "risk_score", "fraud_probability", "decision", "model_version",
         "case_status", "resolution",
@@ -89,9 +96,9 @@ def feed_page(joined: DataFrame, f: FeedFilter, as_of_us: int) -> DataFrame:
     )
 
 
-def feed_total(joined: DataFrame, f: FeedFilter, as_of_us: int) -> DataFrame:
+def feed_total(scored: DataFrame, f: FeedFilter, as_of_us: int) -> DataFrame:
     """Q01 total count for the same filter."""
-    return _feed_filtered(joined, f, as_of_us).agg(F.count(F.lit(1)).alias("total"))
+    return _feed_filtered(scored, f, as_of_us).agg(F.count(F.lit(1)).alias("total"))
 
 
 def overview(txns: DataFrame, predictions: DataFrame, as_of_us: int, hours: int = 24) -> DataFrame:
@@ -153,6 +160,8 @@ def recent_user_rows(scored: DataFrame, targets: DataFrame, n: int = RECENT_ROWS
       * earlier buckets: each bucket's last n rows ("tail"); the n latest rows
         before bucket b lie in the tails of the n most recent non-empty earlier
         buckets, gathered by a frame over one aggregated row per (user, bucket).
+    Only the buckets that hold a target, and the tails of users that hold one, reach a window.
+    ``targets`` has transaction_id, user_id and us.
     """
     row = F.struct(
         F.col("us").alias("us"), F.col("transaction_id").alias("id"), F.col("amount").alias("amount"),
@@ -162,12 +171,13 @@ def recent_user_rows(scored: DataFrame, targets: DataFrame, n: int = RECENT_ROWS
     )
     rows = scored.select("user_id", "us", "transaction_id", row.alias("r"),
                          F.floor(F.col("us") / F.lit(bucket_us)).cast("long").alias("_b"))
+    asked = targets.select("user_id", F.floor(F.col("us") / F.lit(bucket_us)).cast("long").alias("_b")).distinct()
     w = Window.partitionBy("user_id", "_b").orderBy("us", "transaction_id")
-    near = rows.select("user_id", "_b", "transaction_id", "us",
+    near = rows.join(asked, ["user_id", "_b"], "left_semi").select("user_id", "_b", "transaction_id", "us",
                        F.collect_list("r").over(w.rowsBetween(-n, n)).alias("near")
                        ).join(targets.select("transaction_id"), "transaction_id", "left_semi")
     newest = Window.partitionBy("user_id", "_b").orderBy(F.col("us").desc(), F.col("transaction_id").desc())
-    tails = (rows.withColumn("_k", F.row_number().over(newest)).where(F.col("_k") <= n)
+    tails = (rows.join(asked.select("user_id").distinct(), "user_id", "left_semi").withColumn("_k", F.row_number().over(newest)).where(F.col("_k") <= n)
              .groupBy("user_id", "_b").agg(F.collect_list("r").alias("tail")))
     before = Window.partitionBy("user_id").orderBy("_b").rowsBetween(-n, -1)
     prior = tails.select("user_id", "_b", F.flatten(F.collect_list("tail").over(before)).alias("prior"))
@@ -246,6 +256,19 @@ def decisions_per_minute(txns: DataFrame, predictions: DataFrame) -> DataFrame:
     return g.select(F.unix_micros(F.col("w.start")).alias("minute_us"), "decision", "n")
 
 
+def latency_p95(predictions: DataFrame, minutes: int = 5) -> DataFrame:
+    """Q08: 95th percentile of ``processing_time_ms`` per tumbling window of ``created_at``; rows without one are left out.
+
+    Exact: values are first counted per window, so a busy window is combined map-side.
+    """
+    timed = predictions.where(F.col("processing_time_ms").isNotNull()).select(
+        F.unix_micros(F.window("created_at", f"{minutes} minutes")["start"]).alias("window_us"), "processing_time_ms")
+    counted = timed.groupBy("window_us", "processing_time_ms").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("window_us").agg(
+        F.sum("n").alias("predictions"),
+        F.expr("percentile(processing_time_ms, 0.95, n)").alias("p95_ms"))
+
+
 def errors_by_type(rejects: DataFrame, component: str = "validator") -> DataFrame:
     """Q08 errors by component and type, from a dead-letter table with an ``errors`` array."""
     return (rejects.select(F.explode("errors").alias("error_type"))

@@ -115,8 +115,9 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 from riskline.operators import readmodels as RM  # noqa: E402
 from riskline.operators.features import offline_features, skew_report  # noqa: E402
-from riskline.plans.scoring import first_write_wins, merchant_dimension, user_dimension  # noqa: E402
-from riskline.plans.store import build_store  # noqa: E402
+from riskline.plans.scoring import alerts_from, explanations_for, first_write_wins  # noqa: E402
+from riskline.plans.scoring import merchant_dimension, user_dimension  # noqa: E402
+from riskline.plans.store import CaseFrames, build_store  # noqa: E402
 
 ST = S.store_ctes()
 
@@ -141,31 +142,30 @@ rk AS (SELECT transaction_id, (f).pos AS pos, (f).feature AS feature, (f).impact
 SELECT transaction_id, position, feature, round(round_even(impact, 4), 6) AS impact, 'increases_risk' AS direction
 FROM rk WHERE position <= {C.REASON_LIMIT} AND impact <> 0""")
 def q_explain(spark, sf_dir):
-    st = build_store(spark, sf_dir)
-    return st.explanations().withColumn("impact", r6("impact"))
+    return explanations_for(build_store(spark, sf_dir).flagged).withColumn("impact", r6("impact"))
 
 
 @register("alerts", ST + " SELECT alert_id, transaction_id, severity, status, created_us FROM alerts")
 def q_alerts(spark, sf_dir):
-    return build_store(spark, sf_dir).alerts.select("alert_id", "transaction_id", "severity", "status", "created_us")
+    return alerts_from(build_store(spark, sf_dir).decided).select("alert_id", "transaction_id", "severity", "status", "created_us")
 
 
 @register("alert_update_fold", ST + " SELECT alert_id, seq, status, code FROM folded")
 def q_fold(spark, sf_dir):
-    return build_store(spark, sf_dir).folded.select("alert_id", "seq", "status", "code")
+    return build_store(spark, sf_dir).cases.folded.select("alert_id", "seq", "status", "code")
 
 
 @register("alert_state", ST + """ SELECT alert_id, transaction_id, severity, status, analyst_note, resolution,
  resolved_us, created_us FROM state""")
 def q_state(spark, sf_dir):
-    return build_store(spark, sf_dir).alert_state
+    return build_store(spark, sf_dir).cases.state
 
 
 @register("analyst_labels", ST + """ SELECT transaction_id, resolution = 'FRAUD' AS is_fraud, 'analyst' AS source,
  resolved_us AS confirmed_us FROM state WHERE resolution IS NOT NULL""")
 def q_analyst_labels(spark, sf_dir):
     from riskline.operators.cases import analyst_labels
-    return analyst_labels(build_store(spark, sf_dir).alert_state).drop("label_seq")
+    return analyst_labels(build_store(spark, sf_dir).cases.state).drop("label_seq")
 
 
 @register("labels_latest", ST + " SELECT transaction_id, is_fraud, source, confirmed_us, versions FROM labels_all")
@@ -208,19 +208,19 @@ _FEED_WHERE = f"""t.us >= (SELECT as_of_us FROM as_of) - {FEED.hours * C.HOUR_US
  ORDER BY t.us DESC, t.transaction_id LIMIT {FEED.limit} OFFSET {FEED.offset}""")
 def q_feed_page(spark, sf_dir):
     st = build_store(spark, sf_dir)
-    joined = RM.scored_with_cases(st.txns, st.predictions.drop("created_at"), st.alert_state, st.labels())
-    return RM.feed_page(joined, FEED, st.as_of_us).withColumn("fraud_probability", r6("fraud_probability"))
+    page = materialize(RM.feed_rows(st.decided, FEED, st.as_of_us))  # at most FEED.limit rows
+    state = CaseFrames(spark, alerts_from(page)).state
+    return RM.feed_page(page, state, st.labels_of(page, state)).withColumn("fraud_probability", r6("fraud_probability"))
 
 
 @register("feed_total", ST + f"""
  SELECT count(*) AS total FROM tx t JOIN scored s USING (transaction_id) WHERE {_FEED_WHERE}""")
 def q_feed_total(spark, sf_dir):
     st = build_store(spark, sf_dir)
-    joined = RM.scored_with_cases(st.txns, st.predictions.drop("created_at"), st.alert_state, st.labels())
-    return RM.feed_total(joined, FEED, st.as_of_us)
+    return RM.feed_total(st.decided, FEED, st.as_of_us)
 
 
-@register("overview_kpis", ST + f"""
+@register("overview_kpis", S.store_ctes(1) + f"""
  SELECT count(*) AS transactions_24h,
         count(*) FILTER (WHERE s.decision = 'APPROVE') AS approved,
         count(*) FILTER (WHERE s.decision = 'MANUAL_REVIEW') AS manual_review,
@@ -228,7 +228,7 @@ def q_feed_total(spark, sf_dir):
  FROM tx t LEFT JOIN scored s USING (transaction_id)
  WHERE t.us >= (SELECT as_of_us FROM as_of) - {24 * C.HOUR_US}""")
 def q_overview(spark, sf_dir):
-    st = build_store(spark, sf_dir)
+    st = build_store(spark, sf_dir, 1)
     return RM.overview(st.txns, st.predictions, st.as_of_us, 24)
 
 
@@ -268,25 +268,55 @@ SELECT transaction_id, recent_rank, recent_transaction_id, recent_us, amount, co
 FROM c WHERE recent_rank <= {RM.RECENT_ROWS}""")
 def q_investigation_recent(spark, sf_dir):
     st = build_store(spark, sf_dir)
-    return RM.recent_user_rows(st.scored, st.alerts)
+    return RM.recent_user_rows(st.decided, st.flagged)
+
+
+#: Some stored predictions have lost their snapshot, some alerts are not explained yet.
+LOST_SNAPSHOT, PENDING = 7, 3
+
+
+def _stored_snapshots(st) -> DataFrame:
+    lost = F.pmod(F.col("source_seq"), F.lit(LOST_SNAPSHOT)) == 0
+    return st.scored.select("transaction_id", "risk_score", "decision",
+                            F.when(~lost, F.col("feature_snapshot")).alias("feature_snapshot"))
+
+
+def _explained(st) -> DataFrame:
+    done = st.alerts.where(F.pmod("alert_id", F.lit(PENDING)) != 0).select("transaction_id")
+    return explanations_for(st.flagged.join(done, "transaction_id", "left_semi"))
 
 
-@register("investigation_header", ST + """
+@register("investigation_header", ST + f"""
  SELECT st.transaction_id, st.alert_id, st.status, st.resolution, s.risk_score, s.decision,
-        'available' AS feature_snapshot_status, 'complete' AS explanation_status,
+        CASE WHEN s.source_seq % {LOST_SNAPSHOT} = 0 THEN 'unavailable' ELSE 'available' END AS feature_snapshot_status,
+        CASE WHEN st.alert_id % {PENDING} <> 0 THEN 'complete' WHEN s.source_seq % {LOST_SNAPSHOT} <> 0 THEN 'fallback'
+             ELSE 'unavailable' END AS explanation_status,
         CASE WHEN l.is_fraud THEN 'FRAUD' WHEN l.is_fraud IS NOT NULL THEN 'LEGITIMATE' END AS confirmed_label
  FROM state st JOIN scored s USING (transaction_id) LEFT JOIN labels l USING (transaction_id)""")
 def q_investigation_header(spark, sf_dir):
     st = build_store(spark, sf_dir)
-    return RM.investigation(st.scored, st.alert_state, st.explanations(), st.labels())
+    return RM.investigation(_stored_snapshots(st), st.cases.state, _explained(st), st.labels())
 
 
-@register("alerts_newest", ST + """
- SELECT alert_id, transaction_id, severity, status, created_us, 'complete' AS explanation_status
+@register("alerts_newest", ST + f"""
+ SELECT alert_id, transaction_id, severity, status, created_us,
+        CASE WHEN alert_id % {PENDING} <> 0 THEN 'complete' ELSE 'pending' END AS explanation_status
  FROM state ORDER BY created_us DESC, alert_id DESC LIMIT 100""")
 def q_alerts_newest(spark, sf_dir):
     st = build_store(spark, sf_dir)
-    return RM.alerts_list(st.alert_state, st.explanations(), 100)
+    return RM.alerts_list(st.cases.state, _explained(st), 100)
+
+
+@register("latency_p95", S.with_ctes(S.tx_cte("events", 1)) + """
+ SELECT epoch_us(time_bucket(INTERVAL 5 MINUTE, ts)) AS window_us, count(*) AS predictions,
+        round(quantile_cont(source_seq % 83 + 1, 0.95), 6) AS p95_ms
+ FROM tx WHERE source_seq % 17 <> 0 GROUP BY 1""")
+def q_latency(spark, sf_dir):
+    seq = F.col("source_seq")
+    timed = transactions(spark, sf_dir).select(
+        F.col("timestamp").alias("created_at"),
+        F.when(F.pmod(seq, F.lit(17)) != 0, (F.pmod(seq, F.lit(83)) + 1).cast("double")).alias("processing_time_ms"))
+    return RM.latency_p95(timed).withColumn("p95_ms", r6("p95_ms"))
 
 
 @register("decisions_per_minute", ST + """
@@ -307,7 +337,7 @@ _SIGNAL_SQL = " UNION ALL ".join(
 @register("behaviour_signals", ST + " " + _SIGNAL_SQL)
 def q_behaviour(spark, sf_dir):
     st = build_store(spark, sf_dir)
-    return RM.behaviour_signals(st.scored, st.alerts)
+    return RM.behaviour_signals(st.scored, st.flagged)
 
 
 @register("first_write_wins", S.with_ctes(S.tx_cte("events", 1)) + """,
@@ -510,15 +540,15 @@ def q_threshold_metrics(spark, sf_dir):
     return EV.threshold_metrics(ev, C.BLOCK_THRESHOLD).select(*[r6(c).alias(c) for c in _M8])
 
 
-def _ranking_sql(src: str) -> str:
+def _ranking_sql(src: str, tag: str = "rank_metrics") -> str:
     return f""",
-rg AS (SELECT probability AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+{tag}_g AS (SELECT probability AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
        FROM {src} GROUP BY 1),
-rc AS (SELECT *, sum(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
+{tag}_c AS (SELECT *, sum(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
               sum(neg) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cum_neg,
-              sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM rg),
-rank_metrics AS (SELECT sum(pos / P * (cum_pos / (cum_pos + cum_neg))) AS pr_auc,
-                        sum(pos * ((N - cum_neg) + neg / 2.0)) / (max(P) * max(N)) AS roc_auc FROM rc)"""
+              sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM {tag}_g),
+{tag} AS (SELECT sum(pos / P * (cum_pos / (cum_pos + cum_neg))) AS pr_auc,
+                        sum(pos * ((N - cum_neg) + neg / 2.0)) / (max(P) * max(N)) AS roc_auc FROM {tag}_c)"""
 
 
 @register("ranking_metrics", SCORED_C + EV_SQL + _ranking_sql("ev")
@@ -542,28 +572,34 @@ def _report_frame(ev_test: DataFrame, version: str, review, block) -> DataFrame:
 
 
 @register("promotion_gates", SCORED_C + EV_SQL + """,
-thr_src AS (SELECT * FROM sliced WHERE split = 'threshold'),
-test AS (SELECT * FROM sliced WHERE split = 'test')""" + threshold_sql("thr_src", "tuned") + _ranking_sql("test") + f""",
+other AS (SELECT label, amount, split, (probability + least(amount / 400.0, 1.0)) / 2 AS probability FROM sliced),
+thr_src AS (SELECT * FROM other WHERE split = 'threshold'),
+test AS (SELECT * FROM sliced WHERE split = 'test'),
+test2 AS (SELECT * FROM other WHERE split = 'test')""" + threshold_sql("thr_src", "tuned")
+          + _ranking_sql("test", "rm1") + _ranking_sql("test2", "rm2") + f""",
 champ AS (SELECT {cost_sql('test', C.REVIEW_THRESHOLD, C.BLOCK_THRESHOLD)} AS cost,
                  count(*) FILTER (WHERE probability >= {C.BLOCK_THRESHOLD} AND label = 1)
                    / greatest(count(*) FILTER (WHERE label = 1), 1) AS recall FROM test),
-chall AS (SELECT {cost_sql('test', '(SELECT review_threshold FROM tuned)', '(SELECT block_threshold FROM tuned)')} AS cost,
+chall AS (SELECT {cost_sql('test2', '(SELECT review_threshold FROM tuned)', '(SELECT block_threshold FROM tuned)')} AS cost,
                  count(*) FILTER (WHERE probability >= (SELECT block_threshold FROM tuned) AND label = 1)
-                   / greatest(count(*) FILTER (WHERE label = 1), 1) AS recall FROM test)
-SELECT 'bootstrap-default' AS champion_version, 'bootstrap-tuned' AS challenger_version,
-       true AS gate_pr_auc,
-       chall.recall >= champ.recall - {C.GATE_RECALL_TOLERANCE} AS gate_recall,
-       chall.cost <= champ.cost AS gate_business_cost,
-       (chall.recall >= champ.recall - {C.GATE_RECALL_TOLERANCE}) AND (chall.cost <= champ.cost)
-         AS promotion_recommended,
+                   / greatest(count(*) FILTER (WHERE label = 1), 1) AS recall FROM test2),
+gates AS (SELECT (SELECT pr_auc FROM rm2) >= (SELECT pr_auc FROM rm1) - {C.GATE_PR_AUC_TOLERANCE} AS g1,
+                 chall.recall >= champ.recall - {C.GATE_RECALL_TOLERANCE} AS g2, chall.cost <= champ.cost AS g3
+          FROM champ, chall)
+SELECT 'bootstrap-default' AS champion_version, 'amount-blend' AS challenger_version, g1 AS gate_pr_auc,
+       g2 AS gate_recall, g3 AS gate_business_cost, g1 AND g2 AND g3 AS promotion_recommended,
        false AS automatic_promotion
-FROM champ, chall""")
+FROM gates""")
 def q_promotion(spark, sf_dir):
+    """The bootstrap score against a score that also looks at the amount."""
     ev = materialize(chronological_split(eval_frame(scored_events(spark, sf_dir))))
-    tuned = EV.optimize_thresholds(ev.where(F.col("split") == "threshold")).first()
-    test = ev.where(F.col("split") == "test")
-    champion = _report_frame(test, "bootstrap-default", C.REVIEW_THRESHOLD, C.BLOCK_THRESHOLD)
-    challenger = _report_frame(test, "bootstrap-tuned", tuned["review_threshold"], tuned["block_threshold"])
+    blend = (F.col("probability") + F.least(F.col("amount") / 400.0, F.lit(1.0))) / 2
+    other = ev.withColumn("probability", blend)
+    tuned = EV.optimize_thresholds(other.where(F.col("split") == "threshold")).first()
+    champion = _report_frame(ev.where(F.col("split") == "test"), "bootstrap-default", C.REVIEW_THRESHOLD,
+                             C.BLOCK_THRESHOLD)
+    challenger = _report_frame(other.where(F.col("split") == "test"), "amount-blend", tuned["review_threshold"],
+                               tuned["block_threshold"])
     return EV.compare_reports(champion, challenger)
 
 
@@ -868,17 +904,21 @@ def q_attributions(spark, sf_dir):
 
 
 @register("explain_pending_alerts", ST + f""",
-fac AS (SELECT s.transaction_id, unnest({_impact_sql()}) AS f
-        FROM scored s SEMI JOIN alerts a USING (transaction_id)),
-rk AS (SELECT transaction_id, (f).pos AS pos, (f).feature AS feature, (f).impact AS impact,
+fac AS (SELECT s.transaction_id, s.source_seq, unnest({_impact_sql()}) AS f
+        FROM scored s JOIN alerts a USING (transaction_id) WHERE a.alert_id % {PENDING} = 0),
+rk AS (SELECT transaction_id, source_seq, (f).pos AS pos, (f).feature AS feature, (f).impact AS impact,
               row_number() OVER (PARTITION BY transaction_id ORDER BY abs((f).impact) DESC, (f).pos) AS position
        FROM fac)
-SELECT transaction_id, 'reason_codes:snapshot' AS method, position, feature,
+SELECT transaction_id, CASE WHEN source_seq % {LOST_SNAPSHOT} = 0 THEN 'reason_codes:recomputed'
+                            ELSE 'reason_codes:snapshot' END AS method, position, feature,
        round(round_even(impact, 4), 6) AS impact, 'increases_risk' AS direction
 FROM rk WHERE position <= {C.REASON_LIMIT} AND impact <> 0""")
 def q_explain_pending(spark, sf_dir):
+    """E03 as a stage: alerts without an explanation; lost snapshots are computed again from the transactions."""
     st = build_store(spark, sf_dir)
-    return AT.explain_pending(st.alerts, st.predictions).withColumn("impact", r6("impact"))
+    pending = st.alerts.where(F.pmod("alert_id", F.lit(PENDING)) == 0)
+    recomputed = online_features(st.txns).join(pending.select("transaction_id"), "transaction_id", "left_semi")
+    return AT.explain_pending(pending, _stored_snapshots(st), recomputed).withColumn("impact", r6("impact"))
 
 
 @register("class_balance", SCORED_R + EV_SQL + """
@@ -918,15 +958,22 @@ def q_reference_sample(spark, sf_dir):
 
 
 @register("event_projection", ST + """
- SELECT 'transactions.v1' AS topic, transaction_id AS event_key FROM scored
- UNION ALL SELECT 'fraud_predictions.v1', transaction_id FROM scored
- UNION ALL SELECT 'fraud_alerts.v1', transaction_id FROM scored WHERE decision <> 'APPROVE'
- UNION ALL SELECT 'confirmed_labels.v1', transaction_id FROM label_log SEMI JOIN tx USING (transaction_id)""")
+ SELECT 'transactions.v1' AS topic, transaction_id AS event_key, transaction_id AS payload_id, merchant_id,
+        NULL::INTEGER AS risk_score, NULL::VARCHAR AS decision, NULL::VARCHAR AS label_source FROM scored
+ UNION ALL SELECT 'fraud_predictions.v1', transaction_id, transaction_id, NULL, risk_score, decision, NULL FROM scored
+ UNION ALL SELECT 'fraud_alerts.v1', transaction_id, transaction_id, NULL, risk_score, decision, NULL FROM scored
+  WHERE decision <> 'APPROVE'
+ UNION ALL SELECT 'confirmed_labels.v1', transaction_id, transaction_id, NULL, NULL, NULL, source
+  FROM label_log SEMI JOIN tx USING (transaction_id)""")
 def q_event_projection(spark, sf_dir):
     from riskline.streaming.pipeline import event_projection
     st = build_store(spark, sf_dir)
     accepted = st.label_log.join(st.txns.select("transaction_id"), "transaction_id", "left_semi")
-    return event_projection(st.scored, accepted).select("topic", "event_key")
+    field = lambda name: F.get_json_object("payload", f"$.{name}")
+    return event_projection(st.decided, accepted).select(
+        "topic", "event_key", field("transaction_id").alias("payload_id"), field("merchant_id").alias("merchant_id"),
+        field("risk_score").cast("int").alias("risk_score"), field("decision").alias("decision"),
+        field("source").alias("label_source"))
 
 
 @register("history_pairs_alerts", S.with_ctes(S.tx_cte("events", COMPRESSED_SCALE), S.features_cte(),
@@ -940,3 +987,27 @@ def q_history_pairs(spark, sf_dir):
     targets = scored.where(F.col("decision") != "APPROVE").select("transaction_id", "user_id", "us")
     hist = transactions(spark, sf_dir, "events", COMPRESSED_SCALE).select("transaction_id", "user_id", "us")
     return history_for(targets, hist).select("target_id", "transaction_id", "us")
+
+
+@register("model_info", f"""
+ SELECT '{C.BOOTSTRAP_VERSION}' AS model_version, {C.REVIEW_THRESHOLD}::DOUBLE AS review_threshold,
+        {C.BLOCK_THRESHOLD}::DOUBLE AS block_threshold, count(*) AS scored_rows, min(us) AS first_us, max(us) AS last_us
+ FROM ({S.with_ctes(S.tx_cte("events", 1))} SELECT us FROM tx)""")
+def q_model_info(spark, sf_dir):
+    """Q07: the model in use and what it has scored."""
+    from riskline.plans.training import model_info
+    seen = transactions(spark, sf_dir).agg(F.count(F.lit(1)).alias("scored_rows"), F.min("us").alias("first_us"),
+                                           F.max("us").alias("last_us"))
+    info = model_info(spark, None).select("model_version", "review_threshold", "block_threshold")
+    return info.withColumn("_one", F.lit(1)).join(seen.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+@register("stored_replies", S.with_ctes(S.tx_cte("events", 1)) + """
+ SELECT transaction_id, CASE WHEN source_seq % 5 = 0 THEN 'stored' ELSE 'new' END AS reply,
+        CASE WHEN source_seq % 5 = 0 THEN amount + 1 ELSE amount END AS amount FROM tx""")
+def q_stored_replies(spark, sf_dir):
+    """A known id is answered with its stored row, a new one is kept; the replay carries other amounts."""
+    from riskline.plans.scoring import replies
+    tx = transactions(spark, sf_dir).select("transaction_id", "amount", "source_seq")
+    stored = tx.where(F.pmod("source_seq", F.lit(5)) == 0).withColumn("amount", F.col("amount") + 1)
+    return replies(tx, stored).select("transaction_id", "reply", "amount")

@@ -119,6 +119,14 @@ def first_write_wins(incoming: DataFrame, stored: DataFrame | None, key: str = "
     return first.join(stored.select(key), key, "left_anti")
 
 
+def replies(incoming: DataFrame, stored: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """One row per incoming key with ``reply``: the stored row where there is one, else the first arrival."""
+    first = first_write_wins(incoming, None, key).select(*incoming.columns)
+    new = first.join(stored.select(key), key, "left_anti").withColumn("reply", F.lit("new"))
+    known = stored.select(*incoming.columns).join(first.select(key), key, "left_semi").withColumn("reply", F.lit("stored"))
+    return new.unionByName(known)
+
+
 def user_dimension(txns: DataFrame) -> DataFrame:
     """S07 users: insert-if-new == first time seen."""
     return txns.groupBy("user_id").agg(F.min("us").alias("created_us"))

@@ -158,7 +158,7 @@ def with_ctes(*ctes: str) -> str:
 
 
 def _scripts_values() -> str:
-    from riskline.operators.cases import UPDATE_SCRIPTS
+    from riskline.sources.adapter import UPDATE_SCRIPTS
 
     def lit(v):
         return "NULL" if v is None else (f"'{v}'" if isinstance(v, str) else str(v))
@@ -167,7 +167,8 @@ def _scripts_values() -> str:
 
 def store_ctes(scale: int = COMPRESSED_SCALE) -> str:
     """tx, feat, scored, alerts, updates, folded, state, label_log, as_of."""
-    from riskline.operators.cases import NOTE_LIMIT, UPDATE_GAP_US
+    from riskline.operators.cases import NOTE_LIMIT
+    from riskline.sources.adapter import UPDATE_GAP_US
 
     unit = DAY // scale
     return with_ctes(tx_cte("events", scale), features_cte(), scored_cte()) + f""",
