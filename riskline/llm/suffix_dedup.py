@@ -2,7 +2,7 @@
 
 A byte goes if it lies in a 50-byte string that also begins in a document with a smaller id.  Every 50-byte window
 has a minimizer: the smallest hash among its 25-byte grams.  Equal windows have equal minimizers, so the corpus is
-cut into runs (stretches of consecutive windows with one minimizer), and runs are dealt out by it:
+cut into runs (stretches of consecutive windows with one minimizer), and runs are dealt out by it (one bucket per partition):
 
 1. Each input slice packs its runs into one row per bucket: minimizer, fingerprint of the run's text, document,
    place.  Equal runs are combined first, only those of the smallest document travel on; a minimizer that one slice
@@ -348,6 +348,14 @@ def decode_texts(kept: pa.Array) -> pa.Array:
     return pa.array([None if x is None else x.decode("utf-8", errors="ignore") for x in kept.to_pylist()], pa.string())
 
 
+def even_keys(spark, parts: int) -> list[int]:
+    """One integer per hash partition, so that ``parts`` parts fill as many partitions with one part each."""
+    cell = F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts))
+    found = spark.range(64 * parts + 64).groupBy(cell.alias("cell")).agg(F.min("id").alias("id")).collect()
+    keys = {r["cell"]: int(r["id"]) for r in found}
+    return [keys.get(c, c) for c in range(parts)]
+
+
 # -- the job ------------------------------------------------------------------------------------------------
 
 
@@ -358,7 +366,8 @@ def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix-dedup")
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    deal_key = F.element_at(F.array(*[F.lit(k) for k in even_keys(spark, parts)]), F.col("part") + 1)
     carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), carried.alias("carried"))
     named = texts.where("doc_id is not null")
@@ -382,10 +391,11 @@ def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         yield out.batch()
 
     def deal(packed: DataFrame, name: str) -> DataFrame:
-        return scratch.write(packed.repartition("kind", "part").mapInArrow(solve, PACKED), name)
+        even = packed.withColumn("deal", deal_key).repartition(parts, "deal").drop("deal")
+        return scratch.write(even.mapInArrow(solve, PACKED), name)
 
     first = deal(named.select("doc_id", "text").mapInArrow(spread, PACKED), "runs")
-    asked = first.where(F.col("kind").isin(ASK, ASK_WINDOWS)).withColumn("db", F.col("part"))
+    asked = first.where(F.col("kind").isin(ASK, ASK_WINDOWS)).withColumn("to_deal", deal_key)
 
     def collect(left: pa.Table, right: pa.Table) -> pa.Table:
         out = Out(parts)
@@ -395,10 +405,10 @@ def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
             fetch(list(zip(*(right.column(c).to_pylist() for c in ("kind", "rows", "payload")), strict=True)), by_key, out)
         return pa.Table.from_batches([out.batch()])
 
-    placed = named.withColumn("part", doc_part_column(F.col("doc_id"), parts))
+    placed = named.withColumn("part", doc_part_column(F.col("doc_id"), parts)).withColumn("deal", deal_key).drop("part")
     removed = first.where(F.col("kind") == SPANS)
     if not asked.isEmpty():
-        fetched = placed.drop("carried").groupBy("part").cogroup(asked.groupBy("db")).applyInArrow(collect, PACKED)
+        fetched = placed.drop("carried").groupBy("deal").cogroup(asked.groupBy("to_deal")).applyInArrow(collect, PACKED)
         removed = removed.union(deal(fetched, "texts").where(F.col("kind") == SPANS))
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -417,7 +427,7 @@ def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
 
     schema = T.StructType.fromDDL("doc_id long, n_bytes long, spans array<struct<begin: bigint, end: bigint>>, kept binary")
     schema = schema.add("carried", texts.schema["carried"].dataType)
-    done = placed.groupBy("part").cogroup(removed.withColumn("db", F.col("part")).groupBy("db")).applyInArrow(finish, schema)
+    done = placed.groupBy("deal").cogroup(removed.withColumn("to_deal", deal_key).groupBy("to_deal")).applyInArrow(finish, schema)
     whole = texts.where("doc_id is null").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
         F.array().cast("array<struct<begin: bigint, end: bigint>>").alias("spans"), F.col("text").cast("binary").alias("kept"), "carried",
