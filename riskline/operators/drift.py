@@ -1,27 +1,76 @@
-"""Distribution drift (R01-R05) as aggregations.
+"""Distribution drift (R01-R05) from one table of value counts.
 
-Only quantile edges (11 values) and per-bin counts (<= 10 rows) are small
-enough to ever leave the executors; the row data is scanned once per metric.
+``value_table`` groups both slices once into (metric, value, reference count,
+current count) with running counts in value order (H1's buckets).  Quantile edges,
+PSI bins and the KS statistic are all read from it: an order statistic is the row
+whose running count passes its position, a bin is a sum of counts, KS a maximum.
+Only order statistics (<= 22 a metric) and bin counts leave the executors.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskline import constants as C
-from riskline.operators.ordering import prefix_sums_with_totals
+from riskline.operators.ordering import bucketed
+from riskline.session import materialize
 
 
-def quantile_edges(reference: DataFrame, col: str, bins: int = C.PSI_BINS) -> list[float]:
-    """Unique linear quantiles (exact ``percentile``) of the reference at 0, 1/bins, ..., 1."""
-    qs = [i / bins for i in range(bins + 1)]
-    row = reference.agg(F.percentile(F.col(col).cast("double"), F.array(*[F.lit(q) for q in qs])).alias("q")).first()
-    if row is None or row["q"] is None:
-        return []
-    return sorted(set(float(v) for v in row["q"]))
+def value_table(reference: DataFrame, current: DataFrame, cols: list[str], n_buckets: int | None = None
+                ) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
+    """(metric, v, a, b, cum_a, cum_b) and per metric the row counts of the slices; null values are left out."""
+    def long(df: DataFrame, in_reference: int) -> DataFrame:
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v"))
+                                    for c in cols]))
+        return df.select(pairs.alias("p")).select("p.metric", "p.v", F.lit(in_reference).alias("a"),
+                                                  F.lit(1 - in_reference).alias("b"))
+
+    counts = long(reference, 1).unionByName(long(current, 0)).where("v is not null").groupBy("metric", "v").agg(
+        F.sum("a").cast("long").alias("a"), F.sum("b").cast("long").alias("b"))
+    n = n_buckets or max(1, int(reference.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
+    table = materialize(bucketed(materialize(counts), ["metric", "v"], n))
+    sums = sorted(table.groupBy("_bkt", "metric").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect(),
+                  key=lambda r: r["_bkt"])  # at most buckets + metrics rows
+    totals, offsets = {c: (0, 0) for c in cols}, []
+    for r in sums:
+        before = totals[r["metric"]]
+        offsets.append((r["_bkt"], r["metric"], *before))
+        totals[r["metric"]] = (before[0] + r["a"], before[1] + r["b"])
+    if not offsets:
+        return table.withColumn("cum_a", F.col("a")).withColumn("cum_b", F.col("b")).drop("_bkt"), totals
+    at = F.create_map(*[x for k, m, u, v in offsets for x in (F.lit(f"{k}:{m}"), F.array(F.lit(u), F.lit(v)))])
+    start = F.element_at(at, F.concat_ws(":", "_bkt", "metric"))
+    w = Window.partitionBy("_bkt", "metric").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    return table.select("metric", "v", "a", "b", (start[0] + F.sum("a").over(w)).alias("cum_a"),
+                        (start[1] + F.sum("b").over(w)).alias("cum_b")), totals
+
+
+def edges_of(table: DataFrame, totals: dict[str, tuple[int, int]], bins: int = C.PSI_BINS) -> dict[str, list[float]]:
+    """Per metric the unique linear quantiles of the reference at 0, 1/bins, ..., 1, from order statistics."""
+    wanted = {m: [i * (n - 1) / bins for i in range(bins + 1)] for m, (n, _) in totals.items() if n}
+    places = {m: sorted({f(p) for p in ps for f in (math.floor, math.ceil)}) for m, ps in wanted.items()}
+    hit = F.lit(False)
+    for m, at in places.items():
+        holds = F.exists(F.array(*[F.lit(k) for k in at]), lambda k: (k < F.col("cum_a")) & (k >= F.col("cum_a") - F.col("a")))
+        hit = hit | ((F.col("metric") == m) & holds)
+    rows = table.where(hit).select("metric", "v", "a", "cum_a").collect()  # at most 2 (bins + 1) a metric
+    out = {m: [] for m in totals}
+    for m, ps in wanted.items():
+        own = [r for r in rows if r["metric"] == m]
+
+        def order_statistic(k: int, own=own) -> float:
+            return next(r["v"] for r in own if r["cum_a"] - r["a"] <= k < r["cum_a"])
+
+        quantiles = []
+        for p in ps:
+            lo, hi = math.floor(p), math.ceil(p)
+            x, y = order_statistic(lo), order_statistic(hi)
+            quantiles.append(x if lo == hi or x == y else (hi - p) * x + (p - lo) * y)
+        out[m] = sorted(set(quantiles))
+    return out
 
 
 def _bin_index(v: Column, edges: list[float]) -> Column:
@@ -33,27 +82,31 @@ def _bin_index(v: Column, edges: list[float]) -> Column:
             .when(v == edges[-1], F.lit(k - 1)).otherwise(idx))
 
 
+def bin_counts(table: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """(metric, bin, reference_count, current_count) of the bins that hold a value."""
+    index = F.lit(None).cast("int")
+    for m, e in edges.items():
+        if len(e) >= 3:
+            index = F.when(F.col("metric") == m, _bin_index(F.col("v"), e)).otherwise(index)
+    return table.withColumn("bin", index).where("bin is not null").groupBy("metric", "bin").agg(
+        F.sum("a").alias("reference_count"), F.sum("b").alias("current_count"))
+
+
+def psi_terms(bins: int, counted: dict[int, tuple[int, int]]) -> list[tuple[int, int, int, float]]:
+    """(bin, reference count, current count, PSI term) for every bin; ratios have a floor."""
+    rows = [(k, *counted.get(k, (0, 0))) for k in range(bins)]
+    r_all, c_all = max(sum(r for _, r, _ in rows), 1), max(sum(c for _, _, c in rows), 1)
+    ratios = [(max(r / r_all, C.PSI_FLOOR), max(c / c_all, C.PSI_FLOOR)) for _, r, c in rows]
+    return [(k, r, c, (q - p) * math.log(q / p)) for (k, r, c), (p, q) in zip(rows, ratios)]
+
+
 def psi_table(reference: DataFrame, current: DataFrame, col: str, bins: int = C.PSI_BINS) -> DataFrame:
-    """R01 per-bin table: bin, reference_count, current_count, ratios and the PSI term."""
-    spark = reference.sparkSession
-    edges = quantile_edges(reference, col, bins)
-    if len(edges) < 3:
-        return spark.createDataFrame([], "bin int, reference_count long, current_count long, term double")
-    k = len(edges) - 1
-    ref = reference.select(_bin_index(F.col(col).cast("double"), edges).alias("bin")).where(F.col("bin").isNotNull())
-    cur = current.select(_bin_index(F.col(col).cast("double"), edges).alias("bin")).where(F.col("bin").isNotNull())
-    rc = ref.groupBy("bin").agg(F.count(F.lit(1)).alias("reference_count"))
-    cc = cur.groupBy("bin").agg(F.count(F.lit(1)).alias("current_count"))
-    all_bins = spark.range(k).select(F.col("id").cast("int").alias("bin"))
-    t = (all_bins.join(rc, "bin", "left").join(cc, "bin", "left")
-         .fillna(0, ["reference_count", "current_count"]))
-    from pyspark.sql import Window
-    whole = Window.partitionBy(F.lit(0))  # <= bins rows: bounded by construction
-    rr = F.greatest(F.col("reference_count") / F.greatest(F.sum("reference_count").over(whole), F.lit(1)),
-                    F.lit(C.PSI_FLOOR))
-    cr = F.greatest(F.col("current_count") / F.greatest(F.sum("current_count").over(whole), F.lit(1)),
-                    F.lit(C.PSI_FLOOR))
-    return t.select("bin", "reference_count", "current_count", ((cr - rr) * F.log(cr / rr)).alias("term"))
+    """R01 per-bin table: bin, reference_count, current_count and the PSI term."""
+    table, totals = value_table(reference, current, [col])
+    edges = edges_of(table, totals, bins)
+    counted = {r["bin"]: (r["reference_count"], r["current_count"]) for r in bin_counts(table, edges).collect()}
+    rows = psi_terms(len(edges[col]) - 1, counted) if len(edges[col]) >= 3 else []
+    return reference.sparkSession.createDataFrame(rows, "bin int, reference_count long, current_count long, term double")
 
 
 def psi(reference: DataFrame, current: DataFrame, col: str, bins: int = C.PSI_BINS) -> DataFrame:
@@ -62,20 +115,22 @@ def psi(reference: DataFrame, current: DataFrame, col: str, bins: int = C.PSI_BI
     return t.agg(F.coalesce(F.sum("term"), F.lit(0.0)).alias("psi"))
 
 
+def ks_distance(totals: dict[str, tuple[int, int]]) -> Column:
+    """R02 as a column over ``value_table``: distance of the two distribution functions at a value."""
+    out = F.lit(0.0)
+    for m, (n, k) in totals.items():
+        if n and k:
+            gap = F.abs(F.col("cum_a") / F.lit(float(n)) - F.col("cum_b") / F.lit(float(k)))
+            out = F.when(F.col("metric") == m, gap).otherwise(out)
+    return out
+
+
 def ks_statistic(reference: DataFrame, current: DataFrame, col: str, n_buckets: int | None = None) -> DataFrame:
-    """Two-sample KS statistic D plus sizes (n, m), via global prefix sums over distinct values."""
-    tagged = reference.select(F.col(col).cast("double").alias("v"), F.lit(1).alias("a"), F.lit(0).alias("b")) \
-        .unionByName(current.select(F.col(col).cast("double").alias("v"), F.lit(0).alias("a"), F.lit(1).alias("b")))
-    grouped = tagged.where(F.col("v").isNotNull()).groupBy("v").agg(
-        F.sum("a").cast("long").alias("a"), F.sum("b").cast("long").alias("b"))
-    spark = reference.sparkSession
-    cum, (n, m) = prefix_sums_with_totals(grouped, "v", ["a", "b"], n_buckets)
-    n, m = int(n or 0), int(m or 0)
-    if n == 0 or m == 0:
-        return spark.createDataFrame([(0.0, n, m)], "ks double, n long, m long")
-    return cum.agg(
-        F.max(F.abs(F.col("cum_a") / F.lit(float(n)) - F.col("cum_b") / F.lit(float(m)))).alias("ks"),
-    ).select("ks", F.lit(n).alias("n"), F.lit(m).alias("m"))
+    """Two-sample KS statistic D plus sizes (n, m)."""
+    table, totals = value_table(reference, current, [col], n_buckets)
+    n, m = totals[col]
+    return table.agg(F.coalesce(F.max(ks_distance(totals)), F.lit(0.0)).alias("ks")).select(
+        "ks", F.lit(n).cast("long").alias("n"), F.lit(m).cast("long").alias("m"))
 
 
 def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -118,28 +173,30 @@ def drift_report(reference: DataFrame, current: DataFrame, model_version: str, w
     n_cur = current.count()
     if n_cur < min_rows:
         return spark.createDataFrame([], REPORT_SCHEMA)
-    def metric(df: DataFrame, value: str, name: str) -> DataFrame:
-        return df.select(F.lit(name).alias("metric"), F.col(value).cast("double").alias("value"))
-
-    a_ks = ks_statistic(reference, current, "amount")
-    p_ks = ks_statistic(reference, current, "fraud_probability")
-    parts = [
-        metric(psi(reference, current, "amount"), "psi", "amount_psi"),
-        metric(a_ks, "ks", "amount_ks"),
-        metric(a_ks.select(ks_p_value(F.col("ks"), F.col("n"), F.col("m")).alias("p")), "p", "amount_ks_p_value"),
-        metric(psi(reference, current, "fraud_probability"), "psi", "probability_psi"),
-        metric(p_ks, "ks", "probability_ks"),
-        metric(p_ks.select(ks_p_value(F.col("ks"), F.col("n"), F.col("m")).alias("p")), "p",
-               "probability_ks_p_value"),
-        metric(js_divergence(reference, current, "country", current_rows=n_cur), "js", "country_js"),
-    ]
-    long = parts[0]
-    for part in parts[1:]:
-        long = long.unionByName(part)
+    metrics = {"amount": "amount", "fraud_probability": "probability"}
+    table, totals = value_table(reference, current, list(metrics))
+    table = materialize(table)
+    edges = edges_of(table, totals)
+    counted: dict[str, dict[int, tuple[int, int]]] = {m: {} for m in metrics}
+    for r in bin_counts(table, edges).collect():  # at most bins a metric
+        counted[r["metric"]][r["bin"]] = (r["reference_count"], r["current_count"])
+    found = {}
+    for m, name in metrics.items():
+        terms = psi_terms(len(edges[m]) - 1, counted[m]) if len(edges[m]) >= 3 else []
+        found[f"{name}_psi"] = F.lit(math.fsum(t[3] for t in terms))
+    gaps = table.groupBy("metric").agg(F.max(ks_distance(totals)).alias("ks"))
+    wide = gaps.agg(*[F.coalesce(F.max(F.when(F.col("metric") == m, F.col("ks"))), F.lit(0.0)).alias(f"{name}_ks")
+                      for m, name in metrics.items()])
+    for m, name in metrics.items():
+        found[f"{name}_ks"] = F.col(f"{name}_ks")
+        n, k = totals[m]
+        found[f"{name}_ks_p_value"] = ks_p_value(F.col(f"{name}_ks"), F.lit(float(max(n, 1))), F.lit(float(max(k, 1))))
+    js = js_divergence(reference, current, "country", current_rows=n_cur).withColumnRenamed("js", "country_js")
+    row = wide.withColumn("_one", F.lit(1)).join(js.withColumn("_one", F.lit(1)), "_one")
+    found["country_js"] = F.col("country_js")
     names = ["amount_psi", "amount_ks", "amount_ks_p_value", "probability_psi", "probability_ks",
              "probability_ks_p_value", "country_js"]
-    row = long.agg(*[F.max(F.when(F.col("metric") == nm, F.col("value"))).alias(nm) for nm in names])
-    return row.select(
+    return row.select(*[found[k].alias(k) for k in names]).select(
         F.lit(model_version).alias("model_version"),
         F.lit(window_start_us).alias("window_start_us"),
         F.lit(window_end_us).alias("window_end_us"),
@@ -160,13 +217,3 @@ def reference_sample(df: DataFrame, size: int = 2000, seed: int = 42) -> DataFra
     from riskline.operators.ordering import exact_sample_by_rank
 
     return exact_sample_by_rank(df.select("transaction_id", "amount", "country", "fraud_probability"), size, seed)
-
-
-def ks_p_value_scalar(d: float, n: int, m: int, terms: int = 100) -> float:
-    """Driver-side twin of ``ks_p_value`` for tests."""
-    if d <= 0:
-        return 1.0
-    en = math.sqrt(n * m / (n + m))
-    lam = (en + 0.12 + 0.11 / en) * d
-    s = sum((-1) ** (k - 1) * math.exp(-2.0 * k * k * lam * lam) for k in range(1, terms + 1))
-    return min(max(2 * s, 0.0), 1.0)
