@@ -185,14 +185,14 @@ def drift_report(reference: DataFrame, current: DataFrame, model_version: str, w
         terms = psi_terms(len(edges[m]) - 1, counted[m]) if len(edges[m]) >= 3 else []
         found[f"{name}_psi"] = F.lit(math.fsum(t[3] for t in terms))
     gaps = table.groupBy("metric").agg(F.max(ks_distance(totals)).alias("ks"))
-    wide = gaps.agg(*[F.coalesce(F.max(F.when(F.col("metric") == m, F.col("ks"))), F.lit(0.0)).alias(f"{name}_ks")
-                      for m, name in metrics.items()])
+    js = js_divergence(reference, current, "country", current_rows=n_cur)
+    both = gaps.unionByName(js.select(F.lit("country").alias("metric"), F.col("js").alias("ks")))  # three rows
+    row = both.agg(*[F.coalesce(F.max(F.when(F.col("metric") == m, F.col("ks"))), F.lit(0.0)).alias(name)
+                     for m, name in [*((m, f"{name}_ks") for m, name in metrics.items()), ("country", "country_js")]])
     for m, name in metrics.items():
         found[f"{name}_ks"] = F.col(f"{name}_ks")
         n, k = totals[m]
         found[f"{name}_ks_p_value"] = ks_p_value(F.col(f"{name}_ks"), F.lit(float(max(n, 1))), F.lit(float(max(k, 1))))
-    js = js_divergence(reference, current, "country", current_rows=n_cur).withColumnRenamed("js", "country_js")
-    row = wide.withColumn("_one", F.lit(1)).join(js.withColumn("_one", F.lit(1)), "_one")
     found["country_js"] = F.col("country_js")
     names = ["amount_psi", "amount_ks", "amount_ks_p_value", "probability_psi", "probability_ks",
              "probability_ks_p_value", "country_js"]

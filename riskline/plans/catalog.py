@@ -996,10 +996,11 @@ def q_history_pairs(spark, sf_dir):
 def q_model_info(spark, sf_dir):
     """Q07: the model in use and what it has scored."""
     from riskline.plans.training import model_info
+    info = model_info(spark, None).first()  # one row
     seen = transactions(spark, sf_dir).agg(F.count(F.lit(1)).alias("scored_rows"), F.min("us").alias("first_us"),
                                            F.max("us").alias("last_us"))
-    info = model_info(spark, None).select("model_version", "review_threshold", "block_threshold")
-    return info.withColumn("_one", F.lit(1)).join(seen.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return seen.select(*[F.lit(info[c]).alias(c) for c in ("model_version", "review_threshold", "block_threshold")],
+                       "scored_rows", "first_us", "last_us")
 
 
 @register("stored_replies", S.with_ctes(S.tx_cte("events", 1)) + """
