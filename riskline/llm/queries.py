@@ -77,12 +77,45 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LM.lm_scores(read_table(spark, sf_dir, "documents")).withColumn("score", F.round("score", 6))
 
 
-@register("op4_minhash_dedup")
+@register(
+    "op4_minhash_dedup",
+    r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'),
+               lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ws FROM documents),
+h AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+             ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM h GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM h a JOIN h b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS node, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON r.node = e.a),
+c AS (SELECT node, min(root) AS root FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.root, d.doc_id) AS component_id,
+       coalesce(c.root, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = d.doc_id""",
+)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ND.near_dedup(read_table(spark, sf_dir, "documents"))
 
 
-@register("op5_suffix_dedup")
+@register(
+    "op5_suffix_dedup",
+    """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, unnest(range(0, n - 49)) AS p, x FROM t),
+v AS (SELECT doc_id, p, substr(x, 2 * p + 1, 100) AS s FROM w),
+m AS (SELECT s, min(doc_id) AS f FROM v GROUP BY s),
+g AS (SELECT doc_id, p FROM v JOIN m USING (s) WHERE f < doc_id),
+o AS (SELECT *, max(p + 50) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM g),
+i AS (SELECT *, sum(CASE WHEN e IS NULL OR p > e THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM o),
+sp AS (SELECT doc_id, k, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY ALL),
+q AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS lo FROM sp
+      UNION ALL SELECT doc_id, n, n, coalesce((SELECT max(b) FROM sp WHERE sp.doc_id = t.doc_id), 0) FROM t),
+k AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) - 1 AS n_spans,
+             string_agg(substr(x, 2 * lo + 1, 2 * (a - lo)), '' ORDER BY lo, a) AS kept
+      FROM q JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, n_removed, n_spans, sha256(unhex(kept)) AS kept_sha256 FROM t JOIN k USING (doc_id)""",
+)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = SD.suffix_dedup(read_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
