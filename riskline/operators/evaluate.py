@@ -25,28 +25,32 @@ class CostConfig:
     max_review_rate: float = C.MAX_REVIEW_RATE
 
 
+def decision_loss(decision: Column, fraud: Column, amount: Column, cfg: CostConfig) -> Column:
+    """What one decision costs: a missed fraud its amount, a review its price and the fraud it does not catch, a
+    wrongly blocked customer a fixed amount."""
+    stake = F.when(fraud == 1, amount).otherwise(0.0)
+    return (F.when(decision == "approve", stake)
+            .when(decision == "review", cfg.review_cost + stake * (1 - cfg.review_catch_rate))
+            .otherwise(F.when(fraud == 0, F.lit(cfg.false_positive_cost)).otherwise(0.0)))
+
+
 def expected_cost(df: DataFrame, review: float, block: float, cfg: CostConfig = CostConfig()) -> DataFrame:
     """One row ``expected_cost`` for thresholds (review, block)."""
-    p, y, a = F.col("probability"), F.col("label"), F.col("amount")
-    is_review = (p >= review) & (p < block)
-    is_block = p >= block
-    is_approve = p < review
-    cost = (
-        F.when(is_approve & (y == 1), a).otherwise(0.0)
-        + F.when(is_review & (y == 1), a * (1 - cfg.review_catch_rate)).otherwise(0.0)
-        + F.when(is_block & (y == 0), F.lit(cfg.false_positive_cost)).otherwise(0.0)
-        + F.when(is_review, F.lit(cfg.review_cost)).otherwise(0.0)
-    )
-    return df.agg(F.coalesce(F.sum(cost), F.lit(0.0)).alias("expected_cost"))
+    p = F.col("probability")
+    decision = F.when(p >= block, "block").when(p >= review, "review").otherwise("approve")
+    loss = decision_loss(decision, F.col("label"), F.col("amount"), cfg)
+    return df.agg(F.coalesce(F.sum(loss), F.lit(0.0)).alias("expected_cost"))
 
 
 def threshold_grid() -> list[tuple[int, float, float]]:
-    """The 168 (review, block) pairs in loop order, with the same float steps as a numpy arange loop."""
-    pairs = []
-    for review in np.arange(0.05, 0.81, 0.05):
-        for block in np.arange(review + 0.05, 0.96, 0.05):
-            pairs.append((len(pairs), float(review), float(block)))
-    return pairs
+    """The 168 (number, review, block) pairs, review first.
+
+    Fixed values: steps of 0.05 as floating-point ranges, review from 0.05 below 0.81, block from 0.05 above review
+    below 0.96; the sums' rounding is part of them.
+    """
+    step = 0.05
+    pairs = [(float(r), float(b)) for r in np.arange(step, 0.81, step) for b in np.arange(r + step, 0.96, step)]
+    return [(i, r, b) for i, (r, b) in enumerate(pairs)]
 
 
 def optimize_thresholds(df: DataFrame, cfg: CostConfig = CostConfig()) -> DataFrame:
