@@ -15,9 +15,19 @@ from riskline.session import checkpoint_dir
 
 #: White space of the contracts, as a regular-expression class body.
 SPACE_CLASS = r"\x20\x09-\x0D"
-#: Upper bound of rows and of text bytes handled at once inside a Python task.
+#: Spark's setting that removes a query's shuffle files when it ends; a staged table is never computed again.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of a batch that Spark hands to a Python task; rows and text bytes that a task handles at once.
+ARROW_BYTES = 8 << 20
 SLICE_ROWS = 2_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let Spark hand texts to Python tasks in batches of at most ARROW_BYTES (its default is eight times as much)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("bB")) > ARROW_BYTES:
+        spark.conf.set(key, str(ARROW_BYTES))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +55,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = SLICE_ROW
 def stream(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text") -> DataFrame:
     """``mapInArrow`` in bounded slices; ``work`` maps one slice to one record batch."""
 
+    bound_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
             yield work(part)
@@ -56,6 +68,7 @@ class Scratch:
     """Staged Parquet tables in the shared checkpoint folder: cut lineage, read back pruned, dropped when consumed."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bound_batches(spark)
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.n = 0
@@ -69,7 +82,12 @@ class Scratch:
         self.n += 1
         path = f"{self.root}/{self.n:03d}-{name}"
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-        df.write.mode("overwrite").parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         if self.n == 1:
             fs, p = self._path(self.root)
             fs.deleteOnExit(p)

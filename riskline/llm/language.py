@@ -31,14 +31,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskline.llm.common import slices, stream
+from riskline.llm.common import bound_batches, slices, stream
 from riskline.llm.quality import held_out
 from riskline.llm.shingles import U, mix
 
 #: Training rows of each language (about), additive smoothing per piece, weight of an unknown character.
 TRAIN_ROWS, SMOOTHING, UNKNOWN = 3_000, 0.05, 1e-7
 #: Longest stretch for one forward pass, and chunks kept by a worker.
-WINDOW, CACHE_CHUNKS = 30, 500_000
+WINDOW, CACHE_CHUNKS = 30, 150_000
 START = "▁"
 NOT_LETTERS = regex.compile(r"\P{L}+")
 
@@ -239,6 +239,7 @@ class Scorer:
 
 def train(rows: DataFrame, path: str, train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on ``text`` and non-null ``lang`` of ``rows`` (which also have ``doc_id``)."""
+    bound_batches(rows.sparkSession)
     size = pieces(path).size
     start = np.append(np.full(size, 1.0 / size), [UNKNOWN, 0.0])[:, None]
     labelled = rows.where("lang is not null and doc_id is not null")
@@ -282,6 +283,7 @@ def train(rows: DataFrame, path: str, train_rows: int = TRAIN_ROWS) -> Model:
 
 def predictor(model: Model, spark):
     """A column function: text -> struct(lang_pred, score); leaves the other columns of its frame alone."""
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")

@@ -3,9 +3,9 @@
 Only the histogram of piece lengths decides the packing, and it has at most ``capacity`` entries however many
 documents there are.  On it, the longest length still available opens a pattern; the gap it leaves is looked up among
 the single, pair and triple sums of available lengths, and a combination that fills it exactly is consumed under the
-availability counts, as many times at once as the counts allow.  Where no such sum exists, the longest length that
-fits goes in (best fit) and the smaller gap is looked up again.  Patterns are thereby few (each use exhausts a
-length), and every piece finds its place from its rank among the pieces of its length.
+availability counts, as many times at once as the counts allow.  Lengths that no combination completes are packed
+best fit at the end.  Patterns are thereby few (each use exhausts a length), and every piece finds its place from its
+rank among the pieces of its length.
 
 Spark side: pieces are staged without their texts; ranks come from per-(length, bucket) counts, so a length that a
 third of all pieces share is ranked in ``BUCKETS`` groups; the pattern table (bounded by the capacity, not by the
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskline.llm.bpe import UNUSUAL
-from riskline.llm.common import Scratch, slices
+from riskline.llm.common import Scratch, bound_batches, slices
 
 CAPACITY = 2048
 #: Groups in which pieces of one length are ranked.
@@ -40,23 +40,28 @@ class Tokens:
 
     def __init__(self, path: str, ranks: str):
         import base64
+        import json
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.path, self.library = path, None
+        with open(path, encoding="utf-8") as f:
+            special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         with open(ranks, "rb") as f:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens=special)
 
     def ids(self, text: str) -> np.ndarray:
         # the fast encoder's pattern keeps a stack for long runs without a break
-        if UNUSUAL.search(text) or _long_run(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
+        if not UNUSUAL.search(text) and not _long_run(text):
+            return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+            self.library.no_truncation()
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 def _long_run(text: str, most: int = 20_000) -> bool:
@@ -96,6 +101,7 @@ def token_pieces(docs: DataFrame, path: str, ranks: str, capacity: int = CAPACIT
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
+    bound_batches(docs.sparkSession)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -115,13 +121,13 @@ def _pair(left: np.ndarray, gap: int) -> tuple[int, int] | None:
     return (gap - 1 - x, x + 1) if both[x] else None
 
 
-def _complement(left: np.ndarray, gap: int) -> list[int] | None:
-    """One, two or three available lengths that fill ``gap`` exactly."""
-    if left[gap] > 0:
+def _complement(left: np.ndarray, gap: int, most: int = 3) -> list[int] | None:
+    """Up to ``most`` (three at most) available lengths that fill ``gap`` exactly, as few as possible."""
+    if most >= 1 and left[gap] > 0:
         return [gap]
-    if pair := _pair(left, gap):
+    if most >= 2 and (pair := _pair(left, gap)):
         return list(pair)
-    for x in np.flatnonzero(left[: gap - 1] > 0)[::-1].tolist():
+    for x in np.flatnonzero(left[: gap - 1] > 0)[::-1].tolist() if most >= 3 else []:
         if 3 * x < gap:  # the longest of three is at least a third
             break
         left[x] -= 1
@@ -132,37 +138,70 @@ def _complement(left: np.ndarray, gap: int) -> list[int] | None:
     return None
 
 
-def pack_histogram(counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Patterns ({length: times}, copies) that use every piece once; ``counts[l]``: pieces of length l."""
-    left = np.zeros(capacity + 1, np.int64)
-    left[: len(counts)] = counts
-    patterns = []
-    while (open_ := np.flatnonzero(left)).size:
-        used: dict[int, int] = {}
+Pattern = tuple[dict[int, int], int]
+
+
+def _exact(left: np.ndarray, capacity: int, most: int) -> list[Pattern]:
+    """Sequences that get exactly full, taken from ``left``, opened by ever shorter lengths.
 
-        def take(x: int, used=used) -> None:
-            used[x] = used.get(x, 0) + 1
-            left[x] -= 1
-
-        take(int(open_[-1]))
-        gap = capacity - int(open_[-1])
-        while gap > 0:
-            found = _complement(left, gap)
-            if found is None:
-                fits = np.flatnonzero(left[1 : gap + 1] > 0)
-                if not fits.size:
-                    break
-                found = [int(fits[-1]) + 1]
+    The gap is filled by a complement of at most ``most`` lengths, or, where there is none, by the longest that fits,
+    after which the smaller gap is looked up again; a length that cannot be completed is left.
+    """
+    patterns, first = [], capacity
+    while first:
+        used: dict[int, int] = {}
+        gap, found = capacity, [first] if left[first] else []
+        while found:
             for x in found:
-                take(x)
+                used[x] = used.get(x, 0) + 1
+                left[x] -= 1
             gap -= sum(found)
-        more = min(int(left[x]) // k for x, k in used.items())
+            found = (_complement(left, gap, most) or [int(x) + 1 for x in np.flatnonzero(left[1 : gap + 1] > 0)[-1:]]) if gap else []
+        more = -1 if gap else min(int(left[x]) // k for x, k in used.items())
         for x, k in used.items():
             left[x] -= more * k
-        patterns.append((used, more + 1))
+        if gap:
+            first -= 1
+        else:
+            patterns.append((used, more + 1))
     return patterns
 
 
+def _best_fit(left: np.ndarray, capacity: int) -> list[Pattern]:
+    """Best fit, longest pieces first, for whole classes of equally filled sequences at once."""
+    open_: dict[int, list[Pattern]] = {}
+    for x in np.flatnonzero(left)[::-1].tolist():
+        n = int(left[x])
+        while n:
+            gap = min((g for g, c in open_.items() if g >= x and c), default=capacity)
+            each = gap // x
+            used, copies = open_[gap].pop() if open_.get(gap) else ({}, -(-n // each))
+            full = min(copies, n // each)
+            for times, some in ((each, full), (n % each if full < copies else 0, 1)):
+                if times and some:
+                    open_.setdefault(gap - times * x, []).append((used | {x: times}, some))
+                    n -= times * some
+                    copies -= some
+            if copies and used:
+                open_.setdefault(gap, []).append((used, copies))
+    return [p for c in open_.values() for p in c]
+
+
+def pack_histogram(counts: np.ndarray, capacity: int) -> list[Pattern]:
+    """Patterns ({length: times}, copies) that use every piece once; ``counts[l]``: pieces of length l.
+
+    First the patterns that fill a sequence exactly, then best fit for the residual lengths.  Complements of up to
+    three, two, one or no lengths are tried, and the packing with the fewest sequences is taken.
+    """
+    tried = []
+    for most in (3, 2, 1, 0):
+        left = np.zeros(capacity + 1, np.int64)
+        left[: len(counts)] = counts
+        exact = _exact(left, capacity, most) if most else []
+        tried.append(exact + _best_fit(left, capacity))
+    return min(tried, key=lambda patterns: sum(copies for _, copies in patterns))
+
+
 def _slots(patterns: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
     """Sorted by (length, first rank): how the ranks of each length are dealt to sequences."""
     rows, taken, first = [], {}, 0
@@ -192,7 +231,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = Window.partitionBy("length").orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("length", "bucket_", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base_"))
     inside = Window.partitionBy("length", "bucket_").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = staged.withColumn("rank_", F.row_number().over(inside) - 1).join(F.broadcast(base), ["length", "bucket_"])
+    ranked = staged.withColumn("rank_", F.row_number().over(inside) - 1).join(base, ["length", "bucket_"])
     ranked = ranked.select(*pieces.columns, (F.col("rank_") + F.col("base_")).alias("rank_"))
 
     names = pieces.columns
