@@ -41,9 +41,11 @@ from riskline.llm.shingles import U, mix, prefix_sums, tables
 from riskline.llm.suffix_array import maximal_repeats
 
 #: Bytes of a match and of a gram; most windows of a run; texts of one minimizer in a slice before it travels as a
-#: mark, and in a bucket before its windows are dealt out one by one; suffixes sorted at once.
+#: mark, and in a bucket before its windows are dealt out one by one; suffixes sorted and repeats marked at once.
 MATCH, GRAM, RUN = 50, 25, 64
-SLICE_TEXTS, GROUP_TEXTS, SORT = 32, 2048, 1 << 17
+SLICE_TEXTS, GROUP_TEXTS, SORT, MARKS = 32, 2048, 1 << 16, 1 << 19
+#: Shares in which a task takes the minimizers of its bucket.
+TURNS = 4
 #: Kinds of packed rows: runs, removed stretches, texts asked for, the same window by window, texts.
 RUNS, SPANS, ASK, ASK_WINDOWS, TEXTS = range(5)
 PACKED = "kind int, part int, rows int, payload binary"
@@ -225,17 +227,29 @@ def cut_slice(ids: np.ndarray, texts: list[bytes], out: Out) -> None:
 
 def solve_runs(rows: list[tuple[int, int, bytes]], out: Out) -> None:
     """Step 2 for all rows (part, rows, payload) of kind RUNS that met in one task."""
-    tables_ = [(p, unpack(RUNS, n, b)[0]) for p, n, b in rows]
-    if not tables_:
+    if not rows:
         return
-    t = {k: np.concatenate([x[k] for _, x in tables_]) for k in ("doc", "tag", "start", "n")}
-    h, c = (np.concatenate([join48(x, k) for _, x in tables_]) for k in ("h", "c"))
-    t = {k: v.astype(np.int64) for k, v in t.items()}
-    _, number = np.unique(np.concatenate([np.full(len(x["doc"]), p) for p, x in tables_]), return_inverse=True)
-    h = h | number.astype(np.uint64) << U(48)  # 2 ** 16 buckets of a task at most are kept apart
+    t: dict[str, list[np.ndarray]] = {k: [] for k in ("h", "c", "doc", "tag", "start", "n")}
+    number: dict[int, int] = {}
+    while rows:
+        p, n, payload = rows.pop()
+        x, _ = unpack(RUNS, n, payload)
+        # 2 ** 16 buckets of a task at most are kept apart
+        t["h"].append(join48(x, "h") | U(number.setdefault(p, len(number)) << 48))
+        t["c"].append(join48(x, "c"))
+        for k in ("doc", "tag", "start", "n"):
+            t[k].append(x[k].copy())
+    whole = {k: np.concatenate(t.pop(k)) for k in list(t)}
+    for turn in range(TURNS):  # a share of the minimizers at a time
+        _solve_runs(take(whole, np.flatnonzero(whole["h"] % U(TURNS) == turn)), out)
+
+
+def _solve_runs(t: dict[str, np.ndarray], out: Out) -> None:
+    t = {k: v if k in "hc" else v.astype(np.int64) for k, v in t.items()}
     mark = t["n"] == 0
-    often = np.unique(h[mark])
-    h, c, t = h[~mark], c[~mark], take(t, ~mark)
+    often = np.unique(t["h"][mark])
+    t = take(t, ~mark)
+    h, c = t.pop("h"), t.pop("c")
     order, larger, group_h, group_c = combine(h, c, t["doc"])
     out.spans(take(t, order[larger]))
     n_texts = texts_of(group_h, group_c)
@@ -289,13 +303,31 @@ def _solve_group(t: dict[str, np.ndarray], strings: list[bytes], out: Out) -> No
     own = t["doc"][number]
     smallest = own.copy()
     # a suffix of at least MATCH bytes and the window that it begins with have one number
-    for length, found, least_owner in maximal_repeats(strings, t["doc"], MATCH):
-        for step in range(length - MATCH + 1):
-            smallest[found + step] = np.minimum(smallest[found + step], least_owner)
+    kept: list[tuple[int, np.ndarray, int]] = []
+    marks = 0
+    for repeat in maximal_repeats(strings, t["doc"], MATCH):
+        kept.append(repeat)
+        marks += len(repeat[1]) * (repeat[0] - MATCH + 1)
+        if marks >= MARKS:
+            _mark(kept, smallest)
+            kept.clear()
+            marks = 0
+    _mark(kept, smallest)
     gone = smallest < own
     out.spans({"doc": own[gone], "tag": t["tag"][number][gone], "start": (t["start"][number] + offset)[gone], "n": np.ones(int(gone.sum()), np.int64)})
 
 
+def _mark(repeats: list[tuple[int, np.ndarray, int]], smallest: np.ndarray) -> None:
+    """Lower ``smallest`` at every window inside every occurrence of the repeats (length, suffixes, smallest owner)."""
+    if not repeats:
+        return
+    sizes = np.array([len(found) for _, found, _ in repeats])
+    windows = np.repeat([length - MATCH + 1 for length, _, _ in repeats], sizes)
+    first = np.repeat(np.concatenate([found for _, found, _ in repeats]), windows)
+    step = np.arange(len(first)) - np.repeat(np.cumsum(windows) - windows, windows)
+    np.minimum.at(smallest, first + step, np.repeat(np.repeat([low for _, _, low in repeats], sizes), windows))
+
+
 def fetch(asked: list[tuple[int, int, bytes]], texts: dict[tuple[int, int], bytes], out: Out) -> None:
     """Between steps 2 and 3: the texts of ASK and ASK_WINDOWS rows (kind, rows, payload) of one document bucket."""
     for kind in (ASK, ASK_WINDOWS):
@@ -374,7 +406,7 @@ def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Out(parts)
-        for part in slices(batches, "text", size=4 << 20):
+        for part in slices(batches, "text"):
             cut_slice(part.column("doc_id").to_numpy().astype(np.int64), [x.encode("utf-8") for x in part.column("text").to_pylist()], out)
             yield out.batch()
 
