@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -52,6 +55,24 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = SLICE_ROW
             yield batch.slice(start)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps idle Python workers beside the executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems have no malloc_trim
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A ``mapInArrow`` function that gives freed memory back when its task ends."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 def stream(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text") -> DataFrame:
     """``mapInArrow`` in bounded slices; ``work`` maps one slice to one record batch."""
 
@@ -61,7 +82,7 @@ def stream(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], sche
         for part in slices(batches, text):
             yield work(part)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 class Scratch:

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskline.llm.common import bound_batches, slices, stream
+from riskline.llm.common import bound_batches, slices, stream, tidy
 from riskline.llm.quality import held_out
 from riskline.llm.shingles import U, mix
 
@@ -271,7 +271,7 @@ def train(rows: DataFrame, path: str, train_rows: int = TRAIN_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(s[at])], ["lang", "piece", "weight"])
 
     # rounded sums do not depend on the order in which partitions arrive
-    found = sample.mapInArrow(count, "lang string, piece int, weight double").groupBy("lang", "piece").agg(F.sum(F.round(F.col("weight") * 1e4).cast("long")).alias("w")).toPandas()
+    found = sample.mapInArrow(tidy(count), "lang string, piece int, weight double").groupBy("lang", "piece").agg(F.sum(F.round(F.col("weight") * 1e4).cast("long")).alias("w")).toPandas()
     table = np.full((size + 1, len(languages)), SMOOTHING)
     column = found["lang"].map({k: i for i, k in enumerate(languages)}).to_numpy(int)
     np.add.at(table, (found["piece"].to_numpy(int), column), found["w"].to_numpy(float) / 1e4)

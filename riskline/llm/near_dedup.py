@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskline.llm.common import Scratch, slices, stream
+from riskline.llm.common import Scratch, slices, stream, tidy
 from riskline.llm.components import UnionFind, components
 from riskline.llm.minhash import SLOTS, super_minhash
 from riskline.llm.shingles import U, mix, shingle_sets
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n", "set_hash", "bands", "sig"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set_hash binary, bands array<bigint>, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, n long, set_hash binary, bands array<bigint>, sig binary")
 
 
 def shingle_bytes(docs: DataFrame) -> DataFrame:
@@ -98,7 +98,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = [alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(part.column("sa"), part.column("sb"), strict=True)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in part.columns[:2]], ["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(tidy(run), "a long, b long")
 
 
 def solve_block(table: pa.Table) -> list[tuple[int, int]]:

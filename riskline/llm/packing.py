@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskline.llm.bpe import UNUSUAL
-from riskline.llm.common import Scratch, bound_batches, slices
+from riskline.llm.common import Scratch, bound_batches, slices, tidy
 
 CAPACITY = 2048
 #: Groups in which pieces of one length are ranked.
@@ -103,7 +103,7 @@ def token_pieces(docs: DataFrame, path: str, ranks: str, capacity: int = CAPACIT
 
     bound_batches(docs.sparkSession)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 # -- the packing of a histogram -----------------------------------------------------------------------------
