@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskline.llm.common import Scratch, slices
+from riskline.llm.common import Scratch, give_back, slices, tidy
 from riskline.llm.shingles import U, mix, prefix_sums, tables
 from riskline.llm.suffix_array import maximal_repeats
 
@@ -85,11 +85,12 @@ def take(t: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]:
 
 
 class Out:
-    """Collects packed rows, split by part."""
+    """Collects packed rows, split by part; what is removed or asked for makes one row per part and batch."""
 
     def __init__(self, parts: int):
         self.parts = parts
         self.rows: list[tuple[int, int, int, bytes]] = []
+        self.held: dict[int, list[dict[str, np.ndarray]]] = {SPANS: [], ASK: [], ASK_WINDOWS: []}
 
     def deal(self, kind: int, t: dict[str, np.ndarray], part: np.ndarray) -> None:
         order = np.argsort(part, kind="stable")
@@ -98,24 +99,38 @@ class Out:
             if len(at):
                 self.rows.append((kind, int(part[at[0]]), len(at), pack(kind, take(t, at))))
 
-    def spans(self, t: dict[str, np.ndarray]) -> None:
-        """Removed windows (doc, tag, start, n), joined where they touch, by document bucket."""
-        order = np.lexsort((t["start"], t["tag"], t["doc"]))
-        doc, tag, start, n = (t[k][order].astype(np.int64) for k in ("doc", "tag", "start", "n"))
-        if not len(doc):
-            return
-        fresh = np.ones(len(doc), bool)
-        fresh[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (start[1:] != start[:-1] + n[:-1])
-        first = np.flatnonzero(fresh)
-        total = np.add.reduceat(n, first)
-        self.deal(SPANS, {"doc": doc[first], "tag": tag[first], "start": start[first], "n": total}, doc_part(doc[first], self.parts))
+    def hold(self, kind: int, t: dict[str, np.ndarray]) -> None:
+        """Windows (doc, tag, start, n) that are removed (SPANS), or whose text is asked for."""
+        if len(t["doc"]):
+            self.held[kind].append({f: t[f].astype(d) for f, d in _SPAN_FIELDS})
+
+    def _flush(self) -> None:
+        for kind, found in self.held.items():
+            if not found:
+                continue
+            t = {f: np.concatenate([x[f] for x in found]) for f, _ in _SPAN_FIELDS}
+            found.clear()
+            if kind == SPANS:
+                t = joined(t)
+            self.deal(kind, t, doc_part(t["doc"], self.parts))
 
     def batch(self) -> pa.RecordBatch:
+        self._flush()
         kind, part, rows, payload = zip(*self.rows, strict=True) if self.rows else ((),) * 4
         self.rows = []
         return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(rows, pa.int32()), pa.array(payload, pa.binary())], ["kind", "part", "rows", "payload"])
 
 
+def joined(t: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Removed windows (doc, tag, start, n), joined where they touch."""
+    order = np.lexsort((t["start"], t["tag"], t["doc"]))
+    doc, tag, start, n = (t[k][order].astype(np.int64) for k in ("doc", "tag", "start", "n"))
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (start[1:] != start[:-1] + n[:-1])
+    first = np.flatnonzero(fresh)
+    return {"doc": doc[first], "tag": tag[first], "start": start[first], "n": np.add.reduceat(n, first)}
+
+
 def doc_part(doc: np.ndarray, parts: int) -> np.ndarray:
     """Document bucket of an id; ``doc_part_column`` is the same for Spark."""
     return ((doc ^ (doc >> 17) ^ (doc >> 31)) % parts).astype(np.int64)
@@ -210,10 +225,10 @@ def cut_slice(ids: np.ndarray, texts: list[bytes], out: Out) -> None:
     tag = np.array([zlib.crc32(t) for t in texts], np.int64)
     t = {"doc": ids[r["text"]], "tag": tag[r["text"]], "start": r["start"], "n": r["n"]}
     order, larger, group_h, group_c = combine(r["h"] * U(out.parts) + r["part"].astype(np.uint64), r["c"], t["doc"])
-    out.spans(take(t, order[larger]))
+    out.hold(SPANS, take(t, order[larger]))
     often = (texts_of(group_h, group_c) > SLICE_TEXTS) & ~larger
     asked = order[often]
-    out.deal(ASK_WINDOWS, take(t, asked), doc_part(t["doc"][asked], out.parts))
+    out.hold(ASK_WINDOWS, take(t, asked))
     split48(t, "h", r["h"])
     split48(t, "c", r["c"])
     rest = np.sort(order[~larger & ~often])  # in the order of the texts, which compresses well
@@ -251,7 +266,7 @@ def _solve_runs(t: dict[str, np.ndarray], out: Out) -> None:
     t = take(t, ~mark)
     h, c = t.pop("h"), t.pop("c")
     order, larger, group_h, group_c = combine(h, c, t["doc"])
-    out.spans(take(t, order[larger]))
+    out.hold(SPANS, take(t, order[larger]))
     n_texts = texts_of(group_h, group_c)
     kept = ~larger
     windows = kept & ((n_texts > GROUP_TEXTS) | np.isin(h[order], often))
@@ -264,9 +279,8 @@ def _solve_runs(t: dict[str, np.ndarray], out: Out) -> None:
         np.maximum.at(high, group_h, doc)
         lone = (low == high)[group_h]
     mixed = kept & ~windows & (n_texts > 1) & ~lone
-    for kind, chosen in ((ASK, mixed), (ASK_WINDOWS, windows)):
-        a = take(t, order[chosen])
-        out.deal(kind, a, doc_part(a["doc"], out.parts))
+    out.hold(ASK, take(t, order[mixed]))
+    out.hold(ASK_WINDOWS, take(t, order[windows]))
 
 
 def solve_texts(rows: list[tuple[int, int, bytes]], out: Out) -> None:
@@ -314,7 +328,7 @@ def _solve_group(t: dict[str, np.ndarray], strings: list[bytes], out: Out) -> No
             marks = 0
     _mark(kept, smallest)
     gone = smallest < own
-    out.spans({"doc": own[gone], "tag": t["tag"][number][gone], "start": (t["start"][number] + offset)[gone], "n": np.ones(int(gone.sum()), np.int64)})
+    out.hold(SPANS, {"doc": own[gone], "tag": t["tag"][number][gone], "start": (t["start"][number] + offset)[gone], "n": np.ones(int(gone.sum()), np.int64)})
 
 
 def _mark(repeats: list[tuple[int, np.ndarray, int]], smallest: np.ndarray) -> None:
@@ -354,7 +368,7 @@ def fetch(asked: list[tuple[int, int, bytes]], texts: dict[tuple[int, int], byte
             h = mix((s[first + MATCH] - s[first]) * down[first])
             w = {"doc": t["doc"][number], "tag": t["tag"][number], "start": t["start"][number] + offset, "n": np.ones(len(number), np.int64)}
             order, larger, _, _ = combine(h, np.zeros_like(h), w["doc"])
-            out.spans(take(w, order[larger]))
+            out.hold(SPANS, take(w, order[larger]))
             kept = order[~larger]
             w, h = take(w, kept), h[kept]
             split48(w, "h", h // U(out.parts) & _LOW48)
@@ -424,9 +438,9 @@ def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
 
     def deal(packed: DataFrame, name: str) -> DataFrame:
         even = packed.withColumn("deal", deal_key).repartition(parts, "deal").drop("deal")
-        return scratch.write(even.mapInArrow(solve, PACKED), name)
+        return scratch.write(even.mapInArrow(tidy(solve), PACKED), name)
 
-    first = deal(named.select("doc_id", "text").mapInArrow(spread, PACKED), "runs")
+    first = deal(named.select("doc_id", "text").mapInArrow(tidy(spread), PACKED), "runs")
     asked = first.where(F.col("kind").isin(ASK, ASK_WINDOWS)).withColumn("to_deal", deal_key)
 
     def collect(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -435,7 +449,9 @@ def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
             raw = [x.encode("utf-8") for x in left.column("text").to_pylist()]
             by_key = {(d, zlib.crc32(x)): x for d, x in zip(left.column("doc_id").to_pylist(), raw, strict=True)}
             fetch(list(zip(*(right.column(c).to_pylist() for c in ("kind", "rows", "payload")), strict=True)), by_key, out)
-        return pa.Table.from_batches([out.batch()])
+        made = pa.Table.from_batches([out.batch()])
+        give_back()
+        return made
 
     placed = named.withColumn("part", doc_part_column(F.col("doc_id"), parts)).withColumn("deal", deal_key).drop("part")
     removed = first.where(F.col("kind") == SPANS)

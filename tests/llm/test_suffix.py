@@ -84,8 +84,7 @@ def locally(rows, slices=3, parts=5):
     docs = [(d, (t or "").encode()) for d, t in rows if d is not None]
 
     def out_rows(o):
-        found, o.rows = o.rows, []
-        return found
+        return [tuple(r.values()) for r in o.batch().to_pylist()]
 
     o = SD.Out(parts)
     spread = []
