@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskline.llm.common import Scratch, slices
+from riskline.llm.common import Scratch, slices, tidy
 from riskline.llm.shingles import U, mix, word_hashes
 
 ORDER, BACKOFF, FLOOR = 3, 0.4, 0.5
@@ -58,13 +58,21 @@ def grams(word: np.ndarray, doc: np.ndarray, order: int, bits: int) -> list[np.n
     return out
 
 
-def distinct(levels: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """(sorted distinct n-grams, per level the place of each in it or -1, counts)."""
-    flat = np.concatenate(levels)
-    found, place, count = np.unique(flat, return_inverse=True, return_counts=True)
-    if len(found) and found[0] == -1:
-        found, place, count = found[1:], place - 1, count[1:]
-    return found, np.split(place, np.cumsum([len(x) for x in levels])[:-1]), count
+def distinct(levels: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(sorted distinct n-grams, their counts, per level the place of each n-gram in them or -1), level by level."""
+    parts = []
+    for x in levels:
+        found, place, count = np.unique(x, return_inverse=True, return_counts=True)
+        none = int(len(found) > 0 and found[0] < 0)
+        parts.append((found[none:], (place - none).astype(np.int32), count[none:]))
+    whole = np.sort(np.concatenate([p[0] for p in parts]))
+    whole = whole[np.append(True, whole[1:] != whole[:-1])[: len(whole)]]
+    counts, places = np.zeros(len(whole), np.int64), []
+    for found, place, count in parts:
+        at = np.searchsorted(whole, found)
+        counts[at] += count
+        places.append(np.append(at, -1)[place])
+    return whole, counts, places
 
 
 def planes(x: np.ndarray, width: int) -> bytes:
@@ -104,16 +112,42 @@ def backoff_scores(levels: list[np.ndarray], doc: np.ndarray, docs: int, total:
     return n_words, total_log / np.maximum(n_words, 1)
 
 
+def by_group(docs: DataFrame) -> DataFrame:
+    """(grp, payload): the documents (doc_id, text, grp) of each slice packed by group and compressed for the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            grp = part.column("grp").to_numpy()
+            order = np.argsort(grp, kind="stable")
+            rows = [(int(grp[at[0]]), _packed(part.select(["doc_id", "text"]).take(pa.array(at)))) for at in np.split(order, np.flatnonzero(np.diff(grp[order])) + 1) if len(at)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["grp", "payload"])
+
+    return docs.mapInArrow(tidy(run), "grp int, payload binary")
+
+
+def _packed(rows: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def texts_of(table: pa.Table) -> pa.Table:
+    """The documents in the payloads of a group, in one order however they arrived."""
+    parts = [pa.ipc.open_stream(x).read_all() for x in sorted(table.column("payload").to_pylist())]
+    return pa.concat_tables(parts) if parts else pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.string())})
+
+
 def lm_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, n_words, score of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram-lm")
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = 2 * shuffles
+    groups = 3 * shuffles
     bucket_bits = max(1, (shuffles - 1).bit_length())
     bits = min(BITS + bucket_bits, 63)
     low = (1 << (bits - bucket_bits)) - 1
-    placed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(groups)).cast("int").alias("grp"))
+    placed = by_group(docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(groups)).cast("int").alias("grp")))
 
     # packed rows: bucket -1 has the words of a group; w and v: bytes of a step between hashes and of a count
     packed = "grp int, bucket int, rows int, tokens long, payload binary, w int, v int"
@@ -121,10 +155,12 @@ def lm_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
-        word, doc = words_of(table.column("text").to_pylist())
-        found, _, count = distinct(grams(word, doc, order, bits))
+        word, doc = words_of(texts_of(table).column("text").to_pylist())
+        n_words = len(word)
+        found, count, _ = distinct(grams(word, doc, order, bits))
+        del word, doc
         bucket = found >> (bits - bucket_bits)
-        rows = [(key[0].as_py(), -1, 0, len(word), b"", 0, 0)]
+        rows = [(key[0].as_py(), -1, 0, n_words, b"", 0, 0)]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         for at, n in zip(np.split(found, cuts), np.split(count, cuts), strict=True):
             if len(at):
@@ -151,18 +187,19 @@ def lm_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     sent = placed.groupBy("grp").applyInArrow(send, packed)
-    counted = scratch.write(sent.repartition("bucket").mapInArrow(add_up, packed), "totals")
+    counted = scratch.write(sent.repartition("bucket").mapInArrow(tidy(add_up), packed), "totals")
     tokens = counted.agg(F.sum("tokens")).first()[0] or 0
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        word, doc = words_of(left.column("text").to_pylist())
-        found, levels, _ = distinct(grams(word, doc, order, bits))
+        docs_ = texts_of(left)
+        word, doc = words_of(docs_.column("text").to_pylist())
+        found, _, levels = distinct(grams(word, doc, order, bits))
         answers = sorted(zip(*(right.column(c).to_pylist() for c in ("bucket", "rows", "payload", "v")), strict=True), key=lambda r: r[0])
         total = np.concatenate([np.zeros(0, np.int64), *(from_planes(x, n, v) for k, n, x, v in answers if k >= 0)])
         if len(total) != len(found):
             raise ValueError(f"{len(total)} counts for {len(found)} n-grams")
-        n_words, mean = backoff_scores(levels, doc, left.num_rows, total, tokens)
-        return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(n_words, pa.int64()), "score": pa.array(mean, pa.float64(), mask=n_words == 0)})
+        n_words, mean = backoff_scores(levels, doc, docs_.num_rows, total, tokens)
+        return pa.table({"doc_id": docs_.column("doc_id"), "n_words": pa.array(n_words, pa.int64()), "score": pa.array(mean, pa.float64(), mask=n_words == 0)})
 
     answers = counted.withColumnRenamed("grp", "to_grp")
     return placed.groupBy("grp").cogroup(answers.groupBy("to_grp")).applyInArrow(score, "doc_id long, n_words long, score double")
