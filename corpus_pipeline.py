@@ -15,10 +15,10 @@ from riskline.llm import exact_dedup, language, near_dedup, packing, suffix_dedu
 
 
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter in them (null texts too) go; nothing is moved."""
+    """Documents without a letter in them (null texts too) go, whatever language is predicted; nothing is moved."""
     model = language.train(docs.select("doc_id", "lang", "text"), vocabulary("piece_bpe_32k.model"))
     predict = language.predictor(model, spark)
-    return docs.where(predict("text")["lang_pred"] != "und")
+    return docs.where(~predict("text")["rejected"])
 
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ the partitions and piece counts by one grouped aggregation; only (language, piec
 many at most as languages times vocabulary.  Scoring is one ``mapInArrow`` over the scan, without a shuffle.
 
 Defined results: null text, or one without a letter, is ``und`` with score 0; without training rows every text is
-``und``; equal posteriors go to the language first in alphabet; chunks longer than 30 characters are taken in
+``und``; a language of the table may be called ``und`` too, so only the flag ``rejected`` of ``predictor`` tells a text
+without a letter; equal posteriors go to the language first in alphabet; chunks longer than 30 characters are taken in
 windows of 30, so whole texts count; a null id is never learned from and is not held out; repeated rows are
 predicted each; an empty table gives no rows; other columns are not read.
 """
@@ -40,7 +41,7 @@ TRAIN_ROWS, SMOOTHING, UNKNOWN = 3_000, 0.05, 1e-7
 #: Longest stretch for one forward pass, and chunks kept by a worker.
 WINDOW, CACHE_CHUNKS = 30, 150_000
 START = "▁"
-NOT_LETTERS = regex.compile(r"\P{L}+")
+NOT_LETTERS, LETTER = regex.compile(r"\P{L}+"), regex.compile(r"\p{L}")
 
 
 class Pieces:
@@ -99,6 +100,11 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def rejected(text: str | None) -> bool:
+    """Whether a text has no letter (null texts have none), whatever was learned."""
+    return LETTER.search(text or "") is None
+
+
 def windows(chunk: str) -> list[str]:
     """The letters of a chunk as marked words, at most WINDOW characters each."""
     return [START + w[i : i + WINDOW] for w in NOT_LETTERS.split(chunk.lower()) for i in range(0, len(w), WINDOW)]
@@ -213,6 +219,7 @@ class Scorer:
             self.known.update((c, base + i) for i, (c, _) in enumerate(several))
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        """Language and score of each text."""
         if not self.model.languages:
             return [("und", 0.0)] * len(texts)
         if len(self.known) > CACHE_CHUNKS:
@@ -227,7 +234,7 @@ class Scorer:
         out, end = [], 0
         for t, s in zip(texts, split, strict=True):
             begin, end = end, end + len(s)
-            if not regex.search(r"\p{L}", t):
+            if rejected(t):
                 out.append(("und", 0.0))
                 continue
             total = self.model.prior + self.scores[row[begin:end]].sum(axis=0)
@@ -282,15 +289,20 @@ def train(rows: DataFrame, path: str, train_rows: int = TRAIN_ROWS) -> Model:
 
 
 def predictor(model: Model, spark):
-    """A column function: text -> struct(lang_pred, score); leaves the other columns of its frame alone."""
+    """A column function: text -> struct(lang_pred, score, rejected); leaves the other columns of its frame alone.
+
+    ``rejected``: the text has no letter.  A ``lang_pred`` of ``und`` alone does not say so.
+    """
     bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    @F.arrow_udf("struct<lang_pred: string, score: double, rejected: boolean>")
     def predict(texts: pa.Array) -> pa.Array:
-        batch = pa.RecordBatch.from_arrays([texts], ["text"])
-        found = [r for part in slices(iter([batch]), "text") for r in shared.value.scorer().predict([t or "" for t in part.column(0).to_pylist()])]
-        return pa.array([{"lang_pred": a, "score": b} for a, b in found], pa.struct([("lang_pred", pa.string()), ("score", pa.float64())]))
+        out = []
+        for part in slices(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text"):
+            held = [t or "" for t in part.column(0).to_pylist()]
+            out += [{"lang_pred": a, "score": b, "rejected": rejected(t)} for t, (a, b) in zip(held, shared.value.scorer().predict(held), strict=True)]
+        return pa.array(out, pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]))
 
     return predict
 

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 from public_tokenizers import path
+from pyspark.sql import functions as F
 
 import corpus_pipeline as CP
 from riskline.llm.queries import QUERIES, TWINS
@@ -63,6 +64,15 @@ def test_stages_one_by_one(spark):
     assert used <= least * 1.01 + 1
 
 
+@pytest.mark.parametrize("langs", ["cast(null as string)", "'und'", "if(doc_id % 2 = 0, 'und', lang)"])
+def test_language_stage_keeps_every_text_with_a_letter(spark, langs):
+    rows = awkward() + [(901, "42 + 1 = 43!"), (902, "...")]
+    docs = table(spark, rows)
+    got = stage("language")(spark, docs.withColumn("lang", F.expr(langs)), None)
+    assert got.columns == docs.columns
+    assert rows_of(got) == sorted(((d, t) for d, t in rows if t and any(c.isalpha() for c in t)), key=str)
+
+
 def test_empty_table(spark):
     docs = empty(spark)
     for _, f in CP.STAGES[:-1]:
