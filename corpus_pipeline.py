@@ -2,7 +2,8 @@
 
 Every stage is a function (spark, docs, sf_dir) -> DataFrame; ``docs`` is what its predecessor returned.  All but the
 last return the columns they were given.  Rows without an id cannot be told apart by the two dedup stages and stay;
-rows repeated under one id with the same text are one row after exact dedup.
+rows repeated under one id with the same text are one row after exact dedup (the one with the smallest other columns).
+Exact dedup decides by row, so texts of one repeated id are judged each; near dedup has one decision per id.
 """
 
 from __future__ import annotations
@@ -29,8 +30,23 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the smallest id stays."""
-    kept = exact_dedup.exact_dedup(docs).where("kept")
-    return _only(docs, kept).dropDuplicates(["doc_id", "text"])
+    kept = exact_dedup.exact_dedup(docs).where("kept and doc_id is not null").select("doc_id", "text_sha256").distinct()
+    of_text = F.sha2(exact_dedup.normalised(docs["text"]), 256) == kept["text_sha256"]
+    found = docs.join(kept, (docs["doc_id"] == kept["doc_id"]) & of_text, "left_semi")
+    return _one_row(found.unionByName(docs.where("doc_id is null")))
+
+
+def _one_row(docs: DataFrame) -> DataFrame:
+    """One row per (doc_id, text), the one whose other columns are smallest."""
+    others = [f for f in docs.schema.fields if f.name not in ("doc_id", "text")]
+    if not others:
+        return docs.distinct()
+    row = F.struct(*[F.col(f"`{f.name}`") for f in others])
+    # columns without an order (maps, variants) cannot decide
+    ordered = [F.col(f"`{f.name}`") for f in others if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    least = F.min(row) if len(ordered) == len(others) else F.min_by(row, F.struct(F.lit(0), *ordered))
+    made = docs.groupBy("doc_id", "text").agg(least.alias("others"))
+    return made.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"others.`{c}`").alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

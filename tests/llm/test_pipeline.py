@@ -73,6 +73,16 @@ def test_language_stage_keeps_every_text_with_a_letter(spark, langs):
     assert rows_of(got) == sorted(((d, t) for d, t in rows if t and any(c.isalpha() for c in t)), key=str)
 
 
+def test_exact_stage_decides_by_row(spark):
+    rows = [(5, "text A"), (3, "text B"), (5, "text  B"), (7, "text C"), (7, "text C")]
+    docs = table(spark, rows).withColumn("source", F.expr("if(lang = 'en', 's9', source)"))  # the rows of 7 differ
+    got = stage("exact_dedup")(spark, docs, None)
+    assert got.columns == docs.columns and rows_of(got) == [(3, "text B"), (5, "text A"), (7, "text C")]
+    assert [(r["lang"], r["source"]) for r in got.where("doc_id = 7").collect()] == [("en", "s9")]
+    swapped = docs.orderBy(F.desc("lang"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, stage("exact_dedup")(spark, swapped, None).collect()))
+
+
 def test_empty_table(spark):
     docs = empty(spark)
     for _, f in CP.STAGES[:-1]:
