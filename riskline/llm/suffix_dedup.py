@@ -17,8 +17,9 @@ cut into runs (stretches of consecutive windows with one minimizer), and runs ar
 5. Removed stretches meet their document again, which is cut as a whole.
 
 Windows are judged on the input.  Nothing is collected; rows of a bucket, of a minimizer group and of a document
-bucket are bounded by the number of partitions and by the combining.  Hashes have 64 bits within a bucket of
-minimizers (48 for the texts of one minimizer).
+bucket are bounded by the number of partitions and by the combining.  Equality of runs, and of the windows of step 4,
+rests on two hashes: 48 bits and the bucket for the first (the minimizer, or the window's hash), 48 bits for the second
+(of the run's text, or of the window by other byte values and another base).  The texts of step 3 are compared as bytes.
 
 Defined results: null text counts as empty; rows with a null id are kept whole and remove nothing; rows repeated
 under one id do not remove from each other; an empty table gives no rows; other columns are not read.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskline.llm.common import Scratch, give_back, slices, tidy
-from riskline.llm.shingles import U, mix, prefix_sums, tables
+from riskline.llm.shingles import U, mix, powers, prefix_sums, tables
 from riskline.llm.suffix_array import maximal_repeats
 
 #: Bytes of a match and of a gram; most windows of a run; texts of one minimizer in a slice before it travels as a
@@ -50,6 +51,8 @@ TURNS = 4
 RUNS, SPANS, ASK, ASK_WINDOWS, TEXTS = range(5)
 PACKED = "kind int, part int, rows int, payload binary"
 _BYTE = np.random.default_rng(50).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
+_BYTE_2 = np.random.default_rng(51).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
+_POWERS_2 = powers(0xD1342543DE82EF95, MATCH)
 _LOW48 = U((1 << 48) - 1)
 
 _RUN_FIELDS = (("h4", "<u4"), ("h2", "<u2"), ("c4", "<u4"), ("c2", "<u2"), ("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("n", "u1"))
@@ -157,6 +160,15 @@ def minimizers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return low, s, down
 
 
+def second_hash(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """48 bits of the MATCH bytes from each place in ``first``, by other byte values and another base than the minimizers'."""
+    value = _BYTE_2[data]
+    h = np.zeros(len(first), np.uint64)
+    for k in range(MATCH):
+        h += value[first + k] * _POWERS_2[k]
+    return mix(h) & _LOW48
+
+
 def runs(texts: list[bytes], parts: int) -> dict[str, np.ndarray]:
     """Runs of all texts: part, h, c (48 bits each), text number, start, n (windows)."""
     used = [(i, t) for i, t in enumerate(texts) if len(t) >= MATCH]
@@ -367,12 +379,13 @@ def fetch(asked: list[tuple[int, int, bytes]], texts: dict[tuple[int, int], byte
             first = begin[number] + offset
             h = mix((s[first + MATCH] - s[first]) * down[first])
             w = {"doc": t["doc"][number], "tag": t["tag"][number], "start": t["start"][number] + offset, "n": np.ones(len(number), np.int64)}
-            order, larger, _, _ = combine(h, np.zeros_like(h), w["doc"])
+            c = second_hash(data, first)
+            order, larger, _, _ = combine(h, c, w["doc"])
             out.hold(SPANS, take(w, order[larger]))
             kept = order[~larger]
             w, h = take(w, kept), h[kept]
             split48(w, "h", h // U(out.parts) & _LOW48)
-            split48(w, "c", np.zeros_like(h))
+            split48(w, "c", c[kept])
             out.deal(RUNS, w, (h % U(out.parts)).astype(np.int64))
 
 

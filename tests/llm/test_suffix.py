@@ -129,6 +129,34 @@ def test_frequent_minimizers_go_window_by_window(monkeypatch, slice_texts, group
     assert got == expected(rows) and kind in kinds
 
 
+def test_windows_with_one_equal_hash_are_not_equal(monkeypatch):
+    """Windows of frequent minimizers whose first hash collides: only those with the same bytes go."""
+    monkeypatch.setattr(SD, "_BYTE", np.full(256, 7, np.uint64))  # every window has the same first hash
+    rng = random.Random(32)
+    same = bytes(rng.choices(b"abcdefgh", k=60))
+    docs = {d: same if d in (2, 4) else bytes(rng.choices(b"abcdefgh", k=60)) for d in range(6)}
+    texts = {(d, zlib.crc32(b)): b for d, b in docs.items()}
+
+    def windows(*ids):
+        asked = {"doc": np.array(ids), "tag": np.array([zlib.crc32(docs[d]) for d in ids]), "start": np.zeros(len(ids)), "n": np.full(len(ids), 60 - SD.MATCH + 1)}
+        return [(SD.ASK_WINDOWS, len(ids), SD.pack(SD.ASK_WINDOWS, asked))]
+
+    def removed(out):
+        found = [SD.unpack(SD.SPANS, n, b)[0] for k, _, n, b in (tuple(r.values()) for r in out) if k == SD.SPANS]
+        return sorted((d, a, n) for t in found for d, a, n in zip(*(t[f].tolist() for f in ("doc", "start", "n"))))
+
+    met = SD.Out(5)
+    SD.fetch(windows(*docs), texts, met)  # all in one document bucket
+    assert removed(met.batch().to_pylist()) == [(4, 0, 11)]
+    apart = SD.Out(5)
+    SD.fetch(windows(0, 2, 3), texts, apart)
+    SD.fetch(windows(1, 4, 5), texts, apart)  # in two, whose windows meet later
+    packed = apart.batch().to_pylist()
+    assert removed(packed) == []
+    SD.solve_runs([(r["part"], r["rows"], r["payload"]) for r in packed if r["kind"] == SD.RUNS], apart)
+    assert removed(apart.batch().to_pylist()) == [(4, 0, 11)]
+
+
 def test_small_alphabets():
     """Periodic and highly repetitive texts: long runs, many equal windows."""
     rng = random.Random(33)
