@@ -6,8 +6,8 @@ representatives go on.  Their signatures are cut into bands, and representatives
 * Star step: every bucket links its members to its smallest set (the pivot), so a bucket of n gives n - 1 pairs.  The
   pairs are verified on the full sets, the links are grouped by union-find.
 * Rest step: buckets that still hold more than one group are solved inside tasks, in pairs of blocks whose shingles
-  are bounded: pairs across groups, in the order of estimated similarity, are verified on the full sets unless a
-  link found before has joined them.  No pair leaves the task but the links of the spanning forest.
+  are bounded: pairs across groups, by falling steps of estimated similarity, are verified on the full sets unless a
+  link found before has joined them; they are taken one document at a time and never listed.  No pair leaves the task but the links of the spanning forest.
 
 So every pair that shares a band is either verified, already connected, or ruled out by size or by a signature
 estimate more than four standard errors below the threshold.  With 32 bands of 4, a pair at the threshold of 0.75
@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskline.llm.common import Scratch, slices, stream, tidy
-from riskline.llm.components import UnionFind, components
+from riskline.llm.components import components
 from riskline.llm.minhash import SLOTS, super_minhash
 from riskline.llm.shingles import U, mix, shingle_sets
 
 #: Bands of the signature, the threshold in percent, the lowest estimate that is verified, shingles of a block.
 BANDS, PERCENT, ESTIMATE, BLOCK_SHINGLES = 32, 75, 0.58, 1 << 19
+#: Estimates from which a block's pairs are taken, one pass each.
+STEPS = (0.85, 0.7, ESTIMATE)
 _SUM = np.random.default_rng(75).integers(1, 2**63, (3, SLOTS), dtype=np.uint64) * U(2) + U(1)
 
 
@@ -110,25 +112,25 @@ def solve_block(table: pa.Table) -> list[tuple[int, int]]:
     band = int(table.column("band")[0].as_py())
     n = np.array([len(s) for s in sets], np.int64)
     cross = bool((block != block[0]).any())
-    tries = []
-    for i in range(len(ids)):
-        j = np.arange(i + 1, len(ids))
-        j = j[(root[j] != root[i]) & (100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i]))]
-        if cross:
-            j = j[block[j] != block[i]]
-        if not len(j):
-            continue
-        estimate = (sig[j] == sig[i]).mean(axis=1)
-        near = estimate >= ESTIMATE
-        j, estimate = j[near], estimate[near]
-        # a pair belongs to the first band that it shares
-        first = ~(bands[j, :band] == bands[i, :band]).any(axis=1)
-        tries += zip(estimate[first].tolist(), [i] * int(first.sum()), j[first].tolist(), strict=True)
-    sets_found, links = UnionFind(), []
-    for _, i, j in sorted(tries, key=lambda t: -t[0]):
-        if sets_found.find(int(root[i])) != sets_found.find(int(root[j])) and alike(sets[i], sets[j]):
-            sets_found.union(int(root[i]), int(root[j]))
-            links.append((int(ids[i]), int(ids[j])))
+    group, links, high = root.copy(), [], 2.0
+    for lowest in STEPS:  # the more alike first, and no list of pairs: what is joined by then is not looked at again
+        for i in range(len(ids)):
+            j = np.arange(i + 1, len(ids))
+            j = j[(group[j] != group[i]) & (100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i]))]
+            if cross:
+                j = j[block[j] != block[i]]
+            if not len(j):
+                continue
+            estimate = (sig[j] == sig[i]).mean(axis=1)
+            near = (estimate >= lowest) & (estimate < high)
+            j, estimate = j[near], estimate[near]
+            # a pair belongs to the first band that it shares
+            first = ~(bands[j, :band] == bands[i, :band]).any(axis=1)
+            for k in j[first][np.argsort(-estimate[first], kind="stable")].tolist():
+                if group[k] != group[i] and alike(sets[i], sets[k]):
+                    links.append((int(ids[i]), int(ids[k])))
+                    group[group == group[k]] = group[i]
+        high = lowest
     return links
 
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -128,3 +129,26 @@ def test_solve_block_links_across_groups_once():
 
 def test_near_dedup_empty(spark):
     assert ND.near_dedup(empty(spark)).collect() == []
+
+
+def test_pairs_of_a_block_are_not_listed():
+    """Many short texts of one template, no two alike: every pair is a candidate, the memory stays small."""
+    n = 600
+    sets = np.arange(4 * n, dtype=np.uint64).reshape(n, 4)
+    block = pa.table(
+        {
+            "doc_id": pa.array(range(n), pa.int64()),
+            "root": pa.array(range(n), pa.int64()),
+            "block": pa.array([0] * n, pa.int32()),
+            "band": pa.array([0] * n, pa.int32()),
+            "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
+            "sig": pa.array([bytes(SLOTS)] * n, pa.binary()),
+            "bands": pa.array([[0] * ND.BANDS] * n, pa.list_(pa.int64())),
+        }
+    )
+    tracemalloc.start()
+    try:
+        assert ND.solve_block(block) == []
+        assert tracemalloc.get_traced_memory()[1] < 4 << 20
+    finally:
+        tracemalloc.stop()
