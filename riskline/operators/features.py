@@ -10,8 +10,8 @@ Plan shape
   spans ``bucket_days`` (default 2 x horizon).  Each row whose time lies within
   the horizon of the next bucket is copied into that bucket as history only
   (a "halo"), so every target row sees its whole horizon inside its partition.
-  A user holding a third of all rows is therefore split across time buckets
-  instead of landing in one task, and the answer stays exact.
+  A user is split by time only: rows of one user within one bucket are one task,
+  however many they are; the answer stays exact.
 * Every other window (novelty per (user, value, bucket)) is clustered on a
   superset of (user_id, bucket) and reuses that partitioning: sorts only.
 * Counts are differences of two incremental prefix counts (linear, exact).
