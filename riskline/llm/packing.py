@@ -191,13 +191,13 @@ def pack_histogram(counts: np.ndarray, capacity: int) -> list[Pattern]:
     """Patterns ({length: times}, copies) that use every piece once; ``counts[l]``: pieces of length l.
 
     First the patterns that fill a sequence exactly, then best fit for the residual lengths.  Complements of up to
-    three, two, one or no lengths are tried, and the packing with the fewest sequences is taken.
+    three, two or one lengths are tried, and the packing with the fewest sequences is taken.
     """
     tried = []
-    for most in (3, 2, 1, 0):
+    for most in (3, 2, 1):
         left = np.zeros(capacity + 1, np.int64)
         left[: len(counts)] = counts
-        exact = _exact(left, capacity, most) if most else []
+        exact = _exact(left, capacity, most)
         tried.append(exact + _best_fit(left, capacity))
     return min(tried, key=lambda patterns: sum(copies for _, copies in patterns))
 

@@ -118,6 +118,14 @@ def test_histogram_packing_uses_every_piece_once():
         assert sequences <= best_fit_decreasing(counts, capacity)
 
 
+def test_no_packing_without_exact_complements(monkeypatch):
+    calls, exact, best_fit = [], PK._exact, PK._best_fit
+    monkeypatch.setattr(PK, "_exact", lambda *a: calls.append("exact") or exact(*a))
+    monkeypatch.setattr(PK, "_best_fit", lambda *a: calls.append("fit") or best_fit(*a))
+    PK.pack_histogram(np.array([0, 3, 2, 0, 5, 1]), 8)
+    assert calls == ["exact", "fit"] * 3
+
+
 def test_complement_finds_a_filling_whenever_there_is_one():
     rng = random.Random(2)
     for _ in range(500):
