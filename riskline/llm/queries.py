@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskline.llm import bpe as BP
 from riskline.llm import exact_dedup as ED
+from riskline.llm import filter_audit as FA
 from riskline.llm import language as LA
 from riskline.llm import near_dedup as ND
 from riskline.llm import ngram_lm as LM
@@ -167,3 +168,36 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ED.exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op13_filter_audit",
+    r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+f AS (SELECT part, len(ws) < 50 AS a, 100 * len(list_distinct(ws)) < 65 * len(ws) AS b,
+             100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+             coalesce(least < doc_id, false) AS e,
+             EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND l.quality = 1) AS good,
+             EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND l.toxic = 1) AS toxic FROM w),
+x AS (SELECT part, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+             || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS fails, good, toxic FROM f),
+y AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE toxic) AS x FROM x GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS z),
+o AS (SELECT p.z || q.z || r.z || s.z || u.z AS filter_order FROM l p JOIN l q ON q.z <> p.z JOIN l r ON r.z NOT IN (p.z, q.z)
+      JOIN l s ON s.z NOT IN (p.z, q.z, r.z) JOIN l u ON u.z NOT IN (p.z, q.z, r.z, s.z)),
+k AS (SELECT filter_order, CAST(i AS INTEGER) AS step, substr(filter_order, i, 1) AS own, substr(filter_order, 1, i - 1) AS before
+      FROM o, range(1, 6) t(i)),
+c AS (SELECT part, filter_order, step, own, n, g, x, fails, contains(fails, own) AS hit,
+             length(translate(fails, before, '')) < length(fails) AS gone FROM y, k)
+SELECT part, filter_order, step, CAST(coalesce(sum(n) FILTER (WHERE NOT hit AND NOT gone), 0) AS BIGINT) AS kept,
+       CAST(coalesce(sum(n) FILTER (WHERE hit AND NOT gone), 0) AS BIGINT) AS removed,
+       CAST(coalesce(sum(n) FILTER (WHERE hit AND gone), 0) AS BIGINT) AS redundant,
+       CAST(coalesce(sum(n) FILTER (WHERE fails = own), 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(sum(g) FILTER (WHERE hit AND NOT gone), 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(sum(x) FILTER (WHERE hit AND NOT gone), 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(sum(n) FILTER (WHERE hit AND NOT gone), 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM c GROUP BY part, filter_order, step, own""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FA.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
