@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskline.llm import bpe as BP
+from riskline.llm import centroids as CE
 from riskline.llm import exact_dedup as ED
 from riskline.llm import filter_audit as FA
 from riskline.llm import language as LA
 from riskline.llm import near_dedup as ND
 from riskline.llm import ngram_lm as LM
 from riskline.llm import packing as PK
+from riskline.llm import passage_dedup as PD
 from riskline.llm import quality as QU
 from riskline.llm import suffix_dedup as SD
 from riskline.llm import topk as TK
@@ -170,6 +172,53 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ED.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def _cluster_rounds(rounds: int) -> str:
+    """CTEs a0, c1, a1, ... of the clustering: the vectors' nearest centroids, then the moved centroids."""
+    out = []
+    for i in range(rounds + 1):
+        out.append(f"""a{i} AS (SELECT vec_id, e, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+  SELECT vec_id, e, c, CAST(list_sum(list_transform(list_zip(e, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+  FROM v, c{i}) GROUP BY vec_id, e)""")
+        if i < rounds:
+            out.append(f"""c{i + 1} AS (SELECT c, coalesce(n.m, o.m) AS m FROM c{i} o LEFT JOIN (
+  SELECT c, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS m FROM (
+    SELECT c, i, sum(e[i]) AS s, count(*) AS n FROM a{i}, range(1, 65) g(i) GROUP BY ALL) GROUP BY c) n USING (c))""")
+    return ",\n".join(out)
+
+
+@register(
+    "op11_centroids",
+    f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS c, e AS m FROM (SELECT sha256('1:' || vec_id) AS h, e FROM v ORDER BY h LIMIT 16)),
+{_cluster_rounds(3)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a3 JOIN c3 USING (c)""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CE.cluster(read_table(spark, sf_dir, "embeddings")).drop("compared")
+
+
+@register(
+    "op12_passage_dedup",
+    r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i,
+             unnest(list_transform(range(1, len(ws) - 11), lambda i: array_to_string(ws[i:i + 12], ' '))) AS s FROM t),
+m AS (SELECT s, min(doc_id) AS f FROM w GROUP BY s),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM w JOIN m USING (s) WHERE f < doc_id),
+a AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS x FROM t),
+k AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS kept FROM a ANTI JOIN g USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN k USING (doc_id)""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = PD.passage_dedup(read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register(
     "op13_filter_audit",
     r"""
