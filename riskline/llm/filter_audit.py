@@ -66,19 +66,17 @@ def combinations(docs: DataFrame, labels: DataFrame) -> DataFrame:
     moved = F.array(F.struct((F.col("bits") + BIT["E"]).alias("bits"), F.lit(1).cast("long").alias("n")), F.struct(F.col("bits").alias("bits"), F.lit(-1).cast("long").alias("n")))
     again = again.select("doc_id", "part", F.explode(moved).alias("x")).select("doc_id", "part", "x.bits", "x.n")
     every = alone.unionByName(again)
-    clean = every.where("bits = 0").groupBy("part", "bits").agg(F.sum("n").alias("n"))
-    failing = every.where("bits > 0").groupBy("doc_id", "part", "bits").agg(F.sum("n").alias("n")).where("n > 0")
+    # only failing documents need their id, for the labels; the others are one row per part
+    summed = every.groupBy(F.when(F.col("bits") > 0, F.col("doc_id")).alias("doc_id"), "part", "bits").agg(F.sum("n").alias("n")).where("n > 0")
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False)).cast("long")).alias("good"),
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False)).cast("long")).alias("toxic"),
     )
-    marked = failing.join(known, "doc_id", "left").groupBy("part", "bits").agg(
+    return summed.join(known, "doc_id", "left").groupBy("part", "bits").agg(
         F.sum("n").alias("n"),
         F.coalesce(F.sum(F.col("n") * F.col("good")), F.lit(0).cast("long")).alias("good"),
         F.coalesce(F.sum(F.col("n") * F.col("toxic")), F.lit(0).cast("long")).alias("toxic"),
     )
-    none = F.lit(0).cast("long")
-    return marked.unionByName(clean.select("part", "bits", "n", none.alias("good"), none.alias("toxic")))
 
 
 def _cases() -> Column:
