@@ -1012,3 +1012,60 @@ def q_stored_replies(spark, sf_dir):
     tx = transactions(spark, sf_dir).select("transaction_id", "amount", "source_seq")
     stored = tx.where(F.pmod("source_seq", F.lit(5)) == 0).withColumn("amount", F.col("amount") + 1)
     return replies(tx, stored).select("transaction_id", "reply", "amount")
+
+
+# ---------------------------------------------------------------------------
+# Synthetic minority rows
+# ---------------------------------------------------------------------------
+from riskline.operators import smote as SM  # noqa: E402
+
+
+def _hash_sql(value: str, seed: int) -> str:
+    return f"CAST('0x' || substr(md5(CAST({value} AS VARCHAR) || ':{seed}'), 1, 15) AS BIGINT)"
+
+
+def training_cte() -> str:
+    """CTE ``tr``: the training slice with its features and ``label``, and ``ft``: all slices."""
+    names = ", ".join(C.MODEL_FEATURES)
+    bounds = "".join(f"WHEN row_index < CAST(floor(n * {hi}) AS BIGINT) THEN '{name}' " for name, hi in C.SPLIT_FRACTIONS[:-1])
+    return offline_cte("events") + f""",
+fr AS (SELECT transaction_id, us, CAST(is_fraud AS INTEGER) AS label, {names},
+              row_number() OVER (ORDER BY us, transaction_id) - 1 AS row_index, count(*) OVER () AS n FROM offline),
+ft AS (SELECT * EXCLUDE (n), CASE {bounds}ELSE '{C.SPLIT_FRACTIONS[-1][0]}' END AS split FROM fr),
+tr AS (SELECT * FROM ft WHERE split = 'train')"""
+
+
+def _smote_sql() -> str:
+    f = C.MODEL_FEATURES
+    steps = ", ".join(f"CAST(floor({x} * {SM.STEPS} + 0.5) AS BIGINT) AS q{i}" for i, x in enumerate(f))
+    mean = ", ".join(f"CAST(sum(q{i}) AS DOUBLE) / count(*) AS m{i}, CAST(sum(CAST(q{i} AS HUGEINT) * q{i}) AS DOUBLE) / count(*) AS p{i}" for i in range(len(f)))
+    spread = ", ".join(f"m{i}, sqrt(greatest(p{i} - m{i} * m{i}, 0.0)) AS s{i}" for i in range(len(f)))
+    v = ", ".join(f"CASE WHEN s{i} = 0 THEN 0 ELSE CAST(floor((q{i} - m{i}) / s{i} * {SM.UNITS} + 0.5) AS BIGINT) END" for i in range(len(f)))
+    mixed = ", ".join(f"round(b.{x} + w * (o.{x} - b.{x}), 6) AS {x}" for x in f)
+    return f""",
+sq AS (SELECT transaction_id, us, label, {steps} FROM tr),
+sm AS (SELECT {mean} FROM sq),
+ss AS (SELECT {spread} FROM sm),
+sv AS (SELECT transaction_id, row_number() OVER (ORDER BY us, transaction_id) - 1 AS rank, [{v}] AS v FROM sq, ss WHERE label = 1),
+sd AS (SELECT a.transaction_id AS base_id, a.rank, b.transaction_id AS neighbour_id,
+              list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS d
+       FROM sv a JOIN sv b ON a.transaction_id <> b.transaction_id),
+sk AS (SELECT *, row_number() OVER (PARTITION BY base_id ORDER BY d, neighbour_id) - 1 AS place FROM sd),
+sc AS (SELECT count(*) FILTER (WHERE label = 1) AS few, count(*) FILTER (WHERE label = 0) AS many FROM tr),
+sr AS (SELECT r.range AS i, {_hash_sql("r.range", 42)} % (few * least({SM.NEIGHBOURS}, few - 1)) AS u,
+              ({_hash_sql("r.range", 43)} % {SM.PLACES}) / {SM.PLACES} AS w, least({SM.NEIGHBOURS}, few - 1) AS k
+       FROM sc, range((SELECT CASE WHEN few > 1 THEN greatest(many - few, 0) ELSE 0 END FROM sc)) r)
+SELECT i AS row, base_id, neighbour_id, {mixed}
+FROM sr JOIN sk ON sk.rank = u // k AND sk.place = u % k
+JOIN tr b ON b.transaction_id = base_id JOIN tr o ON o.transaction_id = neighbour_id"""
+
+
+def training_slices(spark, sf_dir) -> DataFrame:
+    from riskline.plans.training import training_frame
+    return chronological_split(materialize(training_frame(transactions(spark, sf_dir))))
+
+
+@register("smote_rows", training_cte() + _smote_sql())
+def q_smote(spark, sf_dir):
+    train = materialize(training_slices(spark, sf_dir).where(F.col("split") == "train"))
+    return SM.smote_rows(train).select("row", "base_id", "neighbour_id", *[r6(f).alias(f) for f in C.MODEL_FEATURES])
