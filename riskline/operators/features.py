@@ -10,14 +10,14 @@ Plan shape
   spans ``bucket_days`` (default 2 x horizon).  Each row whose time lies within
   the horizon of the next bucket is copied into that bucket as history only
   (a "halo"), so every target row sees its whole horizon inside its partition.
-  A user is split by time only: rows of one user within one bucket are one task,
-  however many they are; the answer stays exact.
 * Every other window (novelty per (user, value, bucket)) is clustered on a
   superset of (user_id, bucket) and reuses that partitioning: sorts only.
 * Counts are differences of two incremental prefix counts (linear, exact).
 * Sums are differences of prefix sums in DECIMAL(38,10) (exact, linear).
 * 24 h distinct counts are exact prefix counts over "close" events (linear).
-* Only the 30-day median uses a sliding frame.
+* Medians come from ``operators.selection`` (linear-log) in the same partitions.
+* Users with more rows than ``hot_rows`` would be one task; they are scanned in
+  chunks of bounded size instead (``operators.segments``), with the same answers.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from riskline import constants as C
 from riskline.functions.geo import haversine_km
+from riskline.operators.segments import CHUNK_BITS, HOT_ROWS, hot_users, offline_scan, online_scan
+from riskline.operators.selection import grouped_medians
 
 UNB = Window.unboundedPreceding
 _EXACT = "decimal(38,10)"
@@ -61,11 +63,16 @@ def online_features(
     bucket_days: int | None = None,
     impossible_travel_kmh: float = C.IMPOSSIBLE_TRAVEL_KMH,
     distinct_counts: bool = True,
+    medians: bool = True,
+    hot_rows: int = HOT_ROWS,
+    chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
     """The 19 online features for every row of ``txns``.
 
     ``distinct_counts=False`` leaves the two 24 h distinct counts null and skips
-    the close-event rows they need (decision-only plans never read them).
+    the close-event rows they need; ``medians=False`` likewise leaves the median
+    null (decision-only plans read neither).  Users with more than ``hot_rows``
+    rows are scanned in chunks of ``2 ** chunk_bits`` rows.
 
     ``txns`` needs transaction_id, user_id, us, timestamp, amount, merchant_id,
     country, device_id, ip_address, latitude, longitude.  Output keeps the input
@@ -73,6 +80,17 @@ def online_features(
     """
     horizon = horizon_days * C.DAY_US
     bucket = (bucket_days or 2 * horizon_days) * C.DAY_US
+    hot = hot_users(txns, hot_rows)
+    usual = txns if hot is None else txns.join(hot, "user_id", "left_anti")
+    out = _derived(_window_scan(usual, horizon, bucket, distinct_counts, medians), txns.columns, horizon, impossible_travel_kmh)
+    if hot is None:
+        return out
+    many = online_scan(txns.join(hot, "user_id", "left_semi").select(*txns.columns), horizon, distinct_counts, medians, chunk_bits)
+    return out.unionByName(_derived(many, txns.columns, horizon, impossible_travel_kmh))
+
+
+def _window_scan(txns: DataFrame, horizon: int, bucket: int, distinct_counts: bool, medians: bool) -> DataFrame:
+    """Counts, sums and latest rows by windows over (user, time bucket)."""
     df = halo_partition(txns, horizon, bucket)
 
     # Exact linear 24 h distinct counts: row j is the latest occurrence of its value for
@@ -138,7 +156,6 @@ def online_features(
         "*",
         count_last(horizon).alias("_n_h"),
         sum_last(horizon).alias("_s_h"),
-        F.percentile(only_data(F.col("amount")), F.lit(0.5)).over(frame(-horizon, -1)).alias("_med"),
         count_last(C.MINUTE_US).alias("_n1m"),
         count_last(5 * C.MINUTE_US).alias("_n5m"),
         count_last(C.HOUR_US).alias("_n1h"),
@@ -150,8 +167,15 @@ def online_features(
         last_seen("country").alias("_seen_c"),
         last_seen("device_id").alias("_seen_d"),
         latest.alias("_prev"),
-    ).where(F.col("_target") & data)
+    )
+    if not medians:
+        return df.where(F.col("_target") & data).withColumn("_med", F.lit(None).cast("double"))
+    df = df.withColumn("_data", data).sortWithinPartitions("user_id", "_pb", "us")
+    return grouped_medians(df, ["user_id", "_pb"], "_med", horizon, counts="_data").where(F.col("_target") & F.col("_data"))
+
 
+def _derived(df: DataFrame, columns: list[str], horizon: int, impossible_travel_kmh: float) -> DataFrame:
+    """The 19 features from what a scan has found."""
     has_history = F.col("_n_h") > 0
     avg_amount = F.when(has_history, F.col("_s_h").cast("double") / F.col("_n_h")).otherwise(F.col("amount"))
     lower = F.col("us") - F.lit(horizon)
@@ -169,8 +193,8 @@ def online_features(
     ).otherwise(F.lit(0.0))
     hour, weekday = _hour_weekday(F.col("timestamp"))
 
-    out = df.select(
-        *[c for c in txns.columns],
+    return df.select(
+        *columns,
         hour.alias("hour"),
         weekday.alias("weekday"),
         avg_amount.alias("user_average_amount"),
@@ -190,7 +214,6 @@ def online_features(
         speed.alias("travel_speed_kmh"),
         (speed > impossible_travel_kmh).cast("double").alias("impossible_travel"),
     )
-    return out
 
 
 def arrival_features(arrived: DataFrame, stored: DataFrame | None = None, **options) -> DataFrame:
@@ -231,47 +254,61 @@ def history_for(targets: DataFrame, history: DataFrame, horizon_days: int = C.HI
     return joined.drop("_bk", "t_us")
 
 
-def offline_features(txns: DataFrame) -> DataFrame:
+#: Columns whose first occurrence counts as new, and widths of the counts, of the offline features.
+_OFFLINE_VALUES = {"merchant_id": "new_merchant", "country": "new_country", "device_id": "new_device"}
+_OFFLINE_WIDTHS = {"5m": 5 * C.MINUTE_US, "1h": C.HOUR_US, "24h": C.DAY_US}
+
+
+def offline_features(txns: DataFrame, hot_rows: int = HOT_ROWS, chunk_bits: int = CHUNK_BITS) -> DataFrame:
     """Training-time features (unlimited horizon for mean / median / novelty).
 
     Row order per user is (us, transaction_id); earlier rows with the same
     timestamp count for mean / median / novelty (row order), never for counts.
-    The expanding frames are per user, incremental (unbounded preceding).
+    Users with more than ``hot_rows`` rows are scanned in chunks of ``2 ** chunk_bits`` rows.
     """
+    hot = hot_users(txns, hot_rows)
+    usual = txns if hot is None else txns.join(hot, "user_id", "left_anti")
+    scanned = _offline_windows(usual)
+    if hot is not None:
+        many = offline_scan(txns.join(hot, "user_id", "left_semi").select(*txns.columns), list(_OFFLINE_VALUES), _OFFLINE_WIDTHS, chunk_bits)
+        scanned = scanned.unionByName(many)
+    hour, weekday = _hour_weekday(F.col("timestamp"))
+    mean = F.when(F.col("_pos") > 0, F.col("_sum").cast("double") / F.col("_pos")).otherwise(F.col("amount"))
+    out = scanned.select(
+        *txns.columns,
+        mean.alias("user_average_amount"),
+        F.coalesce(F.col("_med"), F.col("amount")).alias("user_median_amount"),
+        hour.alias("hour"),
+        weekday.alias("weekday"),
+        *[(F.col(f"_new_{v}") & (F.col("_pos") > 0)).cast("double").alias(name) for v, name in _OFFLINE_VALUES.items()],
+        *[F.col(f"_n_{w}").cast("double").alias(f"transactions_last_{w}") for w in _OFFLINE_WIDTHS],
+    )
+    return out.withColumn(
+        "amount_vs_user_average", F.col("amount") / F.greatest(F.col("user_average_amount"), F.lit(0.01))
+    )
+
+
+def _offline_windows(txns: DataFrame) -> DataFrame:
+    """Earlier rows, sums, medians, first occurrences and counts by windows over the user."""
     w_rows = Window.partitionBy("user_id").orderBy("us", "transaction_id")
     prior = w_rows.rowsBetween(UNB, -1)
     w_range = Window.partitionBy("user_id").orderBy("us")
-    one = F.lit(1)
-    prior_n = F.count(one).over(w_range.rangeBetween(UNB, -1))
+    prior_n = F.count(F.lit(1)).over(w_range.rangeBetween(UNB, -1))
 
     def count_last(width_us: int) -> Column:
-        return (prior_n - F.count(one).over(w_range.rangeBetween(UNB, -width_us - 1))).cast("double")
-
-    mean = F.coalesce(F.avg("amount").over(prior), F.col("amount"))
-    median = F.coalesce(F.percentile(F.col("amount"), F.lit(0.5)).over(prior), F.col("amount"))
-    user_rank = F.row_number().over(w_rows)
+        return prior_n - F.count(F.lit(1)).over(w_range.rangeBetween(UNB, -width_us - 1))
 
     def first_seen(value: str) -> Column:
-        wv = Window.partitionBy("user_id", value).orderBy("us", "transaction_id")
-        return F.when(user_rank > 1, (F.row_number().over(wv) == 1).cast("double")).otherwise(F.lit(0.0))
+        return F.row_number().over(Window.partitionBy("user_id", value).orderBy("us", "transaction_id")) == 1
 
-    hour, weekday = _hour_weekday(F.col("timestamp"))
-    out = txns.repartition("user_id").select(
+    df = txns.repartition("user_id").select(
         "*",
-        mean.alias("user_average_amount"),
-        median.alias("user_median_amount"),
-        hour.alias("hour"),
-        weekday.alias("weekday"),
-        first_seen("merchant_id").alias("new_merchant"),
-        first_seen("country").alias("new_country"),
-        first_seen("device_id").alias("new_device"),
-        count_last(5 * C.MINUTE_US).alias("transactions_last_5m"),
-        count_last(C.HOUR_US).alias("transactions_last_1h"),
-        count_last(C.DAY_US).alias("transactions_last_24h"),
-    )
-    return out.withColumn(
-        "amount_vs_user_average", F.col("amount") / F.greatest(F.col("user_average_amount"), F.lit(0.01))
+        (F.row_number().over(w_rows) - 1).cast("long").alias("_pos"),
+        F.coalesce(F.sum(F.col("amount").cast(_EXACT)).over(prior), F.lit(0)).cast(_EXACT).alias("_sum"),
+        *[first_seen(v).alias(f"_new_{v}") for v in _OFFLINE_VALUES],
+        *[count_last(width).alias(f"_n_{w}") for w, width in _OFFLINE_WIDTHS.items()],
     )
+    return grouped_medians(df.sortWithinPartitions("user_id", "us", "transaction_id"), ["user_id"], "_med", None)
 
 
 def skew_report(online: DataFrame, offline: DataFrame, eps: float = 1e-9,

@@ -46,14 +46,14 @@ def score_batch(txns: DataFrame, policy: P.Policy | None = None, model=None,
     ``model`` is a ``riskline.plans.training.TrainedModel`` or None (bootstrap heuristic).
     Keeps the transaction columns, adds the 19 features, fraud_probability,
     risk_score, decision, rule_reasons, model_version and feature_snapshot.
-    ``with_snapshot=False`` is for decision-only outputs: the two 24 h distinct
-    counts (read by neither the bootstrap model nor the policy) are skipped.
+    ``with_snapshot=False`` is for decision-only outputs: the two 24 h distinct counts
+    and the median (read by neither the bootstrap model nor the policy) are skipped.
     """
     if policy is None:  # D07: the model's thresholds unless the caller passes a policy
         policy = (P.Policy() if model is None
                   else P.Policy.resolve(model.review_threshold, model.block_threshold))
     needs_all = with_snapshot or model is not None
-    feats = online_features(txns, horizon_days=horizon_days, distinct_counts=needs_all)
+    feats = online_features(txns, horizon_days=horizon_days, distinct_counts=needs_all, medians=needs_all)
     return score_features(feats, policy, model, with_snapshot)
 
 
