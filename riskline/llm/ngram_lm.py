@@ -169,25 +169,37 @@ def lm_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 rows.append((key[0].as_py(), int(at[0] >> (bits - bucket_bits)), len(at), 0, planes(step, w) + planes(n, v), w, v))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
+    def totals(bucket: int, rows: list[tuple]) -> pa.RecordBatch:
+        """Corpus counts of the n-grams of one bucket, for every group that sent some."""
+        _, place = np.unique(np.concatenate([from_planes(x, n, w).cumsum() for _, n, x, w, _ in rows]), return_inverse=True)
+        total = np.zeros(int(place.max(initial=-1)) + 1, np.int64)
+        at = 0
+        for _, n, x, w, v in rows:  # n-grams are distinct within a row
+            total[place[at : at + n]] += from_planes(x[n * w :], n, v)
+            at += n
+        back = np.split(total[place], np.cumsum([r[1] for r in rows])[:-1])
+        v = [width_of(x) for x in back]
+        columns = ([r[0] for r in rows], [bucket] * len(rows), [r[1] for r in rows], [0] * len(rows), [planes(x, n) for x, n in zip(back, v, strict=True)], [0] * len(rows), v)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_bucket: dict[int, list] = {}
+        """Rows come sorted by bucket: one bucket at a time, however many a task reads."""
+        bucket, held = -1, []
         for b in batches:
-            whole = pa.array([x < 0 for x in b.column("bucket").to_pylist()], pa.bool_())
-            yield b.filter(whole)
+            yield b.filter(pa.array([x < 0 for x in b.column("bucket").to_pylist()], pa.bool_()))
             for g, k, n, _, x, w, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if k >= 0:
-                    by_bucket.setdefault(k, []).append((g, n, from_planes(x, n, w).cumsum(), from_planes(x[n * w :], n, v)))
-        for k, rows in by_bucket.items():
-            _, place = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True)
-            total = np.zeros(int(place.max(initial=-1)) + 1, np.int64)
-            np.add.at(total, place, np.concatenate([r[3] for r in rows]))
-            back = np.split(total[place], np.cumsum([r[1] for r in rows])[:-1])
-            v = [width_of(x) for x in back]
-            columns = ([r[0] for r in rows], [k] * len(rows), [r[1] for r in rows], [0] * len(rows), [planes(x, n) for x, n in zip(back, v, strict=True)], [0] * len(rows), v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+                if k < 0:
+                    continue
+                if k != bucket:
+                    if held:
+                        yield totals(bucket, held)
+                    bucket, held = k, []
+                held.append((g, n, x, w, v))
+        if held:
+            yield totals(bucket, held)
 
     sent = placed.groupBy("grp").applyInArrow(send, packed)
-    counted = scratch.write(sent.repartition("bucket").mapInArrow(tidy(add_up), packed), "totals")
+    counted = scratch.write(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(add_up), packed), "totals")
     tokens = counted.agg(F.sum("tokens")).first()[0] or 0
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
