@@ -1,9 +1,10 @@
 """Corpus pipeline over ``documents``: language ID, exact dedup, near dedup, repeated passages, packing.
 
 Every stage is a function (spark, docs, sf_dir) -> DataFrame; ``docs`` is what its predecessor returned.  All but the
-last return the columns they were given.  Rows without an id cannot be told apart by the two dedup stages and stay;
-rows repeated under one id with the same text are one row after exact dedup (the one with the smallest other columns).
-Exact dedup decides by row, so texts of one repeated id are judged each; near dedup has one decision per id.
+last return the columns they were given.  Rows without an id cannot be told apart by the two dedup stages and stay,
+all of them; rows repeated under one id with the same text are one row after exact dedup (the one with the smallest other
+columns).  Exact dedup decides by row, so texts of one repeated id are judged each; near dedup has one decision per id.
+Ties go to the smaller id; very long texts pass every stage whole.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ from pyspark.sql import functions as F
 from riskline.llm import exact_dedup, language, near_dedup, packing, suffix_dedup
 
 
-def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter in them (null texts too) go, whatever language is predicted; nothing is moved."""
+def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: tuple[str, ...] | None = None) -> DataFrame:
+    """Documents without a letter (null texts too) go, and those predicted in none of ``languages``, if any are named."""
     model = language.train(docs.select("doc_id", "lang", "text"), vocabulary("piece_bpe_32k.model"))
-    predict = language.predictor(model, spark)
-    return docs.where(~predict("text")["rejected"])
+    found = language.predictor(model, spark)("text")
+    return docs.where(~found["rejected"] if languages is None else ~found["rejected"] & found["lang_pred"].isin(*languages))
 
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -33,7 +34,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = exact_dedup.exact_dedup(docs).where("kept and doc_id is not null").select("doc_id", "text_sha256").distinct()
     of_text = F.sha2(exact_dedup.normalised(docs["text"]), 256) == kept["text_sha256"]
     found = docs.join(kept, (docs["doc_id"] == kept["doc_id"]) & of_text, "left_semi")
-    return _one_row(found.unionByName(docs.where("doc_id is null")))
+    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not again.isEmpty():  # texts of repeated ids alone are moved once more
+        found = found.join(again, "doc_id", "left_anti").unionByName(_one_row(found.join(again, "doc_id", "left_semi")))
+    return found.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def _one_row(docs: DataFrame) -> DataFrame:
