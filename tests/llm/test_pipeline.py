@@ -122,3 +122,24 @@ def test_query_columns(spark, small_dir, name):
     }[name]
     frame = QUERIES[name](spark, small_dir)
     assert frame.columns[: len(want)] == want and frame.count() > 0
+
+
+def test_rows_without_an_id_all_stay(spark):
+    rows = [(None, "same text", "p"), (None, "same text", "q"), (None, "same text", "q"), (None, "a b c", "p"), (1, "a b c", "p"), (2, "a  b c", "p"), (1, "a b c", "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    exact = stage("exact_dedup")(spark, docs, None)
+    want = sorted([(None, "same text", "p"), (None, "same text", "q"), (None, "same text", "q"), (None, "a b c", "p"), (1, "a b c", "p")], key=str)
+    assert exact.columns == docs.columns and sorted(map(tuple, exact.collect()), key=str) == want
+    near = stage("near_dedup")(spark, exact, None)
+    assert sorted(map(tuple, near.collect()), key=str) == want
+    cut = stage("repeated_passages")(spark, near, None)
+    assert sorted(map(tuple, cut.collect()), key=str) == want
+
+
+def test_language_stage_keeps_the_named_languages(spark):
+    docs = table(spark, awkward() + [(902, "...")])
+    kept = stage("language")(spark, docs, None)
+    none, every = (CP.detect_language(spark, docs, None, languages=x) for x in (("xx",), ("en", "fr", "und")))
+    assert none.count() == 0 and rows_of(every) == rows_of(kept)
+    one, other = (CP.detect_language(spark, docs, None, languages=(x,)) for x in ("en", "fr"))
+    assert one.count() + other.count() == kept.count()
