@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskline import constants as C
+from riskline.operators.lattice import EXACT_ROWS, exact_p_value
 from riskline.operators.ordering import bucketed
 from riskline.session import materialize
 
@@ -144,6 +145,36 @@ def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(d <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(2 * s, F.lit(0.0)), F.lit(1.0)))
 
 
+def ks_tests(reference: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
+    """R02 with its p-value: one row per column (metric, n, m, ks, p_value, method).
+
+    Lattice paths are counted where neither slice has more than ``EXACT_ROWS`` rows (method 'exact'); else the series is
+    used ('asymptotic').  An empty slice has distance 0 and p-value 1.
+    """
+    table, totals = value_table(reference, current, cols)
+    return ks_rows(table, totals)
+
+
+def ks_rows(table: DataFrame, totals: dict[str, tuple[int, int]]) -> DataFrame:
+    """``ks_tests`` from a value table; the distance is an integer over n m, so it is exact."""
+    rows = None
+    for metric, (n, m) in totals.items():
+        h = F.coalesce(F.max(F.abs(F.col("cum_a").cast("decimal(38,0)") * F.lit(m) - F.col("cum_b").cast("decimal(38,0)") * F.lit(n))), F.lit(0))
+        d = (F.col("h").cast("double") / F.lit(float(max(n * m, 1)))).alias("ks")
+        exact = max(n, m) <= EXACT_ROWS
+        sizes = [F.lit(n).cast("long").alias("n"), F.lit(m).cast("long").alias("m")]
+        one = table.where(F.col("metric") == metric).agg(h.alias("h")).select(F.lit(metric).alias("metric"), *sizes, d, "h")
+        if not n or not m:
+            p = F.lit(1.0)
+        elif exact:
+            p = exact_p_value(F.col("n"), F.col("m"), F.col("h").cast("long"))
+        else:
+            p = ks_p_value(F.col("ks"), F.lit(float(n)), F.lit(float(m)))
+        one = one.select("metric", "n", "m", "ks", p.alias("p_value"), F.lit("exact" if exact else "asymptotic").alias("method"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
 def js_divergence(reference: DataFrame, current: DataFrame, col: str, reference_rows: int | None = None,
                   current_rows: int | None = None) -> DataFrame:
     """Jensen-Shannon divergence (natural log; the squared JS distance), one row ``js``."""
@@ -184,15 +215,10 @@ def drift_report(reference: DataFrame, current: DataFrame, model_version: str, w
     for m, name in metrics.items():
         terms = psi_terms(len(edges[m]) - 1, counted[m]) if len(edges[m]) >= 3 else []
         found[f"{name}_psi"] = F.lit(math.fsum(t[3] for t in terms))
-    gaps = table.groupBy("metric").agg(F.max(ks_distance(totals)).alias("ks"))
-    js = js_divergence(reference, current, "country", current_rows=n_cur)
-    both = gaps.unionByName(js.select(F.lit("country").alias("metric"), F.col("js").alias("ks")))  # three rows
-    row = both.agg(*[F.coalesce(F.max(F.when(F.col("metric") == m, F.col("ks"))), F.lit(0.0)).alias(name)
-                     for m, name in [*((m, f"{name}_ks") for m, name in metrics.items()), ("country", "country_js")]])
+    tests = {r["metric"]: r for r in ks_rows(table, totals).collect()}  # a row a metric
+    row = js_divergence(reference, current, "country", current_rows=n_cur).withColumnRenamed("js", "country_js")
     for m, name in metrics.items():
-        found[f"{name}_ks"] = F.col(f"{name}_ks")
-        n, k = totals[m]
-        found[f"{name}_ks_p_value"] = ks_p_value(F.col(f"{name}_ks"), F.lit(float(max(n, 1))), F.lit(float(max(k, 1))))
+        found[f"{name}_ks"], found[f"{name}_ks_p_value"] = F.lit(tests[m]["ks"]), F.lit(tests[m]["p_value"])
     found["country_js"] = F.col("country_js")
     names = ["amount_psi", "amount_ks", "amount_ks_p_value", "probability_psi", "probability_ks",
              "probability_ks_p_value", "country_js"]

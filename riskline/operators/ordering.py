@@ -1,21 +1,16 @@
 """H1: global ordered index and prefix sums without a single-partition window.
 
-A window without ``partitionBy`` pulls every row into one task.  Instead:
+A window without ``partitionBy`` pulls every row into one task.  Instead, for an index:
 
-1. range boundaries of (key, tiebreak) are taken once from a hash sample of fixed size
-   per bucket (a handful of literals on the driver),
-2. each row gets an explicit bucket by a search tree of comparisons (ties on the key
-   are split by the tiebreak),
-3. per-bucket totals are aggregated (one row per bucket, collected),
-4. running offsets are inlined as a literal array,
-5. the window runs inside each bucket only.
+1. the rows are range-partitioned by (key, tiebreak), sorted, numbered within their partition and staged, so that the
+   numbers are fixed (the boundaries of a range partitioning come from a sample and may differ on recompute),
+2. one count a partition is collected,
+3. a row's index is its number and the counts of the partitions before its own.
 
-Explicit boundaries make the result deterministic on recompute (lost executors
-re-run the same plan and get the same index), which range-partition sampling
-does not promise.
+Prefix sums over small tables (value counts) use explicit boundaries of buckets in the plan and a window inside each.
 
 Users: S02 (even downsample), M01 (chronological split), M04 (exact-count
-undersample), M09 (AP / ROC AUC), R02 (KS statistic).
+undersample), M05 (ranks of base rows), M09 (AP / ROC AUC), R02 (KS statistic).
 """
 
 from __future__ import annotations
@@ -23,7 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskline.session import materialize
 
+#: Bits of a row number that count within its partition (those of ``monotonically_increasing_id``).
+PART_BITS = 33
 #: Rows per bucket of the sample that places the boundaries.
 SAMPLE_PER_BUCKET = 32
 
@@ -76,6 +74,12 @@ def bucketed(df: DataFrame, cols: list[str], n_buckets: int) -> DataFrame:
     return df.withColumn("_bkt", bucket_of(whole, bounds))
 
 
+def numbered(df: DataFrame, order: list[str], parts: int | None = None, name: str = "_row") -> DataFrame:
+    """``df`` staged in the order of ``order``; ``name`` grows with it and tells the partition and the place there."""
+    placed = df.repartitionByRange(parts or _default_buckets(df), *order).sortWithinPartitions(*order)
+    return materialize(placed.withColumn(name, F.monotonically_increasing_id()))
+
+
 def _offsets(totals: dict[int, tuple], n: int, width: int) -> list[list]:
     rows = [totals.get(i, (0,) * width) for i in range(n)]
     out = []
@@ -95,13 +99,15 @@ def global_index(df: DataFrame, key: str, tiebreak: list[str] | None = None, n_b
 def global_index_with_count(df: DataFrame, key: str, tiebreak: list[str] | None = None,
                             n_buckets: int | None = None, name: str = "_idx") -> tuple[DataFrame, int]:
     """``global_index`` plus the row count (the sum of the collected bucket counts: no extra job)."""
-    d = bucketed(df, [key, *(tiebreak or [])], n_buckets or _default_buckets(df))
-    counts = {r["_bkt"]: (r["c"],) for r in d.groupBy("_bkt").agg(F.count(F.lit(1)).alias("c")).collect()}
-    offs = [o[0] for o in _offsets(counts, max(counts, default=0) + 1, 1)]
-    off = F.element_at(F.array(*[F.lit(int(o)) for o in offs]).cast("array<long>"), F.col("_bkt") + 1)
-    w = Window.partitionBy("_bkt").orderBy(key, *(tiebreak or []))
-    total = int(sum(c[0] for c in counts.values()))
-    return d.withColumn(name, off + F.row_number().over(w) - 1).drop("_bkt"), total
+    d = numbered(df, [key, *(tiebreak or [])], n_buckets)
+    part = F.shiftright("_row", PART_BITS)
+    counts = {r["p"]: r["c"] for r in d.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()}  # a row a partition
+    before, offsets = 0, []
+    for p in range(max(counts, default=0) + 1):
+        offsets.append(before)
+        before += counts.get(p, 0)
+    offset = F.array(*[F.lit(o).cast("long") for o in offsets])[part.cast("int")]
+    return d.withColumn(name, offset + F.col("_row").bitwiseAND(F.lit((1 << PART_BITS) - 1))).drop("_row"), before
 
 
 def prefix_sums(df: DataFrame, key: str, cols: list[str], n_buckets: int | None = None,

@@ -13,22 +13,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskline import constants as C
+from riskline.operators.ordering import numbered
 from riskline.operators.selection import range_medians
 from riskline.session import materialize
 
 #: Rows of a chunk, as a power of two.
 CHUNK_BITS = 15
 #: Users with more rows than this are scanned in chunks, the others by windows over the user.
-HOT_ROWS = 1 << 16
+HOT_ROWS = 1 << 18
 UNB = Window.unboundedPreceding
 EXACT = "decimal(38,10)"
 
 
 def ordered_chunks(df: DataFrame, order: list[str], bits: int = CHUNK_BITS) -> DataFrame:
     """``df`` staged in the order of ``order``, with the row number ``_row`` (growing, with gaps) and its ``_chunk``."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id())
-    return materialize(placed.withColumn("_chunk", F.shiftright("_row", bits)))
+    return numbered(df, order).withColumn("_chunk", F.shiftright("_row", bits))
 
 
 def carried(chunks: DataFrame, by: list[str], totals: dict[str, Column], later: bool = False) -> DataFrame:

@@ -267,8 +267,9 @@ c AS (SELECT a.transaction_id, h.transaction_id AS recent_transaction_id, h.us A
 SELECT transaction_id, recent_rank, recent_transaction_id, recent_us, amount, country, merchant_id, risk_score, decision
 FROM c WHERE recent_rank <= {RM.RECENT_ROWS}""")
 def q_investigation_recent(spark, sf_dir):
-    st = build_store(spark, sf_dir)
-    return RM.recent_user_rows(st.decided, st.flagged)
+    columns = ["transaction_id", "user_id", "us", "amount", "currency", "country", "merchant_id", "risk_score", "decision"]
+    rows = materialize(build_store(spark, sf_dir).decided.select(*columns))  # scored once, read several times
+    return RM.recent_user_rows(rows, rows.where(F.col("decision") != "APPROVE"))
 
 
 #: Some stored predictions have lost their snapshot, some alerts are not explained yet.
@@ -638,6 +639,7 @@ def _psi_sql(col: str, tag: str) -> str:
 
 
 def _ks_sql(col: str, tag: str) -> str:
+    """CTEs: the distance, and its p-value by lattice paths (share of paths by diagonals) or, for large slices, the series."""
     series = " + ".join(f"power(-1, {k - 1}) * exp(-2.0 * {k * k} * lam * lam)" for k in range(1, 101))
     return f""",
 {tag}_u AS (SELECT {col} AS v, 1 AS a, 0 AS b FROM ref UNION ALL SELECT {col}, 0, 1 FROM cur),
@@ -645,17 +647,40 @@ def _ks_sql(col: str, tag: str) -> str:
 {tag}_c AS (SELECT *, sum(a) OVER (ORDER BY v ROWS UNBOUNDED PRECEDING) AS ca,
                    sum(b) OVER (ORDER BY v ROWS UNBOUNDED PRECEDING) AS cb,
                    sum(a) OVER () AS n, sum(b) OVER () AS m FROM {tag}_g),
-{tag} AS (SELECT max(abs(ca / n - cb / m)) AS d, max(n) AS n, max(m) AS m FROM {tag}_c),
+{tag}_h AS (SELECT CAST(max(abs(ca * m - cb * n)) AS BIGINT) AS h, CAST(max(n) AS BIGINT) AS n, CAST(max(m) AS BIGINT) AS m FROM {tag}_c),
+{tag} AS (SELECT h / (n * m) AS d, n, m, h FROM {tag}_h),
 {tag}_l AS (SELECT d, (sqrt(n * m / (n + m)) + 0.12 + 0.11 / sqrt(n * m / (n + m))) * d AS lam FROM {tag}),
-{tag}_p AS (SELECT CASE WHEN d <= 0 THEN 1.0 ELSE least(greatest(2 * ({series}), 0.0), 1.0) END AS p FROM {tag}_l)"""
-
-
-@register("drift_report", SCORED_R + EV_SQL + f""",
+{tag}_x AS (WITH RECURSIVE r AS (
+    SELECT 0::BIGINT AS s, n, m, h, list_transform(range(0, n + 1), lambda i: 0.0::DOUBLE) AS u
+    FROM {tag} WHERE greatest(n, m) <= {D.EXACT_ROWS}
+    UNION ALL SELECT s + 1, n, m, h, list_transform(range(0, n + 1), lambda i:
+      CASE WHEN i > s + 1 OR s + 1 - i > m THEN 0.0 WHEN abs(i * (n + m) - (s + 1) * n) >= h THEN 1.0
+           ELSE (i * (CASE WHEN i > 0 THEN u[i] ELSE 0.0 END) + (s + 1 - i) * u[i + 1]) / (s + 1) END)
+    FROM r WHERE s < n + m)
+  SELECT CASE WHEN h <= 0 THEN 1.0 ELSE u[n + 1] END AS p FROM r WHERE s = n + m),
+{tag}_p AS (SELECT coalesce((SELECT p FROM {tag}_x),
+                            CASE WHEN d <= 0 THEN 1.0 ELSE least(greatest(2 * ({series}), 0.0), 1.0) END) AS p FROM {tag}_l)"""
+
+
+_DRIFT_SLICES = f""",
 tx_c AS (SELECT transaction_id, country FROM tx),
 base AS (SELECT s.transaction_id, s.us, s.amount, s.probability AS fraud_probability, t.country, s.split
          FROM sliced s JOIN tx_c t USING (transaction_id)),
 ref AS (SELECT * FROM base WHERE split = 'calibration'),
 cur AS (SELECT * FROM base WHERE us >= (SELECT max(us) FROM base) - {C.DAY_US})"""
+
+
+@register("ks_tests", SCORED_R + EV_SQL + _DRIFT_SLICES + _ks_sql("amount", "aks") + _ks_sql("fraud_probability", "pks")
+          + "\n" + " UNION ALL ".join(
+    f"SELECT '{col}' AS metric, n, m, round(d, 6) AS ks, round((SELECT p FROM {tag}_p), 6) AS p_value, "
+    f"CASE WHEN greatest(n, m) <= {D.EXACT_ROWS} THEN 'exact' ELSE 'asymptotic' END AS method FROM {tag}"
+    for col, tag in (("amount", "aks"), ("fraud_probability", "pks"))))
+def q_ks_tests(spark, sf_dir):
+    reference, current, _ = _drift_inputs(spark, sf_dir)
+    return D.ks_tests(reference, current, ["amount", "fraud_probability"]).withColumns({c: r6(c) for c in ("ks", "p_value")})
+
+
+@register("drift_report", SCORED_R + EV_SQL + _DRIFT_SLICES
           + _psi_sql("amount", "apsi") + _psi_sql("fraud_probability", "ppsi")
           + _ks_sql("amount", "aks") + _ks_sql("fraud_probability", "pks") + f""",
 jr AS (SELECT country, count(*) AS r FROM ref GROUP BY 1),
@@ -1069,3 +1094,103 @@ def training_slices(spark, sf_dir) -> DataFrame:
 def q_smote(spark, sf_dir):
     train = materialize(training_slices(spark, sf_dir).where(F.col("split") == "train"))
     return SM.smote_rows(train).select("row", "base_id", "neighbour_id", *[r6(f).alias(f) for f in C.MODEL_FEATURES])
+
+
+# ---------------------------------------------------------------------------
+# A trained model as columns (D08), its attributions (E02), calibration
+# ---------------------------------------------------------------------------
+from riskline.operators import calibrate as CA  # noqa: E402
+from riskline.operators.tree_shap import tree_shap  # noqa: E402
+from riskline.functions.ensemble import boxes  # noqa: E402
+from riskline.plans.bundles import small_forest  # noqa: E402
+
+#: Steps of the twin, each limited to a change of 1 in the exponent of any row.
+_NEWTON_STEPS = 60
+
+
+@register("platt_parameters", SCORED_R + EV_SQL + f""",
+cal AS (SELECT probability AS f, label FROM sliced WHERE split = 'calibration'),
+ct AS (SELECT count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n FROM cal),
+tg AS (SELECT f, CASE WHEN label = 1 THEN (p + 1.0) / (p + 2.0) ELSE 1.0 / (n + 2.0) END AS t FROM cal, ct),
+fr AS (SELECT min(f) AS f0, max(f) AS f1 FROM cal),
+nw AS (WITH RECURSIVE r AS (
+    SELECT 0 AS i, 0.0::DOUBLE AS a, ln((n + 1.0) / (p + 1.0)) AS b FROM ct
+    UNION ALL SELECT i + 1, a + da / greatest(1, abs(da * f0 + db), abs(da * f1 + db)), b + db / greatest(1, abs(da * f0 + db), abs(da * f1 + db))
+    FROM (SELECT i, a, b, (hab * gb - hbb * ga) / (haa * hbb - hab * hab) AS da, (hab * ga - haa * gb) / (haa * hbb - hab * hab) AS db
+          FROM (SELECT i, a, b, sum(f * (t - q)) AS ga, sum(t - q) AS gb, sum(f * f * q * (1 - q)) AS haa, sum(f * q * (1 - q)) AS hab,
+                       sum(q * (1 - q)) AS hbb
+                FROM (SELECT i, a, b, f, t, 1 / (1 + exp(a * f + b)) AS q FROM r, tg WHERE i < {_NEWTON_STEPS}) GROUP BY i, a, b)), fr)
+  SELECT a, b FROM r WHERE i = {_NEWTON_STEPS})
+SELECT p AS positives, n AS negatives, round(a, 6) AS a, round(b, 6) AS b FROM ct, nw""")
+def q_platt(spark, sf_dir):
+    ev = chronological_split(eval_frame(scored_events(spark, sf_dir, 1))).where(F.col("split") == "calibration")
+    found = CA.fit(ev, "probability")
+    row = spark.createDataFrame([(found.positives, found.negatives, found.a, found.b)], "positives long, negatives long, a double, b double")
+    return row.withColumns({c: r6(c) for c in ("a", "b")})
+
+
+def _forest_sql(forest) -> tuple[str, str]:
+    """CTEs that walk the node table over ``feat`` (``wx``: inputs, ``nd``: nodes), and ``prob`` from them."""
+    nodes = ", ".join(f"({i}, {f}, CAST('{t!r}' AS DOUBLE), {left}, {right}, CAST('{v!r}' AS DOUBLE))"
+                      for i, (f, t, left, right, v) in enumerate(forest.table.nodes))
+    walk = f""",
+nd(node, feature, threshold, l, r, value) AS (VALUES {nodes}),
+wx AS (SELECT transaction_id, [{', '.join(forest.features)}] AS v FROM feat),
+wk AS (WITH RECURSIVE w AS (
+    SELECT transaction_id, v, unnest({forest.table.roots}) AS node FROM wx
+    UNION ALL SELECT transaction_id, v, CASE WHEN v[feature + 1] <= threshold THEN l ELSE r END FROM w JOIN nd USING (node) WHERE feature >= 0)
+  SELECT transaction_id, sum(value) / {len(forest.table.roots)} AS raw FROM w JOIN nd USING (node) WHERE feature < 0 GROUP BY 1)"""
+    prob = f"""
+prob AS (SELECT feat.*, 1 / (1 + exp(CAST('{forest.calibrator.a!r}' AS DOUBLE) * raw + CAST('{forest.calibrator.b!r}' AS DOUBLE))) AS fraud_probability
+         FROM feat JOIN wk USING (transaction_id)),"""
+    return walk, prob
+
+
+def _forest_scored(forest) -> str:
+    walk, prob = _forest_sql(forest)
+    return (S.with_ctes(S.tx_cte("events", 1), S.features_cte()) + walk + ","
+            + S.scored_cte(forest.review_threshold, forest.block_threshold, prob, forest.version))
+
+
+FOREST = small_forest()
+
+
+@register("score_with_model", _forest_scored(FOREST)
+          + " SELECT transaction_id, round(fraud_probability, 6) AS fraud_probability, risk_score, decision, model_version FROM scored")
+def q_score_with_model(spark, sf_dir):
+    scored = score_batch(transactions(spark, sf_dir), model=FOREST, with_snapshot=False)
+    return scored.select("transaction_id", r6("fraud_probability").alias("fraud_probability"), "risk_score", "decision", "model_version")
+
+
+def _tree_shap_sql(forest) -> str:
+    at = {f: i + 1 for i, f in enumerate(forest.features)}
+    number = lambda x: f"CAST('{x!r}' AS DOUBLE)"
+    found = boxes(forest.table)
+    bounds = ", ".join(f"({i}, {at[f]}, {number(lo)}, {number(hi)})" for i, b in enumerate(found) for f, lo, hi in b.bounds)
+    values = ", ".join(f"({i}, {number(b.value)})" for i, b in enumerate(found))
+    names = ", ".join(f"'{f}'" for f in forest.features)
+    return f""",
+ix AS (SELECT transaction_id, row_number() OVER (ORDER BY us, transaction_id) - 1 AS row_index, count(*) OVER () AS n FROM feat),
+bg AS (SELECT transaction_id FROM ix WHERE row_index >= CAST(floor(n * 0.65) AS BIGINT) AND row_index < CAST(floor(n * 0.75) AS BIGINT)
+       ORDER BY {_rank_sql()}, transaction_id LIMIT {AT.BACKGROUND_ROWS}),
+lb(leaf, f, lo, hi) AS (VALUES {bounds}),
+lv(leaf, value) AS (VALUES {values}),
+sa AS (SELECT transaction_id, leaf, f, v[f] > lo AND v[f] <= hi AS ok FROM wx, lb WHERE transaction_id IN (SELECT transaction_id FROM scored WHERE decision <> 'APPROVE')),
+sb AS (SELECT transaction_id AS bg, leaf, f, v[f] > lo AND v[f] <= hi AS ok FROM wx JOIN bg USING (transaction_id), lb),
+pr AS (SELECT transaction_id, bg, leaf, count(*) FILTER (WHERE sa.ok AND NOT sb.ok) AS a, count(*) FILTER (WHERE sb.ok AND NOT sa.ok) AS c
+       FROM sa JOIN sb USING (leaf, f) GROUP BY ALL HAVING bool_and(sa.ok OR sb.ok)),
+ph AS (SELECT transaction_id, f, CASE WHEN sa.ok THEN factorial(CAST(a - 1 AS INTEGER)) * factorial(CAST(c AS INTEGER))
+                                      ELSE -factorial(CAST(a AS INTEGER)) * factorial(CAST(c - 1 AS INTEGER)) END
+              / factorial(CAST(a + c AS INTEGER)) * value AS part
+       FROM pr JOIN sa USING (transaction_id, leaf) JOIN sb USING (bg, leaf, f) JOIN lv USING (leaf) WHERE sa.ok <> sb.ok)
+SELECT transaction_id, [{names}][f] AS feature, round(sum(part) / (SELECT count(*) FROM bg), 6) AS impact FROM ph GROUP BY ALL"""
+
+
+@register("model_attributions", _forest_scored(FOREST) + _tree_shap_sql(FOREST))
+def q_model_attributions(spark, sf_dir):
+    """Exact attributions of the trained forest for every alert it raises."""
+    scored = materialize(score_batch(transactions(spark, sf_dir), model=FOREST, with_snapshot=False).select(
+        "transaction_id", "us", "decision", *FOREST.features))
+    alerted = scored.where(F.col("decision") != "APPROVE")
+    found = tree_shap(alerted, materialize(_background(scored, FOREST.features)), FOREST.table)
+    return found.select("transaction_id", "feature", r6("phi").alias("impact"))

@@ -124,15 +124,19 @@ feat AS (
   FROM geo2)"""
 
 
-def scored_cte(review: float = C.REVIEW_THRESHOLD, block: float = C.BLOCK_THRESHOLD) -> str:
-    """CTE ``scored``: heuristic probability, score, reasons, decision over ``feat``."""
-    return f"""
+HEURISTIC_PROB = f"""
 prob AS (
   SELECT *, 1.0 / (1.0 + exp(-({C.HEURISTIC_INTERCEPT}
           + least(amount_vs_user_average, 15.0) * 0.12
           + least(transactions_last_5m, 10.0) * 0.22
           + new_device * 0.8 + new_country * 0.7 + impossible_travel * 2.0))) AS fraud_probability
-  FROM feat),
+  FROM feat),"""
+
+
+def scored_cte(review: float = C.REVIEW_THRESHOLD, block: float = C.BLOCK_THRESHOLD, prob: str = HEURISTIC_PROB,
+               version: str = C.BOOTSTRAP_VERSION) -> str:
+    """CTE ``scored``: probability (CTE ``prob``), score, reasons, decision over ``feat``."""
+    return f"""{prob}
 rsn AS (
   SELECT *,
     list_filter([CASE WHEN impossible_travel = 1 THEN '{C.RULE_IMPOSSIBLE_TRAVEL}' END,
@@ -149,7 +153,7 @@ scored AS (
     CASE WHEN impossible_travel = 1 AND new_device = 1 THEN 'BLOCK'
          WHEN len(reasons) > 0 AND base_decision = 'APPROVE' THEN 'MANUAL_REVIEW'
          ELSE base_decision END AS decision,
-    '{C.BOOTSTRAP_VERSION}' AS model_version
+    '{version}' AS model_version
   FROM rsn)"""
 
 

@@ -42,6 +42,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "riskline") -> SparkSession:
     """Session used by tests, bench and the examples (local mode only)."""
+    # Python workers import this package, wherever the session is started from
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    os.environ["PYTHONPATH"] = os.pathsep.join([here, *(p for p in paths if p and p != here)])
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
