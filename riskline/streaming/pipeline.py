@@ -14,7 +14,10 @@ bucket of the transaction id, stored transactions by a bucket of the user id; a
 touches, of the transactions only the horizon before its oldest event.
 
 Every table is written under ``batch_id=<id>`` with dynamic partition overwrite, and a micro-batch reads only smaller
-batch ids, so a replayed micro-batch (after a failure) rewrites the same partitions with the same rows.
+batch ids, so a replayed micro-batch (after a failure) rewrites the same partitions with the same rows.  With
+``compact_every`` the finished micro-batches are merged now and then (``sources.versioned``), so files stay few.
+
+``streaming.state`` has the same scorer with keyed state, whose micro-batches do not read the stored tables.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from riskline.operators.attribution import explain_pending
 from riskline.operators.features import arrival_features
 from riskline.operators.validate import validate_payloads
 from riskline.plans.scoring import alerts_from, explanations_for, first_write_wins, prediction_rows, score_features
-from riskline.sources.tables import path_exists
+from riskline.sources.versioned import VersionedTable
 
 TOPIC_TRANSACTIONS = "transactions.v1"
 TOPIC_PREDICTIONS = "fraud_predictions.v1"
@@ -71,6 +74,9 @@ EVENT_COLUMNS = ["transaction_id", "user_id", "merchant_id", "timestamp", "us",
                  "merchant_category", "country", "device_id", "ip_address", "channel", "latitude", "longitude",
                  "source_seq"]
 BUCKETS = 64
+#: The scorer's tables and what they are partitioned by, besides the micro-batch.
+TABLES: dict[str, tuple[str, ...]] = {
+    "transactions": ("user_bucket",), "predictions": (), "alerts": (), "outbox": (), "explanations": (), "transaction_ids": ("id_bucket",)}
 
 
 def valid_events(checked: DataFrame) -> DataFrame:
@@ -114,20 +120,30 @@ class BatchScorer:
     horizon_days: int = C.HISTORY_DAYS
     explain_alerts: bool = True
 
+    #: Micro-batches after which the tables are merged; 0: never.
+    compact_every: int = 0
+
     def path(self, table: str) -> str:
         return os.path.join(self.root, table)
 
-    def _write(self, df: DataFrame, table: str, batch_id: int, *partitions: str) -> None:
-        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions, "batch_id").parquet(self.path(table)))
+    def _table(self, spark: SparkSession, table: str) -> VersionedTable:
+        return VersionedTable(spark, self.path(table), TABLES[table])
+
+    def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
+        self._table(df.sparkSession, table).write(df, batch_id)
 
     def _stored(self, spark: SparkSession, table: str, bucket: str, buckets: list[int], batch_id: int
                 ) -> DataFrame | None:
         """Rows of earlier micro-batches in the given buckets; None before the first one."""
-        if not path_exists(spark, self.path(table)):
-            return None
-        stored = spark.read.parquet(self.path(table))
-        return stored.where(F.col(bucket).isin(buckets) & (F.col("batch_id") < batch_id))
+        stored = self._table(spark, table).read(before=batch_id)
+        return None if stored is None else stored.where(F.col(bucket).isin(buckets))
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Merge the finished micro-batches up to ``upto`` in every table."""
+        for table in TABLES:
+            target = self._table(spark, table)
+            target.compact(upto)
+            target.clean()
 
     def fresh(self, batch: DataFrame, batch_id: int, buckets: list[int]) -> DataFrame:
         """First write wins: one row per id, none that is stored."""
@@ -142,10 +158,13 @@ class BatchScorer:
         near = stored.where(F.col("us") >= F.lit(since_us - self.horizon_days * C.DAY_US))
         return near.join(batch.select("user_id").distinct(), "user_id", "left_semi").select(*EVENT_COLUMNS)
 
+    @staticmethod
+    def keyed(batch: DataFrame) -> DataFrame:
+        return batch.withColumn("id_bucket", bucket_of_text(F.col("transaction_id"))).withColumn(
+            "user_bucket", bucket_of_text(F.col("user_id")))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("id_bucket", bucket_of_text(F.col("transaction_id"))).withColumn(
-            "user_bucket", bucket_of_text(F.col("user_id"))).persist()
-        scored = None
+        batch = self.keyed(batch).persist()
         try:
             # at most BUCKETS small integers each
             touched = batch.agg(F.collect_set("id_bucket").alias("ids"), F.collect_set("user_bucket").alias("users"),
@@ -154,10 +173,17 @@ class BatchScorer:
                 return
             fresh = self.fresh(batch, batch_id, touched["ids"])
             history = self.history(batch, batch_id, touched["users"], touched["since"])
-            feats = arrival_features(fresh.select(*EVENT_COLUMNS), history, horizon_days=self.horizon_days)
-            scored = score_features(feats, self.policy).persist()
+            self.store(fresh.select(*EVENT_COLUMNS), history, batch_id)
+        finally:
+            batch.unpersist()
+
+    def store(self, fresh: DataFrame, history: DataFrame | None, batch_id: int) -> None:
+        """Score new rows against themselves and their history, and write the micro-batch's part of every table."""
+        feats = arrival_features(fresh, history, horizon_days=self.horizon_days)
+        scored = score_features(feats, self.policy).persist()
+        try:
             rows = scored.withColumn("user_bucket", bucket_of_text(F.col("user_id")))
-            self._write(rows.select(*EVENT_COLUMNS, "user_bucket"), "transactions", batch_id, "user_bucket")
+            self._write(rows.select(*EVENT_COLUMNS, "user_bucket"), "transactions", batch_id)
             self._write(prediction_rows(scored), "predictions", batch_id)
             self._write(alerts_from(scored), "alerts", batch_id)
             self._write(event_projection(scored), "outbox", batch_id)
@@ -165,20 +191,25 @@ class BatchScorer:
                 self._write(explanations_for(scored.where(F.col("decision") != "APPROVE")), "explanations", batch_id)
             # last: an id counts as stored once its rows are
             self._write(scored.select("transaction_id", bucket_of_text(F.col("transaction_id")).alias("id_bucket")),
-                        "transaction_ids", batch_id, "id_bucket")
+                        "transaction_ids", batch_id)
         finally:
-            batch.unpersist()
-            if scored is not None:
-                scored.unpersist()
+            scored.unpersist()
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+            # not the present one: it may be played again
+            self.compact(fresh.sparkSession, batch_id - 1)
+
+
+def stored_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """Rows of one of the scorer's tables, merged or not; None before the first micro-batch."""
+    return VersionedTable(spark, os.path.join(root, table), TABLES[table]).read()
 
 
 def explain_job(spark: SparkSession, root: str, recomputed: DataFrame | None = None) -> DataFrame:
     """Explanations of the stored alerts that have none yet, from their snapshot or from recomputed features."""
-    alerts = spark.read.parquet(os.path.join(root, "alerts"))
-    if path_exists(spark, os.path.join(root, "explanations")):
-        done = spark.read.parquet(os.path.join(root, "explanations")).select("transaction_id").distinct()
-        alerts = alerts.join(done, "transaction_id", "left_anti")
-    return explain_pending(alerts, spark.read.parquet(os.path.join(root, "predictions")), recomputed)
+    alerts, done = stored_table(spark, root, "alerts"), stored_table(spark, root, "explanations")
+    if done is not None:
+        alerts = alerts.join(done.select("transaction_id").distinct(), "transaction_id", "left_anti")
+    return explain_pending(alerts, stored_table(spark, root, "predictions"), recomputed)
 
 
 def drift_job(spark: SparkSession, sink_root: str, reference: DataFrame, model_version: str = C.BOOTSTRAP_VERSION,
@@ -186,9 +217,8 @@ def drift_job(spark: SparkSession, sink_root: str, reference: DataFrame, model_v
     """R04 over the sink's tables (last day before ``as_of_us``), appended to a report table."""
     from riskline.operators.drift import drift_report
 
-    tx = spark.read.parquet(os.path.join(sink_root, "transactions")).select("transaction_id", "us", "amount",
-                                                                           "country")
-    pr = spark.read.parquet(os.path.join(sink_root, "predictions")).select("transaction_id", "fraud_probability")
+    tx = stored_table(spark, sink_root, "transactions").select("transaction_id", "us", "amount", "country")
+    pr = stored_table(spark, sink_root, "predictions").select("transaction_id", "fraud_probability")
     joined = tx.join(pr, "transaction_id")
     if as_of_us is None:
         as_of_us = joined.agg(F.max("us")).first()[0]
