@@ -16,8 +16,6 @@ touches, of the transactions only the horizon before its oldest event.
 Every table is written under ``batch_id=<id>`` with dynamic partition overwrite, and a micro-batch reads only smaller
 batch ids, so a replayed micro-batch (after a failure) rewrites the same partitions with the same rows.  With
 ``compact_every`` the finished micro-batches are merged now and then (``sources.versioned``), so files stay few.
-
-``streaming.state`` has the same scorer with keyed state, whose micro-batches do not read the stored tables.
 """
 
 from __future__ import annotations
