@@ -13,9 +13,10 @@ many at most as languages times vocabulary.  Scoring is one ``mapInArrow`` over
 
 Defined results: null text, or one without a letter, is ``und`` with score 0; without training rows every text is
 ``und``; a language of the table may be called ``und`` too, so only the flag ``rejected`` of ``predictor`` tells a text
-without a letter; equal posteriors go to the language first in alphabet; chunks longer than 30 characters are taken in
-windows of 30, so whole texts count; a null id is never learned from and is not held out; repeated rows are
-predicted each; an empty table gives no rows; other columns are not read.
+without a letter; equal posteriors go to the language first in alphabet; combining marks belong to the word that they stand in;
+a run of letters of any length is one word, summed over all its segmentations (long ones in stretches with carried
+and rescaled sums, so memory does not grow with them); a null id is never learned from and is not held out; repeated
+rows are predicted each; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,10 +39,12 @@ from riskline.llm.shingles import U, mix
 
 #: Training rows of each language (about), additive smoothing per piece, weight of an unknown character.
 TRAIN_ROWS, SMOOTHING, UNKNOWN = 3_000, 0.05, 1e-7
-#: Longest stretch for one forward pass, and chunks kept by a worker.
-WINDOW, CACHE_CHUNKS = 30, 150_000
+#: Longest word (with its mark) whose sums need no rescaling: 31 weights of at least UNKNOWN stay far above underflow.
+SHORT = 31
+#: Positions of a longer word that are held at once; chunks, and their characters, kept by a worker.
+STRETCH, CACHE_CHUNKS, CACHE_CHARACTERS = 4096, 150_000, 1 << 24
 START = "▁"
-NOT_LETTERS, LETTER = regex.compile(r"\P{L}+"), regex.compile(r"\p{L}")
+NOT_WORD, LETTER = regex.compile(r"[^\p{L}\p{M}]+"), regex.compile(r"\p{L}")
 
 
 class Pieces:
@@ -105,9 +108,9 @@ def rejected(text: str | None) -> bool:
     return LETTER.search(text or "") is None
 
 
-def windows(chunk: str) -> list[str]:
-    """The letters of a chunk as marked words, at most WINDOW characters each."""
-    return [START + w[i : i + WINDOW] for w in NOT_LETTERS.split(chunk.lower()) for i in range(0, len(w), WINDOW)]
+def words_of(chunk: str) -> list[str]:
+    """The runs of letters (and their combining marks) of a chunk as marked words."""
+    return [START + w for w in NOT_WORD.split(chunk.lower()) if w]
 
 
 class Lattice:
@@ -173,6 +176,99 @@ class Lattice:
         return out[: self.unknown]
 
 
+class LongWord:
+    """All segmentations of one word of any length, a stretch of positions at a time.
+
+    Sums are divided by the one at the present position at every step, and the logarithms of the divisors added up;
+    no sum is 0, as a single character always is a piece or unknown.
+    """
+
+    def __init__(self, word: str, path: str, stretch: int = STRETCH):
+        self.word, self.path, self.stretch = word, path, stretch
+        self.longest = pieces(path).longest
+
+    def numbers(self, begin: int) -> np.ndarray:
+        """Piece numbers [position, length - 1] of the stretch that begins at ``begin``; pieces may end beyond it."""
+        lattice = Lattice([self.word[begin : begin + self.stretch + self.longest - 1]], self.path)
+        found = lattice.piece[0, : min(self.stretch, len(self.word) - begin)]
+        return np.pad(found, ((0, 0), (0, self.longest - found.shape[1])), constant_values=lattice.unknown + 1)
+
+    def forward(self, table: np.ndarray, numbers: np.ndarray, carried: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Divisors of the positions of a stretch, and the sums carried to the next one."""
+        steps = table[numbers]
+        alpha = np.zeros((len(numbers) + self.longest, table.shape[1]))
+        alpha[: self.longest] = carried
+        divisors = np.empty((len(numbers), table.shape[1]))
+        for p, step in enumerate(steps):
+            divisors[p] = alpha[p]
+            ahead = alpha[p + 1 : p + 1 + self.longest]
+            ahead /= divisors[p]
+            ahead += step
+        return divisors, alpha[len(numbers) :]
+
+    def passes(self, table: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(begin, sums carried in, divisors, sums carried out) of every stretch."""
+        carried = np.zeros((self.longest, table.shape[1]))
+        carried[0] = 1.0
+        for begin in range(0, len(self.word), self.stretch):
+            divisors, after = self.forward(table, self.numbers(begin), carried)
+            yield begin, carried, divisors, after
+            carried = after
+
+    def log_total(self, table: np.ndarray) -> np.ndarray:
+        """Logarithm of the word's probability per language."""
+        total = np.zeros(table.shape[1])
+        for _, _, divisors, after in self.passes(table):
+            total += np.log(divisors).sum(axis=0)
+        return total + np.log(after[0])
+
+    def expected(self, table: np.ndarray, count: float) -> np.ndarray:
+        """Expected piece counts, as ``Lattice.expected``; only the sums between stretches are held, the rest is made again."""
+        held = [(begin, carried) for begin, carried, _, _ in self.passes(table)]
+        total = self.log_total(table)[0]
+        # logarithm of the divisors before the present position, and of those of the sums behind it
+        before = total
+        out = np.zeros(len(table))
+        behind, log_behind = np.zeros(self.longest), 0.0
+        behind[0] = 1.0
+        for begin, carried in reversed(held):
+            numbers = self.numbers(begin)
+            divisors, after = self.forward(table, numbers, carried)
+            if begin + len(numbers) == len(self.word):
+                before -= float(np.log(after[0, 0]))
+            logs = np.log(divisors[:, 0])
+            steps = table[numbers, 0]
+            for p in range(len(numbers) - 1, -1, -1):
+                share = steps[p] * behind
+                # the sum at p is 1 after division, so its logarithm is that of all divisors up to p
+                np.add.at(out, numbers[p], share * (count * np.exp(before + log_behind - total)))
+                before -= logs[p]
+                here = share.sum()
+                behind = np.concatenate([[1.0], behind[:-1] / here])
+                log_behind += float(np.log(here))
+        return out[: len(table) - 2]
+
+
+def log_totals(words: list[str], path: str, table: np.ndarray) -> np.ndarray:
+    """Logarithm of the probability of each word (sorted by length) per language."""
+    short = [w for w in words if len(w) <= SHORT]
+    logs = [np.log(np.maximum(Lattice(short[i : i + 4096], path).totals(table), 1e-300)) for i in range(0, len(short), 4096)]
+    logs += [LongWord(w, path).log_total(table)[None] for w in words[len(short) :]]
+    return np.concatenate([np.zeros((0, table.shape[1])), *logs])
+
+
+def expected_pieces(words: dict[str, int], path: str, table: np.ndarray) -> np.ndarray:
+    """Expected piece counts of words seen so many times (``table`` has one column)."""
+    short = sorted((w for w in words if len(w) <= SHORT), key=len)
+    out = np.zeros(len(table) - 2)
+    for i in range(0, len(short), 4096):
+        group = short[i : i + 4096]
+        out += Lattice(group, path).expected(table, np.array([words[w] for w in group], float))
+    for w in sorted(w for w in words if len(w) > SHORT):
+        out += LongWord(w, path).expected(table, float(words[w]))
+    return out
+
+
 @dataclass
 class Model:
     """Languages in alphabetical order, log prior, and the piece table (last row: the unknown character)."""
@@ -203,16 +299,17 @@ class Scorer:
         self.known: dict[str, int] = {}
         self.words: dict[str, int] = {}
         self.scores = np.zeros((1, len(self.model.languages)))
+        self.characters = 0
 
     def learn(self, chunks: list[str]) -> None:
-        split = [windows(c) for c in chunks]
+        split = [words_of(c) for c in chunks]
+        self.characters += sum(map(len, chunks))
         fresh = sorted({w for s in split for w in s if w not in self.words}, key=len)
-        logs = [np.log(np.maximum(Lattice(fresh[i : i + 4096], self.model.path).totals(self.weights), 1e-300)) for i in range(0, len(fresh), 4096)]
         base = len(self.scores)
         self.words.update(zip(fresh, range(base, base + len(fresh)), strict=True))
         several = [(c, [self.words[w] for w in s]) for c, s in zip(chunks, split, strict=True) if len(s) > 1]
         self.known.update((c, self.words[s[0]] if s else 0) for c, s in zip(chunks, split, strict=True))
-        self.scores = np.concatenate([self.scores, *logs])
+        self.scores = np.concatenate([self.scores, log_totals(fresh, self.model.path, self.weights)])
         if several:
             base = len(self.scores)
             self.scores = np.concatenate([self.scores, np.array([self.scores[rows].sum(axis=0) for _, rows in several])])
@@ -222,7 +319,7 @@ class Scorer:
         """Language and score of each text."""
         if not self.model.languages:
             return [("und", 0.0)] * len(texts)
-        if len(self.known) > CACHE_CHUNKS:
+        if len(self.known) > CACHE_CHUNKS or self.characters > CACHE_CHARACTERS:
             self.clear()
         split = [t.split() for t in texts]
         chunks = [c for s in split for c in s]
@@ -267,12 +364,9 @@ def train(rows: DataFrame, path: str, train_rows: int = TRAIN_ROWS) -> Model:
             for lang, chunks in seen.items():
                 words: Counter = Counter()
                 for c, n in chunks.items():
-                    for w in windows(c):
+                    for w in words_of(c):
                         words[w] += n
-                listed = sorted(words, key=len)
-                for i in range(0, len(listed), 4096):
-                    group = listed[i : i + 4096]
-                    sums[lang] += Lattice(group, path).expected(start, np.array([words[w] for w in group], float))
+                sums[lang] += expected_pieces(words, path, start)
         for lang, s in sums.items():
             at = np.flatnonzero(s)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(s[at])], ["lang", "piece", "weight"])

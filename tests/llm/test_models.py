@@ -68,6 +68,46 @@ def test_expected_counts_are_derivatives_of_the_likelihood():
         assert abs(change / 1e-6 - counts[p]) < 1e-3
 
 
+LONG = [LA.START + "".join(WORDS)[:n].replace(LA.START, "") + "ß日本語" * 9 for n in (1, 40, 400)]
+
+
+def test_long_words_sum_over_all_segmentations():
+    """In stretches of any size as in one lattice, far beyond what a double holds without rescaling."""
+    table_ = weights(len(listed_pieces()))
+    for w in [w for w in WORDS if w][:20]:
+        whole = np.log(LA.Lattice([w], PIECES).totals(table_)[0])
+        for stretch in (1, 3, 4096):
+            assert np.allclose(LA.LongWord(w, PIECES, stretch).log_total(table_), whole, rtol=1e-12, atol=1e-12)
+    known = {p: i for i, p in enumerate(listed_pieces())}
+    for w in LONG:
+        logs = [0.0]
+        for end in range(1, len(w) + 1):
+            terms = [logs[b] + np.log(table_[known[w[b:end]], 0]) for b in range(max(0, end - 16), end) if w[b:end] in known]
+            logs.append(np.logaddexp.reduce([*terms, *([logs[end - 1] + np.log(LA.UNKNOWN)] if w[end - 1] not in known else [])]))
+        for stretch in (5, 4096):
+            assert abs(LA.LongWord(w, PIECES, stretch).log_total(table_)[0] - logs[-1]) < 1e-9 * abs(logs[-1])
+
+
+def test_expected_counts_of_long_words():
+    start = weights(len(listed_pieces()))[:, :1].copy()
+    for w in [w for w in WORDS if w][:20]:
+        whole = LA.Lattice([w], PIECES).expected(start, np.array([2.0]))
+        for stretch in (1, 3, 4096):
+            assert np.allclose(LA.LongWord(w, PIECES, stretch).expected(start, 2.0), whole, rtol=1e-9, atol=1e-12)
+    for w in LONG:
+        counts = LA.LongWord(w, PIECES, 7).expected(start, 1.0)
+        for p in np.flatnonzero(counts)[:10]:
+            more = start.copy()
+            more[p] *= 1 + 1e-6
+            change = LA.LongWord(w, PIECES).log_total(more)[0] - LA.LongWord(w, PIECES).log_total(start)[0]
+            assert abs(change / 1e-6 - counts[p]) < 1e-3
+
+
+def test_combining_marks_belong_to_their_word():
+    assert LA.words_of("नमस्ते, e\u0301t\u00e9-12x") == ["▁नमस्ते", "▁e\u0301t\u00e9", "▁x"]
+    assert LA.rejected("\u0301 12") and not LA.rejected("नि")
+
+
 def crc(i, n):
     return zlib.crc32(str(i).encode()) % n
 
