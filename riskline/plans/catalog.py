@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riskline import constants as C
 from riskline.plans import sql_twins as S
 from riskline.plans.scoring import score_batch
+from riskline.operators import window_metrics as WM
 from riskline.operators.features import arrival_features, online_features
 from riskline.session import materialize, prepare
 from riskline.sources.adapter import COMPRESSED_SCALE, transactions_from_events, transactions_from_orders
@@ -320,6 +321,19 @@ def q_latency(spark, sf_dir):
     return RM.latency_p95(timed).withColumn("p95_ms", r6("p95_ms"))
 
 
+METRIC_QUANTILES = {"p50": 0.5, "p95": 0.95}
+
+
+@register("daily_window_metrics", S.with_ctes(S.tx_cte("events", 1)) + f"""
+ SELECT us - us % {C.DAY_US} AS window_us, count(*) AS n, count(DISTINCT user_id) AS exact_ids,
+        true AS ids_ok, true AS p50_ok, true AS p95_ok
+ FROM tx GROUP BY 1""")
+def q_daily_window_metrics(spark, sf_dir):
+    rows = transactions(spark, sf_dir).select("timestamp", "user_id", F.round(F.col("amount") * 100).cast("long").alias("cents"))
+    days = WM.merge_windows(WM.window_sketches(rows, "cents", "user_id"), 1440)
+    return WM.within_bounds(WM.read_windows(days, METRIC_QUANTILES), rows, "cents", "user_id", 1440, METRIC_QUANTILES)
+
+
 @register("decisions_per_minute", ST + """
  SELECT epoch_us(time_bucket(INTERVAL 1 MINUTE, t.ts)) AS minute_us, s.decision, count(*) AS n
  FROM tx t JOIN scored s USING (transaction_id) GROUP BY ALL""")
