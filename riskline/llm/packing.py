@@ -1,10 +1,10 @@
 """Best-fit packing of token pieces into sequences by exact-complement hashing.
 
 Only the histogram of piece lengths decides the packing, and it has at most ``capacity`` entries however many
-documents there are.  On it, the longest length still available opens a pattern; the gap it leaves is looked up among
-the single, pair and triple sums of available lengths, and a combination that fills it exactly is consumed under the
-availability counts, as many times at once as the counts allow.  Lengths that no combination completes are packed
-best fit at the end.  Patterns are thereby few (each use exhausts a length), and every piece finds its place from its
+documents there are.  On it, the longest length still available opens a pattern; the gap it leaves is looked up in an
+index of the single, pair and triple sums of available lengths (``Sums``), and a combination that fills it exactly is
+consumed under the availability counts, as many times at once as the counts allow.  Lengths that no combination
+completes are packed best fit at the end.  Patterns are thereby few (each use exhausts a length), and every piece finds its place from its
 rank among the pieces of its length.
 
 Spark side: pieces are staged without their texts; ranks come from per-(length, bucket) counts, so a length that a
@@ -12,7 +12,8 @@ third of all pieces share is ranked in ``BUCKETS`` groups; the pattern table (bo
 data) is broadcast and looked up by binary search.
 
 Defined results: a null text is empty and gives one piece with the closing id alone; documents longer than the
-capacity are cut into full pieces, the first piece taking the remainder; repeated rows are packed each; null ids are
+capacity are cut into full pieces, the first piece taking the remainder; very long texts are encoded whole; pieces of
+equal length are interchangeable, and ranked by (doc_id, piece, start, digest); repeated rows are packed each; null ids are
 packed as any other; an empty table gives no rows; other columns are not read.
 """
 
@@ -109,33 +110,87 @@ def token_pieces(docs: DataFrame, path: str, ranks: str, capacity: int = CAPACIT
 # -- the packing of a histogram -----------------------------------------------------------------------------
 
 
-def _pair(left: np.ndarray, gap: int) -> tuple[int, int] | None:
-    """Two available lengths that sum to ``gap``, the longer one as long as possible."""
-    if gap < 2:
-        return None
-    lo = left[1 : gap // 2 + 1] > 0
-    both = lo & (left[gap - 1 : gap - 1 - len(lo) : -1] > 0)
-    if gap % 2 == 0 and left[gap // 2] < 2:
-        both[-1] = False
-    x = int(both.argmax())
-    return (gap - 1 - x, x + 1) if both[x] else None
+class Sums:
+    """Index of the single, pair and triple sums of available lengths, kept under the availability counts.
+
+    ``pair[s]`` is the shorter length of a pair that sums to s, ``triple[s]`` the longest length of a triple (0: none).
+    Counts only fall, so an entry whose lengths have run out moves on to the next combination of its sum, upwards for
+    pairs and downwards for triples, and never back: all lookups together pass each combination once.  What a filling
+    tried in vain has moved is put back with its counts (``undo``).
+    """
+
+    def __init__(self, left: np.ndarray, most: int = 3):
+        self.left, self.most = left, most
+        self.pair, self.triple = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
+        self.moved: list[tuple[np.ndarray, int, int]] = []
+        lengths = np.flatnonzero(left)
+        for x in lengths.tolist() if most >= 2 else []:
+            sums = x + lengths[lengths > x - (left[x] > 1)]
+            sums = sums[sums < len(left)]
+            self.pair[sums[self.pair[sums] == 0]] = x
+        with_pair = np.flatnonzero(self.pair)
+        for x in lengths[::-1].tolist() if most >= 3 else []:
+            sums = x + with_pair[: np.searchsorted(with_pair, 2 * x, side="right")]  # the longest of three is at least a third
+            sums = sums[sums < len(left)]
+            self.triple[sums[self.triple[sums] == 0]] = x
+
+    def _move(self, index: np.ndarray, s: int, to: int) -> None:
+        if index[s] != to:
+            self.moved.append((index, s, int(index[s])))
+            index[s] = to
+
+    def keep(self) -> None:
+        """The combinations returned since the last call are consumed."""
+        self.moved.clear()
+
+    def undo(self) -> None:
+        """They were not: their counts are back, and so are the entries."""
+        for index, s, old in reversed(self.moved):
+            index[s] = old
+        self.moved.clear()
+
+    def _first_pair(self, s: int, x: int) -> int:
+        """Shorter length, from ``x`` on, of an available pair that sums to ``s``; 0 if there is none."""
+        lo = np.arange(x, s // 2 + 1)
+        fits = (self.left[lo] > 0) & (self.left[s - lo] > np.where(2 * lo == s, 1, 0))
+        at = int(fits.argmax()) if len(lo) else 0
+        return x + at if len(lo) and fits[at] else 0
+
+    def pair_of(self, s: int) -> list[int] | None:
+        x = int(self.pair[s])
+        if x and (not self.left[x] or self.left[s - x] <= (2 * x == s)):
+            x = self._first_pair(s, x)
+            self._move(self.pair, s, x)
+        return [s - x, x] if x else None
+
+    def triple_of(self, s: int) -> list[int] | None:
+        x = int(self.triple[s])
+        while x:
+            if self.left[x] and 0 < s - x <= 2 * x and (rest := self.pair_of(s - x)):
+                if rest.count(x) < self.left[x]:
+                    break
+                # the pair needs the one that is left of x: another pair of that sum, without moving its entry
+                self.left[x] -= 1
+                other = self._first_pair(s - x, 1)
+                self.left[x] += 1
+                if other:
+                    rest = [s - x - other, other]
+                    break
+            x = int(x - 1 - np.argmax(self.left[x - 1 : 0 : -1] > 0)) if x > 1 and self.left[1:x].any() else 0
+            x = x if 3 * x >= s else 0
+        self._move(self.triple, s, x)
+        return [x, *rest] if x else None
+
+    def filling(self, gap: int) -> list[int] | None:
+        """Available lengths that fill ``gap`` exactly, as few as possible."""
+        if self.most >= 1 and self.left[gap]:
+            return [gap]
+        return self.pair_of(gap) or self.triple_of(gap)
 
 
 def _complement(left: np.ndarray, gap: int, most: int = 3) -> list[int] | None:
     """Up to ``most`` (three at most) available lengths that fill ``gap`` exactly, as few as possible."""
-    if most >= 1 and left[gap] > 0:
-        return [gap]
-    if most >= 2 and (pair := _pair(left, gap)):
-        return list(pair)
-    for x in np.flatnonzero(left[: gap - 1] > 0)[::-1].tolist() if most >= 3 else []:
-        if 3 * x < gap:  # the longest of three is at least a third
-            break
-        left[x] -= 1
-        pair = _pair(left, gap - x)
-        left[x] += 1
-        if pair:
-            return [x, *pair]
-    return None
+    return Sums(left, most).filling(gap)
 
 
 Pattern = tuple[dict[int, int], int]
@@ -147,7 +202,7 @@ def _exact(left: np.ndarray, capacity: int, most: int) -> list[Pattern]:
     The gap is filled by a complement of at most ``most`` lengths, or, where there is none, by the longest that fits,
     after which the smaller gap is looked up again; a length that cannot be completed is left.
     """
-    patterns, first = [], capacity
+    patterns, first, sums = [], capacity, Sums(left, most)
     while first:
         used: dict[int, int] = {}
         gap, found = capacity, [first] if left[first] else []
@@ -156,13 +211,15 @@ def _exact(left: np.ndarray, capacity: int, most: int) -> list[Pattern]:
                 used[x] = used.get(x, 0) + 1
                 left[x] -= 1
             gap -= sum(found)
-            found = (_complement(left, gap, most) or [int(x) + 1 for x in np.flatnonzero(left[1 : gap + 1] > 0)[-1:]]) if gap else []
+            found = (sums.filling(gap) or [int(x) + 1 for x in np.flatnonzero(left[1 : gap + 1] > 0)[-1:]]) if gap else []
         more = -1 if gap else min(int(left[x]) // k for x, k in used.items())
         for x, k in used.items():
             left[x] -= more * k
         if gap:
+            sums.undo()
             first -= 1
         else:
+            sums.keep()
             patterns.append((used, more + 1))
     return patterns
 
@@ -191,15 +248,53 @@ def pack_histogram(counts: np.ndarray, capacity: int) -> list[Pattern]:
     """Patterns ({length: times}, copies) that use every piece once; ``counts[l]``: pieces of length l.
 
     First the patterns that fill a sequence exactly, then best fit for the residual lengths.  Complements of up to
-    three, two or one lengths are tried, and the packing with the fewest sequences is taken.
+    three, two or one lengths are tried, and the packing with the fewest sequences is taken.  Where that is above the
+    lower bound, the last exact fillings (half of them at most) are given back to the residual if that saves a sequence.
     """
-    tried = []
+    tried: list[tuple[list[Pattern], list[Pattern]]] = []
     for most in (3, 2, 1):
         left = np.zeros(capacity + 1, np.int64)
         left[: len(counts)] = counts
         exact = _exact(left, capacity, most)
-        tried.append(exact + _best_fit(left, capacity))
-    return min(tried, key=lambda patterns: sum(copies for _, copies in patterns))
+        tried.append((exact, _best_fit(left, capacity)))
+    bound = -(-int((counts * np.arange(len(counts))).sum()) // capacity)
+    if min(_sequences(exact + rest) for exact, rest in tried) > bound:
+        tried = [_settle(exact, rest, bound, capacity) for exact, rest in tried]
+    return min((exact + rest for exact, rest in tried), key=_sequences)
+
+
+def _settle(exact: list[Pattern], rest: list[Pattern], bound: int, capacity: int) -> tuple[list[Pattern], list[Pattern]]:
+    """The last exact fillings, at most half of them, given back to the residual while that saves a sequence."""
+    back, most = 1, _sequences(exact) // 2
+    while back <= most and _sequences(exact + rest) > bound:
+        kept, left = _given_back(exact, rest, back, capacity)
+        again = _best_fit(left, capacity)
+        if _sequences(kept + again) < _sequences(exact + rest):
+            exact, rest, most = kept, again, most - back
+        else:
+            back *= 2
+    return exact, rest
+
+
+def _sequences(patterns: list[Pattern]) -> int:
+    return sum(copies for _, copies in patterns)
+
+
+def _given_back(exact: list[Pattern], rest: list[Pattern], back: int, capacity: int) -> tuple[list[Pattern], np.ndarray]:
+    """``exact`` without its last ``back`` sequences, and the counts of their pieces and of those in ``rest``."""
+    kept, returned = list(exact), list(rest)
+    while back:
+        used, copies = kept.pop()
+        some = min(back, copies)
+        returned.append((used, some))
+        if copies > some:
+            kept.append((used, copies - some))
+        back -= some
+    left = np.zeros(capacity + 1, np.int64)
+    for used, copies in returned:
+        for x, times in used.items():
+            left[x] += times * copies
+    return kept, left
 
 
 def _slots(patterns: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:

@@ -140,6 +140,44 @@ def test_complement_finds_a_filling_whenever_there_is_one():
         assert found is None or (sum(found) == gap and all(found.count(x) <= left[x] for x in found))
 
 
+def test_sum_index_under_falling_counts():
+    """Consumed combinations and those put back: always as an index made anew."""
+    rng = random.Random(5)
+    for _ in range(150):
+        left = np.array([0, *(rng.choice([0, 0, 1, 1, 3]) for _ in range(24))])
+        sums = PK.Sums(left)
+        for _ in range(30):
+            before, keep = left.copy(), rng.random() < 0.6
+            for _ in range(rng.randint(1, 3)):
+                gap = rng.randint(1, 24)
+                found, new = sums.filling(gap), PK.Sums(left.copy()).filling(gap)
+                assert found == new
+                for x in found or []:
+                    left[x] -= 1
+            if keep:
+                sums.keep()
+            else:
+                left[:] = before
+                sums.undo()
+
+
+def test_exact_fillings_are_given_back_where_that_saves_a_sequence():
+    exact, rest = [({5: 1, 3: 1}, 3), ({4: 2}, 2)], [({7: 1}, 1)]
+    kept, left = PK._given_back(exact, rest, 3, 8)
+    assert kept == [({5: 1, 3: 1}, 2)] and left.tolist() == [0, 0, 0, 1, 4, 1, 0, 1, 0]
+    rng = random.Random(3)
+    for _ in range(60):
+        counts = np.zeros(201, np.int64)
+        for _ in range(150):
+            counts[rng.randint(1, 200)] += 1
+        made = PK.pack_histogram(counts, 200)
+        bound = -(-int((counts * np.arange(201)).sum()) // 200)
+        first = min(PK._sequences(PK._exact(left := counts.copy(), 200, most) + PK._best_fit(left, 200)) for most in (3, 2, 1))
+        assert bound <= PK._sequences(made) <= first
+        full = sum(c for used, c in made if sum(x * k for x, k in used.items()) == 200)
+        assert full >= PK._sequences(made) // 3  # most come from the exact fillings
+
+
 def test_digest_is_of_the_decoded_text():
     ours = BP.Bpe(path(FILES[0]))
     _, decoded = ours.encode_decode("The End.")
