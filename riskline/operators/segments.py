@@ -9,7 +9,7 @@ computed again from the staged rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskline import constants as C
@@ -21,6 +21,8 @@ from riskline.session import materialize
 CHUNK_BITS = 15
 #: Users with more rows than this are scanned in chunks, the others by windows over the user.
 HOT_ROWS = 1 << 18
+#: Rows of a task of windows over users (their history copies come on top), and rows that are worth a task.
+TASK_ROWS, FEW_ROWS = 1 << 15, 1 << 12
 UNB = Window.unboundedPreceding
 EXACT = "decimal(38,10)"
 
@@ -42,12 +44,23 @@ def carried(chunks: DataFrame, by: list[str], totals: dict[str, Column], later:
     return chunks.join(summary.select(*by, "_chunk", *[combine[n.split("_")[0]](n).over(over).alias(n) for n in totals]), [*by, "_chunk"])
 
 
-def hot_users(rows: DataFrame, more_than: int) -> DataFrame | None:
-    """Users with more rows than a task should hold; None if there is none."""
-    found = materialize(rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > more_than).select("user_id"))
-    return None if found.isEmpty() else found
+def user_rows(rows: DataFrame, more_than: int) -> tuple[int, DataFrame | None]:
+    """Number of rows, and the users with more rows than a task should hold (None if there is none)."""
+    counts = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    if (found["most"] or 0) <= more_than:
+        return found["rows"] or 0, None
+    return found["rows"], materialize(counts.where(F.col("n") > more_than).select("user_id"))
 
 
+def window_tasks(spark: SparkSession, rows: int) -> int:
+    """Tasks for ``rows`` rows in windows, so that a task's rows do not grow with the table.
+
+    Given to ``repartition`` as a number, which adaptive execution keeps: it joins partitions by their shuffled bytes,
+    and rows that compress well would meet in a few tasks, each with several sorts of what they come to unpacked.
+    """
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    return max(2, -(-rows // TASK_ROWS), min(spread, -(-rows // FEW_ROWS)))
 
 
 def time_line(rows: DataFrame, widths: dict[str, int], ends: dict[str, Column], asking: list[str], seen: list[str], both: list[str], bits: int) -> DataFrame:

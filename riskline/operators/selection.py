@@ -55,11 +55,14 @@ def medians(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return out
 
 
-def _changes(columns: list[pa.Array]) -> np.ndarray:
-    """Number of the group of every row, rows being sorted by ``columns``."""
+def _changes(columns: list[pa.Array], nulls_alike: bool = False) -> np.ndarray:
+    """Number of the group of every row, rows being sorted by ``columns``; a null is a group of its own or like other nulls."""
     fresh = np.zeros(len(columns[0]), bool)
     for c in columns:
-        codes = c.dictionary_encode().indices.to_numpy(zero_copy_only=False) if pa.types.is_string(c.type) else c.to_numpy(zero_copy_only=False)
+        if nulls_alike:
+            codes = c.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        else:
+            codes = c.dictionary_encode().indices.to_numpy(zero_copy_only=False) if pa.types.is_string(c.type) else c.to_numpy(zero_copy_only=False)
         fresh[1:] |= codes[1:] != codes[:-1]
     return np.cumsum(fresh)
 
@@ -74,30 +77,41 @@ def earlier(group: np.ndarray, time: np.ndarray, of_group: np.ndarray, before: n
     return out[: len(before)]
 
 
-def grouped_medians(df: DataFrame, by: list[str], name: str, horizon: int | None, counts: str | None = None) -> DataFrame:
-    """Adds the median amount of the earlier rows of a row's group, as column ``name``.
+def grouped_medians(df: DataFrame, by: list[str], name: str | None, horizon: int | None, open_until: dict[str, str] | None = None) -> DataFrame:
+    """Adds the median amount of the earlier rows of a row's group, as column ``name`` (None: leaves it out).
 
     ``df`` is partitioned by ``by`` and sorted by it, then by ``us`` and ``transaction_id``.  With a ``horizon``, earlier
-    rows are those with a time in [us - horizon, us); without one, those before it in the order.  Rows for which the
-    column ``counts`` is false are in no group.  Groups are taken whole, several at a time.
+    rows are those with a time in [us - horizon, us); without one, those before it in the order.  ``open_until`` maps a
+    further column to a time: it counts the earlier rows whose time has not passed before the row's own.  Groups are taken
+    whole, several at a time.
     """
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields] + [T.StructField(name, T.DoubleType(), True)])
+    open_until = open_until or {}
+    added = [(c, T.LongType()) for c in open_until] + ([(name, T.DoubleType())] if name else [])
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields] + [T.StructField(c, t, True) for c, t in added])
 
     def solve(part: pa.RecordBatch) -> pa.RecordBatch:
         group = _changes([part.column(c) for c in by])
         time = part.column("us").to_numpy()
+        made = []
+        if open_until:
+            whole = _changes([part.column(c) for c in by], nulls_alike=True)
+            began = earlier(whole, time, whole, time)
+            made += [pa.array(began - earlier(whole, part.column(c).to_numpy(), whole, time)) for c in open_until.values()]
+        if name:
+            found = amounts(part, group, time)
+            made.append(pa.array(found, mask=np.isnan(found)))
+        return pa.RecordBatch.from_arrays([*part.columns, *made], schema.names)
+
+    def amounts(part: pa.RecordBatch, group: np.ndarray, time: np.ndarray) -> np.ndarray:
         amount = part.column("amount").to_numpy(zero_copy_only=False).astype(float)
         member = ~np.isnan(amount)
-        if counts:
-            member &= part.column(counts).to_numpy(zero_copy_only=False).astype(bool)
         if horizon is None:
             hi = np.cumsum(member) - member
             lo = hi[np.searchsorted(group, group)]
         else:
             hi = earlier(group[member], time[member], group, time)
             lo = earlier(group[member], time[member], group, time - horizon)
-        found = medians(amount[member], lo, hi)
-        return pa.RecordBatch.from_arrays([*part.columns, pa.array(found, mask=np.isnan(found))], [*part.schema.names, name])
+        return medians(amount[member], lo, hi)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -106,7 +120,7 @@ def grouped_medians(df: DataFrame, by: list[str], name: str, horizon: int | None
             if sum(b.num_rows for b in held) < ROWS:
                 continue
             whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            group = _changes([whole.column(c) for c in by])
+            group = _changes([whole.column(c) for c in by], nulls_alike=True)
             last = int(np.searchsorted(group, group[-1]))  # the last group may go on
             if last:
                 yield solve(whole.slice(0, last))

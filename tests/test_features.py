@@ -86,3 +86,35 @@ def test_history_for_matches_window_definition(spark):
     df = frame(spark, rows)
     hist = history_for(df.where("transaction_id = 'c'"), df).collect()
     assert sorted(r["transaction_id"] for r in hist) == ["a"]
+
+
+def rows_by_task(df):
+    from pyspark.sql import functions as F
+
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+
+
+@pytest.mark.parametrize("scan", ["online", "offline"])
+def test_rows_of_a_task_do_not_grow_with_the_table(spark, scan, monkeypatch):
+    """Adaptive execution does not join partitions again, however few bytes they were shuffled in."""
+    from riskline.operators import segments
+    from riskline.operators.features import offline_features
+
+    monkeypatch.setattr(segments, "TASK_ROWS", 100)
+    rows = [tx(f"t{i:04d}", at(i % 50), user=f"u{i % 997:03d}") for i in range(4000)]
+    find = {"online": online_features, "offline": offline_features}[scan]
+    sizes = rows_by_task(find(frame(spark, rows)).select("transaction_id", "user_median_amount"))
+    assert sum(sizes) == len(rows) and len(sizes) >= 30 and max(sizes) <= 250
+
+
+def test_distinct_counts_without_rows_of_their_own(spark):
+    from riskline.plans.catalog import transactions
+
+    rows = [tx("a", at(0), user=None, merchant="m1"), tx("b", at(1), user=None, merchant="m2"),
+            tx("c", at(2), user=None, merchant="m1"), tx("d", at(60 * 24), user=None, merchant=None),
+            tx("e", at(60 * 24 + 1), user="u", merchant="m3"), tx("f", at(60 * 24 + 2), user="u", merchant="m3")]
+    got = run(spark, rows)
+    assert [got[t]["unique_merchants_last_24h"] for t in "abcdef"] == [0.0, 1.0, 2.0, 2.0, 0.0, 1.0]
+    assert [got[t]["transactions_last_24h"] for t in "abcdef"] == [0.0, 1.0, 2.0, 3.0, 0.0, 1.0]
+    plan = online_features(transactions(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1  # the history copies alone
