@@ -44,7 +44,9 @@ from riskline.llm.suffix_array import maximal_repeats
 #: Bytes of a match and of a gram; most windows of a run; texts of one minimizer in a slice before it travels as a
 #: mark, and in a bucket before its windows are dealt out one by one; suffixes sorted and repeats marked at once.
 MATCH, GRAM, RUN = 50, 25, 64
-SLICE_TEXTS, GROUP_TEXTS, SORT, MARKS = 32, 2048, 1 << 16, 1 << 19
+SLICE_TEXTS, GROUP_TEXTS, SORT, MARKS = 16, 2048, 1 << 16, 1 << 19
+#: Text bytes that step 1 takes at once: its tables come to about 55 bytes for each.
+SLICE = 1 << 20
 #: Shares in which a task takes the minimizers of its bucket.
 TURNS = 4
 #: Kinds of packed rows: runs, removed stretches, texts asked for, the same window by window, texts.
@@ -252,6 +254,13 @@ def cut_slice(ids: np.ndarray, texts: list[bytes], out: Out) -> None:
         out.deal(RUNS, mark, r["part"][marks])
 
 
+def cut_batches(batches: Iterator[pa.RecordBatch], out: Out) -> Iterator[pa.RecordBatch]:
+    """Step 1 for Arrow batches of doc_id and text, slice by slice."""
+    for part in slices(batches, "text", size=SLICE):
+        cut_slice(part.column("doc_id").to_numpy().astype(np.int64), [x.encode("utf-8") for x in part.column("text").to_pylist()], out)
+        yield out.batch()
+
+
 def solve_runs(rows: list[tuple[int, int, bytes]], out: Out) -> None:
     """Step 2 for all rows (part, rows, payload) of kind RUNS that met in one task."""
     if not rows:
@@ -432,10 +441,7 @@ def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     named = texts.where("doc_id is not null")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Out(parts)
-        for part in slices(batches, "text"):
-            cut_slice(part.column("doc_id").to_numpy().astype(np.int64), [x.encode("utf-8") for x in part.column("text").to_pylist()], out)
-            yield out.batch()
+        yield from cut_batches(batches, Out(parts))
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, found = Out(parts), {RUNS: [], TEXTS: []}

@@ -165,3 +165,24 @@ def test_small_alphabets():
         rows = [(i, "".join(rng.choice([unit, unit[::-1], "é", "b"]) for _ in range(rng.randint(0, 40)))) for i in range(8)]
         got, _ = locally(rows, slices=1 + turn % 4)
         assert got == expected(rows)
+
+
+def test_memory_of_the_first_step_is_bounded():
+    """Its tables follow the slice, not the Arrow batch."""
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from riskline.llm import suffix_dedup as SD
+
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=350)) for _ in range(1900)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1900)), "text": texts})
+    out = SD.Out(12)
+    tracemalloc.start()
+    found = sum(b.num_rows for b in SD.cut_batches(iter([batch]), out))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found and batch.nbytes > 3 << 20 and peak < 50 << 20
