@@ -61,9 +61,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the passages that begin in a document with a smaller id; bytes of a cut character go with it."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    done = suffix_dedup.suffix_dedup(docs, carry=others or None)
-    decode = F.arrow_udf(suffix_dedup.decode_texts, "string")
-    made = done.select("doc_id", decode("kept").alias("text"), *(F.col(f"carried.`{c}`").alias(c) for c in others))
+    done = suffix_dedup.suffix_dedup(docs, carry=others or None, as_text=True)
+    made = done.select("doc_id", F.col("kept").alias("text"), *(F.col(f"carried.`{c}`").alias(c) for c in others))
     if "n_chars" in others:
         made = made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return made.select(docs.columns)

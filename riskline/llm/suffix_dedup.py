@@ -427,10 +427,11 @@ def even_keys(spark, parts: int) -> list[int]:
 # -- the job ------------------------------------------------------------------------------------------------
 
 
-def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def suffix_dedup(docs: DataFrame, carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, spans (begin and end of removed bytes), kept (remaining bytes) of every row of ``docs``.
 
-    ``carry`` names further columns, which come back as the fields of a struct ``carried``.
+    ``carry`` names further columns, which come back as the fields of a struct ``carried``.  ``as_text`` returns ``kept``
+    as text (``decode_texts``), made where documents are cut: a function of its own would be a second Python process a task.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix-dedup")
@@ -487,17 +488,24 @@ def suffix_dedup(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
             for at in np.split(order, np.flatnonzero(np.diff(group)) + 1):
                 found[int(t["doc"][at[0]]), int(t["tag"][at[0]])] = (t["start"][at], t["n"][at])
         nothing = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        raw = [x.encode("utf-8") for x in left.column("text").to_pylist()]
-        made = [cut(x, *found.get((d, zlib.crc32(x)), nothing)) for d, x in zip(left.column("doc_id").to_pylist(), raw, strict=True)]
-        spans = pa.array([[{"begin": a, "end": b} for a, b in m[0]] for m in made], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
-        return pa.table({"doc_id": left.column("doc_id"), "n_bytes": pa.array([len(x) for x in raw], pa.int64()), "spans": spans, "kept": pa.array([m[1] for m in made], pa.binary()), "carried": left.column("carried")})
+        kinds = [left.schema.field("doc_id").type, pa.int64(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])), pa.string() if as_text else pa.binary(), left.schema.field("carried").type]
+        wanted = pa.schema([pa.field(f, k) for f, k in zip(("doc_id", "n_bytes", "spans", "kept", "carried"), kinds, strict=True)])
+        done = []
+        for part in slices(iter(left.to_batches()), "text"):
+            raw = [x.encode("utf-8") for x in part.column("text").to_pylist()]
+            made = [cut(x, *found.get((d, zlib.crc32(x)), nothing)) for d, x in zip(part.column("doc_id").to_pylist(), raw, strict=True)]
+            spans = pa.array([[{"begin": a, "end": b} for a, b in m[0]] for m in made], kinds[2])
+            kept = pa.array([m[1] for m in made], pa.binary())
+            done.append(pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) for x in raw], pa.int64()), spans, decode_texts(kept) if as_text else kept, part.column("carried")], schema=wanted))
+        give_back()
+        return pa.Table.from_batches(done, wanted)
 
-    schema = T.StructType.fromDDL("doc_id long, n_bytes long, spans array<struct<begin: bigint, end: bigint>>, kept binary")
+    schema = T.StructType.fromDDL(f"doc_id long, n_bytes long, spans array<struct<begin: bigint, end: bigint>>, kept {'string' if as_text else 'binary'}")
     schema = schema.add("carried", texts.schema["carried"].dataType)
     done = placed.groupBy("deal").cogroup(removed.withColumn("to_deal", deal_key).groupBy("to_deal")).applyInArrow(finish, schema)
     whole = texts.where("doc_id is null").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
-        F.array().cast("array<struct<begin: bigint, end: bigint>>").alias("spans"), F.col("text").cast("binary").alias("kept"), "carried",
+        F.array().cast("array<struct<begin: bigint, end: bigint>>").alias("spans"), (F.col("text") if as_text else F.col("text").cast("binary")).alias("kept"), "carried",
     )
     both = done.unionByName(whole)
     return both if carry else both.drop("carried")

@@ -26,6 +26,16 @@ def rows_of(frame):
     return sorted(((r["doc_id"], r["text"]) for r in frame.collect()), key=str)
 
 
+def test_repeats_are_cut_by_one_python_process_a_task(spark):
+    """A column function after the cut would hold a second Python worker per core, as large as the first."""
+    tail = "é" * 30  # 60 bytes: the second text keeps a first byte of its own, a whole é and no half of one
+    rows = [(1, "a" + tail), (2, "b" + tail), (3, "c" * 9 + tail[:24] + "è" * 5), (None, "b" + tail)]
+    made = CP.cut_repeats(spark, table(spark, rows), "")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "EvalPython" not in plan
+    assert rows_of(made) == sorted(((d, b.decode(errors="ignore")) for d, _, _, _, b in suffix_expected(rows)), key=str)
+
+
 def test_stages_one_by_one(spark):
     rows = awkward() + [(901, "42 + 1 = 43!"), (902, "...")]
     docs = table(spark, rows)
