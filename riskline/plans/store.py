@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from riskline import constants as C
 from riskline.operators import cases
+from riskline.operators.segments import window_tasks
 from riskline.plans.scoring import alerts_from, prediction_rows, score_batch
 from riskline.session import materialize, prepare
 from riskline.sources.adapter import COMPRESSED_SCALE, label_log, transactions_from_events, update_log
@@ -88,6 +89,10 @@ class Store:
     def as_of_us(self) -> int:
         return int(self.txns.agg(F.max("us")).first()[0])
 
+    @cached_property
+    def tasks(self) -> int:
+        return window_tasks(self.spark, self.txns.count())
+
     @cached_property
     def label_log(self) -> DataFrame:
         return self.label_log_of(self.txns, self.cases.state)
@@ -96,7 +101,9 @@ class Store:
         return label_log(txns, C.DAY_US // self.scale).unionByName(cases.analyst_labels(state))
 
     def labels(self, as_of: bool = True) -> DataFrame:
-        latest, _ = cases.upsert_labels(self.label_log, self.txns, self.as_of_us if as_of else None)
+        """Latest labels.  Partitions follow the number of rows, and so do those of joins by transaction with them."""
+        known = self.txns.select("transaction_id").repartition(self.tasks, "transaction_id")
+        latest, _ = cases.upsert_labels(self.label_log, known, self.as_of_us if as_of else None)
         return latest
 
     def labels_of(self, rows: DataFrame, state: DataFrame) -> DataFrame:

@@ -35,3 +35,20 @@ def test_feed_filter_validation():
     with pytest.raises(ValueError):
         RM.FeedFilter(hours=0)
     assert RM.FeedFilter(country="us").country == "us"
+
+
+def test_labels_are_dealt_by_number_of_rows(spark, small_dir, monkeypatch):
+    from riskline.operators import segments
+    from riskline.plans.store import build_store
+
+    monkeypatch.setattr(segments, "TASK_ROWS", 64)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the tables were large
+    try:
+        st = build_store(spark, small_dir)
+        rows = st.txns.count()
+        labels = st.labels(as_of=False)
+        assert labels.rdd.getNumPartitions() >= -(-rows // 64)  # not joined by adaptive execution
+        assert labels.count() == labels.select("transaction_id").distinct().count() == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
