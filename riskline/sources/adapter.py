@@ -14,6 +14,7 @@ Rules (m = merchant number, u = user number, k = source id):
   is_fraud = takeover or k mod 37 = 0       (ground truth, never a model input)
 Time can be compressed: us = origin + (us - origin) div time_scale, which packs
 30 days into 90 minutes at time_scale 480 so that minute windows carry data.
+Source rows are dealt out in tasks of bounded rows (``in_bounded_tasks``) before they are widened.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from riskline.operators.cases import NOTE_LIMIT
 ORIGIN_US = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z
 COMPRESSED_SCALE = 480
 LABEL_DELAY_DAYS = 14
+#: Source rows of a task.
+SOURCE_ROWS = 1 << 18
 
 
 def event_micros(ts: Column) -> Column:
@@ -38,6 +41,16 @@ def _pick(values: list, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def in_bounded_tasks(rows: DataFrame) -> DataFrame:
+    """``rows`` in tasks of about ``SOURCE_ROWS`` rows, whatever the splits and row groups of their files.
+
+    A split holds as many rows as its bytes come to, and a task that shuffles them into many partitions holds them all.
+    The hash of all columns deals them out evenly, null or repeated keys too, and alike when a task is run again.
+    """
+    tasks = -(-rows.count() // SOURCE_ROWS)
+    return rows.repartition(tasks, *rows.columns) if tasks > 1 else rows
+
+
 def _adapt(df: DataFrame, key: Column, user: Column, amount: Column, ts: Column, prefix: str,
            time_scale: int) -> DataFrame:
     k = key.cast("long")
@@ -52,6 +65,7 @@ def _adapt(df: DataFrame, key: Column, user: Column, amount: Column, ts: Column,
     lons = [C.COUNTRY_COORDINATES[c][1] for c in C.COUNTRIES]
     no_geo = F.pmod(F.col("k"), F.lit(11)) == 0
     base = df.select(k.alias("k"), u.alias("u"), amount.cast("double").alias("amount"), raw_us.alias("raw_us"))
+    base = in_bounded_tasks(base)
     if time_scale == 1:
         base = base.withColumn("us", F.col("raw_us"))
     else:  # integer compression towards the origin (same arithmetic in the SQL twin)

@@ -118,3 +118,23 @@ def test_distinct_counts_without_rows_of_their_own(spark):
     assert [got[t]["transactions_last_24h"] for t in "abcdef"] == [0.0, 1.0, 2.0, 3.0, 0.0, 1.0]
     plan = online_features(transactions(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode") == 1  # the history copies alone
+
+
+@pytest.mark.parametrize("source", ["events", "orders"])
+def test_source_rows_of_a_task_are_bounded(spark, source, monkeypatch, tmp_path):
+    """One row group is one task of the scan, whatever it holds; the rows stay, null and repeated keys too."""
+    from riskline.plans.catalog import transactions
+    from riskline.sources import adapter
+
+    key, user, amount, ts = {"events": ("event_id", "user_id", "value", "ts"),
+                             "orders": ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")}[source]
+    rows = [(None if i % 4 == 0 else i // 2, i % 7, float(i), at(i // 2)) for i in range(4000)]
+    table = spark.createDataFrame(rows, f"{key} long, {user} long, {amount} double, {ts} timestamp").coalesce(1)
+    table.write.parquet(f"{tmp_path}/{source}.parquet")
+    whole = transactions(spark, str(tmp_path), source)
+    assert rows_by_task(whole) == [4000]
+    monkeypatch.setattr(adapter, "SOURCE_ROWS", 100)
+    dealt = transactions(spark, str(tmp_path), source)
+    sizes = rows_by_task(dealt)
+    assert sum(sizes) == 4000 and max(sizes) <= 200
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, whole.collect()))
